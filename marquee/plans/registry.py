@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marquee.plans import people, regions, series, titles
+from marquee.plans import people, profiling, regions, series, titles
 from marquee.sources.catalogue import Catalogue
 from marquee.sources.star import star_catalogue
 
@@ -113,6 +113,15 @@ register("genre_trend_min_votes")(
 # Binding: k = 5 of the 10 genres of the driver's tables.
 register("trend_top_genres")(lambda c: regions.trend_of_top_genres(c.basics, c.ratings, k=5))
 
+# --- profiling --------------------------------------------------------------
+register("dataset_info")(profiling.dataset_info)
+register("numeric_summary")(profiling.numeric_summary)
+register("describe_columns")(profiling.describe_columns)
+register("categorical_distincts")(profiling.categorical_distincts)
+register("runtime_rating_corr")(profiling.runtime_rating_corr)
+register("title_type_profile")(profiling.title_type_profile)
+register("subset_means")(profiling.subset_means)
+
 
 def spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Driver form: (spark, sf_dir) -> DataFrame over the star-schema tables."""
