@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marquee.plans import people, profiling, regions, series, titles
+from marquee.plans import ingest, people, profiling, regions, series, titles
 from marquee.sources.catalogue import Catalogue
 from marquee.sources.star import star_catalogue
 
@@ -122,6 +122,20 @@ register("runtime_rating_corr")(profiling.runtime_rating_corr)
 register("title_type_profile")(profiling.title_type_profile)
 register("subset_means")(profiling.subset_means)
 
+# --- ingest and sinks (round trips through shared scratch storage) ---------
+register("scan_typed_tsv")(ingest.scan_typed_tsv)
+register("scan_untyped_tsv")(ingest.scan_untyped_tsv)
+register("clean_null_token")(ingest.clean_null_token)
+for _t in ("basics", "akas", "crew", "episode", "ratings", "principals", "name"):
+    register(f"shape_{_t}")(lambda c, _t=_t: ingest.shaped_round_trip(c, _t))
+register("load_catalogue")(ingest.load_catalogue)
+register("export_csv_auto")(ingest.export_csv_auto)
+register("export_csv_n")(ingest.export_csv_n)
+register("export_csv_partitioned")(ingest.export_csv_partitioned)
+register("stringify_arrays")(ingest.stringify)
+register("result_stats")(ingest.result_stats)
+register("export_single_file")(ingest.export_single_file)
+
 
 def spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Driver form: (spark, sf_dir) -> DataFrame over the star-schema tables."""

@@ -1,0 +1,8 @@
+"""Streaming.
+
+The surveyed questions are batch only: no stream source, watermark, window
+of time or stateful operator appears among them, so nothing is built here.
+Every operator in :mod:`marquee.operators` is a DataFrame transformation and
+would run unchanged on a streaming DataFrame where Spark allows the same
+operator (projections, filters, stream-static joins, aggregates).
+"""
