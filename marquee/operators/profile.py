@@ -51,11 +51,20 @@ def string_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
 
 
-def _stacked(df: DataFrame, columns: Sequence[str], cast: str | None) -> DataFrame:
+def _stacked(df: DataFrame, columns: Sequence[str], cast: str | None,
+             table: str | None = None) -> DataFrame:
     cells = F.array(*[F.struct(F.lit(c).alias("column_name"),
                                (F.col(c).cast(cast) if cast else F.col(c)).alias("value"))
                       for c in columns])
-    return df.select(F.inline(cells))
+    lead = [F.lit(table).alias("table_name")] if table is not None else []
+    return df.select(*lead, F.inline(cells))
+
+
+def _union_all(parts: list[DataFrame]) -> DataFrame:
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
 
 def value_table(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -64,37 +73,31 @@ def value_table(df: DataFrame, columns: Sequence[str]) -> DataFrame:
             .groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n")))
 
 
-def summarize(df: DataFrame, columns: Sequence[str],
-              stats: Sequence[str] = SUMMARY_STATS) -> DataFrame:
-    """Long form (column_name, stat, value) of the chosen statistics.
+def _summarize_stacked(stacked: DataFrame, names: DataFrame, keys: Sequence[str],
+                       stats: Sequence[str]) -> DataFrame:
+    """Statistics per ``keys`` group of a stacked (keys..., value) frame.
 
-    Mean and sample deviation are rounded to 6 decimals (summation order of
-    doubles is not fixed). NULLs are not counted; a column of NULLs yields
-    count 0 and NULL for the rest.
+    ``names`` lists every group (so an all-NULL column still gets its rows).
+    The per-group tables hold one row per profiled column: a proven bound,
+    so they are broadcast.
     """
-    if not columns:
-        return df.sparkSession.createDataFrame(
-            [], "column_name string, stat string, value double")
-    vt = value_table(df, columns).where(F.col("value").isNotNull())
-    # A column whose values are all NULL still gets its row of statistics.
-    names = df.sparkSession.createDataFrame([(c,) for c in columns], "column_name string")
-    totals = vt.groupBy("column_name").agg(
+    keys = list(keys)
+    vt = (stacked.where(F.col("value").isNotNull())
+          .groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("n")))
+    totals = vt.groupBy(*keys).agg(
         F.sum("n").alias("_N"), F.sum(F.col("value") * F.col("n")).alias("_S"),
         F.min("value").alias("_min"), F.max("value").alias("_max"))
-    totals = names.join(F.broadcast(totals), "column_name", "left")  # one row per column
+    totals = names.join(F.broadcast(totals), keys, "left")
     mean = F.try_divide(F.col("_S"), F.col("_N"))
-    with_mean = vt.join(F.broadcast(totals.select("column_name", "_N", mean.alias("_mean"))),
-                        "column_name")
-    spread = with_mean.groupBy("column_name").agg(
-        F.sum(F.col("n") * (F.col("value") - F.col("_mean")) ** 2).alias("_ss"))
-    w = (Window.partitionBy("column_name").orderBy("value")
+    with_mean = vt.join(F.broadcast(totals.select(*keys, "_N", mean.alias("_mean"))), keys)
+    w = (Window.partitionBy(*keys).orderBy("value")
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    cum = (with_mean.withColumn("_share", F.sum("n").over(w) / F.col("_N")))
-    pct = cum.groupBy("column_name").agg(*[
-        F.min(F.when(F.col("_share") >= p, F.col("value"))).alias(k)
-        for k, p in PERCENTILES.items()])
-    full = (totals.join(F.broadcast(spread), "column_name", "left")
-            .join(F.broadcast(pct), "column_name", "left"))
+    per = (with_mean.withColumn("_share", F.sum("n").over(w) / F.col("_N"))
+           .groupBy(*keys).agg(
+               F.sum(F.col("n") * (F.col("value") - F.col("_mean")) ** 2).alias("_ss"),
+               *[F.min(F.when(F.col("_share") >= p, F.col("value"))).alias(f"_p{int(p * 100)}")
+                 for p in PERCENTILES.values()]))
+    full = totals.join(F.broadcast(per), keys, "left")
     n = F.coalesce(F.col("_N"), F.lit(0))
     values = {
         "count": n.cast("double"),
@@ -102,59 +105,90 @@ def summarize(df: DataFrame, columns: Sequence[str],
         "stddev": F.round(F.when(n > 1, F.sqrt(F.col("_ss") / (n - 1))), 6),
         "min": F.col("_min"),
         "max": F.col("_max"),
-        **{k: F.col(f"`{k}`") for k in PERCENTILES},
+        **{k: F.col(f"_p{int(p * 100)}") for k, p in PERCENTILES.items()},
     }
     cells = F.array(*[F.struct(F.lit(s).alias("stat"), values[s].cast("double").alias("value"))
                       for s in stats])
-    return full.select("column_name", F.inline(cells))
+    return full.select(*keys, F.inline(cells))
+
+
+def summarize(df: DataFrame, columns: Sequence[str],
+              stats: Sequence[str] = SUMMARY_STATS) -> DataFrame:
+    """Long form (column_name, stat, value) of the chosen statistics.
+
+    Mean and sample deviation are rounded to 6 decimals (summation order of
+    doubles is not fixed). NULLs are not counted; a column of NULLs yields
+    count 0 and NULL for the rest.
+    """
+    spark = df.sparkSession
+    if not columns:
+        return spark.createDataFrame([], "column_name string, stat string, value double")
+    names = spark.createDataFrame([(c,) for c in columns], "column_name string")
+    return _summarize_stacked(_stacked(df, columns, "double"), names, ["column_name"], stats)
 
 
 def numeric_summary(tables: dict[str, DataFrame]) -> DataFrame:
-    """``summary()`` of every integer/double column of every table, long form."""
-    parts = [summarize(df, numeric_columns(df)).select(F.lit(name).alias("table_name"), "*")
-             for name, df in tables.items() if numeric_columns(df)]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """``summary()`` of every integer/double column of every table, long form.
+
+    All tables are stacked into one (table, column, value) frame, so the
+    whole profile is one value-table shuffle rather than one per table.
+    """
+    spark = next(iter(tables.values())).sparkSession
+    chosen = {t: numeric_columns(df) for t, df in tables.items()}
+    parts = [_stacked(df, chosen[t], "double", t) for t, df in tables.items() if chosen[t]]
+    if not parts:
+        return spark.createDataFrame(
+            [], "table_name string, column_name string, stat string, value double")
+    names = spark.createDataFrame([(t, c) for t, cs in chosen.items() for c in cs],
+                                  "table_name string, column_name string")
+    return _summarize_stacked(_union_all(parts), names, ["table_name", "column_name"],
+                              SUMMARY_STATS)
 
 
 def categorical_distincts(tables: dict[str, DataFrame], *, max_distinct: int = 20,
                           sample_size: int = 5) -> DataFrame:
     """String columns with at most ``max_distinct`` distinct values (NULL is one).
 
-    First an approximate distinct count (one partial aggregate per table)
-    shortlists the columns; only shortlisted columns go through the exact
-    distinct shuffle. Sample = the first ``sample_size`` sorted non-NULL values.
+    One job computes an approximate distinct count of every string column of
+    every table (partial HyperLogLog aggregates) to shortlist columns; only
+    shortlisted columns go through the exact distinct shuffle, so columns of
+    ids never shuffle their values. Sample = the first ``sample_size``
+    sorted non-NULL values.
     """
-    parts = []
-    for name, df in tables.items():
-        cols = string_columns(df)
-        if not cols:
-            continue
-        approx = df.agg(*[(F.approx_count_distinct(c, 0.01)
-                           + F.max(F.col(c).isNull().cast("int"))).alias(c) for c in cols])
-        row = approx.first()
-        bound = int(max_distinct * 1.5) + 5
-        short = [c for c in cols if row[c] is not None and row[c] <= bound]
-        if not short:
+    spark = next(iter(tables.values())).sparkSession
+    empty = spark.createDataFrame(
+        [], "table_name string, column_name string, distinct_count bigint, sample string")
+    chosen = {t: string_columns(df) for t, df in tables.items()}
+    approx_parts = []
+    for t, df in tables.items():
+        if not chosen[t]:
             continue
-        distinct = _stacked(df, short, None).distinct()
-        w = Window.partitionBy("column_name").orderBy(F.col("value").asc_nulls_last())
-        first = (distinct.where(F.col("value").isNotNull())
-                 .withColumn("_rn", F.row_number().over(w))
-                 .where(F.col("_rn") <= sample_size))
-        sample = first.groupBy("column_name").agg(
-            F.concat_ws(", ", F.array_sort(F.collect_list("value"))).alias("sample"))
-        counts = distinct.groupBy("column_name").agg(F.count(F.lit(1)).alias("distinct_count"))
-        parts.append(counts.where(F.col("distinct_count") <= max_distinct)
-                     .join(sample, "column_name", "left")
-                     .select(F.lit(name).alias("table_name"), "column_name",
-                             "distinct_count", F.coalesce("sample", F.lit("")).alias("sample")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        one = df.agg(*[(F.approx_count_distinct(c) + F.max(F.col(c).isNull().cast("int")))
+                       .alias(c) for c in chosen[t]])
+        cells = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("approx"))
+                          for c in chosen[t]])
+        approx_parts.append(one.select(F.lit(t).alias("table_name"), F.inline(cells)))
+    if not approx_parts:
+        return empty
+    # A handful of rows (one per string column): column metadata, not data.
+    bound = int(max_distinct * 1.5) + 5
+    short: dict[str, list[str]] = {}
+    for r in _union_all(approx_parts).where(F.col("approx") <= bound).collect():
+        short.setdefault(r["table_name"], []).append(r["column_name"])
+    if not short:
+        return empty
+    stacked = _union_all([_stacked(tables[t], cs, None, t) for t, cs in short.items()])
+    distinct = stacked.distinct()
+    keys = ["table_name", "column_name"]
+    w = Window.partitionBy(*keys).orderBy(F.col("value"))
+    sample = (distinct.where(F.col("value").isNotNull())
+              .withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= sample_size)
+              .groupBy(*keys).agg(
+                  F.concat_ws(", ", F.array_sort(F.collect_list("value"))).alias("sample")))
+    counts = distinct.groupBy(*keys).agg(F.count(F.lit(1)).alias("distinct_count"))
+    return (counts.where(F.col("distinct_count") <= max_distinct)
+            .join(sample, keys, "left")
+            .select(*keys, "distinct_count", F.coalesce("sample", F.lit("")).alias("sample")))
 
 
 def runtime_rating_corr(basics: DataFrame, ratings: DataFrame) -> DataFrame:
@@ -166,8 +200,11 @@ def runtime_rating_corr(basics: DataFrame, ratings: DataFrame) -> DataFrame:
             .join(ratings.select("tconst", F.col("averageRating").cast("float").alias("y")),
                   "tconst")
             .where(F.col("x").isNotNull() & F.col("y").isNotNull()))
-    varies = (F.stddev_pop("x") > 0) & (F.stddev_pop("y") > 0)
-    return rows.agg(F.round(F.when(varies, F.corr("x", "y")), 6).alias("correlation"))
+    # corr() divides by zero under ANSI mode on a constant side, and a CASE
+    # around it does not help (the aggregate is evaluated first), so the
+    # quotient is formed here with try_divide.
+    r = F.try_divide(F.covar_pop("x", "y"), F.stddev_pop("x") * F.stddev_pop("y"))
+    return rows.agg(F.round(r, 6).alias("correlation"))
 
 
 def title_type_profile(basics: DataFrame) -> DataFrame:
