@@ -4,20 +4,24 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from marquee.session import ensure_checkpoint_dir
+
 
 def attach_small(table: DataFrame, max_rows: int) -> DataFrame:
     """Broadcast ``table`` only after checking it holds at most ``max_rows``.
 
-    The table is a derived lookup (ranks per distinct value, a one-row
-    person id, ...), so it is persisted and counted first: the count is the
-    size check, and the persisted copy is what the join reads (no second
-    computation). Above the bound it is returned as is and joins by shuffle.
+    The table is a derived lookup (ranks per distinct value, a best value per
+    year, ...). It is checkpointed to the shared checkpoint folder, which
+    cuts its lineage and survives executor loss, and then counted: the count
+    is the size check and reads the checkpoint, not the input. Above the
+    bound the checkpointed table is joined by shuffle (AQE may still split
+    skewed partitions).
     """
-    kept = table.persist(StorageLevel.MEMORY_AND_DISK)
+    ensure_checkpoint_dir(table.sparkSession)
+    kept = table.checkpoint(eager=True)
     n = kept.count()
     return F.broadcast(kept) if n <= max_rows else kept
 

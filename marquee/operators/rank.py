@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marquee.operators.agg import attach_small
+from marquee.session import ensure_checkpoint_dir, shuffle_partitions
 
 Order = Sequence[Column]
 
@@ -33,6 +34,11 @@ def value_ranks(df: DataFrame, groups: Sequence[str], value: str, *,
                 descending: bool = True) -> DataFrame:
     """Per (groups, value): ``rank`` (with gaps), ``dense_rank`` and row count."""
     counts = df.groupBy(*groups, value).agg(F.count(F.lit(1)).alias("_n"))
+    return _rank_counts(counts, groups, value, descending)
+
+
+def _rank_counts(counts: DataFrame, groups: Sequence[str], value: str,
+                 descending: bool) -> DataFrame:
     w = Window.partitionBy(*groups).orderBy(_ordered(value, descending))
     before = F.coalesce(
         F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
@@ -43,9 +49,7 @@ def value_ranks(df: DataFrame, groups: Sequence[str], value: str, *,
         "_n")
 
 
-def _join_back(df: DataFrame, table: DataFrame, keys: Sequence[str],
-               max_rows: int) -> DataFrame:
-    table = attach_small(table, max_rows)
+def _join_back(df: DataFrame, table: DataFrame, keys: Sequence[str]) -> DataFrame:
     cond = None
     for k in keys:
         term = df[k].eqNullSafe(table[f"_k_{k}"])
@@ -58,23 +62,59 @@ def rank_within(df: DataFrame, groups: Sequence[str], value: str, out: str, *,
                 max_broadcast_rows: int = 2_000_000) -> DataFrame:
     """Add ``out`` = (dense_)rank of ``value`` within ``groups``.
 
-    Equal to ``(dense_)rank().over(partitionBy(groups).orderBy(value))`` but
-    the ordering runs on the small value table and the join back is a
-    broadcast when that table is small (checked), else a shuffle join that
-    AQE can split on skew.
+    Equal to ``(dense_)rank().over(partitionBy(groups).orderBy(value))``. The
+    (groups, value, count) table is built with a partial aggregate and
+    checkpointed; the ordering runs on it, and the join back is a broadcast
+    when its checked size allows, else a shuffle join that AQE can split.
     """
-    ranks = value_ranks(df, groups, value, descending=descending)
+    counts = df.groupBy(*groups, value).agg(F.count(F.lit(1)).alias("_n"))
+    kept = attach_small(counts, max_broadcast_rows)
+    ranks = _rank_counts(kept, groups, value, descending)
     pick = "_dense_rank" if dense else "_rank"
     keys = [*groups, value]
     table = ranks.select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col(pick).alias(out))
-    return _join_back(df, table, keys, max_broadcast_rows)
+    return _join_back(df, table, keys)
+
+
+def _dense_rank_by_ranges(values: DataFrame, value: str, out: str,
+                          descending: bool) -> DataFrame:
+    """Dense rank of distinct ``values`` without a single-partition window.
+
+    Range partitioning sorts the values across partitions; each partition
+    numbers its rows, and a prefix sum of partition sizes (one row per
+    partition: a proven bound, broadcast) turns local numbers into ranks.
+    """
+    order = _ordered(value, descending)
+    ranged = (values.repartitionByRange(shuffle_partitions(values), order)
+              .withColumn("_pid", F.spark_partition_id()))
+    local = ranged.withColumn(
+        "_i", F.row_number().over(Window.partitionBy("_pid").orderBy(order)))
+    sizes = local.groupBy("_pid").agg(F.count(F.lit(1)).alias("_c"))
+    offsets = sizes.select("_pid", F.coalesce(F.sum("_c").over(
+        Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        .alias("_off"))
+    return (local.join(F.broadcast(offsets), "_pid")
+            .select(value, (F.col("_off") + F.col("_i")).cast("bigint").alias(out)))
 
 
 def global_dense_rank(df: DataFrame, value: str, out: str, *, descending: bool = True,
                       max_broadcast_rows: int = 2_000_000) -> DataFrame:
-    """``dense_rank()`` over the whole frame without a single-task window."""
-    return rank_within(df, [], value, out, dense=True, descending=descending,
-                       max_broadcast_rows=max_broadcast_rows)
+    """``dense_rank()`` over the whole frame without a single-task window.
+
+    The distinct values are checkpointed and counted. Up to the bound they
+    are ranked in one small window and broadcast; beyond it they are ranked
+    by range partitions and joined back by shuffle.
+    """
+    values = df.select(value).distinct()
+    ensure_checkpoint_dir(df.sparkSession)
+    kept = values.checkpoint(eager=True)
+    if kept.count() <= max_broadcast_rows:
+        w = Window.orderBy(_ordered(value, descending))
+        table = F.broadcast(kept.select(value, F.row_number().over(w).cast("bigint").alias(out)))
+    else:
+        table = _dense_rank_by_ranges(kept, value, out, descending)
+    table = table.select(F.col(value).alias(f"_k_{value}"), out)
+    return _join_back(df, table, [value])
 
 
 def top_k_per_group(df: DataFrame, groups: Sequence[str], order: Order, k: int,

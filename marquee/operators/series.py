@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marquee.functions.exprs import mean_from_tenths, tenths
+from marquee.session import shuffle_partitions
 
 
 def _null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str],
@@ -46,25 +47,33 @@ def running_mean_rating(df: DataFrame, key: str, order: Sequence[str], rating: s
     return _null_safe_join(df, running, [key, *order])
 
 
-def previous_value(df: DataFrame, key: str, coarse: str, fine: str, value: str,
+def previous_value(df: DataFrame, key: str, order: Sequence[str], value: str,
                    out: str) -> DataFrame:
-    """``lag(value)`` per ``key`` ordered by (``coarse`` NULLs first, ``fine``).
-
-    Two levels: inside each (key, coarse) block the lag is a window on that
-    finer key; the first row of a block takes the last value of the nearest
-    earlier block, found on a table with one row per block.
+    """``lag(value)`` per ``key`` along ``order`` (ascending, NULLs first).
+
+    ``order`` must be total within a key (end it with an id). The rows are
+    range-partitioned on (key, order), so a key with a third of all rows is
+    spread over many contiguous blocks instead of one window partition.
+    Inside a block the lag is a window on (key, block); the first row of a
+    block takes the last value of the key's previous block, found on a table
+    with one row per (key, block).
     """
-    block = Window.partitionBy(key, coarse).orderBy(F.col(fine).asc_nulls_first())
-    inner = (df.withColumn("_pos", F.row_number().over(block))
-               .withColumn("_lag_in", F.lag(value).over(block)))
-    last = df.groupBy(key, coarse).agg(
-        F.max_by(F.col(value), F.col(fine)).alias("_last"))
-    across = Window.partitionBy(key).orderBy(F.col(coarse).asc_nulls_first())
-    carried = last.select(key, coarse, F.lag("_last").over(across).alias("_carry"))
-    joined = _null_safe_join(inner, carried, [key, coarse])
+    spec = [F.col(c).asc_nulls_first() for c in (key, *order)]
+    # An explicit count makes the block ids fixed: AQE does not coalesce a
+    # repartition by number, so both readers of the (reused) exchange agree.
+    ranged = (df.repartitionByRange(shuffle_partitions(df), *spec)
+              .withColumn("_blk", F.spark_partition_id()))
+    inner_w = Window.partitionBy(key, "_blk").orderBy(*spec[1:])
+    inner = (ranged.withColumn("_pos", F.row_number().over(inner_w))
+                   .withColumn("_lag_in", F.lag(value).over(inner_w)))
+    last = ranged.groupBy(key, "_blk").agg(
+        F.max_by(F.col(value), F.struct(*order)).alias("_last"))
+    carried = last.select(key, "_blk", F.lag("_last").over(
+        Window.partitionBy(key).orderBy("_blk")).alias("_carry"))
+    joined = _null_safe_join(inner, carried, [key, "_blk"])
     return (joined.withColumn(out, F.when(F.col("_pos") == 1, F.col("_carry"))
                               .otherwise(F.col("_lag_in")))
-                  .drop("_pos", "_lag_in", "_carry"))
+                  .drop("_blk", "_pos", "_lag_in", "_carry"))
 
 
 def child_counts(children: DataFrame, parent: str, counted: str, out: str) -> DataFrame:

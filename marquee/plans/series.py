@@ -62,7 +62,7 @@ def rating_growth(basics: DataFrame, ratings: DataFrame, *, title_type: str = "v
     rows = (basics.where(F.col("titleType") == title_type)
             .select("tconst", "primaryTitle", "startYear")
             .join(ratings, "tconst"))
-    lagged = previous_value(rows, "primaryTitle", "startYear", "tconst", R, "_prev")
+    lagged = previous_value(rows, "primaryTitle", ["startYear", "tconst"], R, "_prev")
     grown = lagged.withColumn("rating_growth", rounded_growth(F.col(R), F.col("_prev")))
     return (grown.where((F.col("rating_growth") > 0) & (F.col(V) >= min_votes))
             .select("primaryTitle", "startYear", R, V, "rating_growth")

@@ -68,3 +68,8 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh, never reused path under the shared checkpoint folder."""
     root = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{root}/marquee-{label}-{uuid.uuid4().hex}"
+
+
+def shuffle_partitions(df) -> int:
+    """The session's shuffle partition count (sized by the cluster for its data)."""
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))

@@ -61,7 +61,7 @@ def test_previous_value_equals_lag(spark, rows):
     df = frame(spark, rows)
     w = Window.partitionBy("g").orderBy(F.col("y").asc_nulls_first(), F.col("id"))
     plain = df.withColumn("p", F.lag("v").over(w))
-    fast = previous_value(df, "g", "y", "id", "v", "p")
+    fast = previous_value(df, "g", ["y", "id"], "v", "p")
     assert as_set(fast, ["id", "p"]) == as_set(plain, ["id", "p"])
 
 
@@ -75,6 +75,22 @@ def test_running_mean_equals_window(spark, rows):
     assert as_set(fast, ["id", "m"]) == as_set(plain, ["id", "m"])
 
 
+def test_dense_rank_by_ranges_equals_window(spark):
+    from marquee.operators.rank import _dense_rank_by_ranges
+    df = spark.createDataFrame([(float(v % 37),) for v in range(500)] + [(None,)], "v double")
+    vals = df.distinct()
+    fast = _dense_rank_by_ranges(vals.repartition(5), "v", "d", True)
+    plain = vals.withColumn("d", F.dense_rank().over(Window.orderBy(F.col("v").desc())))
+    assert as_set(fast, ["v", "d"]) == as_set(plain, ["v", "d"])
+
+
+def test_global_dense_rank_large_path(spark):
+    df = frame(spark, [("a", v / 10, 1990) for v in range(10, 90)])
+    plain = df.withColumn("d", F.dense_rank().over(Window.orderBy(F.col("v").desc())))
+    fast = global_dense_rank(df, "v", "d", max_broadcast_rows=5)
+    assert as_set(fast, ["id", "d"]) == as_set(plain, ["id", "d"])
+
+
 def test_top_k_per_group_keeps_k(spark):
     df = frame(spark, [("hot", v / 10, 1990) for v in range(10, 60)] + [("a", 5.0, 1991)])
     top = top_k_per_group(df, ["g"], [F.col("v").desc(), F.col("id")], 3, rank_col="rk")
