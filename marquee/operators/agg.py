@@ -6,24 +6,67 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from marquee.session import ensure_checkpoint_dir
 
 
-def attach_small(table: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``table`` only after checking it holds at most ``max_rows``.
+def broadcast_budget(spark) -> int:
+    """Spark's own broadcast size limit in bytes (-1 disables broadcasts)."""
+    raw = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
+    units = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20,
+             "g": 1 << 30, "gb": 1 << 30}
+    raw = raw.strip().lower()
+    for suffix in sorted(units, key=len, reverse=True):
+        if raw.endswith(suffix):
+            return int(float(raw[: -len(suffix)]) * units[suffix])
+    return int(raw)
 
-    The table is a derived lookup (ranks per distinct value, a best value per
-    year, ...). It is checkpointed to the shared checkpoint folder, which
+
+def _type_width(t: T.DataType) -> int:
+    # Spark's default size estimates per type (strings 20 bytes, arrays 100).
+    if isinstance(t, T.StructType):
+        return sum(_type_width(f.dataType) for f in t.fields)
+    if isinstance(t, (T.ArrayType, T.MapType)):
+        return 100
+    if isinstance(t, (T.StringType, T.BinaryType)):
+        return 20
+    if isinstance(t, (T.BooleanType, T.ByteType)):
+        return 1
+    if isinstance(t, T.ShortType):
+        return 2
+    if isinstance(t, (T.IntegerType, T.FloatType, T.DateType)):
+        return 4
+    if isinstance(t, T.DecimalType):
+        return 8 if t.precision <= 18 else 16
+    return 8
+
+
+def row_width(df: DataFrame) -> int:
+    """Estimated bytes per row from the schema."""
+    return max(1, _type_width(df.schema))
+
+
+def attach_small(table: DataFrame, max_rows: int | None = None) -> DataFrame:
+    """Broadcast ``table`` only after checking its size.
+
+    The table is a derived lookup (counts per distinct value, a best value
+    per year, ...). It is checkpointed to the shared checkpoint folder, which
     cuts its lineage and survives executor loss, and then counted: the count
-    is the size check and reads the checkpoint, not the input. Above the
-    bound the checkpointed table is joined by shuffle (AQE may still split
-    skewed partitions).
+    reads the checkpoint, not the input. It is broadcast when rows x schema
+    width fits Spark's ``autoBroadcastJoinThreshold`` (and ``max_rows``, if
+    given); otherwise the checkpointed table joins by shuffle, where AQE can
+    still split skewed partitions.
     """
-    ensure_checkpoint_dir(table.sparkSession)
+    spark = table.sparkSession
+    ensure_checkpoint_dir(spark)
     kept = table.checkpoint(eager=True)
     n = kept.count()
-    return F.broadcast(kept) if n <= max_rows else kept
+    budget = broadcast_budget(spark)
+    fits = budget >= 0 and n * row_width(kept) <= budget
+    if max_rows is not None:
+        fits = fits and n <= max_rows
+    return F.broadcast(kept) if fits else kept
 
 
 def having(df: DataFrame, *conditions: Column) -> DataFrame:

@@ -19,7 +19,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marquee.operators.agg import attach_small
+from marquee.operators.agg import attach_small, broadcast_budget, row_width
 from marquee.session import ensure_checkpoint_dir, shuffle_partitions
 
 Order = Sequence[Column]
@@ -59,7 +59,7 @@ def _join_back(df: DataFrame, table: DataFrame, keys: Sequence[str]) -> DataFram
 
 def rank_within(df: DataFrame, groups: Sequence[str], value: str, out: str, *,
                 dense: bool = False, descending: bool = True,
-                max_broadcast_rows: int = 2_000_000) -> DataFrame:
+                max_broadcast_rows: int | None = None) -> DataFrame:
     """Add ``out`` = (dense_)rank of ``value`` within ``groups``.
 
     Equal to ``(dense_)rank().over(partitionBy(groups).orderBy(value))``. The
@@ -98,17 +98,25 @@ def _dense_rank_by_ranges(values: DataFrame, value: str, out: str,
 
 
 def global_dense_rank(df: DataFrame, value: str, out: str, *, descending: bool = True,
-                      max_broadcast_rows: int = 2_000_000) -> DataFrame:
+                      max_broadcast_rows: int | None = None) -> DataFrame:
     """``dense_rank()`` over the whole frame without a single-task window.
 
-    The distinct values are checkpointed and counted. Up to the bound they
-    are ranked in one small window and broadcast; beyond it they are ranked
-    by range partitions and joined back by shuffle.
+    The distinct values are checkpointed and counted. When the rank table fits
+    the broadcast size limit they are ranked in one small window and
+    broadcast; beyond it they are ranked by range partitions and joined back
+    by shuffle.
     """
+    spark = df.sparkSession
     values = df.select(value).distinct()
-    ensure_checkpoint_dir(df.sparkSession)
+    ensure_checkpoint_dir(spark)
     kept = values.checkpoint(eager=True)
-    if kept.count() <= max_broadcast_rows:
+    n = kept.count()
+    budget = broadcast_budget(spark)
+    # Rank table rows: the value plus a bigint rank.
+    small = budget >= 0 and n * (row_width(kept) + 8) <= budget
+    if max_broadcast_rows is not None:
+        small = small and n <= max_broadcast_rows
+    if small:
         w = Window.orderBy(_ordered(value, descending))
         table = F.broadcast(kept.select(value, F.row_number().over(w).cast("bigint").alias(out)))
     else:

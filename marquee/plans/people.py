@@ -259,7 +259,7 @@ def actors_in_best_episodes(basics: DataFrame, principals: DataFrame, ratings: D
     eps = (basics.where(F.col("titleType") == title_type).select("tconst", "startYear")
            .join(ratings.select("tconst", R), "tconst"))
     best = eps.groupBy("startYear").agg(F.max(R).alias("_best"))
-    best = attach_small(best.select(F.col("startYear").alias("_y"), "_best"), 100_000)
+    best = attach_small(best.select(F.col("startYear").alias("_y"), "_best"))
     top = (eps.join(best, eps["startYear"].eqNullSafe(best["_y"]) & (eps[R] == best["_best"]))
            .select("tconst", "startYear", R))
     rows = (principals.where(F.col("category") == category).select("tconst", "nconst")
