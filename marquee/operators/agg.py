@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -47,6 +48,14 @@ def row_width(df: DataFrame) -> int:
     return max(1, _type_width(df.schema))
 
 
+def materialize(table: DataFrame) -> DataFrame:
+    """Cut the lineage of a small derived table: a reliable checkpoint in the
+    shared checkpoint folder, or (Connect session without one) a persist."""
+    if ensure_checkpoint_dir(table.sparkSession):
+        return table.checkpoint(eager=True)
+    return table.persist(StorageLevel.MEMORY_AND_DISK)
+
+
 def attach_small(table: DataFrame, max_rows: int | None = None) -> DataFrame:
     """Broadcast ``table`` only after checking its size.
 
@@ -59,8 +68,7 @@ def attach_small(table: DataFrame, max_rows: int | None = None) -> DataFrame:
     still split skewed partitions.
     """
     spark = table.sparkSession
-    ensure_checkpoint_dir(spark)
-    kept = table.checkpoint(eager=True)
+    kept = materialize(table)
     n = kept.count()
     budget = broadcast_budget(spark)
     fits = budget >= 0 and n * row_width(kept) <= budget

@@ -19,8 +19,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marquee.operators.agg import attach_small, broadcast_budget, row_width
-from marquee.session import ensure_checkpoint_dir, shuffle_partitions
+from marquee.operators.agg import attach_small, broadcast_budget, materialize, row_width
+from marquee.session import shuffle_partitions
 
 Order = Sequence[Column]
 
@@ -107,9 +107,7 @@ def global_dense_rank(df: DataFrame, value: str, out: str, *, descending: bool =
     by shuffle.
     """
     spark = df.sparkSession
-    values = df.select(value).distinct()
-    ensure_checkpoint_dir(spark)
-    kept = values.checkpoint(eager=True)
+    kept = materialize(df.select(value).distinct())
     n = kept.count()
     budget = broadcast_budget(spark)
     # Rank table rows: the value plus a bigint rank.

@@ -38,25 +38,47 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
     return spark
 
 
+def _context(spark: SparkSession):
+    """The SparkContext, or None for a Spark Connect session."""
+    try:
+        return spark.sparkContext
+    except Exception:  # Connect sessions have no local context
+        return None
+
+
 def _is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
+    sc = _context(spark)
+    master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+    return (master or "").startswith("local")
+
+
+def checkpoint_dir(spark: SparkSession) -> str | None:
+    """The shared checkpoint folder the cluster names, if any."""
+    sc = _context(spark)
+    if sc is not None and sc.getCheckpointDir():
+        return sc.getCheckpointDir()
+    configured = spark.conf.get(CHECKPOINT_CONF, None)
+    if not configured and sc is not None:
+        configured = sc.getConf().get(CHECKPOINT_CONF, None)
+    return configured or None
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
+def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
     """Return the shared checkpoint folder, setting one only in local mode.
 
     On a cluster the folder must be shared storage named by the cluster
     (``spark.checkpoint.dir``); a machine-local temp folder would be lost with
-    its executor, so we refuse to invent one there.
+    its executor, so we refuse to invent one there. A Connect session whose
+    server names no folder gets None (callers then persist instead).
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = spark.conf.get(CHECKPOINT_CONF, None) or sc.getConf().get(CHECKPOINT_CONF, None)
-    if configured:
-        sc.setCheckpointDir(configured)
-        return sc.getCheckpointDir() or configured
+    sc = _context(spark)
+    found = checkpoint_dir(spark)
+    if sc is None:
+        return found
+    if found:
+        if not sc.getCheckpointDir():
+            sc.setCheckpointDir(found)
+        return sc.getCheckpointDir() or found
     if not _is_local(spark):
         raise RuntimeError(
             f"{CHECKPOINT_CONF} is not set; point it at shared storage for this cluster")
@@ -67,7 +89,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh, never reused path under the shared checkpoint folder."""
-    root = ensure_checkpoint_dir(spark).rstrip("/")
+    root = ensure_checkpoint_dir(spark)
+    if not root:
+        raise RuntimeError(f"{CHECKPOINT_CONF} is not set; scratch output needs shared storage")
+    root = root.rstrip("/")
     return f"{root}/marquee-{label}-{uuid.uuid4().hex}"
 
 
