@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from marquee.functions.exprs import decade, mean_rating
 from marquee.operators.bridge import (ACTING, credits_in, crew_people, directors_of,
                                       person_ids)
-from marquee.operators.agg import attach_small
+from marquee.operators.agg import attach_small, materialize
 from marquee.operators.rank import (best_per_group, global_dense_rank, rank_within, top_k,
                                     top_k_per_group)
 
@@ -193,7 +193,8 @@ def director_leaderboard(basics: DataFrame, crew: DataFrame, ratings: DataFrame,
                   (F.try_divide(F.sum("_s").cast("double"), F.sum("_n")) / F.lit(10.0))
                   .alias("avg_rating"))
              .where(F.col("movie_count") >= min_movies))
-    ranked = global_dense_rank(stats, "avg_rating", "rank")
+    # One row per director name, read by the rank lookup and the join back.
+    ranked = global_dense_rank(materialize(stats), "avg_rating", "rank")
     return (ranked.select("director", "movie_count", "avg_rating", "rank",
                           F.lit("director").alias("role"))
             .orderBy("rank", "director"))
@@ -221,6 +222,9 @@ def actors_by_genre(basics: DataFrame, principals: DataFrame, ratings: DataFrame
               .where(F.col("_total") >= min_movies).select("primaryName"))
     kept = (per.where(F.col("high_rated_movie_count") > 0)
             .join(totals, "primaryName", "left_semi"))
+    # The aggregate feeds both the rank lookup and the final join: checkpoint
+    # it once (one row per genre and name) instead of recomputing the joins.
+    kept = materialize(kept)
     ranked = rank_within(kept, ["genre"], "high_rated_movie_count", "rank", dense=True)
     return (ranked.select("genre", "primaryName", "high_rated_movie_count", "rank")
             .orderBy("genre", "rank", "primaryName"))
