@@ -115,16 +115,19 @@ def principals(spark: SparkSession, sf_dir: str) -> DataFrame:
 def crew(credits: DataFrame) -> DataFrame:
     """Per title: sorted distinct directors and writers, NULL when none.
 
-    A title holds a handful of credit rows, so the per-title sets are small;
-    the aggregate is partial (map-side) before the shuffle on ``tconst``.
+    A title holds a handful of credit rows, so map-side (partial) set
+    building reduces almost nothing and its object hash map falls back to
+    sorting. The narrow credit rows are hash-partitioned by title instead,
+    and the per-title lists are built after that one shuffle.
     """
     def role(r: str) -> Column:
         s = F.array_sort(F.collect_set(F.when(F.col("category") == r, F.col("nconst"))))
         return F.when(F.size(s) > 0, s)
 
     # Titles with credits but no director or writer keep a row of NULLs.
-    return credits.groupBy("tconst").agg(
-        role("director").alias("directors"), role("writer").alias("writers"))
+    return (credits.select("tconst", "category", "nconst").repartition("tconst")
+            .groupBy("tconst")
+            .agg(role("director").alias("directors"), role("writer").alias("writers")))
 
 
 def name(spark: SparkSession, sf_dir: str, credits: DataFrame) -> DataFrame:
@@ -193,8 +196,26 @@ def episode(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_LOADED: dict[tuple[int, str], tuple[SparkSession, Catalogue]] = {}
+
+
 def star_catalogue(spark: SparkSession, sf_dir: str) -> Catalogue:
-    """The seven catalogue tables over the driver's tables in ``sf_dir``."""
+    """The seven catalogue tables over the driver's tables in ``sf_dir``.
+
+    Loaded once per session and folder, like a catalogue loaded at start-up:
+    later questions reuse the same lazy DataFrames (their file listings and
+    analysed plans), not any computed data.
+    """
+    key = (id(spark), sf_dir.rstrip("/"))
+    hit = _LOADED.get(key)
+    if hit is not None and hit[0] is spark:
+        return hit[1]
+    cat = _build_star_catalogue(spark, sf_dir)
+    _LOADED[key] = (spark, cat)
+    return cat
+
+
+def _build_star_catalogue(spark: SparkSession, sf_dir: str) -> Catalogue:
     holder: dict[str, DataFrame] = {}
 
     def credits() -> DataFrame:
