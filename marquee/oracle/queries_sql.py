@@ -162,6 +162,9 @@ SELECT b.tconst, b."primaryTitle", b."startYear", r."averageRating", r."numVotes
 FROM basics b JOIN ratings r ON b.tconst = r.tconst
 WHERE b."titleType" = 'movie' AND b."startYear" IS NOT NULL AND r."averageRating" > 7.0"""
 
+BODIES["dated_high_rated_in_language"] = BODIES["dated_high_rated"] + """
+  AND b.tconst IN (SELECT "titleId" FROM akas WHERE language = 'en')"""
+
 _BEST_DECADE = f"""
 WITH {DIRECTORS},
 s AS (SELECT d.director, CAST(FLOOR(b."startYear" / 10) * 10 AS INTEGER) AS decade,

@@ -40,6 +40,8 @@ register("long_film_rank")(lambda c: titles.long_film_rank(c.basics, c.ratings))
 register("acclaimed_popular")(lambda c: titles.acclaimed_popular(c.basics, c.ratings))
 register("genre_mean_rating")(lambda c: titles.genre_mean_rating(c.basics, c.ratings))
 register("dated_high_rated")(lambda c: titles.dated_high_rated(c.basics, c.ratings))
+register("dated_high_rated_in_language")(
+    lambda c: titles.dated_high_rated(c.basics, c.ratings, akas=c.akas, language="en"))
 register("high_rated_documentaries")(
     lambda c: titles.high_rated_in_genre(c.basics, c.ratings))
 register("documentaries_sorted")(
