@@ -56,6 +56,13 @@ def materialize(table: DataFrame) -> DataFrame:
     return table.persist(StorageLevel.MEMORY_AND_DISK)
 
 
+def fits_broadcast(spark, rows: int, width: int, max_rows: int | None = None) -> bool:
+    """True when ``rows`` x ``width`` bytes fits Spark's broadcast threshold."""
+    budget = broadcast_budget(spark)
+    ok = budget >= 0 and rows * width <= budget
+    return ok and (max_rows is None or rows <= max_rows)
+
+
 def attach_small(table: DataFrame, max_rows: int | None = None) -> DataFrame:
     """Broadcast ``table`` only after checking its size.
 
@@ -67,14 +74,10 @@ def attach_small(table: DataFrame, max_rows: int | None = None) -> DataFrame:
     given); otherwise the checkpointed table joins by shuffle, where AQE can
     still split skewed partitions.
     """
-    spark = table.sparkSession
     kept = materialize(table)
     n = kept.count()
-    budget = broadcast_budget(spark)
-    fits = budget >= 0 and n * row_width(kept) <= budget
-    if max_rows is not None:
-        fits = fits and n <= max_rows
-    return F.broadcast(kept) if fits else kept
+    return F.broadcast(kept) if fits_broadcast(kept.sparkSession, n, row_width(kept),
+                                               max_rows) else kept
 
 
 def having(df: DataFrame, *conditions: Column) -> DataFrame:

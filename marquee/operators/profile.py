@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marquee.functions.exprs import int_mean, mean_rating
+from marquee.operators.agg import materialize
+from marquee.operators.prefix import prefix_sums
 
 SUMMARY_STATS = ("count", "mean", "stddev", "min", "25%", "50%", "75%", "max")
 DESCRIBE_STATS = ("count", "mean", "stddev", "min", "max")
@@ -82,17 +84,20 @@ def _summarize_stacked(stacked: DataFrame, names: DataFrame, keys: Sequence[str]
     so they are broadcast.
     """
     keys = list(keys)
-    vt = (stacked.where(F.col("value").isNotNull())
-          .groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("n")))
+    vt = materialize(stacked.where(F.col("value").isNotNull())
+                     .groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("n")))
+    vt_rows = vt.count()
     totals = vt.groupBy(*keys).agg(
         F.sum("n").alias("_N"), F.sum(F.col("value") * F.col("n")).alias("_S"),
         F.min("value").alias("_min"), F.max("value").alias("_max"))
     totals = names.join(F.broadcast(totals), keys, "left")
     mean = F.try_divide(F.col("_S"), F.col("_N"))
     with_mean = vt.join(F.broadcast(totals.select(*keys, "_N", mean.alias("_mean"))), keys)
-    w = (Window.partitionBy(*keys).orderBy("value")
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    per = (with_mean.withColumn("_share", F.sum("n").over(w) / F.col("_N"))
+    # Cumulative counts along the value order: prefix sums over range blocks,
+    # so a column with very many distinct values is not one window task.
+    cum = prefix_sums(with_mean, keys, [F.col("value").asc()], {"_cum": F.col("n")},
+                      rows=vt_rows)
+    per = (cum.withColumn("_share", F.col("_cum") / F.col("_N"))
            .groupBy(*keys).agg(
                F.sum(F.col("n") * (F.col("value") - F.col("_mean")) ** 2).alias("_ss"),
                *[F.min(F.when(F.col("_share") >= p, F.col("value"))).alias(f"_p{int(p * 100)}")

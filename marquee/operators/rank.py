@@ -19,8 +19,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marquee.operators.agg import attach_small, broadcast_budget, materialize, row_width
-from marquee.session import shuffle_partitions
+from marquee.operators.agg import fits_broadcast, materialize, row_width
+from marquee.operators.prefix import prefix_sums
 
 Order = Sequence[Column]
 
@@ -38,14 +38,19 @@ def value_ranks(df: DataFrame, groups: Sequence[str], value: str, *,
 
 
 def _rank_counts(counts: DataFrame, groups: Sequence[str], value: str,
-                 descending: bool) -> DataFrame:
-    w = Window.partitionBy(*groups).orderBy(_ordered(value, descending))
-    before = F.coalesce(
-        F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    return counts.select(
+                 descending: bool, rows: int | None = None) -> DataFrame:
+    """Ranks from a (groups, value, _n) table unique in (groups, value).
+
+    rank = 1 + rows with a better value; dense rank = 1 + better values.
+    Both are prefix sums, computed over range blocks (no per-group window).
+    """
+    sums = prefix_sums(counts, groups, [_ordered(value, descending)],
+                       {"_rows_before": F.col("_n"), "_values_before": F.lit(1)},
+                       inclusive=False, rows=rows)
+    return sums.select(
         *groups, value,
-        (before + 1).cast("bigint").alias("_rank"),
-        F.row_number().over(w).cast("bigint").alias("_dense_rank"),
+        (F.col("_rows_before") + 1).cast("bigint").alias("_rank"),
+        (F.col("_values_before") + 1).cast("bigint").alias("_dense_rank"),
         "_n")
 
 
@@ -64,61 +69,38 @@ def rank_within(df: DataFrame, groups: Sequence[str], value: str, out: str, *,
 
     Equal to ``(dense_)rank().over(partitionBy(groups).orderBy(value))``. The
     (groups, value, count) table is built with a partial aggregate and
-    checkpointed; the ordering runs on it, and the join back is a broadcast
-    when its checked size allows, else a shuffle join that AQE can split.
+    checkpointed; ranks are prefix sums over it, and the join back is a
+    broadcast when the checked size allows, else a shuffle join that AQE can
+    split.
     """
-    counts = df.groupBy(*groups, value).agg(F.count(F.lit(1)).alias("_n"))
-    kept = attach_small(counts, max_broadcast_rows)
-    ranks = _rank_counts(kept, groups, value, descending)
+    counts = materialize(df.groupBy(*groups, value).agg(F.count(F.lit(1)).alias("_n")))
+    n = counts.count()
     pick = "_dense_rank" if dense else "_rank"
     keys = [*groups, value]
+    ranks = _rank_counts(counts, groups, value, descending, rows=n)
     table = ranks.select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col(pick).alias(out))
+    if fits_broadcast(df.sparkSession, n, row_width(table), max_broadcast_rows):
+        table = F.broadcast(table)
     return _join_back(df, table, keys)
 
 
-def _dense_rank_by_ranges(values: DataFrame, value: str, out: str,
-                          descending: bool) -> DataFrame:
-    """Dense rank of distinct ``values`` without a single-partition window.
-
-    Range partitioning sorts the values across partitions; each partition
-    numbers its rows, and a prefix sum of partition sizes (one row per
-    partition: a proven bound, broadcast) turns local numbers into ranks.
-    """
-    order = _ordered(value, descending)
-    ranged = (values.repartitionByRange(shuffle_partitions(values), order)
-              .withColumn("_pid", F.spark_partition_id()))
-    local = ranged.withColumn(
-        "_i", F.row_number().over(Window.partitionBy("_pid").orderBy(order)))
-    sizes = local.groupBy("_pid").agg(F.count(F.lit(1)).alias("_c"))
-    offsets = sizes.select("_pid", F.coalesce(F.sum("_c").over(
-        Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-        .alias("_off"))
-    return (local.join(F.broadcast(offsets), "_pid")
-            .select(value, (F.col("_off") + F.col("_i")).cast("bigint").alias(out)))
-
-
 def global_dense_rank(df: DataFrame, value: str, out: str, *, descending: bool = True,
                       max_broadcast_rows: int | None = None) -> DataFrame:
     """``dense_rank()`` over the whole frame without a single-task window.
 
     The distinct values are checkpointed and counted. When the rank table fits
     the broadcast size limit they are ranked in one small window and
-    broadcast; beyond it they are ranked by range partitions and joined back
-    by shuffle.
+    broadcast; beyond it they are ranked with prefix sums over range blocks
+    and joined back by shuffle.
     """
-    spark = df.sparkSession
     kept = materialize(df.select(value).distinct())
     n = kept.count()
-    budget = broadcast_budget(spark)
-    # Rank table rows: the value plus a bigint rank.
-    small = budget >= 0 and n * (row_width(kept) + 8) <= budget
-    if max_broadcast_rows is not None:
-        small = small and n <= max_broadcast_rows
-    if small:
+    if fits_broadcast(df.sparkSession, n, row_width(kept) + 8, max_broadcast_rows):
         w = Window.orderBy(_ordered(value, descending))
         table = F.broadcast(kept.select(value, F.row_number().over(w).cast("bigint").alias(out)))
     else:
-        table = _dense_rank_by_ranges(kept, value, out, descending)
+        table = prefix_sums(kept, [], [_ordered(value, descending)], {out: F.lit(1)})
+        table = table.select(value, F.col(out).cast("bigint").alias(out))
     table = table.select(F.col(value).alias(f"_k_{value}"), out)
     return _join_back(df, table, [value])
 

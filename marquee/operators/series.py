@@ -14,18 +14,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marquee.functions.exprs import mean_from_tenths, tenths
-from marquee.session import shuffle_partitions
-
-
-def _null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str],
-                    how: str = "inner") -> DataFrame:
-    r = right.select(*[F.col(k).alias(f"_r_{k}") for k in keys],
-                     *[c for c in right.columns if c not in keys])
-    cond = None
-    for k in keys:
-        term = left[k].eqNullSafe(r[f"_r_{k}"])
-        cond = term if cond is None else cond & term
-    return left.join(r, cond, how).drop(*[f"_r_{k}" for k in keys])
+from marquee.operators.agg import materialize
+from marquee.operators.prefix import null_safe_join, prefix_sums, range_blocks
 
 
 def running_mean_rating(df: DataFrame, key: str, order: Sequence[str], rating: str,
@@ -35,16 +25,15 @@ def running_mean_rating(df: DataFrame, key: str, order: Sequence[str], rating: s
     Same frame as ``avg(rating) OVER (PARTITION BY key ORDER BY order)``: RANGE
     from the start to the current row, so rows with equal positions (peers)
     share one value. Peers are first collapsed to (sum of tenths, count); the
-    cumulative sums then run over one row per position.
+    running sums then run over one row per position, as prefix sums over
+    range blocks, and are joined back to the rows.
     """
-    positions = df.groupBy(key, *order).agg(
-        F.sum(tenths(rating)).alias("_s"), F.count(rating).alias("_n"))
-    w = (Window.partitionBy(key).orderBy(*[F.col(c).asc_nulls_first() for c in order])
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    running = positions.select(
-        key, *order,
-        mean_from_tenths(F.sum("_s").over(w), F.sum("_n").over(w)).alias(out))
-    return _null_safe_join(df, running, [key, *order])
+    positions = materialize(df.groupBy(key, *order).agg(
+        F.sum(tenths(rating)).alias("_s"), F.count(rating).alias("_n")))
+    running = prefix_sums(positions, [key], [F.col(c).asc_nulls_first() for c in order],
+                          {"_cs": F.col("_s"), "_cn": F.col("_n")}, rows=positions.count())
+    running = running.select(key, *order, mean_from_tenths(F.col("_cs"), F.col("_cn")).alias(out))
+    return null_safe_join(df, running, [key, *order])
 
 
 def previous_value(df: DataFrame, key: str, order: Sequence[str], value: str,
@@ -59,10 +48,7 @@ def previous_value(df: DataFrame, key: str, order: Sequence[str], value: str,
     with one row per (key, block).
     """
     spec = [F.col(c).asc_nulls_first() for c in (key, *order)]
-    # An explicit count makes the block ids fixed: AQE does not coalesce a
-    # repartition by number, so both readers of the (reused) exchange agree.
-    ranged = (df.repartitionByRange(shuffle_partitions(df), *spec)
-              .withColumn("_blk", F.spark_partition_id()))
+    ranged = range_blocks(df, spec)
     inner_w = Window.partitionBy(key, "_blk").orderBy(*spec[1:])
     inner = (ranged.withColumn("_pos", F.row_number().over(inner_w))
                    .withColumn("_lag_in", F.lag(value).over(inner_w)))
@@ -70,7 +56,7 @@ def previous_value(df: DataFrame, key: str, order: Sequence[str], value: str,
         F.max_by(F.col(value), F.struct(*order)).alias("_last"))
     carried = last.select(key, "_blk", F.lag("_last").over(
         Window.partitionBy(key).orderBy("_blk")).alias("_carry"))
-    joined = _null_safe_join(inner, carried, [key, "_blk"])
+    joined = null_safe_join(inner, carried, [key, "_blk"])
     return (joined.withColumn(out, F.when(F.col("_pos") == 1, F.col("_carry"))
                               .otherwise(F.col("_lag_in")))
                   .drop("_blk", "_pos", "_lag_in", "_carry"))

@@ -21,7 +21,7 @@ ROWS = st.lists(
     ),
     min_size=1, max_size=60)
 
-SETTINGS = settings(max_examples=12, deadline=None,
+SETTINGS = settings(max_examples=6, deadline=None,
                     suppress_health_check=[HealthCheck.function_scoped_fixture,
                                            HealthCheck.too_slow])
 
@@ -75,13 +75,21 @@ def test_running_mean_equals_window(spark, rows):
     assert as_set(fast, ["id", "m"]) == as_set(plain, ["id", "m"])
 
 
-def test_dense_rank_by_ranges_equals_window(spark):
-    from marquee.operators.rank import _dense_rank_by_ranges
-    df = spark.createDataFrame([(float(v % 37),) for v in range(500)] + [(None,)], "v double")
-    vals = df.distinct()
-    fast = _dense_rank_by_ranges(vals.repartition(5), "v", "d", True)
-    plain = vals.withColumn("d", F.dense_rank().over(Window.orderBy(F.col("v").desc())))
-    assert as_set(fast, ["v", "d"]) == as_set(plain, ["v", "d"])
+@SETTINGS
+@given(rows=ROWS)
+def test_prefix_sums_equal_window(spark, rows):
+    from marquee.operators.prefix import prefix_sums
+    df = frame(spark, rows).withColumn("one", F.lit(1))
+    order = [F.col("y").asc_nulls_first(), F.col("id")]
+    w = Window.partitionBy("g").orderBy(*order)
+    # Integer sums (tenths), as the operators use: exact in any order.
+    plain = (df.withColumn("s", F.coalesce(F.sum(tenths("v")).over(w), F.lit(0)))
+               .withColumn("c", F.sum("one").over(w.rowsBetween(Window.unboundedPreceding, -1))))
+    fast = prefix_sums(df, ["g"], order, {"s": tenths("v")})
+    fast_before = prefix_sums(df, ["g"], order, {"c": F.col("one")}, inclusive=False)
+    assert as_set(fast, ["id", "s"]) == as_set(plain, ["id", "s"])
+    got = {r.id: r.c for r in fast_before.collect()}
+    assert got == {r.id: (r.c or 0) for r in plain.collect()}
 
 
 def test_global_dense_rank_large_path(spark):
@@ -97,3 +105,25 @@ def test_top_k_per_group_keeps_k(spark):
     got = as_set(top, ["g", "v", "rk"])
     assert got == sorted([("a", 5.0, 1), ("hot", 5.9, 1), ("hot", 5.8, 2), ("hot", 5.7, 3)],
                          key=str)
+
+
+def test_large_paths_without_broadcast(spark):
+    """With broadcasts disabled every operator takes its range-block path."""
+    rows = [("hot" if i % 3 else ("a" if i % 2 else None), (i * 7 % 50) / 10 + 1,
+             1990 + i % 4) for i in range(300)]
+    df = frame(spark, rows)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        w = Window.partitionBy("g").orderBy(F.col("v").desc())
+        plain = (df.withColumn("r", F.rank().over(w))
+                   .withColumn("d", F.dense_rank().over(Window.orderBy(F.col("v").desc()))))
+        fast = global_dense_rank(rank_within(df, ["g"], "v", "r"), "v", "d")
+        assert as_set(fast, ["id", "r", "d"]) == as_set(plain, ["id", "r", "d"])
+        wy = Window.partitionBy("g").orderBy(F.col("y").asc_nulls_first())
+        plain_m = df.withColumn(
+            "m", mean_from_tenths(F.sum(tenths("v")).over(wy), F.count("v").over(wy)))
+        fast_m = running_mean_rating(df, "g", ["y"], "v", "m")
+        assert as_set(fast_m, ["id", "m"]) == as_set(plain_m, ["id", "m"])
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
