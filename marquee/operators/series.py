@@ -1,9 +1,10 @@
 """Ordered-series operators: running means, previous values, child counts.
 
 Windows over an open-ended text key (a series or game title) send each key
-to one task. Both operators here do the ordered work on a pre-aggregated
-table with one row per (key, position) instead, and join the result back, so
-a key with very many rows is reduced map-side before any shuffle.
+to one task. The running mean first collapses rows to one per (key,
+position) with a partial aggregate and runs prefix sums over that table; the
+previous value works on range blocks of the rows. Either way a key with a
+third of all rows is split across tasks.
 """
 
 from __future__ import annotations
