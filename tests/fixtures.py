@@ -23,17 +23,23 @@ BASICS = [
     ("tt12", "videoGame", "Game", "Game", False, N, N, N, ["Action"]),
     ("tt13", "tvEpisode", "Show E2b", "Show E2b", False, 2001, N, 30, ["Drama"]),
     ("tt14", "tvSeries", "Empty Show", "Empty Show", False, 2002, N, 40, ["Comedy"]),
+    ("tt15", "tvSeries", "Show", "Show", False, 2010, N, 30, ["Drama"]),   # namesake series
+    ("tt16", "tvEpisode", "Other E1", "Other E1", False, 2011, N, 30, ["Drama"]),
+    ("tt17", "tvEpisode", "Orphan E1", "Orphan E1", False, 2011, N, 30, ["Drama"]),
 ]
 
 RATINGS = [
     ("tt1", 8.5, 6000), ("tt2", 8.5, 7000), ("tt3", 8.5, 5000),
     ("tt5", 7.5, 1500), ("tt6", 8.0, 100), ("tt7", 9.0, 200), ("tt8", 7.0, 300),
     ("tt9", 7.0, 600), ("tt10", 7.5, 600), ("tt11", 7.5, 600), ("tt12", 8.0, 600),
-    ("tt13", 7.0, 50), ("tt14", 6.0, 10),
+    ("tt13", 7.0, 50), ("tt14", 6.0, 10), ("tt15", 6.5, 50), ("tt16", 10.0, 5),
+    ("tt17", 1.0, 5),
 ]
 
 EPISODE = [
     ("tt6", "tt5", 1, 1), ("tt7", "tt5", 1, 2), ("tt13", "tt5", 1, 2), ("tt8", "tt5", N, 1),
+    ("tt16", "tt15", 1, 1),                                 # same series title, other id
+    ("tt17", "tt99", 1, 1),                                 # parent missing from titles
 ]
 
 PRINCIPALS = [
@@ -73,9 +79,9 @@ AKAS = [
 ]
 
 
-def catalogue(spark) -> Catalogue:
+def catalogue(spark, empty: bool = False) -> Catalogue:
     def df(table, rows):
-        return spark.createDataFrame(rows, shaped_schema(table))
+        return spark.createDataFrame([] if empty else rows, shaped_schema(table))
     return Catalogue({
         "basics": df("basics", BASICS), "ratings": df("ratings", RATINGS),
         "episode": df("episode", EPISODE), "principals": df("principals", PRINCIPALS),
