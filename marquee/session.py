@@ -15,6 +15,20 @@ from pyspark.sql import SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
+# Runtime SQL settings the queries rely on (all Spark defaults in 4.x). Memory,
+# executors and the shuffle partition count belong to the cluster.
+RUNTIME_CONFS = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+}
+
+
+def apply_runtime_confs(spark: SparkSession) -> None:
+    """Set the runtime SQL settings above on a session the caller owns."""
+    for k, v in RUNTIME_CONFS.items():
+        spark.conf.set(k, v)
+
 
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
                   app: str = "marquee") -> SparkSession:
