@@ -127,3 +127,16 @@ def test_large_paths_without_broadcast(spark):
         assert as_set(fast_m, ["id", "m"]) == as_set(plain_m, ["id", "m"])
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_hot_key_is_split_across_blocks(spark):
+    """A key with a third of the rows lands in several range blocks."""
+    from marquee.operators.prefix import range_blocks
+    n = 3000
+    df = spark.createDataFrame(
+        [("hot" if i % 3 == 0 else f"k{i % 97}", i) for i in range(n)], "g string, o int")
+    blocks = range_blocks(df, [F.col("g").asc_nulls_first(), F.col("o").asc()])
+    per_block = {r["_blk"]: r["c"] for r in blocks.where(F.col("g") == "hot")
+                 .groupBy("_blk").count().withColumnRenamed("count", "c").collect()}
+    assert len(per_block) >= 2
+    assert max(per_block.values()) < n // 3
