@@ -115,19 +115,21 @@ def principals(spark: SparkSession, sf_dir: str) -> DataFrame:
 def crew(credits: DataFrame) -> DataFrame:
     """Per title: sorted distinct directors and writers, NULL when none.
 
-    A title holds a handful of credit rows, so map-side (partial) set
-    building reduces almost nothing and its object hash map falls back to
-    sorting. The narrow credit rows are hash-partitioned by title instead,
-    and the per-title lists are built after that one shuffle.
+    Both parts pre-aggregate before their shuffle, so a title with a huge
+    number of credit rows is reduced map-side: the set of titles with any
+    credit is a partial count, and the lists are partial sets built from the
+    director and writer rows only. The two per-title tables join one to one.
     """
     def role(r: str) -> Column:
         s = F.array_sort(F.collect_set(F.when(F.col("category") == r, F.col("nconst"))))
         return F.when(F.size(s) > 0, s)
 
+    titles = credits.groupBy("tconst").agg(F.count(F.lit(1)).alias("_c")).select("tconst")
+    lists = (credits.where(F.col("category").isin("director", "writer"))
+             .groupBy("tconst")
+             .agg(role("director").alias("directors"), role("writer").alias("writers")))
     # Titles with credits but no director or writer keep a row of NULLs.
-    return (credits.select("tconst", "category", "nconst").repartition("tconst")
-            .groupBy("tconst")
-            .agg(role("director").alias("directors"), role("writer").alias("writers")))
+    return titles.join(lists, "tconst", "left")
 
 
 def name(spark: SparkSession, sf_dir: str, credits: DataFrame) -> DataFrame:
