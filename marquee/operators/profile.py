@@ -37,6 +37,11 @@ def dataset_info(tables: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
+def preview(df: DataFrame, n: int = 5) -> DataFrame:
+    """The first ``n`` rows shown when a table is profiled (a display limit)."""
+    return df.limit(n)
+
+
 def schema_rows(tables: dict[str, DataFrame]) -> list[tuple[str, int, str, str]]:
     """(table, position, column, type) from the schemas: metadata, no job."""
     return [(name, i, f.name, f.dataType.simpleString())

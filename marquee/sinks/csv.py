@@ -36,7 +36,8 @@ def estimate_files(rows: int, columns: int, target_mb: int = TARGET_FILE_MB) ->
 
 def export_csv(df: DataFrame, path: str, *, partition_column: str | None = None,
                num_partitions: int | None = None, single_file: bool = False,
-               order: Sequence[Column] | None = None, mode: str = "overwrite") -> ExportReport:
+               order: Sequence[Column] | None = None, mode: str = "overwrite",
+               rows_hint: int | None = None) -> ExportReport:
     """Write ``df`` as header CSV and report its path and row count.
 
     * ``partition_column`` (K3): Hive-style folders, used only when the column
@@ -44,8 +45,11 @@ def export_csv(df: DataFrame, path: str, *, partition_column: str | None = None,
     * ``num_partitions`` (K2): that many output files (hash repartition).
     * ``single_file`` (K6): one file; the upstream plan stays parallel and
       rows are sorted inside that file when ``order`` is given.
-    * otherwise (K1): a rebalance lets AQE size the files from the real
-      shuffle sizes (no extra counting job).
+    * otherwise (K1): with ``rows_hint`` (a row count the caller already
+      has) the file count follows rows x columns x 100 B per 128 MB;
+      without it a rebalance lets AQE size the files from the real shuffle
+      sizes, so no extra counting job runs. ``single_file`` is meant for
+      bounded results (one writer task).
     """
     out = stringify_arrays(df)
     obs = Observation("export")
@@ -62,6 +66,9 @@ def export_csv(df: DataFrame, path: str, *, partition_column: str | None = None,
     elif num_partitions and num_partitions > 0:
         writer_df = out.repartition(num_partitions)
         hint = num_partitions
+    elif rows_hint is not None:
+        hint = estimate_files(rows_hint, len(out.columns))
+        writer_df = out.repartition(hint)
     else:
         writer_df = out.hint("rebalance")
     writer = writer_df.write.mode(mode).option("header", "true")

@@ -110,3 +110,13 @@ def test_arrays_become_strings(spark):
 def test_estimate_files_rule():
     assert sinks.estimate_files(0, 5) == 1
     assert sinks.estimate_files(10_000_000, 30) == int(10_000_000 * 30 * 100 / 2**20 / 128)
+
+
+def test_export_with_row_hint(spark, tmp_path):
+    cat = fixtures.catalogue(spark)
+    df = titles.rank_in_genre(cat.basics, cat.ratings)
+    path = str(tmp_path / "k1")
+    rep = sinks.export_csv(df, path, rows_hint=df.count())
+    assert rep.files_hint == 1 and rep.rows == df.count()
+    back = sinks.read_back(spark, path, sinks.csv_schema(df))
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, df.collect()))
