@@ -7,8 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-ACTING = ("actor", "actress")
-
 
 def credits_in(principals: DataFrame, categories: Sequence[str]) -> DataFrame:
     """(tconst, nconst) credit rows whose category is one of ``categories``."""

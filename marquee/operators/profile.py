@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from marquee.fixed import VIDEO_GAME
 from marquee.functions.exprs import int_mean, mean_rating
 from marquee.operators.agg import materialize
 from marquee.operators.prefix import prefix_sums
@@ -233,7 +234,7 @@ def title_type_profile(basics: DataFrame) -> DataFrame:
 
 
 def subset_means(basics: DataFrame, ratings: DataFrame, *,
-                 title_type: str = "videoGame") -> DataFrame:
+                 title_type: str = VIDEO_GAME) -> DataFrame:
     """Mean rating and mean votes over rated titles of one type; one row."""
     rows = basics.where(F.col("titleType") == title_type).select("tconst").join(ratings, "tconst")
     return rows.agg(mean_rating("averageRating").alias("avg_rating"),

@@ -11,9 +11,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from marquee.fixed import (ACTING, ACTOR, DIRECTOR, LATIN_NAME, MOVIE, PERSON, THRILLER,
+                           TV_EPISODE, VIDEO_GAME)
 from marquee.functions.exprs import decade, mean_rating
-from marquee.operators.bridge import (ACTING, credits_in, crew_people, directors_of,
-                                      person_ids)
+from marquee.operators.bridge import credits_in, crew_people, directors_of, person_ids
 from marquee.operators.agg import attach_small, materialize
 from marquee.operators.rank import (best_per_group, global_dense_rank, rank_within, top_k,
                                     top_k_per_group)
@@ -22,7 +23,7 @@ R, V = "averageRating", "numVotes"
 
 
 def actors_in_acclaimed(basics: DataFrame, ratings: DataFrame, principals: DataFrame,
-                        name: DataFrame, *, title_type: str = "movie",
+                        name: DataFrame, *, title_type: str = MOVIE,
                         min_rating: float = 8.2, min_known: int = 3) -> DataFrame:
     """Actors with >= ``min_known`` known titles: distinct acclaimed titles played in."""
     acclaimed = (basics.where(F.col("titleType") == title_type).select("tconst")
@@ -35,7 +36,7 @@ def actors_in_acclaimed(basics: DataFrame, ratings: DataFrame, principals: DataF
             .orderBy(F.col("movies_starred_in").desc(), "nconst"))
 
 
-def busiest_actors(principals: DataFrame, name: DataFrame, *, category: str = "actor",
+def busiest_actors(principals: DataFrame, name: DataFrame, *, category: str = ACTOR,
                    min_credits: int = 10, k: int = 3) -> DataFrame:
     """The k people with most credit rows in a category (>= ``min_credits``).
 
@@ -51,7 +52,7 @@ def busiest_actors(principals: DataFrame, name: DataFrame, *, category: str = "a
 
 
 def actors_in_hits(principals: DataFrame, ratings: DataFrame, name: DataFrame, *,
-                   category: str = "actor", min_rating: float = 8.0, min_votes: int = 1000,
+                   category: str = ACTOR, min_rating: float = 8.0, min_votes: int = 1000,
                    k: int = 10) -> DataFrame:
     """The k people with most credits in well-rated popular titles, then names."""
     hits = ratings.where((F.col(R) > min_rating) & (F.col(V) > min_votes)).select("tconst")
@@ -64,7 +65,7 @@ def actors_in_hits(principals: DataFrame, ratings: DataFrame, name: DataFrame, *
 
 
 def games_per_director(basics: DataFrame, crew: DataFrame, name: DataFrame, *,
-                       title_type: str = "videoGame") -> DataFrame:
+                       title_type: str = VIDEO_GAME) -> DataFrame:
     """Titles of a type per director *name* (namesakes add up)."""
     games = basics.where(F.col("titleType") == title_type).select("tconst")
     per_id = (directors_of(crew).join(games, "tconst", "left_semi")
@@ -75,7 +76,7 @@ def games_per_director(basics: DataFrame, crew: DataFrame, name: DataFrame, *,
 
 
 def titles_of_person(name: DataFrame, crew: DataFrame, basics: DataFrame, ratings: DataFrame,
-                     *, person: str = "Randall Ryan", min_rating: float = 6.5,
+                     *, person: str = PERSON, min_rating: float = 6.5,
                      min_votes: int = 200) -> DataFrame:
     """Well-rated titles that a named person directed or wrote.
 
@@ -101,7 +102,7 @@ def _director_ratings(basics: DataFrame, ratings: DataFrame, crew: DataFrame, *,
 
 
 def best_decade(basics: DataFrame, ratings: DataFrame, crew: DataFrame, name: DataFrame, *,
-                title_type: str = "movie", min_decades: int = 1) -> DataFrame:
+                title_type: str = MOVIE, min_decades: int = 1) -> DataFrame:
     """Each director's decade with the best mean rating (ties: earlier decade).
 
     With ``min_decades`` = 2 only directors active in several decades remain.
@@ -122,7 +123,7 @@ def best_decade(basics: DataFrame, ratings: DataFrame, crew: DataFrame, name: Da
 
 
 def genre_directors(basics: DataFrame, ratings: DataFrame, crew: DataFrame, name: DataFrame,
-                    *, genre: str = "Thriller", min_films: int = 5,
+                    *, genre: str = THRILLER, min_films: int = 5,
                     min_avg: float = 7.0) -> DataFrame:
     """Directors of dated titles in a genre with enough titles and a high mean."""
     titles = basics.where(F.array_contains("genres", genre))
@@ -137,7 +138,7 @@ def genre_directors(basics: DataFrame, ratings: DataFrame, crew: DataFrame, name
 
 
 def actor_directors(principals: DataFrame, crew: DataFrame, name: DataFrame, *,
-                    pattern: str = "^[A-Za-z .'-]+$", order_by_name: bool = False) -> DataFrame:
+                    pattern: str = LATIN_NAME, order_by_name: bool = False) -> DataFrame:
     """People credited as actor/actress who are also listed as directors."""
     actors = credits_in(principals, ACTING).select("nconst").distinct()
     directors = directors_of(crew).select(F.col("director").alias("nconst")).distinct()
@@ -151,7 +152,7 @@ def actor_directors(principals: DataFrame, crew: DataFrame, name: DataFrame, *,
 
 
 def versatile_directors(basics: DataFrame, ratings: DataFrame, crew: DataFrame,
-                        name: DataFrame | None, *, title_type: str = "movie",
+                        name: DataFrame | None, *, title_type: str = MOVIE,
                         min_genres: int = 3, min_avg: float = 7.5) -> DataFrame:
     """Directors working in >= ``min_genres`` genres with mean rating > ``min_avg``.
 
@@ -174,7 +175,7 @@ def versatile_directors(basics: DataFrame, ratings: DataFrame, crew: DataFrame,
 
 
 def director_leaderboard(basics: DataFrame, crew: DataFrame, ratings: DataFrame,
-                         name: DataFrame, *, title_type: str = "movie", min_votes: int = 1000,
+                         name: DataFrame, *, title_type: str = MOVIE, min_votes: int = 1000,
                          min_movies: int = 10, name_join: str = "inner") -> DataFrame:
     """Directors (by name text) with >= ``min_movies`` titles, dense-ranked by mean.
 
@@ -196,12 +197,12 @@ def director_leaderboard(basics: DataFrame, crew: DataFrame, ratings: DataFrame,
     # One row per director name, read by the rank lookup and the join back.
     ranked = global_dense_rank(materialize(stats), "avg_rating", "rank")
     return (ranked.select("director", "movie_count", "avg_rating", "rank",
-                          F.lit("director").alias("role"))
+                          F.lit(DIRECTOR).alias("role"))
             .orderBy("rank", "director"))
 
 
 def actors_by_genre(basics: DataFrame, principals: DataFrame, ratings: DataFrame,
-                    name: DataFrame, *, title_type: str = "movie", min_votes: int = 1000,
+                    name: DataFrame, *, title_type: str = MOVIE, min_votes: int = 1000,
                     min_movies: int = 10, high_rating: float = 7.0) -> DataFrame:
     """Per genre, actors/actresses (by name) ranked by their count of high-rated rows.
 
@@ -231,14 +232,14 @@ def actors_by_genre(basics: DataFrame, principals: DataFrame, ratings: DataFrame
 
 
 def top_directors_per_genre(basics: DataFrame, principals: DataFrame, name: DataFrame,
-                            ratings: DataFrame, *, title_type: str = "movie",
+                            ratings: DataFrame, *, title_type: str = MOVIE,
                             min_votes: int = 1000, min_count: int = 10,
                             k: int = 5) -> DataFrame:
     """Per genre, the k best director names (credited as director) by mean rating."""
     titles = (basics.where((F.col("titleType") == title_type) & F.col("genres").isNotNull())
               .select("tconst", "genres")
               .join(ratings.where(F.col(V) >= min_votes).select("tconst", R), "tconst"))
-    rows = (credits_in(principals, ["director"]).join(titles, "tconst")
+    rows = (credits_in(principals, [DIRECTOR]).join(titles, "tconst")
             .join(name.select("nconst", F.col("primaryName").alias("director_name")), "nconst")
             .select("director_name", R, F.explode("genres").alias("genre")))
     stats = (rows.groupBy("genre", "director_name")
@@ -252,8 +253,8 @@ def top_directors_per_genre(basics: DataFrame, principals: DataFrame, name: Data
 
 
 def actors_in_best_episodes(basics: DataFrame, principals: DataFrame, ratings: DataFrame,
-                            name: DataFrame, *, title_type: str = "tvEpisode",
-                            category: str = "actor") -> DataFrame:
+                            name: DataFrame, *, title_type: str = TV_EPISODE,
+                            category: str = ACTOR) -> DataFrame:
     """Actors (by name) in the top-rated episodes of each year (all ties kept).
 
     ``dense_rank() = 1`` per year is the same as "rating equals the year's

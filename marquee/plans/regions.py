@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from marquee.fixed import MOVIE, TV_SERIES, UNDETERMINED, VIDEO_GAME
 from marquee.functions.exprs import int_mean, mean_from_tenths, mean_rating, tenths
 from marquee.operators.rank import top_k, top_k_per_group
 
@@ -12,7 +13,7 @@ R, V = "averageRating", "numVotes"
 
 
 def top_series_per_region(basics: DataFrame, ratings: DataFrame, akas: DataFrame, *,
-                          title_type: str = "tvSeries", min_rating: float = 7.0,
+                          title_type: str = TV_SERIES, min_rating: float = 7.0,
                           min_votes: int = 1000, k: int = 3) -> DataFrame:
     """Per region, the k best rated titles of a type (row_number, partial limit).
 
@@ -32,7 +33,7 @@ def top_series_per_region(basics: DataFrame, ratings: DataFrame, akas: DataFrame
 
 
 def most_localized(basics: DataFrame, akas: DataFrame, *,
-                   title_type: str = "videoGame", skip_language: str = "und") -> DataFrame:
+                   title_type: str = VIDEO_GAME, skip_language: str = UNDETERMINED) -> DataFrame:
     """Distinct regions per title text among localised rows.
 
     ``language <> 'und'`` also drops rows with no language; a NULL region is
@@ -47,7 +48,7 @@ def most_localized(basics: DataFrame, akas: DataFrame, *,
 
 
 def genres_by_region(basics: DataFrame, akas: DataFrame, ratings: DataFrame, *,
-                     title_type: str = "movie", min_votes: int | None = None) -> DataFrame:
+                     title_type: str = MOVIE, min_votes: int | None = None) -> DataFrame:
     """Per (region, genre): distinct titles, mean rating, dense rank in region.
 
     The mean counts a title once per localised row it has in the region. The
@@ -75,7 +76,7 @@ def genres_by_region(basics: DataFrame, akas: DataFrame, ratings: DataFrame, *,
             .orderBy("region", "rank", "genre"))
 
 
-def genre_trend_by_year(basics: DataFrame, ratings: DataFrame, *, title_type: str = "movie",
+def genre_trend_by_year(basics: DataFrame, ratings: DataFrame, *, title_type: str = MOVIE,
                         min_votes: int | None = None) -> DataFrame:
     """Per (year, genre): count, mean rating, mean votes, dense rank in year."""
     rated = ratings.where(F.col(R).isNotNull())
@@ -93,7 +94,7 @@ def genre_trend_by_year(basics: DataFrame, ratings: DataFrame, *, title_type: st
             .orderBy(F.col("startYear").desc(), "rank", "genre"))
 
 
-def trend_of_top_genres(basics: DataFrame, ratings: DataFrame, *, title_type: str = "movie",
+def trend_of_top_genres(basics: DataFrame, ratings: DataFrame, *, title_type: str = MOVIE,
                         k: int = 20) -> DataFrame:
     """Year series of counts for the k genres with the largest total count."""
     trend = genre_trend_by_year(basics, ratings, title_type=title_type)

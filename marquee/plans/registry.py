@@ -11,6 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from marquee.fixed import VIDEO_GAME
 from marquee.plans import ingest, people, profiling, regions, series, titles
 from marquee.sources.catalogue import Catalogue
 from marquee.sources.star import star_catalogue
@@ -80,7 +81,7 @@ register("versatile_directors")(
     lambda c: people.versatile_directors(c.basics, c.ratings, c.crew, c.name))
 register("versatile_game_directors")(
     lambda c: people.versatile_directors(c.basics, c.ratings, c.crew, None,
-                                         title_type="videoGame"))
+                                         title_type=VIDEO_GAME))
 register("director_leaderboard")(
     lambda c: people.director_leaderboard(c.basics, c.crew, c.ratings, c.name))
 register("director_leaderboard_left")(

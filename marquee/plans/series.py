@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from marquee.fixed import TV_EPISODE, VIDEO_GAME
 from marquee.operators.series import (child_counts, previous_value, rounded_growth,
                                       running_mean_rating)
 
@@ -19,7 +20,7 @@ def series_running_mean(basics: DataFrame, ratings: DataFrame, episode: DataFram
     share one running mean (the question's grouping); ``by='parent'`` uses
     the series id instead.
     """
-    eps = (basics.where(F.col("titleType") == "tvEpisode").select("tconst")
+    eps = (basics.where(F.col("titleType") == TV_EPISODE).select("tconst")
            .join(ratings.select("tconst", R), "tconst")
            .join(episode.select("tconst", "parentTconst", "seasonNumber", "episodeNumber"),
                  "tconst"))
@@ -52,7 +53,7 @@ def episodes_per_title(basics: DataFrame, episode: DataFrame, ratings: DataFrame
             .orderBy(F.col("num_episodes").desc(), "primaryTitle", R))
 
 
-def rating_growth(basics: DataFrame, ratings: DataFrame, *, title_type: str = "videoGame",
+def rating_growth(basics: DataFrame, ratings: DataFrame, *, title_type: str = VIDEO_GAME,
                   min_votes: int = 500) -> DataFrame:
     """Rating rise over the previous release with the same title text.
 

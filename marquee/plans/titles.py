@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from marquee.fixed import (COMEDY, CURRENT_YEAR, DOCUMENTARY, MOVIE, ROMANCE, TITLE_WORD,
+                           TV_EPISODE, UKRAINE_REGION, UKRAINIAN, VIDEO_GAME)
 from marquee.functions.exprs import (combo_key, has_all, int_mean, mean_rating,
                                      stringify)
 from marquee.operators.rank import (best_per_group, global_dense_rank, rank_within,
@@ -22,7 +24,7 @@ def of_type(basics: DataFrame, title_type: str) -> DataFrame:
     return basics.where(F.col("titleType") == title_type)
 
 
-def recent_top_rated(basics: DataFrame, ratings: DataFrame, *, title_type: str = "movie",
+def recent_top_rated(basics: DataFrame, ratings: DataFrame, *, title_type: str = MOVIE,
                      min_votes: int = 5000, after_year: int = 2000, k: int = 10) -> DataFrame:
     """Best rated titles of a type released after a year, with enough votes."""
     rows = (of_type(basics, title_type).where(F.col("startYear") > after_year)
@@ -66,12 +68,12 @@ def rank_in_genre(basics: DataFrame, ratings: DataFrame, *, min_votes: int = 100
             .orderBy("genre", "rank_within_genre", "tconst"))
 
 
-def titles_in_language(akas: DataFrame, *, language: str = "uk") -> DataFrame:
+def titles_in_language(akas: DataFrame, *, language: str = UKRAINIAN) -> DataFrame:
     """Localised titles in one language (duplicates kept)."""
     return akas.where(F.col("language") == language).select("titleId", "title")
 
 
-def long_film_rank(basics: DataFrame, ratings: DataFrame, *, title_type: str = "movie",
+def long_film_rank(basics: DataFrame, ratings: DataFrame, *, title_type: str = MOVIE,
                    min_runtime: int = 120) -> DataFrame:
     """Long titles with their dense rank by rating over the whole set."""
     rows = (of_type(basics, title_type).where(F.col("runtimeMinutes") > min_runtime)
@@ -81,7 +83,7 @@ def long_film_rank(basics: DataFrame, ratings: DataFrame, *, title_type: str = "
             .orderBy("rank_among_long", "primaryTitle", "runtimeMinutes"))
 
 
-def acclaimed_popular(basics: DataFrame, ratings: DataFrame, *, title_type: str = "movie",
+def acclaimed_popular(basics: DataFrame, ratings: DataFrame, *, title_type: str = MOVIE,
                       min_rating: float = 8.0, min_votes: int = 10000) -> DataFrame:
     """Titles rated above ``min_rating`` with more than ``min_votes`` votes."""
     good = ratings.where((F.col(R) > min_rating) & (F.col(V) > min_votes))
@@ -90,7 +92,7 @@ def acclaimed_popular(basics: DataFrame, ratings: DataFrame, *, title_type: str
 
 
 def genre_mean_rating(basics: DataFrame, ratings: DataFrame, *,
-                      title_type: str = "movie") -> DataFrame:
+                      title_type: str = MOVIE) -> DataFrame:
     """Number of rated titles and mean rating per genre for one title type."""
     rows = (of_type(basics, title_type).select("tconst", F.explode("genres").alias("genre"))
             .join(ratings, "tconst"))
@@ -99,7 +101,7 @@ def genre_mean_rating(basics: DataFrame, ratings: DataFrame, *,
             .orderBy(F.col("avg_rating").desc(), "genre"))
 
 
-def dated_high_rated(basics: DataFrame, ratings: DataFrame, *, title_type: str = "movie",
+def dated_high_rated(basics: DataFrame, ratings: DataFrame, *, title_type: str = MOVIE,
                      min_rating: float = 7.0, akas: DataFrame | None = None,
                      language: str | None = None) -> DataFrame:
     """Dated titles rated above ``min_rating``.
@@ -119,8 +121,8 @@ def dated_high_rated(basics: DataFrame, ratings: DataFrame, *, title_type: str =
     return rows.select("tconst", "primaryTitle", "startYear", R, V)
 
 
-def high_rated_in_genre(basics: DataFrame, ratings: DataFrame, *, genre: str = "Documentary",
-                        title_type: str = "movie", min_rating: float = 7.5,
+def high_rated_in_genre(basics: DataFrame, ratings: DataFrame, *, genre: str = DOCUMENTARY,
+                        title_type: str = MOVIE, min_rating: float = 7.5,
                         order_by_rating: bool = False) -> DataFrame:
     """Titles of a type in one genre rated above ``min_rating``."""
     rows = (of_type(basics, title_type).where(F.array_contains("genres", genre))
@@ -131,7 +133,7 @@ def high_rated_in_genre(basics: DataFrame, ratings: DataFrame, *, genre: str = "
     return rows
 
 
-def longest_per_genre(basics: DataFrame, *, title_type: str = "movie") -> DataFrame:
+def longest_per_genre(basics: DataFrame, *, title_type: str = MOVIE) -> DataFrame:
     """The longest title of each genre (ties: lowest title id)."""
     rows = (of_type(basics, title_type)
             .where(F.col("runtimeMinutes").isNotNull() & F.col("genres").isNotNull())
@@ -141,7 +143,7 @@ def longest_per_genre(basics: DataFrame, *, title_type: str = "movie") -> DataFr
     return best.select("genre", "primaryTitle", "runtimeMinutes").orderBy("genre")
 
 
-def genre_combinations(basics: DataFrame, ratings: DataFrame, *, title_type: str = "movie",
+def genre_combinations(basics: DataFrame, ratings: DataFrame, *, title_type: str = MOVIE,
                        min_votes: int | None = None) -> DataFrame:
     """Per sorted genre combination (two or more genres): count, mean, last year."""
     rated = ratings.where(F.col(R).isNotNull())
@@ -157,8 +159,8 @@ def genre_combinations(basics: DataFrame, ratings: DataFrame, *, title_type: str
                      F.col("avg_rating").desc(), "genre_combo"))
 
 
-def title_keyword(basics: DataFrame, ratings: DataFrame, *, needle: str = "Ukraine",
-                  title_types: tuple[str, ...] = ("videoGame", "tvEpisode"),
+def title_keyword(basics: DataFrame, ratings: DataFrame, *, needle: str = TITLE_WORD,
+                  title_types: tuple[str, ...] = (VIDEO_GAME, TV_EPISODE),
                   min_rating: float = 7.5, min_votes: int = 20) -> DataFrame:
     """Titles of the given types whose primary or original title has ``needle``.
 
@@ -175,8 +177,8 @@ def title_keyword(basics: DataFrame, ratings: DataFrame, *, needle: str = "Ukrai
             .orderBy(F.col(R).desc(), F.col(V).desc(), "originalTitle"))
 
 
-def recent_genre_counts(basics: DataFrame, *, title_type: str = "videoGame",
-                        current_year: int = 2025, years: int = 5, k: int = 20) -> DataFrame:
+def recent_genre_counts(basics: DataFrame, *, title_type: str = VIDEO_GAME,
+                        current_year: int = CURRENT_YEAR, years: int = 5, k: int = 20) -> DataFrame:
     """Genres of recent titles: count and the most frequent title (top k).
 
     The most frequent title is the mode of primaryTitle within the genre
@@ -196,7 +198,7 @@ def recent_genre_counts(basics: DataFrame, *, title_type: str = "videoGame",
         "genre", "count", "mostFrequentTitle")
 
 
-def recent_popular(basics: DataFrame, ratings: DataFrame, *, title_type: str = "videoGame",
+def recent_popular(basics: DataFrame, ratings: DataFrame, *, title_type: str = VIDEO_GAME,
                    from_year: int = 2015, min_rating: float = 7.5,
                    min_votes: int = 10000) -> DataFrame:
     good = ratings.where((F.col(R) >= min_rating) & (F.col(V) >= min_votes))
@@ -207,7 +209,7 @@ def recent_popular(basics: DataFrame, ratings: DataFrame, *, title_type: str = "
 
 
 def localized_genre_pair(basics: DataFrame, akas: DataFrame, ratings: DataFrame, *,
-                         genres: tuple[str, ...] = ("Romance", "Comedy"), region: str = "UA",
+                         genres: tuple[str, ...] = (ROMANCE, COMEDY), region: str = UKRAINE_REGION,
                          min_rating: float = 7.0, min_votes: int = 1000) -> DataFrame:
     """Titles in all of ``genres`` with a non-original title in ``region``."""
     titles = (basics.where(has_all("genres", *genres))
