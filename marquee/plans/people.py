@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from marquee.fixed import (ACTING, ACTOR, DIRECTOR, LATIN_NAME, MOVIE, PERSON, THRILLER,
                            TV_EPISODE, VIDEO_GAME)
-from marquee.functions.exprs import decade, mean_rating
+from marquee.functions.exprs import decade, mean_from_tenths, mean_rating, tenths
 from marquee.operators.bridge import credits_in, crew_people, directors_of, person_ids
 from marquee.operators.agg import attach_small, materialize
 from marquee.operators.rank import (best_per_group, global_dense_rank, rank_within, top_k,
@@ -186,13 +186,12 @@ def director_leaderboard(basics: DataFrame, crew: DataFrame, ratings: DataFrame,
     rows = (directors_of(crew).join(titles, "tconst", "left_semi")
             .join(ratings.where((F.col(V) >= min_votes) & F.col(R).isNotNull()), "tconst"))
     per_id = rows.groupBy("director").agg(
-        F.count(F.lit(1)).alias("_n"), F.sum(F.round(F.col(R) * 10).cast("bigint")).alias("_s"))
+        F.count(F.lit(1)).alias("_n"), F.sum(tenths(R)).alias("_s"))
     people = name.select(F.col("nconst").alias("director"), "primaryName")
     named = per_id.join(people, "director", name_join)
     stats = (named.groupBy(F.col("primaryName").alias("director"))
              .agg(F.sum("_n").cast("bigint").alias("movie_count"),
-                  (F.try_divide(F.sum("_s").cast("double"), F.sum("_n")) / F.lit(10.0))
-                  .alias("avg_rating"))
+                  mean_from_tenths(F.sum("_s"), F.sum("_n")).alias("avg_rating"))
              .where(F.col("movie_count") >= min_movies))
     # One row per director name, read by the rank lookup and the join back.
     ranked = global_dense_rank(materialize(stats), "avg_rating", "rank")
