@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -51,9 +51,22 @@ def row_width(df: DataFrame) -> int:
 def materialize(table: DataFrame) -> DataFrame:
     """Cut the lineage of a small derived table: a reliable checkpoint in the
     shared checkpoint folder, or (Connect session without one) a persist."""
+    return materialize_counted(table)[0]
+
+
+def materialize_counted(table: DataFrame) -> tuple[DataFrame, int]:
+    """:func:`materialize` plus the row count, observed in the same job.
+
+    The count rides on the checkpoint job as an observed metric at the root
+    of the plan (the result stage, where Spark applies each task's metrics
+    once), so no second job is needed to size the table.
+    """
     if ensure_checkpoint_dir(table.sparkSession):
-        return table.checkpoint(eager=True)
-    return table.persist(StorageLevel.MEMORY_AND_DISK)
+        seen = Observation()
+        kept = table.observe(seen, F.count(F.lit(1)).alias("rows")).checkpoint(eager=True)
+        return kept, int(seen.get.get("rows", 0))
+    kept = table.persist(StorageLevel.MEMORY_AND_DISK)
+    return kept, kept.count()
 
 
 def fits_broadcast(spark, rows: int, width: int, max_rows: int | None = None) -> bool:
@@ -74,8 +87,7 @@ def attach_small(table: DataFrame, max_rows: int | None = None) -> DataFrame:
     given); otherwise the checkpointed table joins by shuffle, where AQE can
     still split skewed partitions.
     """
-    kept = materialize(table)
-    n = kept.count()
+    kept, n = materialize_counted(table)
     return F.broadcast(kept) if fits_broadcast(kept.sparkSession, n, row_width(kept),
                                                max_rows) else kept
 

@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from marquee.fixed import VIDEO_GAME
 from marquee.functions.exprs import int_mean, mean_rating
-from marquee.operators.agg import materialize
+from marquee.operators.agg import materialize_counted
 from marquee.operators.prefix import prefix_sums
 
 SUMMARY_STATS = ("count", "mean", "stddev", "min", "25%", "50%", "75%", "max")
@@ -90,9 +90,8 @@ def _summarize_stacked(stacked: DataFrame, names: DataFrame, keys: Sequence[str]
     so they are broadcast.
     """
     keys = list(keys)
-    vt = materialize(stacked.where(F.col("value").isNotNull())
-                     .groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("n")))
-    vt_rows = vt.count()
+    vt, vt_rows = materialize_counted(stacked.where(F.col("value").isNotNull())
+                                      .groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("n")))
     totals = vt.groupBy(*keys).agg(
         F.sum("n").alias("_N"), F.sum(F.col("value") * F.col("n")).alias("_S"),
         F.min("value").alias("_min"), F.max("value").alias("_max"))

@@ -19,7 +19,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marquee.operators.agg import fits_broadcast, materialize, row_width
+from marquee.operators.agg import fits_broadcast, materialize_counted, row_width
 from marquee.operators.prefix import prefix_sums
 
 Order = Sequence[Column]
@@ -73,8 +73,8 @@ def rank_within(df: DataFrame, groups: Sequence[str], value: str, out: str, *,
     broadcast when the checked size allows, else a shuffle join that AQE can
     split.
     """
-    counts = materialize(df.groupBy(*groups, value).agg(F.count(F.lit(1)).alias("_n")))
-    n = counts.count()
+    counts, n = materialize_counted(
+        df.groupBy(*groups, value).agg(F.count(F.lit(1)).alias("_n")))
     pick = "_dense_rank" if dense else "_rank"
     keys = [*groups, value]
     ranks = _rank_counts(counts, groups, value, descending, rows=n)
@@ -93,8 +93,7 @@ def global_dense_rank(df: DataFrame, value: str, out: str, *, descending: bool =
     broadcast; beyond it they are ranked with prefix sums over range blocks
     and joined back by shuffle.
     """
-    kept = materialize(df.select(value).distinct())
-    n = kept.count()
+    kept, n = materialize_counted(df.select(value).distinct())
     if fits_broadcast(df.sparkSession, n, row_width(kept) + 8, max_broadcast_rows):
         w = Window.orderBy(_ordered(value, descending))
         table = F.broadcast(kept.select(value, F.row_number().over(w).cast("bigint").alias(out)))

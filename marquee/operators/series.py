@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marquee.functions.exprs import mean_from_tenths, tenths
-from marquee.operators.agg import materialize
+from marquee.operators.agg import materialize_counted
 from marquee.operators.prefix import null_safe_join, prefix_sums, range_blocks
 
 
@@ -29,10 +29,10 @@ def running_mean_rating(df: DataFrame, key: str, order: Sequence[str], rating: s
     running sums then run over one row per position, as prefix sums over
     range blocks, and are joined back to the rows.
     """
-    positions = materialize(df.groupBy(key, *order).agg(
+    positions, n = materialize_counted(df.groupBy(key, *order).agg(
         F.sum(tenths(rating)).alias("_s"), F.count(rating).alias("_n")))
     running = prefix_sums(positions, [key], [F.col(c).asc_nulls_first() for c in order],
-                          {"_cs": F.col("_s"), "_cn": F.col("_n")}, rows=positions.count())
+                          {"_cs": F.col("_s"), "_cn": F.col("_n")}, rows=n)
     running = running.select(key, *order, mean_from_tenths(F.col("_cs"), F.col("_cn")).alias(out))
     return null_safe_join(df, running, [key, *order])
 
