@@ -43,7 +43,6 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="marquee-warehouse-"))
         .config("spark.driver.memory", os.environ.get("MARQUEE_DRIVER_MEMORY", "8g"))
         .getOrCreate()
