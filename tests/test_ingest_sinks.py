@@ -120,3 +120,14 @@ def test_export_with_row_hint(spark, tmp_path):
     assert rep.files_hint == 1 and rep.rows == df.count()
     back = sinks.read_back(spark, path, sinks.csv_schema(df))
     assert sorted(map(tuple, back.collect())) == sorted(map(tuple, df.collect()))
+
+
+def test_batch_run_exports_every_question(spark, tmp_path):
+    from marquee.__main__ import question_keys, run
+    cat = fixtures.catalogue(spark)
+    keys = question_keys()
+    assert "recent_top_rated" in keys and "dataset_info" in keys
+    assert not any(k.startswith(("shape_", "export_", "scan_")) for k in keys)
+    reports = run(cat, str(tmp_path / "out"), ["recent_top_rated", "genre_trend_by_year"])
+    assert reports["recent_top_rated"].rows == 3
+    assert os.path.isdir(str(tmp_path / "out" / "genre_trend_by_year"))
