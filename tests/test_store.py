@@ -34,3 +34,17 @@ def test_title_join_needs_no_shuffle(spark, stored):
         assert sorted(map(tuple, got)) == sorted(map(tuple, want))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def _question_keys():
+    from marquee.__main__ import question_keys
+    return question_keys()
+
+
+@pytest.mark.parametrize("key", _question_keys())
+def test_same_answers_from_store(spark, stored, key):
+    from marquee.plans.registry import QUERIES
+    star = star_catalogue(spark, SF_SMALL)
+    a = sorted(map(str, QUERIES[key](star).collect()))
+    b = sorted(map(str, QUERIES[key](stored).collect()))
+    assert a == b, key
