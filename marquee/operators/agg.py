@@ -81,8 +81,8 @@ def attach_small(table: DataFrame, max_rows: int | None = None) -> DataFrame:
 
     The table is a derived lookup (counts per distinct value, a best value
     per year, ...). It is checkpointed to the shared checkpoint folder, which
-    cuts its lineage and survives executor loss, and then counted: the count
-    reads the checkpoint, not the input. It is broadcast when rows x schema
+    cuts its lineage and survives executor loss, and its rows are counted in
+    that same job. It is broadcast when rows x schema
     width fits Spark's ``autoBroadcastJoinThreshold`` (and ``max_rows``, if
     given); otherwise the checkpointed table joins by shuffle, where AQE can
     still split skewed partitions.
