@@ -2,10 +2,20 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from . import warc
+from .decontaminate import contaminated
+from .fingerprint import edit_likeness
 from .frames import table
+from .htmltext import extract
+from .langid import predict
 from .neardup import NearDup, near_duplicates
+from .pieces import encode
+from .tokenfile import round_trip
+from .toxicity import toxicity
+from .urls import Rule, filter_urls
 
 #: DuckDB SQL of the queries that SQL can express.
 SQL: dict[str, str] = {}
@@ -13,3 +23,45 @@ SQL: dict[str, str] = {}
 
 def op8_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), NearDup(shingle=4))
+
+
+def op3_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edit_likeness(table(spark, sf_dir, "documents"))
+
+
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op2_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return predict(table(spark, sf_dir, "documents"))
+
+
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "intact")
+
+
+#: The rules of the registered query.
+URL_RULES = [Rule("org/", "allow"), Rule("example.org/es/", "block"), Rule("example.org/en/1", "block"),
+             Rule("com/fr/", "allow"), Rule("com/de/", "block")]
+
+
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_urls(table(spark, sf_dir, "pages"), URL_RULES)
+
+
+def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(table(spark, sf_dir, "pages"))

@@ -16,8 +16,10 @@ import pyarrow as pa
 #: Bytes of text handled at once; a longer single text is cut between words.
 CHUNK_BYTES = 4 << 20
 
-_BLANK = np.zeros(256, bool)
-_BLANK[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+BLANK = np.zeros(256, bool)
+BLANK[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+#: Every ASCII byte but letters and digits.
+PUNCTUATION = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 _LOWER = np.arange(256, dtype=np.uint64)
 _LOWER[ord("A"):ord("Z") + 1] += 32
 _LOWER += np.uint64(1)
@@ -79,10 +81,11 @@ def slices(batches: Iterator[pa.RecordBatch], column: str,
             start = end
 
 
-def _hash_chunk(raw: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _hash_chunk(raw: np.ndarray, edges: np.ndarray,
+                gaps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     n = len(raw)
     power, inverse = _power_tables(n)
-    blank = _BLANK[raw]
+    blank = gaps[raw]
     cut = np.zeros(n + 1, bool)
     cut[edges] = True
     cut[0] = cut[n] = True
@@ -101,26 +104,26 @@ def _hash_chunk(raw: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndar
     return mix(h + (ends - starts + 1).astype(np.uint64) * _ORDER[0]), starts
 
 
-def word_hashes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(column: pa.Array, gaps: np.ndarray = BLANK) -> tuple[np.ndarray, np.ndarray]:
     """(hash of every word, words before each row): row ``i`` holds the words
-    ``hashes[before[i]:before[i + 1]]``."""
+    ``hashes[before[i]:before[i + 1]]``. ``gaps`` marks the bytes between words."""
     raw, off = _text_buffers(column)
     hashes, places, at = [], [], 0
     while at < len(raw):
         end = min(len(raw), at + CHUNK_BYTES)
         if end < len(raw):  # never inside a word: back to a blank or a row edge
             edge = off[np.searchsorted(off, end, "right") - 1]
-            gaps = np.flatnonzero(_BLANK[raw[max(at, edge):end]])
-            if len(gaps):
-                end = max(at, int(edge)) + int(gaps[-1]) + 1
+            found = np.flatnonzero(gaps[raw[max(at, edge):end]])
+            if len(found):
+                end = max(at, int(edge)) + int(found[-1]) + 1
             elif edge > at:
                 end = int(edge)
             else:
-                rest = np.flatnonzero(_BLANK[raw[end:]])
+                rest = np.flatnonzero(gaps[raw[end:]])
                 row_end = int(off[np.searchsorted(off, at, "right")])
                 end = min(row_end, end + int(rest[0]) + 1 if len(rest) else len(raw))
         inside = off[(off >= at) & (off <= end)] - at
-        h, starts = _hash_chunk(raw[at:end], inside)
+        h, starts = _hash_chunk(raw[at:end], inside, gaps)
         hashes.append(h)
         places.append(starts + at)
         at = end
