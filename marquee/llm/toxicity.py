@@ -215,12 +215,13 @@ def learn(docs: DataFrame, labels: DataFrame, prefix: str = "tox__") -> Model:
     rows = written(_vectors(_featured(sample, lexicon, prefix), prefix).select(
         "doc_id", "toxic", prefix + "v", fold(F.col("doc_id"), FOLDS).alias("fold")), "features")
     fit, rest = rows.where(F.col("fold") != CALIBRATION), rows.where(F.col("fold") == CALIBRATION)
+    fit, rest = fit.coalesce(2), rest.coalesce(2)  # at most SAMPLE short rows
     classes = lambda df: df.select("toxic").distinct().count()
     if classes(fit) < 2:
         return Model(lexicon, base=toxic / (toxic + clean))
-    trees = GBTClassifier(labelCol="toxic", featuresCol=prefix + "v", predictionCol=prefix + "p",
-                          probabilityCol=prefix + "q", rawPredictionCol=prefix + "r", maxIter=TREES,
-                          maxDepth=DEPTH, stepSize=0.3, seed=7).fit(fit)
+    grown = GBTClassifier(labelCol="toxic", featuresCol=prefix + "v", predictionCol=prefix + "p",
+                          maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=7)
+    trees = grown.setProbabilityCol(prefix + "q").setRawPredictionCol(prefix + "r").fit(fit)
     model = Model(lexicon, trees)
     if classes(rest) == 2:
         seen = trees.transform(rest).select(F.col("toxic").cast("double").alias("toxic"),

@@ -31,7 +31,7 @@ cheap-watches.com/sale  cheap-loans.net/apply  payday-loans.org/fast  replica-ch
 spam-links.com/a/1  spammers.net/list  link-farm.org/en/2  seo-farm.com/out/7  spam-host.example.net/de/90
 ads-server.com/click  adserver.net/banner/2  track-click.com/r/5  tracker.net/pixel  ads-network.example.com/en/3
 click-track.org/go/8  affiliate-ads.com/ref  popup-ads.net/x  free-gifts.com/claim  free-money.net/now
-free-porn.com/video/1  xxx-cams.net/live  adult-dates.org/join  hot-sex.com/pics  warez-crack.net/keygen
+free-porn.com/video/1  adult-videos.org/new  adult-pics.example.net/en/19  xxx-cams.net/live  adult-dates.org/join  hot-sex.com/pics  warez-crack.net/keygen
 torrent-crack.org/get/4  hack-tools.net/download  win-iphone.com/survey  bitcoin-double.net/invest  rolex-replica.com/buy
 """.split()
 ALLOWED = """
