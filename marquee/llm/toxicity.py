@@ -36,6 +36,7 @@ SAMPLE = 20_000      # labelled rows that are learned from, at most
 POSITIVE = 8_000     # of them toxic, at most
 SUPPORT = 0.02       # share of the toxic texts that a lexicon entry is in, at least
 LIFT = 10.0          # how many times as common it is in toxic texts, at least
+CHANCE = 0.05        # entries of any kind that chance may bring into the lexicon
 ENTRIES = 3_000      # entries of the lexicon, at most: the strongest
 BEGINNINGS = (4, 5, 6, 7)
 TREES, DEPTH = 20, 3
@@ -180,7 +181,17 @@ def learn_lexicon(sample: DataFrame, toxic: int, clean: int) -> dict[str, float]
     hot = {r["key"]: r["n"] for r in _counted(sample.where("toxic = 1"), None).where(F.col("n") >= least)
            .orderBy(F.desc("n"), "key").limit(100_000).toLocalIterator()}
     cold = {r["key"]: r["n"] for r in _counted(sample.where("toxic = 0"), frozenset(hot)).toLocalIterator()}
-    lift = {k: (n / toxic) / ((cold.get(k, 0) + 0.5) / (clean + 1)) for k, n in hot.items()}
+    base, doubt = toxic / (toxic + clean), math.log(max(1, len(hot)) / CHANCE)
+
+    def surprise(n: int, c: int) -> float:
+        """Log odds against so many toxic ones of n + c by chance (Chernoff's bound)."""
+        share = n / (n + c)
+        if share <= base:
+            return 0.0
+        rest = c * math.log((1 - share) / (1 - base)) if c else 0.0
+        return n * math.log(share / base) + rest
+    lift = {k: (n / toxic) / ((cold.get(k, 0) + 0.5) / (clean + 1)) for k, n in hot.items()
+            if surprise(n, cold.get(k, 0)) >= doubt}
     best = sorted((k for k in lift if lift[k] >= LIFT), key=lambda k: (-lift[k], k))[:ENTRIES]
     return {k: math.log(lift[k]) for k in best}
 
