@@ -1,10 +1,9 @@
 """Column expressions shared by the queries (all JVM-side built-ins).
 
-Means of ratings are computed from integer tenths: ratings carry one decimal,
-so ``sum(round(r * 10))`` is an exact bigint whatever the summation order,
-and the mean is one IEEE division of that sum. A plain ``avg`` of doubles
-depends on the order partial sums are merged in, so two engines (or two runs)
-can disagree in the last bit.
+Means of ratings are sums of decimals divided once: a decimal sum is exact
+whatever the summation order. A plain ``avg`` of doubles depends on the order
+partial sums are merged in, so two engines (or two runs) can disagree in the
+last bit. Six decimals are kept, far more than a rating has.
 """
 
 from __future__ import annotations
@@ -19,25 +18,19 @@ def col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def tenths(c: str | Column = RATING) -> Column:
-    """A one-decimal rating as an exact integer number of tenths."""
-    return F.round(col(c) * 10).cast("bigint")
+def exact(c: str | Column = RATING) -> Column:
+    """A rating as an exact decimal."""
+    return col(c).cast("decimal(12,6)")
 
 
-def mean_from_tenths(sum_tenths: Column, n: Column) -> Column:
-    """Mean rating from a sum of tenths and a count (NULL when n = 0)."""
-    return F.try_divide(sum_tenths.cast("double"), n) / F.lit(10.0)
+def mean_from_sum(total: Column, n: Column) -> Column:
+    """Mean from an exact sum and a count (NULL when n = 0)."""
+    return F.try_divide(total.cast("double"), n)
 
 
 def mean_rating(c: str | Column = RATING) -> Column:
-    """Aggregate: exact mean of a one-decimal rating column."""
-    return mean_from_tenths(F.sum(tenths(c)), F.count(col(c)))
-
-
-def weighted_mean_rating(c: str | Column, weight: str | Column) -> Column:
-    """Aggregate: mean of a rating where each row counts ``weight`` times."""
-    w = col(weight)
-    return mean_from_tenths(F.sum(tenths(c) * w), F.sum(F.when(col(c).isNotNull(), w)))
+    """Aggregate: exact mean of a rating column."""
+    return mean_from_sum(F.sum(exact(c)), F.count(col(c)))
 
 
 def int_mean(c: str | Column) -> Column:

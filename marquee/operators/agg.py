@@ -1,104 +1,14 @@
-"""Aggregation helpers and the size-checked broadcast."""
+"""Cutting the lineage of derived tables."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
-from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, Observation
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
+from pyspark.sql import DataFrame
 
 from marquee.session import ensure_checkpoint_dir
 
 
-def broadcast_budget(spark) -> int:
-    """Spark's own broadcast size limit in bytes (-1 disables broadcasts)."""
-    raw = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
-    units = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20,
-             "g": 1 << 30, "gb": 1 << 30}
-    raw = raw.strip().lower()
-    for suffix in sorted(units, key=len, reverse=True):
-        if raw.endswith(suffix):
-            return int(float(raw[: -len(suffix)]) * units[suffix])
-    return int(raw)
-
-
-def _type_width(t: T.DataType) -> int:
-    # Spark's default size estimates per type (strings 20 bytes, arrays 100).
-    if isinstance(t, T.StructType):
-        return sum(_type_width(f.dataType) for f in t.fields)
-    if isinstance(t, (T.ArrayType, T.MapType)):
-        return 100
-    if isinstance(t, (T.StringType, T.BinaryType)):
-        return 20
-    if isinstance(t, (T.BooleanType, T.ByteType)):
-        return 1
-    if isinstance(t, T.ShortType):
-        return 2
-    if isinstance(t, (T.IntegerType, T.FloatType, T.DateType)):
-        return 4
-    if isinstance(t, T.DecimalType):
-        return 8 if t.precision <= 18 else 16
-    return 8
-
-
-def row_width(df: DataFrame) -> int:
-    """Estimated bytes per row from the schema."""
-    return max(1, _type_width(df.schema))
-
-
 def materialize(table: DataFrame) -> DataFrame:
-    """Cut the lineage of a small derived table: a reliable checkpoint in the
-    shared checkpoint folder, or (Connect session without one) a persist."""
-    return materialize_counted(table)[0]
-
-
-def materialize_counted(table: DataFrame) -> tuple[DataFrame, int]:
-    """:func:`materialize` plus the row count, observed in the same job.
-
-    The count rides on the checkpoint job as an observed metric at the root
-    of the plan (the result stage, where Spark applies each task's metrics
-    once), so no second job is needed to size the table.
-    """
-    if ensure_checkpoint_dir(table.sparkSession):
-        seen = Observation()
-        kept = table.observe(seen, F.count(F.lit(1)).alias("rows")).checkpoint(eager=True)
-        return kept, int(seen.get.get("rows", 0))
-    kept = table.persist(StorageLevel.MEMORY_AND_DISK)
-    return kept, kept.count()
-
-
-def fits_broadcast(spark, rows: int, width: int, max_rows: int | None = None) -> bool:
-    """True when ``rows`` x ``width`` bytes fits Spark's broadcast threshold."""
-    budget = broadcast_budget(spark)
-    ok = budget >= 0 and rows * width <= budget
-    return ok and (max_rows is None or rows <= max_rows)
-
-
-def attach_small(table: DataFrame, max_rows: int | None = None) -> DataFrame:
-    """Broadcast ``table`` only after checking its size.
-
-    The table is a derived lookup (counts per distinct value, a best value
-    per year, ...). It is checkpointed to the shared checkpoint folder, which
-    cuts its lineage and survives executor loss, and its rows are counted in
-    that same job. It is broadcast when rows x schema
-    width fits Spark's ``autoBroadcastJoinThreshold`` (and ``max_rows``, if
-    given); otherwise the checkpointed table joins by shuffle, where AQE can
-    still split skewed partitions.
-    """
-    kept, n = materialize_counted(table)
-    return F.broadcast(kept) if fits_broadcast(kept.sparkSession, n, row_width(kept),
-                                               max_rows) else kept
-
-
-def having(df: DataFrame, *conditions: Column) -> DataFrame:
-    out = df
-    for c in conditions:
-        out = out.where(c)
-    return out
-
-
-def group_stats(df: DataFrame, keys: Sequence[str], **aggs: Column) -> DataFrame:
-    """``groupBy(keys).agg(name=expr, ...)`` with the names as aliases."""
-    return df.groupBy(*keys).agg(*[e.alias(n) for n, e in aggs.items()])
+    """A derived table that several steps read, as a reliable checkpoint in the
+    shared checkpoint folder: it is computed once and survives lost executors."""
+    ensure_checkpoint_dir(table.sparkSession)
+    return table.checkpoint(eager=True)

@@ -9,11 +9,6 @@ from pyspark.sql import types as T
 from marquee.functions.exprs import stringify
 
 
-def explode_dim(df: DataFrame, arr: str, out: str) -> DataFrame:
-    """One row per element of ``arr`` (NULL and empty arrays give no row)."""
-    return df.withColumn(out, F.explode(arr))
-
-
 def stringify_arrays(df: DataFrame, sep: str = ", ") -> DataFrame:
     """Every array column as a ``sep``-joined string (CSV cannot hold arrays)."""
     cols = []

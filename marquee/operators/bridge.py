@@ -14,20 +14,10 @@ def credits_in(principals: DataFrame, categories: Sequence[str]) -> DataFrame:
             .select("tconst", "nconst"))
 
 
-def crew_people(crew: DataFrame, *roles: str) -> DataFrame:
-    """(tconst, nconst) for people listed in the given crew list columns.
-
-    A person listed in two lists of one title appears once.
-    """
-    lists = [F.coalesce(F.col(r), F.array().cast("array<string>")) for r in roles]
-    merged = lists[0] if len(lists) == 1 else F.array_distinct(F.concat(*lists))
-    return crew.select("tconst", F.explode(merged).alias("nconst"))
-
-
 def directors_of(crew: DataFrame) -> DataFrame:
-    """(tconst, director) from the crew directors list."""
-    return (crew.where(F.col("directors").isNotNull())
-            .select("tconst", F.explode("directors").alias("director")))
+    """(tconst, director) of the long crew table (tconst, nconst, role)."""
+    return (crew.where(F.col("role") == "director")
+            .select("tconst", F.col("nconst").alias("director")))
 
 
 def person_ids(name: DataFrame, person: str) -> DataFrame:

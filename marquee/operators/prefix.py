@@ -20,7 +20,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marquee.operators.agg import fits_broadcast, materialize, row_width
+from marquee.operators.agg import materialize
 from marquee.session import shuffle_partitions
 
 
@@ -49,24 +49,16 @@ def range_blocks(df: DataFrame, spec: Sequence[Column]) -> DataFrame:
 
 
 def prefix_sums(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
-                sums: dict[str, Column], *, inclusive: bool = True,
-                rows: int | None = None) -> DataFrame:
+                sums: dict[str, Column], *, inclusive: bool = True) -> DataFrame:
     """Add one running-sum column per ``sums`` entry (name -> summed expression).
 
     ``order`` holds sort expressions and must be total within ``keys`` (the
     table is unique in (keys, order)). ``inclusive=False`` sums the rows
-    strictly before each row. Empty prefixes give 0.
-
-    ``rows`` is the table's checked row count, when the caller has one: a
-    table within the broadcast size budget is small enough for a plain
-    window per key, which skips the range blocks.
+    strictly before each row. Empty prefixes give 0. The same blocks are used
+    at every size.
     """
     keys = list(keys)
     frame = (Window.unboundedPreceding, Window.currentRow if inclusive else -1)
-    if rows is not None and fits_broadcast(df.sparkSession, rows, row_width(df)):
-        w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(*frame)
-        return df.select("*", *[F.coalesce(F.sum(expr).over(w), F.lit(0)).alias(name)
-                                for name, expr in sums.items()])
     spec = [F.col(k).asc_nulls_first() for k in keys] + list(order)
     ranged = range_blocks(df, spec)
     tmp = {name: f"_v_{name}" for name in sums}

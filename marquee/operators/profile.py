@@ -1,15 +1,15 @@
 """Profiling operators: shape, numeric summaries, categorical distincts.
 
-Summaries are built from a *value table*: the profiled columns are stacked
-into (column, value) rows and counted per distinct value with a partial
-aggregate. Count, mean, deviation, extremes and percentiles all follow from
-that table, so one shuffle of distinct values serves every statistic, and
-percentiles are exact (``percentile_disc``: the smallest value whose
-cumulative share reaches p) without sorting the raw rows.
+The profiled columns are stacked into (column, value) rows. Count, mean,
+deviation and extremes are one partial aggregate over them. Percentiles come
+from a value table (counts per distinct value) and are exact
+(``percentile_disc``: the smallest value whose cumulative share reaches p)
+without sorting the raw rows.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -18,11 +18,12 @@ from pyspark.sql import types as T
 
 from marquee.fixed import VIDEO_GAME
 from marquee.functions.exprs import int_mean, mean_rating
-from marquee.operators.agg import materialize_counted
+from marquee.operators.arrays import stringify_arrays
 from marquee.operators.prefix import prefix_sums
 
 SUMMARY_STATS = ("count", "mean", "stddev", "min", "25%", "50%", "75%", "max")
 DESCRIBE_STATS = ("count", "mean", "stddev", "min", "max")
+MOST_DISTINCT = 200
 PERCENTILES = {"25%": 0.25, "50%": 0.5, "75%": 0.75}
 
 
@@ -38,15 +39,23 @@ def dataset_info(tables: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
-def preview(df: DataFrame, n: int = 5) -> DataFrame:
-    """The first ``n`` rows shown when a table is profiled (a display limit)."""
-    return df.limit(n)
+def preview(df: DataFrame, order: str, n: int = 5) -> DataFrame:
+    """The first ``n`` rows by ``order``, shown when a table is profiled (a
+    display limit); lists as text."""
+    return stringify_arrays(df.orderBy(order).limit(n))
 
 
-def schema_rows(tables: dict[str, DataFrame]) -> list[tuple[str, int, str, str]]:
-    """(table, position, column, type) from the schemas: metadata, no job."""
-    return [(name, i, f.name, f.dataType.simpleString())
-            for name, df in tables.items() for i, f in enumerate(df.schema.fields)]
+def column_info(tables: dict[str, DataFrame]) -> DataFrame:
+    """One row per column: table, position, column, type and non-NULL values."""
+    parts = []
+    for name, df in tables.items():
+        counts = df.agg(*[F.count(c).alias(c) for c in df.columns])
+        cells = F.array(*[F.struct(F.lit(i).alias("position"), F.lit(f.name).alias("column_name"),
+                                   F.lit(f.dataType.simpleString()).alias("column_type"),
+                                   F.col(f.name).alias("n_values"))
+                          for i, f in enumerate(df.schema.fields)])
+        parts.append(counts.select(F.lit(name).alias("table_name"), F.inline(cells)))
+    return _union_all(parts)
 
 
 def numeric_columns(df: DataFrame) -> list[str]:
@@ -75,10 +84,17 @@ def _union_all(parts: list[DataFrame]) -> DataFrame:
     return out
 
 
-def value_table(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """(column_name, value, n): counts per distinct value of each column."""
-    return (_stacked(df, columns, "double")
-            .groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n")))
+def _percentiles(stacked: DataFrame, keys: Sequence[str], totals: DataFrame) -> DataFrame:
+    """Exact percentiles per ``keys`` group; ``totals`` has each group's ``_N``."""
+    values = (stacked.where(F.col("value").isNotNull())
+              .groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("n")))
+    # Cumulative counts along the value order: prefix sums over range blocks,
+    # so a column with very many distinct values is not one window task.
+    cum = prefix_sums(values, keys, [F.col("value").asc()], {"_cum": F.col("n")})
+    share = F.col("_cum") / F.col("_N")
+    return (cum.join(F.broadcast(totals), list(keys)).groupBy(*keys)
+            .agg(*[F.min(F.when(share >= p, F.col("value"))).alias(k)
+                   for k, p in PERCENTILES.items()]))
 
 
 def _summarize_stacked(stacked: DataFrame, names: DataFrame, keys: Sequence[str],
@@ -90,34 +106,18 @@ def _summarize_stacked(stacked: DataFrame, names: DataFrame, keys: Sequence[str]
     so they are broadcast.
     """
     keys = list(keys)
-    vt, vt_rows = materialize_counted(stacked.where(F.col("value").isNotNull())
-                                      .groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("n")))
-    totals = vt.groupBy(*keys).agg(
-        F.sum("n").alias("_N"), F.sum(F.col("value") * F.col("n")).alias("_S"),
-        F.min("value").alias("_min"), F.max("value").alias("_max"))
-    totals = names.join(F.broadcast(totals), keys, "left")
-    mean = F.try_divide(F.col("_S"), F.col("_N"))
-    with_mean = vt.join(F.broadcast(totals.select(*keys, "_N", mean.alias("_mean"))), keys)
-    # Cumulative counts along the value order: prefix sums over range blocks,
-    # so a column with very many distinct values is not one window task.
-    cum = prefix_sums(with_mean, keys, [F.col("value").asc()], {"_cum": F.col("n")},
-                      rows=vt_rows)
-    per = (cum.withColumn("_share", F.col("_cum") / F.col("_N"))
-           .groupBy(*keys).agg(
-               F.sum(F.col("n") * (F.col("value") - F.col("_mean")) ** 2).alias("_ss"),
-               *[F.min(F.when(F.col("_share") >= p, F.col("value"))).alias(f"_p{int(p * 100)}")
-                 for p in PERCENTILES.values()]))
-    full = totals.join(F.broadcast(per), keys, "left")
-    n = F.coalesce(F.col("_N"), F.lit(0))
-    values = {
-        "count": n.cast("double"),
-        "mean": F.round(mean, 6),
-        "stddev": F.round(F.when(n > 1, F.sqrt(F.col("_ss") / (n - 1))), 6),
-        "min": F.col("_min"),
-        "max": F.col("_max"),
-        **{k: F.col(f"_p{int(p * 100)}") for k, p in PERCENTILES.items()},
-    }
-    cells = F.array(*[F.struct(F.lit(s).alias("stat"), values[s].cast("double").alias("value"))
+    moments = stacked.groupBy(*keys).agg(
+        F.count("value").alias("_N"), F.avg("value").alias("mean"),
+        F.stddev_samp("value").alias("stddev"), F.min("value").alias("min"),
+        F.max("value").alias("max"))
+    full = names.join(F.broadcast(moments), keys, "left")
+    if set(stats) & set(PERCENTILES):
+        per = _percentiles(stacked, keys, moments.select(*keys, "_N"))
+        full = full.join(F.broadcast(per), keys, "left")
+    values = {"count": F.coalesce(F.col("_N"), F.lit(0)), "mean": F.round("mean", 6),
+              "stddev": F.round("stddev", 6)}
+    cells = F.array(*[F.struct(F.lit(s).alias("stat"),
+                               values.get(s, F.col(s)).cast("double").alias("value"))
                       for s in stats])
     return full.select(*keys, F.inline(cells))
 
@@ -167,9 +167,13 @@ def categorical_distincts(tables: dict[str, DataFrame], *, max_distinct: int = 2
 
     The shortlist cannot miss a qualifying column: at small cardinalities
     HyperLogLog++ uses linear counting, m * ln(m / empty registers), and n
-    distinct values fill at most n of the m = 512 registers, so 20 values
-    estimate at most 20.4, well under the shortlist bound.
+    distinct values fill at most n of the m = 512 registers, so n values
+    estimate at most 512 * ln(512 / (512 - n)). Up to ``MOST_DISTINCT`` values
+    that stays below the level (400) at which another estimate takes over;
+    a larger ``max_distinct`` is refused.
     """
+    if not 0 <= max_distinct <= MOST_DISTINCT:
+        raise ValueError(f"max_distinct must be 0 to {MOST_DISTINCT}")
     spark = next(iter(tables.values())).sparkSession
     empty = spark.createDataFrame(
         [], "table_name string, column_name string, distinct_count bigint, sample string")
@@ -186,7 +190,7 @@ def categorical_distincts(tables: dict[str, DataFrame], *, max_distinct: int = 2
     if not approx_parts:
         return empty
     # A handful of rows (one per string column): column metadata, not data.
-    bound = int(max_distinct * 1.5) + 5
+    bound = math.ceil(512 * math.log(512 / (512 - max_distinct))) + 1  # and NULL
     short: dict[str, list[str]] = {}
     for r in _union_all(approx_parts).where(F.col("approx") <= bound).collect():
         short.setdefault(r["table_name"], []).append(r["column_name"])

@@ -19,8 +19,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marquee.operators.agg import fits_broadcast, materialize_counted, row_width
-from marquee.operators.prefix import prefix_sums
+from marquee.operators.prefix import null_safe_join, prefix_sums
 
 Order = Sequence[Column]
 
@@ -30,78 +29,27 @@ def _ordered(value: str, descending: bool) -> Column:
     return F.col(value).desc_nulls_last() if descending else F.col(value).asc_nulls_first()
 
 
-def value_ranks(df: DataFrame, groups: Sequence[str], value: str, *,
-                descending: bool = True) -> DataFrame:
-    """Per (groups, value): ``rank`` (with gaps), ``dense_rank`` and row count."""
-    counts = df.groupBy(*groups, value).agg(F.count(F.lit(1)).alias("_n"))
-    return _rank_counts(counts, groups, value, descending)
-
-
-def _rank_counts(counts: DataFrame, groups: Sequence[str], value: str,
-                 descending: bool, rows: int | None = None) -> DataFrame:
-    """Ranks from a (groups, value, _n) table unique in (groups, value).
-
-    rank = 1 + rows with a better value; dense rank = 1 + better values.
-    Both are prefix sums, computed over range blocks (no per-group window).
-    """
-    sums = prefix_sums(counts, groups, [_ordered(value, descending)],
-                       {"_rows_before": F.col("_n"), "_values_before": F.lit(1)},
-                       inclusive=False, rows=rows)
-    return sums.select(
-        *groups, value,
-        (F.col("_rows_before") + 1).cast("bigint").alias("_rank"),
-        (F.col("_values_before") + 1).cast("bigint").alias("_dense_rank"),
-        "_n")
-
-
-def _join_back(df: DataFrame, table: DataFrame, keys: Sequence[str]) -> DataFrame:
-    cond = None
-    for k in keys:
-        term = df[k].eqNullSafe(table[f"_k_{k}"])
-        cond = term if cond is None else cond & term
-    return df.join(table, cond, "inner").drop(*[f"_k_{k}" for k in keys])
-
-
 def rank_within(df: DataFrame, groups: Sequence[str], value: str, out: str, *,
-                dense: bool = False, descending: bool = True,
-                max_broadcast_rows: int | None = None) -> DataFrame:
+                dense: bool = False, descending: bool = True) -> DataFrame:
     """Add ``out`` = (dense_)rank of ``value`` within ``groups``.
 
     Equal to ``(dense_)rank().over(partitionBy(groups).orderBy(value))``. The
-    (groups, value, count) table is built with a partial aggregate and
-    checkpointed; ranks are prefix sums over it, and the join back is a
-    broadcast when the checked size allows, else a shuffle join that AQE can
-    split.
-    """
-    counts, n = materialize_counted(
-        df.groupBy(*groups, value).agg(F.count(F.lit(1)).alias("_n")))
-    pick = "_dense_rank" if dense else "_rank"
-    keys = [*groups, value]
-    ranks = _rank_counts(counts, groups, value, descending, rows=n)
-    table = ranks.select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col(pick).alias(out))
-    if fits_broadcast(df.sparkSession, n, row_width(table), max_broadcast_rows):
-        table = F.broadcast(table)
-    return _join_back(df, table, keys)
-
-
-def global_dense_rank(df: DataFrame, value: str, out: str, *, descending: bool = True,
-                      max_broadcast_rows: int | None = None) -> DataFrame:
-    """``dense_rank()`` over the whole frame without a single-task window.
-
-    The distinct values are checkpointed and counted. When the rank table fits
-    the broadcast size limit they are ranked in one small window and
-    broadcast; beyond it they are ranked with prefix sums over range blocks
-    and joined back by shuffle.
+    (groups, value, count) table is built with a partial aggregate; the rank is
+    1 + the rows (dense: values) before, a prefix sum over range blocks, and is
+    joined back by group and value.
     """
-    kept, n = materialize_counted(df.select(value).distinct())
-    if fits_broadcast(df.sparkSession, n, row_width(kept) + 8, max_broadcast_rows):
-        w = Window.orderBy(_ordered(value, descending))
-        table = F.broadcast(kept.select(value, F.row_number().over(w).cast("bigint").alias(out)))
-    else:
-        table = prefix_sums(kept, [], [_ordered(value, descending)], {out: F.lit(1)})
-        table = table.select(value, F.col(out).cast("bigint").alias(out))
-    table = table.select(F.col(value).alias(f"_k_{value}"), out)
-    return _join_back(df, table, [value])
+    counts = df.groupBy(*groups, value).agg(F.count(F.lit(1)).alias("_n"))
+    before = prefix_sums(counts, groups, [_ordered(value, descending)],
+                         {"_before": F.lit(1) if dense else F.col("_n")}, inclusive=False)
+    table = before.select(*groups, value, (F.col("_before") + 1).cast("bigint").alias(out))
+    return null_safe_join(df, table, [*groups, value])
+
+
+def global_dense_rank(df: DataFrame, value: str, out: str, *,
+                      descending: bool = True) -> DataFrame:
+    """``dense_rank()`` over the whole frame: a rank in one group, without a
+    single-task window."""
+    return rank_within(df, [], value, out, dense=True, descending=descending)
 
 
 def top_k_per_group(df: DataFrame, groups: Sequence[str], order: Order, k: int,

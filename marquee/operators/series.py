@@ -14,8 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marquee.functions.exprs import mean_from_tenths, tenths
-from marquee.operators.agg import materialize_counted
+from marquee.functions.exprs import exact, mean_from_sum
 from marquee.operators.prefix import null_safe_join, prefix_sums, range_blocks
 
 
@@ -25,15 +24,16 @@ def running_mean_rating(df: DataFrame, key: str, order: Sequence[str], rating: s
 
     Same frame as ``avg(rating) OVER (PARTITION BY key ORDER BY order)``: RANGE
     from the start to the current row, so rows with equal positions (peers)
-    share one value. Peers are first collapsed to (sum of tenths, count); the
+    share one value. Peers are first collapsed to (exact sum, count); the
     running sums then run over one row per position, as prefix sums over
     range blocks, and are joined back to the rows.
     """
-    positions, n = materialize_counted(df.groupBy(key, *order).agg(
-        F.sum(tenths(rating)).alias("_s"), F.count(rating).alias("_n")))
+    positions = df.groupBy(key, *order).agg(
+        F.coalesce(F.sum(exact(rating)), F.lit(0).cast("decimal(22,6)")).alias("_s"),
+        F.count(rating).alias("_n"))
     running = prefix_sums(positions, [key], [F.col(c).asc_nulls_first() for c in order],
-                          {"_cs": F.col("_s"), "_cn": F.col("_n")}, rows=n)
-    running = running.select(key, *order, mean_from_tenths(F.col("_cs"), F.col("_cn")).alias(out))
+                          {"_cs": F.col("_s"), "_cn": F.col("_n")})
+    running = running.select(key, *order, mean_from_sum(F.col("_cs"), F.col("_cn")).alias(out))
     return null_safe_join(df, running, [key, *order])
 
 

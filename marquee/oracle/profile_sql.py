@@ -48,6 +48,20 @@ def dataset_info() -> str:
     return with_catalogue(_union(parts), set(TABLES))
 
 
+def column_info() -> str:
+    parts = [f"SELECT '{t}' AS table_name, CAST({i} AS INTEGER) AS position, '{f.name}' AS column_name, "
+             f"'{f.dataType.simpleString()}' AS column_type, COUNT(\"{f.name}\") AS n_values FROM {t}"
+             for t in TABLES for i, f in enumerate(shaped_schema(t).fields)]
+    return with_catalogue(_union(parts), set(TABLES))
+
+
+def preview_titles() -> str:
+    cols = ", ".join(f"COALESCE(array_to_string(\"{f.name}\", ', '), '') AS \"{f.name}\""
+                     if isinstance(f.dataType, T.ArrayType) else f'"{f.name}"'
+                     for f in shaped_schema("basics").fields)
+    return with_catalogue(f"SELECT {cols} FROM basics ORDER BY tconst LIMIT 5", {"basics"})
+
+
 def numeric_summary() -> str:
     parts = [_stats_block(t, c, SUMMARY, True)
              for t in TABLES for c in _cols(t, (T.IntegerType, T.DoubleType))]
@@ -98,6 +112,8 @@ FROM basics b JOIN ratings r ON b.tconst = r.tconst WHERE b."titleType" = 'video
 def oracle_profile() -> dict[str, str]:
     return {
         "dataset_info": dataset_info(),
+        "column_info": column_info(),
+        "preview_titles": preview_titles(),
         "numeric_summary": numeric_summary(),
         "describe_columns": describe_columns(),
         "categorical_distincts": categorical_distincts(),

@@ -3,7 +3,7 @@
 Each text is the plain, unoptimised statement of the question over the
 catalogue CTEs (see :mod:`marquee.oracle.catalogue_sql`): windows partitioned
 as asked, no pre-aggregation. Spark's optimised forms must equal them.
-Means of ratings use exact tenths, like :func:`marquee.functions.exprs.mean_rating`.
+Means of ratings use exact decimals, like :func:`marquee.functions.exprs.mean_rating`.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from marquee.oracle.catalogue_sql import with_catalogue
 
 
 def MEAN(c: str = '"averageRating"') -> str:
-    return f"CAST(SUM(CAST(ROUND({c} * 10) AS BIGINT)) AS DOUBLE) / COUNT({c}) / 10"
+    return f"CAST(SUM(CAST({c} AS DECIMAL(12,6))) AS DOUBLE) / COUNT({c})"
 
 
 def INT_MEAN(c: str) -> str:
@@ -62,8 +62,8 @@ FROM (SELECT b.tconst, b."primaryTitle", unnest(b.genres) AS genre, r."averageRa
 
 _RUNNING = """
 SELECT s."primaryTitle" AS series_title, {extra}e."seasonNumber", e."episodeNumber", r."averageRating",
-       CAST(SUM(CAST(ROUND(r."averageRating" * 10) AS BIGINT)) OVER w AS DOUBLE)
-         / COUNT(r."averageRating") OVER w / 10 AS cumulative_avg_rating
+       CAST(SUM(CAST(r."averageRating" AS DECIMAL(12,6))) OVER w AS DOUBLE)
+         / COUNT(r."averageRating") OVER w AS cumulative_avg_rating
 FROM basics t JOIN ratings r ON t.tconst = r.tconst
   JOIN episode e ON t.tconst = e.tconst
   JOIN basics s ON e."parentTconst" = s.tconst
@@ -308,7 +308,7 @@ BODIES["genre_trend_by_year"] = _TREND.format(votes="TRUE")
 BODIES["genre_trend_min_votes"] = _TREND.format(votes='r."numVotes" >= 1000')
 BODIES["trend_top_genres"] = _TREND_BASE.format(votes="TRUE") + """,
 tot AS (SELECT genre, SUM(movie_count) AS total FROM s GROUP BY genre
-        ORDER BY total DESC, genre LIMIT 5)
+        ORDER BY total DESC, genre LIMIT 20)
 SELECT s."startYear", s.genre, s.movie_count FROM s WHERE s.genre IN (SELECT genre FROM tot)"""
 
 _LEADERS = f"""

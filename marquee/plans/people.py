@@ -3,7 +3,8 @@
 Aggregates run on person ids first and names are joined afterwards, so the
 name join sees one row per person instead of one per credit. Where the
 question groups by the *name text*, namesakes are merged after that join, as
-the question asks.
+the question asks. ``crew`` is the long table (tconst, nconst, role) of
+``Catalogue.crew_people``: directors and writers are never listed and exploded.
 """
 
 from __future__ import annotations
@@ -13,9 +14,9 @@ from pyspark.sql import functions as F
 
 from marquee.fixed import (ACTING, ACTOR, DIRECTOR, LATIN_NAME, MOVIE, PERSON, THRILLER,
                            TV_EPISODE, VIDEO_GAME)
-from marquee.functions.exprs import decade, mean_from_tenths, mean_rating, tenths
-from marquee.operators.bridge import credits_in, crew_people, directors_of, person_ids
-from marquee.operators.agg import attach_small, materialize
+from marquee.functions.exprs import decade, exact, mean_from_sum, mean_rating
+from marquee.operators.agg import materialize
+from marquee.operators.bridge import credits_in, directors_of, person_ids
 from marquee.operators.rank import (best_per_group, global_dense_rank, rank_within, top_k,
                                     top_k_per_group)
 
@@ -84,7 +85,7 @@ def titles_of_person(name: DataFrame, crew: DataFrame, basics: DataFrame, rating
     unknown name gives an empty result.
     """
     who = person_ids(name, person)
-    titles = crew_people(crew, "directors", "writers").join(who, "nconst").select("tconst").distinct()
+    titles = crew.join(who, "nconst").select("tconst").distinct()
     good = ratings.where((F.col(R) >= min_rating) & (F.col(V) >= min_votes))
     return (titles.join(basics, "tconst").join(good, "tconst")
             .select("primaryTitle", "titleType", "startYear", R, V)
@@ -186,12 +187,12 @@ def director_leaderboard(basics: DataFrame, crew: DataFrame, ratings: DataFrame,
     rows = (directors_of(crew).join(titles, "tconst", "left_semi")
             .join(ratings.where((F.col(V) >= min_votes) & F.col(R).isNotNull()), "tconst"))
     per_id = rows.groupBy("director").agg(
-        F.count(F.lit(1)).alias("_n"), F.sum(tenths(R)).alias("_s"))
+        F.count(F.lit(1)).alias("_n"), F.sum(exact(R)).alias("_s"))
     people = name.select(F.col("nconst").alias("director"), "primaryName")
     named = per_id.join(people, "director", name_join)
     stats = (named.groupBy(F.col("primaryName").alias("director"))
              .agg(F.sum("_n").cast("bigint").alias("movie_count"),
-                  mean_from_tenths(F.sum("_s"), F.sum("_n")).alias("avg_rating"))
+                  mean_from_sum(F.sum("_s"), F.sum("_n")).alias("avg_rating"))
              .where(F.col("movie_count") >= min_movies))
     # One row per director name, read by the rank lookup and the join back.
     ranked = global_dense_rank(materialize(stats), "avg_rating", "rank")
@@ -206,18 +207,21 @@ def actors_by_genre(basics: DataFrame, principals: DataFrame, ratings: DataFrame
     """Per genre, actors/actresses (by name) ranked by their count of high-rated rows.
 
     A person qualifies with >= ``min_movies`` (title, genre) rows overall. One
-    aggregate per (genre, name) gives both counts; the per-name total is a
-    second small aggregate, and the dense rank per genre runs on a
-    (genre, count) value table.
+    aggregate per (genre, id) gives both counts, names are joined to those and
+    summed; the per-name total is a second small aggregate, and the dense rank
+    per genre runs on a (genre, count) value table.
     """
     titles = (basics.where((F.col("titleType") == title_type) & F.col("startYear").isNotNull())
-              .select("tconst", F.explode("genres").alias("genre")))
+              .select("tconst", "genres"))
     rated = ratings.where(F.col(R).isNotNull() & (F.col(V) >= min_votes)).select("tconst", R)
     rows = (credits_in(principals, ACTING).join(titles.join(rated, "tconst"), "tconst")
-            .join(name.select("nconst", "primaryName"), "nconst"))
-    per = rows.groupBy("genre", "primaryName").agg(
-        F.count(F.lit(1)).alias("_all"),
-        F.count(F.when(F.col(R) >= high_rating, 1)).alias("high_rated_movie_count"))
+            .select("nconst", R, F.explode("genres").alias("genre")))
+    per_id = rows.groupBy("genre", "nconst").agg(
+        F.count(F.lit(1)).alias("_n"), F.count(F.when(F.col(R) >= high_rating, 1)).alias("_high"))
+    per = (per_id.join(name.select("nconst", "primaryName"), "nconst")
+           .groupBy("genre", "primaryName").agg(
+               F.sum("_n").alias("_all"),
+               F.sum("_high").cast("bigint").alias("high_rated_movie_count")))
     totals = (per.groupBy("primaryName").agg(F.sum("_all").alias("_total"))
               .where(F.col("_total") >= min_movies).select("primaryName"))
     kept = (per.where(F.col("high_rated_movie_count") > 0)
@@ -239,10 +243,13 @@ def top_directors_per_genre(basics: DataFrame, principals: DataFrame, name: Data
               .select("tconst", "genres")
               .join(ratings.where(F.col(V) >= min_votes).select("tconst", R), "tconst"))
     rows = (credits_in(principals, [DIRECTOR]).join(titles, "tconst")
-            .join(name.select("nconst", F.col("primaryName").alias("director_name")), "nconst")
-            .select("director_name", R, F.explode("genres").alias("genre")))
-    stats = (rows.groupBy("genre", "director_name")
-             .agg(mean_rating(R).alias("avg_rating"), F.count(F.lit(1)).alias("movie_count"))
+            .select("nconst", R, F.explode("genres").alias("genre")))
+    per_id = rows.groupBy("genre", "nconst").agg(
+        F.sum(exact(R)).alias("_s"), F.count(R).alias("_r"), F.count(F.lit(1)).alias("_n"))
+    people = name.select("nconst", F.col("primaryName").alias("director_name"))
+    stats = (per_id.join(people, "nconst").groupBy("genre", "director_name")
+             .agg(mean_from_sum(F.sum("_s"), F.sum("_r")).alias("avg_rating"),
+                  F.sum("_n").cast("bigint").alias("movie_count"))
              .where(F.col("movie_count") >= min_count))
     top = top_k_per_group(stats, ["genre"], [F.col("avg_rating").desc(),
                                              F.col("movie_count").desc(),
@@ -258,18 +265,22 @@ def actors_in_best_episodes(basics: DataFrame, principals: DataFrame, ratings: D
 
     ``dense_rank() = 1`` per year is the same as "rating equals the year's
     best", so the best rating per year is computed on a per-year table and
-    joined back; the NULL year is a group of its own.
+    joined back (the rated episodes feed both and are written once); the NULL
+    year is a group of its own. Roles are counted per id and year before names
+    are joined.
     """
-    eps = (basics.where(F.col("titleType") == title_type).select("tconst", "startYear")
-           .join(ratings.select("tconst", R), "tconst"))
-    best = eps.groupBy("startYear").agg(F.max(R).alias("_best"))
-    best = attach_small(best.select(F.col("startYear").alias("_y"), "_best"))
+    eps = materialize(basics.where(F.col("titleType") == title_type).select("tconst", "startYear")
+                      .join(ratings.select("tconst", R), "tconst"))
+    best = eps.groupBy("startYear").agg(F.max(R).alias("_best")).select(
+        F.col("startYear").alias("_y"), "_best")
     top = (eps.join(best, eps["startYear"].eqNullSafe(best["_y"]) & (eps[R] == best["_best"]))
            .select("tconst", "startYear", R))
-    rows = (principals.where(F.col("category") == category).select("tconst", "nconst")
-            .join(top, "tconst")
-            .join(name.select("nconst", "primaryName"), "nconst"))
-    return (rows.groupBy("primaryName", "startYear")
-            .agg(F.count("nconst").alias("roleCount"), mean_rating(R).alias("avgRating"))
+    per_id = (principals.where(F.col("category") == category).select("tconst", "nconst")
+              .join(top, "tconst").groupBy("nconst", "startYear")
+              .agg(F.sum(exact(R)).alias("_s"), F.count(F.lit(1)).alias("_n")))
+    return (per_id.join(name.select("nconst", "primaryName"), "nconst")
+            .groupBy("primaryName", "startYear")
+            .agg(F.sum("_n").cast("bigint").alias("roleCount"),
+                 mean_from_sum(F.sum("_s"), F.sum("_n")).alias("avgRating"))
             .orderBy(F.col("roleCount").desc(), F.col("avgRating").desc(),
                      "primaryName", "startYear"))

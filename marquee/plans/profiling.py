@@ -14,6 +14,14 @@ def dataset_info(cat: Catalogue) -> DataFrame:
     return profile.dataset_info({t: cat[t] for t in TABLES})
 
 
+def column_info(cat: Catalogue) -> DataFrame:
+    return profile.column_info({t: cat[t] for t in TABLES})
+
+
+def preview(cat: Catalogue) -> DataFrame:
+    return profile.preview(cat.basics, "tconst")
+
+
 def numeric_summary(cat: Catalogue) -> DataFrame:
     return profile.numeric_summary({t: cat[t] for t in TABLES})
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from marquee.fixed import MOVIE, TV_SERIES, UNDETERMINED, VIDEO_GAME
-from marquee.functions.exprs import int_mean, mean_from_tenths, mean_rating, tenths
+from marquee.functions.exprs import exact, int_mean, mean_from_sum, mean_rating
 from marquee.operators.rank import top_k, top_k_per_group
 
 R, V = "averageRating", "numVotes"
@@ -53,7 +53,7 @@ def genres_by_region(basics: DataFrame, akas: DataFrame, ratings: DataFrame, *,
 
     The mean counts a title once per localised row it has in the region. The
     akas rows are first reduced to (title, region, rows) and joined to titles
-    once; the mean is then a weighted sum of exact tenths.
+    once; the mean is then a weighted exact sum.
     """
     rated = ratings
     if min_votes is not None:
@@ -69,7 +69,7 @@ def genres_by_region(basics: DataFrame, akas: DataFrame, ratings: DataFrame, *,
         rows = rows.where(F.col("genre").isNotNull())
     stats = rows.groupBy("region", "genre").agg(
         F.count_distinct("tconst").alias("title_count"),
-        mean_from_tenths(F.sum(tenths(R) * F.col("_w")), F.sum("_w")).alias("avg_rating"))
+        mean_from_sum(F.sum(exact(R) * F.col("_w")), F.sum("_w")).alias("avg_rating"))
     # One row per (region, genre): the per-region window is over a small table.
     w = Window.partitionBy("region").orderBy(F.col("title_count").desc())
     return (stats.withColumn("rank", F.dense_rank().over(w).cast("bigint"))
@@ -84,8 +84,9 @@ def genre_trend_by_year(basics: DataFrame, ratings: DataFrame, *, title_type: st
         rated = rated.where(F.col(V) >= min_votes)
     rows = (basics.where((F.col("titleType") == title_type) & F.col("startYear").isNotNull()
                          & (F.size("genres") > 0))
-            .select("tconst", "startYear", F.explode("genres").alias("genre"))
-            .join(rated.select("tconst", R, V), "tconst"))
+            .select("tconst", "startYear", "genres")
+            .join(rated.select("tconst", R, V), "tconst")
+            .select("startYear", R, V, F.explode("genres").alias("genre")))
     stats = rows.groupBy("startYear", "genre").agg(
         F.count(F.lit(1)).alias("movie_count"), mean_rating(R).alias("avg_rating"),
         int_mean(V).alias("avg_votes"))

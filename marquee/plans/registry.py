@@ -64,28 +64,28 @@ register("actors_in_acclaimed")(
     lambda c: people.actors_in_acclaimed(c.basics, c.ratings, c.principals, c.name))
 register("busiest_actors")(lambda c: people.busiest_actors(c.principals, c.name))
 register("actors_in_hits")(lambda c: people.actors_in_hits(c.principals, c.ratings, c.name))
-register("games_per_director")(lambda c: people.games_per_director(c.basics, c.crew, c.name))
+register("games_per_director")(lambda c: people.games_per_director(c.basics, c.crew_people, c.name))
 # Binding: a name with several namesakes in the driver's tables.
 register("titles_of_person")(
-    lambda c: people.titles_of_person(c.name, c.crew, c.basics, c.ratings, person="small ring"))
-register("best_decade")(lambda c: people.best_decade(c.basics, c.ratings, c.crew, c.name))
+    lambda c: people.titles_of_person(c.name, c.crew_people, c.basics, c.ratings, person="small ring"))
+register("best_decade")(lambda c: people.best_decade(c.basics, c.ratings, c.crew_people, c.name))
 register("best_decade_multi")(
-    lambda c: people.best_decade(c.basics, c.ratings, c.crew, c.name, min_decades=2))
+    lambda c: people.best_decade(c.basics, c.ratings, c.crew_people, c.name, min_decades=2))
 # Binding: 2 titles (5 selects no director in the driver's tables at sf 0.01).
 register("genre_directors")(
-    lambda c: people.genre_directors(c.basics, c.ratings, c.crew, c.name, min_films=2))
-register("actor_directors")(lambda c: people.actor_directors(c.principals, c.crew, c.name))
+    lambda c: people.genre_directors(c.basics, c.ratings, c.crew_people, c.name, min_films=2))
+register("actor_directors")(lambda c: people.actor_directors(c.principals, c.crew_people, c.name))
 register("actor_directors_sorted")(
-    lambda c: people.actor_directors(c.principals, c.crew, c.name, order_by_name=True))
+    lambda c: people.actor_directors(c.principals, c.crew_people, c.name, order_by_name=True))
 register("versatile_directors")(
-    lambda c: people.versatile_directors(c.basics, c.ratings, c.crew, c.name))
+    lambda c: people.versatile_directors(c.basics, c.ratings, c.crew_people, c.name))
 register("versatile_game_directors")(
-    lambda c: people.versatile_directors(c.basics, c.ratings, c.crew, None,
+    lambda c: people.versatile_directors(c.basics, c.ratings, c.crew_people, None,
                                          title_type=VIDEO_GAME))
 register("director_leaderboard")(
-    lambda c: people.director_leaderboard(c.basics, c.crew, c.ratings, c.name))
+    lambda c: people.director_leaderboard(c.basics, c.crew_people, c.ratings, c.name))
 register("director_leaderboard_left")(
-    lambda c: people.director_leaderboard(c.basics, c.crew, c.ratings, c.name, name_join="left"))
+    lambda c: people.director_leaderboard(c.basics, c.crew_people, c.ratings, c.name, name_join="left"))
 register("actors_by_genre")(
     lambda c: people.actors_by_genre(c.basics, c.principals, c.ratings, c.name))
 # Binding: 3 titles per (genre, director) before the top 5.
@@ -113,11 +113,12 @@ register("genres_by_region_min_votes")(
 register("genre_trend_by_year")(lambda c: regions.genre_trend_by_year(c.basics, c.ratings))
 register("genre_trend_min_votes")(
     lambda c: regions.genre_trend_by_year(c.basics, c.ratings, min_votes=1000))
-# Binding: k = 5 of the 10 genres of the driver's tables.
-register("trend_top_genres")(lambda c: regions.trend_of_top_genres(c.basics, c.ratings, k=5))
+register("trend_top_genres")(lambda c: regions.trend_of_top_genres(c.basics, c.ratings))
 
 # --- profiling --------------------------------------------------------------
 register("dataset_info")(profiling.dataset_info)
+register("column_info")(profiling.column_info)
+register("preview_titles")(profiling.preview)
 register("numeric_summary")(profiling.numeric_summary)
 register("describe_columns")(profiling.describe_columns)
 register("categorical_distincts")(profiling.categorical_distincts)

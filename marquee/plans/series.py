@@ -26,14 +26,18 @@ def series_running_mean(basics: DataFrame, ratings: DataFrame, episode: DataFram
                  "tconst"))
     series = basics.select(F.col("tconst").alias("parentTconst"),
                            F.col("primaryTitle").alias("series_title"))
-    rows = eps.join(series, "parentTconst")
-    key = "series_title" if by == "title" else "parentTconst"
-    out = running_mean_rating(rows, key, ["seasonNumber", "episodeNumber"], R,
-                              "cumulative_avg_rating")
-    cols = ["series_title", "seasonNumber", "episodeNumber", R, "cumulative_avg_rating"]
-    if by != "title":
-        cols.insert(1, "parentTconst")
-    return out.select(*cols).orderBy(
+    order, out = ["seasonNumber", "episodeNumber"], "cumulative_avg_rating"
+    cols = ["series_title", "seasonNumber", "episodeNumber", R, out]
+    if by == "title":
+        rows = running_mean_rating(eps.join(series, "parentTconst"), "series_title", order, R, out)
+        key = "series_title"
+    else:
+        # Positions first, titles last: the sums never sit behind a join on
+        # the series id, so one series with most episodes is split by position.
+        rows = running_mean_rating(eps, "parentTconst", order, R, out).join(series, "parentTconst")
+        key = "parentTconst"
+        cols.insert(1, key)
+    return rows.select(*cols).orderBy(
         key, F.col("seasonNumber").asc_nulls_first(), F.col("episodeNumber").asc_nulls_first(),
         R)
 

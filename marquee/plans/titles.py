@@ -1,7 +1,8 @@
 """Questions about titles and their ratings.
 
-Every function takes catalogue DataFrames and returns a lazy DataFrame whose
-rows are fully determined: where the question keeps "the first n" rows, ties
+Every function takes catalogue DataFrames and returns a DataFrame (ranks run
+jobs for their checkpointed tables as they are built) whose rows are fully
+determined: where the question keeps "the first n" rows, ties
 are broken by further columns, ending at the title id.
 """
 
@@ -14,6 +15,7 @@ from marquee.fixed import (COMEDY, CURRENT_YEAR, DOCUMENTARY, MOVIE, ROMANCE, TI
                            TV_EPISODE, UKRAINE_REGION, UKRAINIAN, VIDEO_GAME)
 from marquee.functions.exprs import (combo_key, has_all, int_mean, mean_rating,
                                      stringify)
+from marquee.operators.agg import materialize
 from marquee.operators.rank import (best_per_group, global_dense_rank, rank_within,
                                     top_k)
 
@@ -36,7 +38,8 @@ def recent_top_rated(basics: DataFrame, ratings: DataFrame, *, title_type: str =
 
 def genre_popularity(basics: DataFrame, ratings: DataFrame) -> DataFrame:
     """Mean rating and mean votes per genre, over titles of every type."""
-    rows = basics.select("tconst", F.explode("genres").alias("genre")).join(ratings, "tconst")
+    rows = (basics.select("tconst", "genres").join(ratings, "tconst")
+            .select(R, V, F.explode("genres").alias("genre")))
     return (rows.groupBy("genre")
             .agg(mean_rating(R).alias("avg_rating"), int_mean(V).alias("avg_votes"))
             .orderBy(F.col("avg_rating").desc(), "genre"))
@@ -59,10 +62,12 @@ def rank_in_genre(basics: DataFrame, ratings: DataFrame, *, min_votes: int = 100
     """Rank (with gaps) of every rated title within each of its genres.
 
     Ranks come from a (genre, rating) value table, so a genre holding most
-    titles is not funnelled through one task.
+    titles is not funnelled through one task. The rated titles feed that table
+    and the join back: they are written once.
     """
-    rows = (basics.select("tconst", "primaryTitle", F.explode("genres").alias("genre"))
-            .join(ratings.where(F.col(V) > min_votes).select("tconst", R), "tconst"))
+    rows = materialize(basics.select("tconst", "primaryTitle", "genres")
+                       .join(ratings.where(F.col(V) > min_votes).select("tconst", R), "tconst"))
+    rows = rows.select("tconst", "primaryTitle", R, F.explode("genres").alias("genre"))
     ranked = rank_within(rows, ["genre"], R, "rank_within_genre")
     return (ranked.select("tconst", "primaryTitle", "genre", R, "rank_within_genre")
             .orderBy("genre", "rank_within_genre", "tconst"))
@@ -76,8 +81,9 @@ def titles_in_language(akas: DataFrame, *, language: str = UKRAINIAN) -> DataFra
 def long_film_rank(basics: DataFrame, ratings: DataFrame, *, title_type: str = MOVIE,
                    min_runtime: int = 120) -> DataFrame:
     """Long titles with their dense rank by rating over the whole set."""
-    rows = (of_type(basics, title_type).where(F.col("runtimeMinutes") > min_runtime)
-            .join(ratings, "tconst"))
+    rows = materialize(of_type(basics, title_type).where(F.col("runtimeMinutes") > min_runtime)
+                       .select("tconst", "primaryTitle", "runtimeMinutes")
+                       .join(ratings.select("tconst", R), "tconst"))
     ranked = global_dense_rank(rows, R, "rank_among_long")
     return (ranked.select("primaryTitle", "runtimeMinutes", R, "rank_among_long")
             .orderBy("rank_among_long", "primaryTitle", "runtimeMinutes"))
@@ -94,8 +100,8 @@ def acclaimed_popular(basics: DataFrame, ratings: DataFrame, *, title_type: str
 def genre_mean_rating(basics: DataFrame, ratings: DataFrame, *,
                       title_type: str = MOVIE) -> DataFrame:
     """Number of rated titles and mean rating per genre for one title type."""
-    rows = (of_type(basics, title_type).select("tconst", F.explode("genres").alias("genre"))
-            .join(ratings, "tconst"))
+    rows = (of_type(basics, title_type).select("tconst", "genres").join(ratings, "tconst")
+            .select(R, F.explode("genres").alias("genre")))
     return (rows.groupBy("genre")
             .agg(F.count(F.lit(1)).alias("count"), mean_rating(R).alias("avg_rating"))
             .orderBy(F.col("avg_rating").desc(), "genre"))
@@ -162,17 +168,11 @@ def genre_combinations(basics: DataFrame, ratings: DataFrame, *, title_type: str
 def title_keyword(basics: DataFrame, ratings: DataFrame, *, needle: str = TITLE_WORD,
                   title_types: tuple[str, ...] = (VIDEO_GAME, TV_EPISODE),
                   min_rating: float = 7.5, min_votes: int = 20) -> DataFrame:
-    """Titles of the given types whose primary or original title has ``needle``.
-
-    The per-type subsets are combined with UNION ALL (they are disjoint).
-    """
+    """Titles of the given types whose primary or original title has ``needle``,
+    from one scan of the titles."""
     hit = F.col("primaryTitle").contains(needle) | F.col("originalTitle").contains(needle)
-    parts = [of_type(basics, t).where(hit) for t in title_types]
-    union = parts[0]
-    for p in parts[1:]:
-        union = union.unionByName(p)
     good = ratings.where((F.col(R) >= min_rating) & (F.col(V) >= min_votes))
-    return (union.join(good, "tconst")
+    return (basics.where(F.col("titleType").isin(*title_types) & hit).join(good, "tconst")
             .select("originalTitle", R, V, "startYear")
             .orderBy(F.col(R).desc(), F.col(V).desc(), "originalTitle"))
 

@@ -9,8 +9,21 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 TABLES = ("basics", "akas", "crew", "episode", "ratings", "principals", "name")
+#: The crew lists in long form, for the questions; a catalogue whose crew is
+#: derived from credits gives it without building lists.
+LONG_CREW = "crew_people"
+
+
+def unlisted(crew: DataFrame) -> DataFrame:
+    """(tconst, nconst, role) of crew lists: role is director or writer."""
+    def members(column: str, role: str):
+        listed = F.transform(column, lambda p: F.struct(p.alias("nconst"), F.lit(role).alias("role")))
+        return F.coalesce(listed, F.array().cast("array<struct<nconst:string,role:string>>"))
+    person = F.explode(F.concat(members("directors", "director"), members("writers", "writer")))
+    return crew.select("tconst", person.alias("_p")).select("tconst", "_p.nconst", "_p.role")
 
 
 class Catalogue:
@@ -18,7 +31,7 @@ class Catalogue:
         missing = set(TABLES) - set(builders)
         if missing:
             raise ValueError(f"catalogue lacks tables: {sorted(missing)}")
-        self._builders = dict(builders)
+        self._builders = {LONG_CREW: lambda: unlisted(self["crew"]), **builders}
         self._built: dict[str, DataFrame] = {}
 
     def __getitem__(self, table: str) -> DataFrame:
@@ -28,7 +41,7 @@ class Catalogue:
         return self._built[table]
 
     def __getattr__(self, table: str) -> DataFrame:
-        if table.startswith("_") or table not in TABLES:
+        if table.startswith("_") or table not in (*TABLES, LONG_CREW):
             raise AttributeError(table)
         return self[table]
 

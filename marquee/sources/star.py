@@ -12,23 +12,31 @@ equi-join or a per-key aggregate, so it scales with the input tables.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marquee.sources.catalogue import Catalogue
 
 # --- fixed values of the binding ----------------------------------------
-# Genre vocabulary, indexed 0..9.
+# Genre vocabulary.
 GENRES = ["Drama", "Comedy", "Romance", "Thriller", "Documentary",
-          "Action", "Horror", "Sci-Fi", "Family", "Crime"]
+          "Action", "Horror", "Sci-Fi", "Family", "Crime",
+          "Adventure", "Animation", "Biography", "Fantasy", "Film-Noir",
+          "Game-Show", "History", "Music", "Musical", "Mystery",
+          "News", "Reality-TV", "Short", "Sport", "Talk-Show", "War", "Western"]
 # Credit category by return flag + line status.
 CATEGORY_BY_FLAGS = {"AF": "actor", "AO": "actress", "NF": "director",
                      "NO": "writer", "RF": "producer", "RO": "actor"}
 # Language by region name.
 LANGUAGE_BY_REGION = {"EUROPE": "uk", "ASIA": "ja", "AMERICA": "en", "MIDDLE EAST": "und"}
+# Kinds of localised title by return flag.
+TYPES_BY_FLAG = {"A": ["alternative"], "N": ["dvd", "festival"]}
 UA_NATION_KEY = 15
 FIRST_YEAR, YEAR_SPAN = 1990, 36
+FIRST_BIRTH_YEAR = 1930
+# A person is known for the titles they act in with at least this line quantity.
+KNOWN_QUANTITY = 46
 # -------------------------------------------------------------------------
 
 
@@ -47,6 +55,13 @@ def _case(c: Column, mapping: dict[str, str]) -> Column:
     return out.otherwise(F.lit(None).cast("string"))
 
 
+def _lists(c: Column, mapping: dict[str, list[str]]) -> Column:
+    out = F.lit(None).cast(T.ArrayType(T.StringType()))
+    for k, v in mapping.items():
+        out = F.when(c == k, F.array(*map(F.lit, v))).otherwise(out)
+    return out
+
+
 def _idiv(sql: str, n: int) -> Column:
     """Integer division (SQL ``div``) of a bigint expression, exact at any size."""
     return F.expr(f"({sql}) div {n}")
@@ -58,7 +73,7 @@ def _price_floor(c: Column) -> Column:
 
 def basics(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = read_star(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority")
+        "o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority", "o_orderstatus")
     c = read_star(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
     j = o.join(c, o.o_custkey == c.c_custkey)
     k, cust = F.col("o_orderkey"), F.col("o_custkey")
@@ -66,12 +81,14 @@ def basics(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocab = F.array(*[F.lit(g) for g in GENRES])
 
     def genre(i: Column) -> Column:
-        return F.element_at(vocab, (i % 10 + 1).cast("int"))
+        return F.element_at(vocab, (i % len(GENRES) + 1).cast("int"))
 
     shift = _idiv("o_orderkey", 10) % 4
     three = F.array(genre(cust), genre(cust + 1 + shift), genre(cust + 5 + shift))
     n_genres = (1 + _idiv("o_orderkey", 7) % 3).cast("int")
     kind = k % 10
+    year = F.when(k % 37 != 0, (FIRST_YEAR + _idiv("o_orderkey", 10) % YEAR_SPAN).cast("int"))
+    ended = (kind == 5) & (F.col("o_orderstatus") == "F")
     return j.select(
         _key("tt", k).alias("tconst"),
         F.when(kind < 5, "movie").when(kind == 5, "tvSeries")
@@ -80,18 +97,20 @@ def basics(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat_ws(" ", F.col("c_mktsegment"), cust.cast("string")).alias("primaryTitle"),
         F.concat_ws(" ", F.col("o_orderpriority"), cust.cast("string")).alias("originalTitle"),
         (k % 20 == 0).alias("isAdult"),
-        F.when(k % 37 != 0, (FIRST_YEAR + _idiv("o_orderkey", 10) % YEAR_SPAN).cast("int"))
-         .alias("startYear"),
-        F.lit(None).cast("int").alias("endYear"),
+        year.alias("startYear"),
+        F.when(ended, year + (price % 10).cast("int")).alias("endYear"),
         F.when(k % 11 != 0, (20 + price % 200).cast("int")).alias("runtimeMinutes"),
         F.when(k % 13 != 0, F.slice(three, 1, n_genres)).alias("genres"),
     )
 
 
 def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = read_star(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
-    k, price = F.col("o_orderkey"), _price_floor(F.col("o_totalprice"))
-    return o.where(k % 8 != 0).select(
+    """A rating per order, from the sum of its lines' prices; an order without
+    lines is unrated."""
+    li = read_star(spark, sf_dir, "lineitem").select("l_orderkey", "l_extendedprice")
+    total = li.groupBy("l_orderkey").agg(F.sum(_price_floor(F.col("l_extendedprice"))).alias("_s"))
+    k, price = F.col("l_orderkey"), F.col("_s")
+    return total.select(
         _key("tt", k).alias("tconst"),
         ((10 + price % 91).cast("double") / 10.0).alias("averageRating"),
         ((price * 7919) % 20000).cast("int").alias("numVotes"),
@@ -100,18 +119,29 @@ def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def principals(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = read_star(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_linenumber", "l_returnflag", "l_linestatus")
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag", "l_linestatus")
     flags = F.concat(F.col("l_returnflag"), F.col("l_linestatus"))
+    category = _case(flags, CATEGORY_BY_FLAGS)
     return li.select(
         _key("tt", F.col("l_orderkey")).alias("tconst"),
         F.col("l_linenumber").cast("int").alias("ordering"),
         _key("nm", F.col("l_partkey")).alias("nconst"),
-        _case(flags, CATEGORY_BY_FLAGS).alias("category"),
-        F.lit(None).cast("string").alias("job"),
-        F.lit(None).cast("string").alias("characters"),
+        category.alias("category"),
+        F.when(category.isin("writer", "producer"),
+               F.concat(F.lit("line "), F.col("l_linenumber").cast("string"))).alias("job"),
+        F.when(category.isin("actor", "actress"),
+               F.concat(F.lit('["Role '), F.col("l_suppkey").cast("string"), F.lit('"]')))
+         .alias("characters"),
     )
 
 
+def crew_people(credits: DataFrame) -> DataFrame:
+    """(tconst, nconst, role): each director and writer of a title once. The
+    long form the questions read; no list is built for them."""
+    return (credits.where(F.col("category").isin("director", "writer"))
+            .select("tconst", "nconst", F.col("category").alias("role")).distinct())
+
+
 def crew(credits: DataFrame) -> DataFrame:
     """Per title: sorted distinct directors and writers, NULL when none.
 
@@ -132,40 +162,34 @@ def crew(credits: DataFrame) -> DataFrame:
     return titles.join(lists, "tconst", "left")
 
 
-def name(spark: SparkSession, sf_dir: str, credits: DataFrame) -> DataFrame:
-    """People from parts; knownForTitles = first 1 + p%4 sorted acting titles.
-
-    The first few titles per person come from a row_number top-k, which Spark
-    runs as a partial WindowGroupLimit before the shuffle, so a person with a
-    huge filmography never moves more than 4 rows per map task.
-    """
-    part = read_star(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand")
+def name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """People from parts; known for the titles they act in with a large quantity."""
+    part = read_star(spark, sf_dir, "part").select(
+        "p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice")
+    li = read_star(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_quantity", "l_returnflag", "l_linestatus")
+    acting = [k for k, v in CATEGORY_BY_FLAGS.items() if v in ("actor", "actress")]
+    known = (li.where((F.col("l_quantity") >= KNOWN_QUANTITY)
+                      & F.concat("l_returnflag", "l_linestatus").isin(*acting))
+             .groupBy(F.col("l_partkey").alias("p_partkey"))
+             .agg(F.array_sort(F.collect_set(_key("tt", F.col("l_orderkey")))).alias("_known")))
     p = F.col("p_partkey")
-    people = part.where(p % 50 != 49).select(
+    born = F.when(p % 9 != 0, (FIRST_BIRTH_YEAR + F.col("p_size")).cast("int"))
+    died = F.when(F.col("p_size") < 20, born + (60 + _price_floor(F.col("p_retailprice")) % 30).cast("int"))
+    return part.join(known, "p_partkey", "left").select(
         _key("nm", p).alias("nconst"),
         F.when(p % 2 == 0, F.col("p_name"))
          .otherwise(F.concat_ws(" ", F.col("p_name"), F.col("p_brand"))).alias("primaryName"),
-        (1 + p % 4).cast("int").alias("_keep"),
-    )
-    acting = (credits.where(F.col("category").isin("actor", "actress"))
-              .select("nconst", "tconst").distinct())
-    w = Window.partitionBy("nconst").orderBy("tconst")
-    first4 = acting.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= 4)
-    joined = people.join(first4, "nconst", "left").where(
-        F.col("_rn").isNull() | (F.col("_rn") <= F.col("_keep")))
-    known = joined.groupBy("nconst", "primaryName").agg(
-        F.array_sort(F.collect_list("tconst")).alias("_known"))
-    return known.select(
-        "nconst", "primaryName",
-        F.lit(None).cast("int").alias("birthYear"),
-        F.lit(None).cast("int").alias("deathYear"),
-        F.lit(None).cast(T.ArrayType(T.StringType())).alias("primaryProfession"),
-        F.when(F.size("_known") > 0, F.col("_known")).alias("knownForTitles"),
+        born.alias("birthYear"),
+        died.alias("deathYear"),
+        F.when(p % 7 != 0, F.array(F.lower("p_type"), F.lower("p_brand"))).alias("primaryProfession"),
+        F.col("_known").alias("knownForTitles"),
     )
 
 
 def akas(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = read_star(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey", "l_linenumber")
+    li = read_star(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_suppkey", "l_linenumber", "l_returnflag", "l_linestatus")
     s = read_star(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
     n = read_star(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     r = read_star(spark, sf_dir, "region").select("r_regionkey", "r_name")
@@ -181,8 +205,9 @@ def akas(spark: SparkSession, sf_dir: str) -> DataFrame:
          .when(F.col("n_nationkey") == UA_NATION_KEY, "UA")
          .otherwise(F.col("n_name")).alias("region"),
         _case(F.col("r_name"), LANGUAGE_BY_REGION).alias("language"),
-        F.lit(None).cast(T.ArrayType(T.StringType())).alias("types"),
-        F.lit(None).cast(T.ArrayType(T.StringType())).alias("attributes"),
+        _lists(F.col("l_returnflag"), TYPES_BY_FLAG).alias("types"),
+        F.when(F.col("l_linestatus") == "F",
+               F.array(F.concat(F.lower("n_name"), F.lit(" title")), F.lit("literal"))).alias("attributes"),
         (line == 1).alias("isOriginalTitle"),
     )
 
@@ -198,26 +223,9 @@ def episode(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-_LOADED: dict[tuple[int, str], tuple[SparkSession, Catalogue]] = {}
-
-
 def star_catalogue(spark: SparkSession, sf_dir: str) -> Catalogue:
-    """The seven catalogue tables over the driver's tables in ``sf_dir``.
-
-    Loaded once per session and folder, like a catalogue loaded at start-up:
-    later questions reuse the same lazy DataFrames (their file listings and
-    analysed plans), not any computed data.
-    """
-    key = (id(spark), sf_dir.rstrip("/"))
-    hit = _LOADED.get(key)
-    if hit is not None and hit[0] is spark:
-        return hit[1]
-    cat = _build_star_catalogue(spark, sf_dir)
-    _LOADED[key] = (spark, cat)
-    return cat
-
-
-def _build_star_catalogue(spark: SparkSession, sf_dir: str) -> Catalogue:
+    """The seven catalogue tables over the driver's tables in ``sf_dir``, lazy,
+    over the files that are there now."""
     holder: dict[str, DataFrame] = {}
 
     def credits() -> DataFrame:
@@ -230,7 +238,8 @@ def _build_star_catalogue(spark: SparkSession, sf_dir: str) -> Catalogue:
         "ratings": lambda: ratings(spark, sf_dir),
         "principals": credits,
         "crew": lambda: crew(credits()),
-        "name": lambda: name(spark, sf_dir, credits()),
+        "crew_people": lambda: crew_people(credits()),
+        "name": lambda: name(spark, sf_dir),
         "akas": lambda: akas(spark, sf_dir),
         "episode": lambda: episode(spark, sf_dir),
     })

@@ -9,14 +9,14 @@ from hypothesis import strategies as st
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from marquee.functions.exprs import mean_from_tenths, tenths
+from marquee.functions.exprs import exact, mean_from_sum
 from marquee.operators.rank import global_dense_rank, rank_within, top_k_per_group
 from marquee.operators.series import previous_value, running_mean_rating
 
 ROWS = st.lists(
     st.tuples(
         st.sampled_from(["hot", "hot", "hot", "a", "b", None]),       # group (hot-skewed)
-        st.one_of(st.none(), st.integers(10, 100).map(lambda v: v / 10)),  # one-decimal value
+        st.one_of(st.none(), st.integers(40, 400).map(lambda v: v / 40)),  # up to three decimals
         st.one_of(st.none(), st.integers(1990, 1995)),                  # coarse order
     ),
     min_size=1, max_size=60)
@@ -70,7 +70,7 @@ def test_previous_value_equals_lag(spark, rows):
 def test_running_mean_equals_window(spark, rows):
     df = frame(spark, rows)
     w = Window.partitionBy("g").orderBy(F.col("y").asc_nulls_first())
-    plain = df.withColumn("m", mean_from_tenths(F.sum(tenths("v")).over(w), F.count("v").over(w)))
+    plain = df.withColumn("m", mean_from_sum(F.sum(exact("v")).over(w), F.count("v").over(w)))
     fast = running_mean_rating(df, "g", ["y"], "v", "m")
     assert as_set(fast, ["id", "m"]) == as_set(plain, ["id", "m"])
 
@@ -82,23 +82,16 @@ def test_prefix_sums_equal_window(spark, rows):
     df = frame(spark, rows).withColumn("one", F.lit(1))
     order = [F.col("y").asc_nulls_first(), F.col("id")]
     w = Window.partitionBy("g").orderBy(*order)
-    # Integer sums (tenths), as the operators use: exact in any order.
-    plain = (df.withColumn("s", F.coalesce(F.sum(tenths("v")).over(w), F.lit(0)))
+    # Decimal sums, as the operators use: exact in any order.
+    plain = (df.withColumn("s", F.coalesce(F.sum(exact("v")).over(w), F.lit(0)))
                .withColumn("c", F.sum("one").over(w.rowsBetween(Window.unboundedPreceding, -1))))
-    fast = prefix_sums(df, ["g"], order, {"s": tenths("v")})
+    fast = prefix_sums(df, ["g"], order, {"s": exact("v")})
     fast_before = prefix_sums(df, ["g"], order, {"c": F.col("one")}, inclusive=False)
     assert as_set(fast, ["id", "s"]) == as_set(plain, ["id", "s"])
     got = {r.id: r.c for r in fast_before.collect()}
     assert got == {r.id: (r.c or 0) for r in plain.collect()}
 
 
-def test_global_dense_rank_large_path(spark):
-    df = frame(spark, [("a", v / 10, 1990) for v in range(10, 90)])
-    plain = df.withColumn("d", F.dense_rank().over(Window.orderBy(F.col("v").desc())))
-    fast = global_dense_rank(df, "v", "d", max_broadcast_rows=5)
-    assert as_set(fast, ["id", "d"]) == as_set(plain, ["id", "d"])
-
-
 def test_top_k_per_group_keeps_k(spark):
     df = frame(spark, [("hot", v / 10, 1990) for v in range(10, 60)] + [("a", 5.0, 1991)])
     top = top_k_per_group(df, ["g"], [F.col("v").desc(), F.col("id")], 3, rank_col="rk")
@@ -107,8 +100,8 @@ def test_top_k_per_group_keeps_k(spark):
                          key=str)
 
 
-def test_large_paths_without_broadcast(spark):
-    """With broadcasts disabled every operator takes its range-block path."""
+def test_operators_without_broadcast(spark):
+    """The same with broadcast joins disabled."""
     rows = [("hot" if i % 3 else ("a" if i % 2 else None), (i * 7 % 50) / 10 + 1,
              1990 + i % 4) for i in range(300)]
     df = frame(spark, rows)
@@ -122,7 +115,7 @@ def test_large_paths_without_broadcast(spark):
         assert as_set(fast, ["id", "r", "d"]) == as_set(plain, ["id", "r", "d"])
         wy = Window.partitionBy("g").orderBy(F.col("y").asc_nulls_first())
         plain_m = df.withColumn(
-            "m", mean_from_tenths(F.sum(tenths("v")).over(wy), F.count("v").over(wy)))
+            "m", mean_from_sum(F.sum(exact("v")).over(wy), F.count("v").over(wy)))
         fast_m = running_mean_rating(df, "g", ["y"], "v", "m")
         assert as_set(fast_m, ["id", "m"]) == as_set(plain_m, ["id", "m"])
     finally:

@@ -45,8 +45,8 @@ def test_running_mean_by_title_merges_namesakes(cat):
     df = series.series_running_mean(cat.basics, cat.ratings, cat.episode)
     # Both series are called "Show"; the orphan episode (parent missing) drops.
     assert rows(df) == srt([
-        ("Show", None, 1, 7.0, 7.0), ("Show", 1, 1, 8.0, 250 / 3 / 10),
-        ("Show", 1, 1, 10.0, 250 / 3 / 10),  # tenths summed, divided once
+        ("Show", None, 1, 7.0, 7.0), ("Show", 1, 1, 8.0, 25 / 3),
+        ("Show", 1, 1, 10.0, 25 / 3),  # summed exactly, divided once
         ("Show", 1, 2, 9.0, 8.2), ("Show", 1, 2, 7.0, 8.2)])
 
 
@@ -60,15 +60,15 @@ def test_episode_counts_keep_zero(cat):
 
 
 def test_person_lookup(cat):
-    none = people.titles_of_person(cat.name, cat.crew, cat.basics, cat.ratings, person="Nobody")
+    none = people.titles_of_person(cat.name, cat.crew_people, cat.basics, cat.ratings, person="Nobody")
     assert none.count() == 0
     # Director and writer of the same title: listed once.
-    one = people.titles_of_person(cat.name, cat.crew, cat.basics, cat.ratings, person="O'Brien")
+    one = people.titles_of_person(cat.name, cat.crew_people, cat.basics, cat.ratings, person="O'Brien")
     assert rows(one) == [("Alpha", "movie", 2005, 8.5, 6000)]
 
 
 def test_actor_directors_pattern(cat):
-    df = people.actor_directors(cat.principals, cat.crew, cat.name)
+    df = people.actor_directors(cat.principals, cat.crew_people, cat.name)
     assert rows(df) == [("nm2", "O'Brien")]
 
 
@@ -79,7 +79,7 @@ def test_limit_before_name_join(cat):
 
 
 def test_games_per_director(cat):
-    assert rows(people.games_per_director(cat.basics, cat.crew, cat.name)) == [("Zoë", 1)]
+    assert rows(people.games_per_director(cat.basics, cat.crew_people, cat.name)) == [("Zoë", 1)]
 
 
 def test_localisation_counts_skip_und_and_null(cat):
@@ -107,7 +107,7 @@ def test_long_film_dense_rank(cat):
 
 
 def test_best_decade_left_name(cat):
-    df = people.best_decade(cat.basics, cat.ratings, cat.crew, cat.name)
+    df = people.best_decade(cat.basics, cat.ratings, cat.crew_people, cat.name)
     assert rows(df, "director", "primaryName", "decade", "movie_count") == srt([
         ("nm2", "O'Brien", 2000, 1), ("nm4", "Zoë", 2000, 1), ("nm5", "Ann Lee", 2010, 1)])
 
@@ -127,6 +127,36 @@ def test_distincts_count_null(cat):
     assert got["language"] == (5, "en, fr, uk, und")
 
 
+def test_distincts_refuse_what_the_shortlist_cannot_prove(cat):
+    with pytest.raises(ValueError):
+        profile.categorical_distincts({"akas": cat.akas}, max_distinct=201)
+
+
+def test_shortlist_keeps_every_allowed_count(spark):
+    df = spark.range(200).selectExpr("CAST(id AS STRING) AS s", "CAST(id % 150 AS STRING) AS t")
+    got = {r.column_name: r.distinct_count
+           for r in profile.categorical_distincts({"x": df}, max_distinct=200).collect()}
+    assert got == {"s": 200, "t": 150}
+
+
+def test_means_keep_every_decimal(spark, cat):
+    fine = cat.ratings.withColumn("averageRating", F.lit(8.25))
+    got = {r.genre: r.avg_rating for r in titles.genre_mean_rating(cat.basics, fine).collect()}
+    assert set(got.values()) == {8.25}
+
+
+def test_column_info_counts_values(cat):
+    got = {r.column_name: (r.position, r.column_type, r.n_values)
+           for r in profile.column_info({"ratings": cat.ratings, "crew": cat.crew}).collect()}
+    assert got["numVotes"] == (2, "int", 16) and got["writers"] == (2, "array<string>", 2)
+
+
+def test_long_crew_equals_the_lists(cat):
+    assert rows(cat.crew_people) == srt([
+        ("tt1", "nm2", "director"), ("tt1", "nm4", "director"), ("tt1", "nm2", "writer"),
+        ("tt2", "nm5", "director"), ("tt3", "nm5", "writer"), ("tt9", "nm4", "director")])
+
+
 def test_title_type_profile_zero_runtime(cat):
     got = {r.titleType: (r["count"], r.average_runtime)
            for r in profile.title_type_profile(cat.basics).collect()}
@@ -148,7 +178,7 @@ def test_every_question_on_empty_catalogue(spark):
     empty = fixtures.catalogue(spark, empty=True)
     skip = ("scan_", "shape_", "export_", "load_catalogue", "clean_null_token")
     counted = {"dataset_info", "title_type_profile", "result_stats", "runtime_rating_corr",
-               "subset_means", "numeric_summary", "describe_columns"}
+               "subset_means", "numeric_summary", "describe_columns", "column_info"}
     for key, fn in QUERIES.items():
         if key.startswith(skip):
             continue

@@ -7,9 +7,10 @@ import pytest
 
 import __spark_entry__ as entry
 from marquee.oracle.compare import compare
+from marquee.plans.registry import spark_queries
 from tests.conftest import SF_SMALL
 
-KEYS = sorted(entry.queries())
+KEYS = sorted(spark_queries())
 SQL = entry.oracle_sql()
 
 
