@@ -2,6 +2,7 @@
 
     python -m marquee --dumps DIR --out DIR      # the seven .tsv dumps
     python -m marquee --star DIR --out DIR       # the star-schema Parquet tables
+    ... --partition genre_trend_by_year=genre --files best_decade=4
 
 The session is taken from the environment (``getOrCreate``): on a cluster it
 is the cluster's, with its memory, partitions and checkpoint folder. Each
@@ -29,15 +30,28 @@ def question_keys() -> list[str]:
     return [k for k in QUERIES if not k.startswith(_ROUND_TRIPS)]
 
 
-def run(cat: Catalogue, out_dir: str, keys: Iterable[str] | None = None
-        ) -> dict[str, ExportReport]:
-    """Answer ``keys`` (default: every question and profile) into ``out_dir``."""
-    reports = {}
+def run(cat: Catalogue, out_dir: str, keys: Iterable[str] | None = None,
+        options: dict[str, dict] | None = None) -> dict[str, ExportReport | Exception]:
+    """Answer ``keys`` (default: every question and profile) into ``out_dir``.
+
+    ``options`` has a key's export options (``partition_column``,
+    ``num_partitions``). A key that fails is reported with its error, and the
+    others go on.
+    """
+    reports: dict[str, ExportReport | Exception] = {}
     for key in (list(keys) if keys is not None else question_keys()):
-        reports[key] = export_csv(QUERIES[key](cat), f"{out_dir.rstrip('/')}/{key}")
+        try:
+            reports[key] = export_csv(QUERIES[key](cat), f"{out_dir.rstrip('/')}/{key}",
+                                      **(options or {}).get(key, {}))
+        except Exception as failed:  # noqa: BLE001  the report names it
+            reports[key] = failed
     return reports
 
 
+def _pairs(given: list[str] | None, option: str, kind=str) -> dict[str, dict]:
+    return {k: {option: kind(v)} for k, _, v in (g.partition("=") for g in given or ())}
+
+
 def main(argv: list[str] | None = None) -> None:
     ap = argparse.ArgumentParser(prog="marquee")
     src = ap.add_mutually_exclusive_group(required=True)
@@ -45,6 +59,8 @@ def main(argv: list[str] | None = None) -> None:
     src.add_argument("--star", help="folder with the star-schema Parquet tables")
     ap.add_argument("--out", required=True, help="folder for one CSV folder per question")
     ap.add_argument("--keys", nargs="*", help="questions to answer (default: all)")
+    ap.add_argument("--partition", nargs="*", help="KEY=COLUMN: a folder for each value of the column")
+    ap.add_argument("--files", nargs="*", help="KEY=N: that many files")
     args = ap.parse_args(argv)
 
     spark = SparkSession.builder.appName("marquee").getOrCreate()
@@ -54,8 +70,13 @@ def main(argv: list[str] | None = None) -> None:
     else:
         from marquee.sources.star import star_catalogue
         cat = star_catalogue(spark, args.star)
-    reports = run(cat, args.out, args.keys)
-    print(json.dumps({k: {"path": r.path, "rows": r.rows} for k, r in reports.items()}))
+    options = _pairs(args.partition, "partition_column") | _pairs(args.files, "num_partitions", int)
+    reports = run(cat, args.out, args.keys, options)
+    failed = {k: str(r)[:300] for k, r in reports.items() if isinstance(r, Exception)}
+    print(json.dumps({k: {"error": failed[k]} if k in failed else {"path": r.path, "rows": r.rows}
+                      for k, r in reports.items()}))
+    if failed:
+        raise SystemExit(1)
 
 
 if __name__ == "__main__":

@@ -3,6 +3,10 @@
 Every export is a single write job: array columns are stringified first (CSV
 has no arrays), and the row count is collected with ``observe`` during that
 same job rather than by a separate ``count``.
+
+Text survives: blanks at its ends, quotes, backslashes and line breaks come
+back as written, and an empty text (written as ``""``) differs from NULL
+(written as nothing).
 """
 
 from __future__ import annotations
@@ -16,84 +20,80 @@ from pyspark.sql import types as T
 
 from marquee.operators.arrays import stringify_arrays
 
-TARGET_FILE_MB = 128
-BYTES_PER_CELL = 100
+#: Both sides of a file: a quote inside quotes is doubled, nothing is trimmed.
+TEXT = {"header": "true", "quote": '"', "escape": '"',
+        "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+#: NULL is written as nothing and an empty text in quotes; the reader needs
+#: some other name for NULL to tell the two apart.
+WRITTEN = {**TEXT, "nullValue": "", "emptyValue": '""'}
+READ = {**TEXT, "nullValue": "\x00", "emptyValue": "", "multiLine": "true"}
+#: Most rows of an export into one file: one task writes them.
+MOST_IN_ONE_FILE = 1_000_000
 
 
 @dataclass
 class ExportReport:
     path: str
     rows: int
-    files_hint: int | None
-    partition_column: str | None
 
 
-def estimate_files(rows: int, columns: int, target_mb: int = TARGET_FILE_MB) -> int:
-    """Files for ``rows`` x ``columns`` at ~100 bytes per cell, ``target_mb`` each."""
-    size_mb = rows * columns * BYTES_PER_CELL / (1024 * 1024)
-    return max(1, int(size_mb / target_mb))
+def _write(df: DataFrame, path: str, partition_column: str | None = None,
+           mode: str = "overwrite") -> ExportReport:
+    seen = Observation()
+    counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
+    writer = counted.write.mode(mode).options(**WRITTEN)
+    if partition_column:
+        writer = writer.partitionBy(partition_column)
+    writer.csv(path)
+    return ExportReport(path, int(seen.get.get("rows", 0)))
 
 
-def export_csv(df: DataFrame, path: str, *, partition_column: str | None = None,
-               num_partitions: int | None = None, single_file: bool = False,
-               order: Sequence[Column] | None = None, mode: str = "overwrite",
-               rows_hint: int | None = None) -> ExportReport:
-    """Write ``df`` as header CSV and report its path and row count.
-
-    * ``partition_column`` (K3): Hive-style folders, used only when the column
-      exists in the result.
-    * ``num_partitions`` (K2): that many output files (hash repartition).
-    * ``single_file`` (K6): one file; the upstream plan stays parallel and
-      rows are sorted inside that file when ``order`` is given.
-    * otherwise (K1): with ``rows_hint`` (a row count the caller already
-      has) the file count follows rows x columns x 100 B per 128 MB;
-      without it a rebalance lets AQE size the files from the real shuffle
-      sizes, so no extra counting job runs. ``single_file`` is meant for
-      bounded results (one writer task).
-    """
-    out = stringify_arrays(df)
-    obs = Observation("export")
-    out = out.observe(obs, F.count(F.lit(1)).alias("rows"))
-    writer_df, hint = out, None
-    part = partition_column if partition_column and partition_column in out.columns else None
-    if part:
-        pass
-    elif single_file:
-        writer_df = out.repartition(1)
-        if order:
-            writer_df = writer_df.sortWithinPartitions(*order)
-        hint = 1
-    elif num_partitions and num_partitions > 0:
-        writer_df = out.repartition(num_partitions)
-        hint = num_partitions
-    elif rows_hint is not None:
-        hint = estimate_files(rows_hint, len(out.columns))
-        writer_df = out.repartition(hint)
-    else:
-        writer_df = out.hint("rebalance")
-    writer = writer_df.write.mode(mode).option("header", "true")
-    if part:
-        writer = writer.partitionBy(part)
-    writer.csv(path)
-    rows = int(obs.get.get("rows", 0))
-    return ExportReport(path, rows, hint, part)
+def _ordered(df: DataFrame, order: Sequence[Column] | None, files: int) -> DataFrame:
+    """``files`` parts that follow each other in ``order``, or any parts."""
+    if not order:
+        return df.repartition(files)
+    return df.repartitionByRange(files, *order).sortWithinPartitions(*order)
 
 
 def export_csv_auto(df: DataFrame, path: str) -> ExportReport:
-    return export_csv(df, path)
+    """K1: as the result comes: a sorted result is already in range parts, whose
+    files follow each other, and AQE has sized them."""
+    return _write(stringify_arrays(df), path)
 
 
-def export_csv_n(df: DataFrame, path: str, n: int) -> ExportReport:
-    return export_csv(df, path, num_partitions=n)
+def export_csv_n(df: DataFrame, path: str, n: int,
+                 order: Sequence[Column] | None = None) -> ExportReport:
+    """K2: ``n`` files; with ``order`` they are ranges that follow each other."""
+    return _write(_ordered(stringify_arrays(df), order, n), path)
 
 
 def export_csv_partitioned(df: DataFrame, path: str, column: str) -> ExportReport:
-    return export_csv(df, path, partition_column=column)
+    """K3: a folder for each value of ``column``. The rows are rebalanced on it,
+    so a value is one file unless it is large enough to be split."""
+    if column not in df.columns:
+        return export_csv_auto(df, path)
+    return _write(stringify_arrays(df).hint("rebalance", F.col(column)), path, column)
 
 
-def export_single_file(df: DataFrame, path: str, order: Sequence[Column] | None = None
-                       ) -> ExportReport:
-    return export_csv(df, path, single_file=True, order=order, mode="errorifexists")
+def export_single_file(df: DataFrame, path: str, order: Sequence[Column] | None = None,
+                       most: int = MOST_IN_ONE_FILE) -> ExportReport:
+    """K6: one new file, for small results: more than ``most`` rows are refused
+    before anything is written."""
+    if df.limit(most + 1).count() > most:
+        raise ValueError(f"more than {most} rows; one task would write them all")
+    one = stringify_arrays(df).coalesce(1) if not order else stringify_arrays(df).repartition(1).sortWithinPartitions(*order)
+    return _write(one, path, mode="errorifexists")
+
+
+def export_csv(df: DataFrame, path: str, *, partition_column: str | None = None,
+               num_partitions: int | None = None,
+               order: Sequence[Column] | None = None) -> ExportReport:
+    """The batch run's choice: by column, into a number of files, or as it comes."""
+    if partition_column:
+        return export_csv_partitioned(df, path, partition_column)
+    if num_partitions:
+        return export_csv_n(df, path, num_partitions, order)
+    return export_csv_auto(df, path)
 
 
 def result_stats(df: DataFrame, title: str) -> DataFrame:
@@ -109,9 +109,4 @@ def csv_schema(df: DataFrame) -> T.StructType:
 
 
 def read_back(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    return spark.read.schema(schema).option("header", "true").csv(path)
-
-
-__all__ = ["ExportReport", "estimate_files", "export_csv", "export_csv_auto", "export_csv_n",
-           "export_csv_partitioned", "export_single_file", "result_stats", "csv_schema",
-           "read_back"]
+    return spark.read.schema(schema).options(**READ).csv(path)

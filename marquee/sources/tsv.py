@@ -2,7 +2,10 @@
 
 Reading is a plain CSV scan with an explicit schema: tab separator, a header
 line, ``\\N`` as the NULL token, no quote character (the dumps are unquoted,
-so a title starting with ``"`` is kept as written). Shaping then splits the
+so a title starting with ``"`` is kept as written, and blanks at a text's ends
+stay). The layout has no way to write an empty text, an empty list, or a text
+that is the NULL token: they read as NULL. It has none for tabs and line
+breaks either: the writer refuses rows that hold them. Shaping then splits the
 comma lists into arrays and parses the 0/1 flags. Everything is a projection
 over the scan, so it is lazy and splits like any text input.
 """
@@ -17,8 +20,9 @@ from marquee.sources.catalogue import TABLES, Catalogue
 from marquee.sources.schemas import (FILE_STEMS, FLAG_COLUMNS, LIST_COLUMNS, LIST_SEPARATOR,
                                      NULL_TOKEN, RAW_SCHEMAS)
 
-TSV_OPTIONS = {"sep": "\t", "header": "true", "nullValue": NULL_TOKEN, "quote": "",
-               "mode": "PERMISSIVE"}
+LAYOUT = {"sep": "\t", "header": "true", "quote": "", "ignoreLeadingWhiteSpace": "false",
+          "ignoreTrailingWhiteSpace": "false"}
+TSV_OPTIONS = {**LAYOUT, "nullValue": NULL_TOKEN, "mode": "PERMISSIVE"}
 
 
 def read_typed_tsv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -31,7 +35,7 @@ def read_typed_tsv(spark: SparkSession, path: str, schema: T.StructType) -> Data
 
 def read_untyped_tsv(spark: SparkSession, path: str) -> DataFrame:
     """S2: a header TSV with every column a string, no NULL token handling."""
-    return spark.read.option("header", "true").option("sep", "\t").csv(path)
+    return spark.read.options(**LAYOUT).csv(path)
 
 
 def clean_null_token(df: DataFrame, token: str = NULL_TOKEN) -> DataFrame:
@@ -60,34 +64,6 @@ def shape(table: str, df: DataFrame) -> DataFrame:
         for c in df.columns])
 
 
-def shape_basics(df: DataFrame) -> DataFrame:
-    return shape("basics", df)
-
-
-def shape_akas(df: DataFrame) -> DataFrame:
-    return shape("akas", df)
-
-
-def shape_crew(df: DataFrame) -> DataFrame:
-    return shape("crew", df)
-
-
-def shape_episode(df: DataFrame) -> DataFrame:
-    return shape("episode", df)
-
-
-def shape_ratings(df: DataFrame) -> DataFrame:
-    return shape("ratings", df)
-
-
-def shape_principals(df: DataFrame) -> DataFrame:
-    return shape("principals", df)
-
-
-def shape_name(df: DataFrame) -> DataFrame:
-    return shape("name", df)
-
-
 def dump_path(folder: str, table: str, suffix: str = ".tsv") -> str:
     return f"{folder.rstrip('/')}/{FILE_STEMS[table]}{suffix}"
 
@@ -102,6 +78,11 @@ def load_catalogue(spark: SparkSession, folder: str, suffix: str = ".tsv") -> Ca
     return Catalogue({t: (lambda t=t: load_table(spark, folder, t, suffix)) for t in TABLES})
 
 
+def _one_line(c: F.Column) -> F.Column:
+    return F.when(c.rlike("[\t\n\r]"), F.raise_error(F.concat(
+        F.lit("tab or line break in a dump field: "), c))).otherwise(c)
+
+
 def to_dump_layout(table: str, df: DataFrame) -> DataFrame:
     """A shaped table back in dump layout: lists comma-joined, flags as 0/1."""
     lists, flags = set(LIST_COLUMNS[table]), set(FLAG_COLUMNS.get(table, ()))
@@ -109,10 +90,12 @@ def to_dump_layout(table: str, df: DataFrame) -> DataFrame:
     for f in RAW_SCHEMAS[table].fields:
         c = f.name
         if c in lists:
-            cols.append(F.when(F.col(c).isNotNull(),
-                               F.concat_ws(LIST_SEPARATOR, F.col(c))).alias(c))
+            text = F.when(F.col(c).isNotNull(), F.concat_ws(LIST_SEPARATOR, F.col(c)))
+            cols.append(_one_line(text).alias(c))
         elif c in flags:
             cols.append(F.when(F.col(c), "1").when(~F.col(c), "0").alias(c))
+        elif isinstance(f.dataType, T.StringType):
+            cols.append(_one_line(F.col(c)).alias(c))
         else:
             cols.append(F.col(c).cast(f.dataType).alias(c))
     return df.select(*cols)
@@ -122,6 +105,6 @@ def write_dump(df: DataFrame, table: str, folder: str, suffix: str = ".tsv") ->
     """Write a shaped table as a dump file folder (header, tabs, ``\\N``)."""
     path = dump_path(folder, table, suffix)
     (to_dump_layout(table, df).write.mode("overwrite")
-     .options(sep="\t", header="true", nullValue=NULL_TOKEN, quote="", escapeQuotes="false")
+     .options(**LAYOUT, nullValue=NULL_TOKEN, emptyValue="", escapeQuotes="false")
      .csv(path))
     return path

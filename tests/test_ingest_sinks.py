@@ -30,7 +30,7 @@ def dump_dir(tmp_path):
 
 def test_typed_scan_and_shape(spark, dump_dir):
     raw = tsv.read_typed_tsv(spark, tsv.dump_path(dump_dir, "basics"), RAW_SCHEMAS["basics"])
-    shaped = {r.tconst: r for r in tsv.shape_basics(raw).collect()}
+    shaped = {r.tconst: r for r in tsv.shape("basics", raw).collect()}
     assert shaped["tt1"].genres == ["Drama"] and shaped["tt1"].isAdult is False
     assert shaped["tt1"].endYear is None
     # No quote character: the leading quote stays in the title.
@@ -78,11 +78,11 @@ def test_export_partitioned_and_missing_column(spark, tmp_path):
     path = str(tmp_path / "k3")
     sinks.export_csv_partitioned(df, path, "genre")
     dirs = sorted(d for d in os.listdir(path) if d.startswith("genre="))
+    assert all(len([f for f in os.listdir(f"{path}/{d}") if f.startswith("part-")]) == 1 for d in dirs)
     assert dirs == ["genre=Action", "genre=Comedy", "genre=Drama", "genre=Romance"]
     # Not a column of the result: plain export.
     other = str(tmp_path / "k3b")
-    rep = sinks.export_csv_partitioned(df, other, "nope")
-    assert rep.partition_column is None
+    sinks.export_csv_partitioned(df, other, "nope")
     assert not any(d.startswith("nope=") for d in os.listdir(other))
 
 
@@ -98,6 +98,9 @@ def test_single_file_sorted_and_no_overwrite(spark, tmp_path):
     assert keys == sorted(keys)
     with pytest.raises(Exception):
         sinks.export_single_file(df, path)
+    with pytest.raises(ValueError):
+        sinks.export_single_file(df, str(tmp_path / "large"), most=df.count() - 1)
+    assert not os.path.exists(tmp_path / "large")
 
 
 def test_arrays_become_strings(spark):
@@ -107,19 +110,54 @@ def test_arrays_become_strings(spark):
     assert got["tt1"] == "Drama, Comedy" and got["tt4"] == ""
 
 
-def test_estimate_files_rule():
-    assert sinks.estimate_files(0, 5) == 1
-    assert sinks.estimate_files(10_000_000, 30) == int(10_000_000 * 30 * 100 / 2**20 / 128)
-
-
-def test_export_with_row_hint(spark, tmp_path):
-    cat = fixtures.catalogue(spark)
-    df = titles.rank_in_genre(cat.basics, cat.ratings)
-    path = str(tmp_path / "k1")
-    rep = sinks.export_csv(df, path, rows_hint=df.count())
-    assert rep.files_hint == 1 and rep.rows == df.count()
-    back = sinks.read_back(spark, path, sinks.csv_schema(df))
-    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, df.collect()))
+AWKWARD = ["  pad  ", "", None, 'q"uo"te', '"', "back\\slash\\", "a\nb", "a,b", '""', "\\N", "tab\there", " ", "é\r\nz"]
+
+
+@pytest.mark.parametrize("export", [sinks.export_csv_auto, lambda d, p: sinks.export_csv_n(d, p, 2),
+                                    lambda d, p: sinks.export_csv_partitioned(d, p, "part"),
+                                    sinks.export_single_file])
+def test_text_survives_every_sink(spark, tmp_path, export):
+    rows = [(i, t, i % 2) for i, t in enumerate(AWKWARD)]
+    df = spark.createDataFrame(rows, "i int, t string, part int")
+    assert export(df, str(tmp_path / "x")).rows == len(rows)
+    back = sinks.read_back(spark, str(tmp_path / "x"), sinks.csv_schema(df))
+    assert sorted(map(tuple, back.select("i", "t", "part").collect())) == rows
+
+
+def test_files_follow_the_order(spark, tmp_path):
+    df = spark.range(1000).selectExpr("id", "(id * 7919) % 1000 AS r")
+    sinks.export_csv_n(df, str(tmp_path / "n"), 4, [F.col("r")])
+    sinks.export_csv_auto(df.orderBy("r"), str(tmp_path / "auto"))
+    for name, files in (("n", 4), ("auto", None)):
+        parts = sorted(f for f in os.listdir(tmp_path / name) if f.startswith("part-"))
+        assert files in (None, len(parts))
+        got = [int(ln.split(",")[1]) for f in parts
+               for ln in (tmp_path / name / f).read_text().splitlines()[1:]]
+        assert got == list(range(1000))
+
+
+def test_text_in_dumps(spark, tmp_path):
+    from marquee.sources.schemas import shaped_schema
+    def people(texts):
+        return spark.createDataFrame([(f"nm{i}", t, 1950, None, [t] if t else None, []) for i, t in enumerate(texts)],
+                                     shaped_schema("name"))
+    kept = [t for t in AWKWARD if t is None or not set(t) & set("\t\r\n,")]
+    tsv.write_dump(people(kept), "name", str(tmp_path))
+    back = tsv.load_table(spark, str(tmp_path), "name").orderBy(F.length("nconst"), "nconst").collect()
+    # An empty text, an empty list and the NULL token itself read as NULL.
+    plain = [None if t in ("", "\\N") else t for t in kept]
+    assert [r.primaryName for r in back] == plain
+    assert [r.primaryProfession for r in back] == [t and [t] for t in plain]
+    assert {r.knownForTitles for r in back} == {None}
+    for bad in ("tab\there", "a\nb"):
+        with pytest.raises(Exception, match="tab or line break"):
+            tsv.write_dump(people([bad]), "name", str(tmp_path / "bad"))
+
+
+def test_untyped_scan_has_no_quotes(spark, dump_dir):
+    raw = tsv.read_untyped_tsv(spark, tsv.dump_path(dump_dir, "basics"))
+    row = raw.where(F.col("tconst") == "tt2").first()
+    assert (row.primaryTitle, row.originalTitle, row.isAdult) == ('"Unclosed', '"Unclosed', "1")
 
 
 def test_batch_run_exports_every_question(spark, tmp_path):
@@ -131,3 +169,7 @@ def test_batch_run_exports_every_question(spark, tmp_path):
     reports = run(cat, str(tmp_path / "out"), ["recent_top_rated", "genre_trend_by_year"])
     assert reports["recent_top_rated"].rows == 3
     assert os.path.isdir(str(tmp_path / "out" / "genre_trend_by_year"))
+    options = {"recent_top_rated": {"num_partitions": 2}, "genre_trend_by_year": {"partition_column": "genre"}}
+    reports = run(cat, str(tmp_path / "more"), ["no_such_key", *options], options)
+    assert isinstance(reports["no_such_key"], KeyError) and reports["recent_top_rated"].rows == 3
+    assert any(d.startswith("genre=") for d in os.listdir(tmp_path / "more" / "genre_trend_by_year"))
