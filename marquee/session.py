@@ -15,24 +15,11 @@ from pyspark.sql import SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
-# Runtime SQL settings the queries rely on (all Spark defaults in 4.x). Memory,
-# executors and the shuffle partition count belong to the cluster.
-RUNTIME_CONFS = {
-    "spark.sql.adaptive.enabled": "true",
-    "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    "spark.sql.adaptive.skewJoin.enabled": "true",
-}
-
-
-def apply_runtime_confs(spark: SparkSession) -> None:
-    """Set the runtime SQL settings above on a session the caller owns."""
-    for k, v in RUNTIME_CONFS.items():
-        spark.conf.set(k, v)
-
-
-def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
-                  app: str = "marquee") -> SparkSession:
-    """A local session for tests and benchmarks (UI off, AQE on, UTC)."""
+def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str = "marquee",
+                  folder: str | None = None) -> SparkSession:
+    """A local session for tests and benchmarks (UI off, AQE on, UTC), whose
+    checkpoints and warehouse are below ``folder`` (the caller removes it)."""
+    folder = folder or tempfile.mkdtemp(prefix="marquee-")
     spark = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(app)
@@ -43,7 +30,8 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="marquee-warehouse-"))
+        .config("spark.sql.warehouse.dir", f"{folder}/warehouse")
+        .config(CHECKPOINT_CONF, f"{folder}/checkpoints")
         .config("spark.driver.memory", os.environ.get("MARQUEE_DRIVER_MEMORY", "8g"))
         .getOrCreate()
     )
@@ -101,13 +89,32 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
     return sc.getCheckpointDir() or folder
 
 
+_ISSUED: dict[str, list[str]] = {}
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh, never reused path under the shared checkpoint folder."""
+    """A fresh, never reused path under the shared checkpoint folder;
+    :func:`remove_scratch` removes what was written there."""
     root = ensure_checkpoint_dir(spark)
     if not root:
         raise RuntimeError(f"{CHECKPOINT_CONF} is not set; scratch output needs shared storage")
     root = root.rstrip("/")
-    return f"{root}/marquee-{label}-{uuid.uuid4().hex}"
+    path = f"{root}/marquee-{label}-{uuid.uuid4().hex}"
+    _ISSUED.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Remove a folder through the file system that holds it."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def remove_scratch(spark: SparkSession) -> None:
+    """Remove every scratch folder this application was given. Frames that
+    read them can't be evaluated afterwards; call it once results are stored."""
+    for path in _ISSUED.pop(spark.sparkContext.applicationId, []):
+        remove_path(spark, path)
 
 
 def shuffle_partitions(df) -> int:

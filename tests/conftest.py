@@ -12,10 +12,12 @@ SF_MID = "/root/testdata/sf0.01"
 
 
 @pytest.fixture(scope="session")
-def spark():
-    from marquee.session import local_session
-    s = local_session(cpus="*", shuffle_partitions=8, app="marquee-tests")
+def spark(tmp_path_factory):
+    from marquee.session import local_session, remove_scratch
+    s = local_session(cpus="*", shuffle_partitions=8, app="marquee-tests",
+                      folder=str(tmp_path_factory.mktemp("spark")))
     yield s
+    remove_scratch(s)
     s.stop()
 
 
