@@ -9,9 +9,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.session import scratch_path
-
-_DEAD: dict[str, list[str]] = {}
+from marquee.session import remove_path, remove_scratch, scratch_path
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,24 +22,12 @@ def written(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, label)
     df.write.option("compression", "zstd").parquet(path)
-    _DEAD.setdefault(spark.sparkContext.applicationId, []).append(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.scratch = path
     return out
 
 
-def drop(spark: SparkSession, path: str) -> None:
-    """Remove a scratch folder through the file system that holds it."""
-    jvm = spark._jvm
-    at = jvm.org.apache.hadoop.fs.Path(path)
-    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
-
-
-def release(spark: SparkSession) -> None:
-    """Remove every scratch table the operators wrote in this application.
-    Frames built on them can't be read afterwards; call it between jobs."""
-    for path in _DEAD.pop(spark.sparkContext.applicationId, []):
-        drop(spark, path)
+drop, release = remove_path, remove_scratch
 
 
 def partitions(spark: SparkSession) -> int:

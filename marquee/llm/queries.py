@@ -17,8 +17,32 @@ from .tokenfile import round_trip
 from .toxicity import toxicity
 from .urls import Rule, filter_urls
 
-#: DuckDB SQL of the queries that SQL can express.
-SQL: dict[str, str] = {}
+#: DuckDB SQL of the queries that SQL can express; the others learn, tokenize,
+#: sketch or align, and tests/llm holds them against brute force.
+SQL: dict[str, str] = {
+    "op5_warc": """
+WITH p AS (SELECT page_id, COALESCE(html, '') AS h FROM pages),
+f AS (SELECT h, min(page_id) AS first_id FROM p WHERE strlen(h) >= 100 GROUP BY h)
+SELECT p.page_id, CAST(strlen(p.h) AS BIGINT) AS payload_bytes, sha256(p.h) AS payload_digest,
+       CASE WHEN f.first_id < p.page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN f.first_id < p.page_id THEN f.first_id END AS refers_to, TRUE AS intact
+FROM p LEFT JOIN f ON p.h = f.h""",
+    "op8_neardup": r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+s AS MATERIALIZED (SELECT doc_id, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 4 THEN [array_to_string(ws, ' ')]
+             ELSE list_distinct(list_transform(range(1, len(ws) - 2),
+                                               lambda i: array_to_string(ws[i:i + 3], ' '))) END AS sh FROM w),
+e AS MATERIALIZED (SELECT doc_id, unnest(sh) AS x FROM s),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c
+      FROM e a JOIN e b ON a.x = b.x AND a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id),
+l AS MATERIALIZED (SELECT p.a, p.b FROM p JOIN s t ON p.a = t.doc_id JOIN s u ON p.b = u.doc_id
+      WHERE 100 * p.c >= 80 * (len(t.sh) + len(u.sh) - p.c)),
+r AS (SELECT doc_id, doc_id AS seen FROM s UNION SELECT r.doc_id, l.b FROM r JOIN l ON r.seen = l.a)
+SELECT s.doc_id, CAST(len(s.sh) AS BIGINT) AS n_shingles, m.component_id, s.doc_id = m.component_id AS kept
+FROM s JOIN (SELECT doc_id, min(seen) AS component_id FROM r GROUP BY doc_id) m ON s.doc_id = m.doc_id""",
+}
 
 
 def op8_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
