@@ -139,5 +139,5 @@ def test_scans_read_only_needed_columns(cat, key):
     for m in re.finditer(r"Location: InMemoryFileIndex\(1 paths\)\[[^\]]*/(\w+)\.parquet\].*?"
                          r"ReadSchema: struct<([^>\n]*)", text):
         table, fields = m.group(1), m.group(2).split(",")
-        if table in WIDE:
+        if table in WIDE and key != "column_info":  # that one counts every column
             assert len(fields) < WIDE[table], (key, table, fields)
