@@ -24,6 +24,7 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -32,7 +33,7 @@ from pyspark.sql import functions as F
 from marquee.session import scratch_path
 
 from .frames import partitions, small_batches, written
-from .units import Units
+from .units import MOST_UNITS, Units
 from .words import slices
 
 MAGIC = b"IDPACK1\n"
@@ -172,6 +173,11 @@ _UNEVEN = re.compile(rf"[{_SPACE}](?:[{_SPACE}]|\Z)|\A[{_SPACE}]|[\t\x0b-\r{_OTH
 _UNITS = re.compile(rf"[{_SPACE}]+(?![^{_SPACE}])| ?[^{_SPACE}]+|[{_SPACE}]")
 
 
+#: The tokenizer's pattern, and characters on which it is not applied here.
+_PATTERN = regex.compile(r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+""")
+_BEYOND = re.compile(r"[^\x00-\x1b\x20-\u024f]")
+
+
 def units_of(text: str) -> list[str]:
     """Runs of the text between which the tokenizer's pattern always splits:
     a word with the blank before it, or white space before such a run."""
@@ -189,11 +195,21 @@ def units_of(text: str) -> list[str]:
     return out
 
 
+def _byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in a byte-level vocabulary: printable
+    Latin-1 characters for themselves, the others from U+0100 on."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + k) for k, b in enumerate(rest)}
+
+
 class ByteBpe:
-    """Ids of texts as ``tokenizers`` gives them, each distinct unit encoded once.
+    """Ids of texts as ``tokenizers`` gives them, each distinct piece encoded once.
 
-    New units go to the library in one text for many, divided by line breaks,
-    whose id occurs nowhere else; units with a line break go alone.
+    New units are split by the tokenizer's pattern here, and the library's
+    model encodes the pieces not seen before. Units with characters beyond
+    Latin, of whose classes two Unicode versions may differ, go through the
+    library whole.
     """
 
     def __init__(self, path: str):
@@ -208,26 +224,33 @@ class ByteBpe:
         self.tokenizer = Tokenizer.from_file(path)
         self.size = self.tokenizer.get_vocab_size()
         self.added = [t["content"] for t in spec["added_tokens"]]
-        self.line = self._encode("\n")
+        self.model = self.tokenizer.model
+        self.letters = _byte_letters()
+        self.pieces: dict[str, list[int]] = {}
         self.units = Units(self._new)
 
     def _encode(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
+    def _piece(self, piece: str) -> list[int]:
+        ids = self.pieces.get(piece)
+        if ids is None:
+            if len(self.pieces) >= MOST_UNITS:
+                self.pieces.clear()
+            spelled = piece.encode().decode("latin-1").translate(self.letters)
+            ids = self.pieces[piece] = [t.id for t in self.model.tokenize(spelled)]
+        return ids
+
     def _new(self, units: list[str]) -> list[list[int]]:
-        out: dict[int, list[int]] = {}
-        plain = [i for i, u in enumerate(units) if "\n" not in u and not u.isspace()]
-        joined = [plain[a:a + 500] for a in range(0, len(plain), 500)]
-        texts = ["\n".join(units[i] for i in some) for some in joined]
-        line = self.line[0]
-        for some, e in zip(joined, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
-            ids = np.array(e.ids)
-            parts = np.split(ids, np.flatnonzero(ids == line))
-            parts = [parts[0], *(p[1:] for p in parts[1:])]
-            if len(parts) != len(some):
-                parts = [self._encode(units[i]) for i in some]
-            out.update(zip(some, (list(p) for p in parts)))
-        return [out[i] if i in out else self._encode(u) for i, u in enumerate(units)]
+        out = []
+        for unit in units:
+            if _BEYOND.search(unit):
+                out.append(self._encode(unit))
+            else:
+                parts = _PATTERN.findall(unit)
+                out.append(self._piece(parts[0]) if len(parts) == 1 else
+                           [i for p in parts for i in self._piece(p)])
+        return out
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(all ids, bounds of each text's)."""

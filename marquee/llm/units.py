@@ -14,7 +14,7 @@ from itertools import chain, islice
 import numpy as np
 
 #: Distinct units kept by a worker; the table starts anew beyond it.
-MOST_UNITS = 300_000
+MOST_UNITS = 500_000
 
 
 class _Numbers(dict):
