@@ -1,8 +1,8 @@
 """Language identification by compression.
 
 Every learned language has a zstandard raw-content dictionary made of sample
-texts. A text is compressed, in blocks, with each dictionary; the language of
-the smallest total is predicted. Blocks are short, so that a long text is
+texts. A text's words in lower case are compressed, in blocks, with each
+dictionary; the language of the smallest total is predicted. Blocks are short, so that a long text is
 measured against the dictionaries to its end and not against itself. The
 margin is the share by which the second smallest total exceeds the smallest;
 a prediction with a narrow margin is rejected.
@@ -24,14 +24,15 @@ from .words import slices
 SAMPLE_TEXTS = 400       # sample texts of a language, at most
 SAMPLE_CHARS = 600       # characters a sample text gives to a dictionary, at most
 DICTIONARY_BYTES = 1 << 17  # size of a dictionary, at most
-BLOCK_BYTES = 2_048
-LEVEL = 3
+BLOCK_BYTES = 4_096
+LEVEL = 6
 SHORT_BYTES, SHORT_LEVEL = 256, 19  # short texts need matches of three bytes, which high levels find
 MARGIN = 0.002           # least margin that is accepted
 FOLDS, HELD_OUT = 4, 2   # rows whose crc32 has this remainder are never learned from
 UNDETERMINED = "und"
 
 _LETTER = re.compile(r"[^\W\d_]")
+_OTHER = re.compile(r"[\W\d_]+")
 
 
 def learn(docs: DataFrame) -> dict[str, bytes]:
@@ -51,8 +52,14 @@ def learn(docs: DataFrame) -> dict[str, bytes]:
     return {row["lang"]: dictionary(texts[row["lang"]]) for row in often.toLocalIterator()}
 
 
+def plain(text: str) -> str:
+    """The text's words in lower case: capitals, digits and marks tell junk
+    apart, not languages."""
+    return _OTHER.sub(" ", text.lower())
+
+
 def dictionary(texts: list[str]) -> bytes:
-    return "\n".join(dict.fromkeys(texts)).lower().encode()[-DICTIONARY_BYTES:]
+    return plain(" ".join(dict.fromkeys(texts))).encode()[-DICTIONARY_BYTES:]
 
 
 class Classifier:
@@ -73,7 +80,7 @@ class Classifier:
         with nothing learned, is ``und``."""
         if not text or not self.langs or not _LETTER.search(text):
             return UNDETERMINED, 0.0, False
-        raw = text.lower().encode()
+        raw = plain(text).encode()
         blocks = [raw[a:a + BLOCK_BYTES] for a in range(0, len(raw), BLOCK_BYTES)]
         if len(self.langs) == 1:
             return self.langs[0], 1.0, True
