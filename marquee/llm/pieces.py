@@ -30,6 +30,7 @@ from .words import slices
 
 MARK = "▁"
 PAIRS = 400_000  # remembered verdicts on pairs of pieces
+_NONE = float("-inf")
 
 
 class Pieces:
@@ -50,6 +51,7 @@ class Pieces:
         self.ids = {names[i]: i for i in normal}
         self.scores = {names[i]: model.get_score(i) for i in normal}
         self.longest = max(map(len, self.ids), default=1)
+        self.endings = self._endings()
         self.floor = min(self.scores.values(), default=0.0) - 10.0
         self.value = {i: self._bytes(names[i], i) for i in range(size)}
         crossing = [p for p in self.ids if MARK in p.lstrip(MARK)]
@@ -102,22 +104,52 @@ class Pieces:
             offer(i, right[i])
         return [p for p in parts if p is not None]
 
+    def _endings(self) -> dict[str, list[int]]:
+        """Lengths of the pieces that end with each two characters, longest first."""
+        out: dict[str, set[int]] = {}
+        for piece in self.scores:
+            if len(piece) > 1:
+                out.setdefault(piece[-2:], set()).add(len(piece))
+        return {k: sorted(v, reverse=True) for k, v in out.items()}
+
+    def _merged_short(self, text: str) -> list[str]:
+        """:meth:`merged` by plain scans, which is faster for a few characters."""
+        parts, get = list(text), self.scores.get
+        scores = [get(parts[i] + parts[i + 1], _NONE) for i in range(len(parts) - 1)]
+        while scores:
+            best = max(scores)
+            if best == _NONE:
+                break
+            i = scores.index(best)
+            parts[i:i + 2] = [parts[i] + parts[i + 1]]
+            del scores[i]
+            if i:
+                scores[i - 1] = get(parts[i - 1] + parts[i], _NONE)
+            if i < len(scores):
+                scores[i] = get(parts[i] + parts[i + 1], _NONE)
+        return parts
+
     def _apart(self, a: str, b: str) -> bool:
-        """Whether the merges keep the two pieces apart."""
+        """Whether the merges keep the two pieces apart (b is empty: whether
+        they make a whole)."""
         known = self.pairs.get((a, b))
         if known is None:
             if len(self.pairs) >= PAIRS:
                 self.pairs.clear()
-            known = self.pairs[a, b] = self.merged(a + b) == [a, b]
+            known = self.pairs[a, b] = self._merged_short(a + b) == ([a, b] if b else [a])
         return known
 
     def _last_merged(self, word: str, i: int, last: list) -> str:
         """Last piece of the merges' path through ``word[:i]``."""
-        scores = self.scores
-        for n in range(min(self.longest, i), 1, -1):
+        scores, pairs = self.scores, self.pairs
+        for n in self.endings.get(word[i - 2:i], ()) if i > 1 else ():
+            if n > i:
+                continue
             piece = word[i - n:i]
-            if piece in scores and (n == i or self._apart(last[i - n], piece)):
-                if n < i or self.merged(piece) == [piece]:
+            if piece in scores:
+                key = (last[i - n], piece) if n < i else (piece, "")
+                apart = pairs.get(key)
+                if apart if apart is not None else self._apart(*key):
                     return piece
         return word[i - 1:i]
 
@@ -158,6 +190,10 @@ class Pieces:
     # -- texts ------------------------------------------------------------------
 
     def _to_ids(self, path: list[str]) -> list[int]:
+        try:
+            return [self.ids[piece] for piece in path]
+        except KeyError:  # a character outside the vocabulary
+            pass
         out: list[int] = []
         for piece in path:
             i = self.ids.get(piece)
