@@ -175,6 +175,7 @@ _UNITS = re.compile(rf"[{_SPACE}]+(?![^{_SPACE}])| ?[^{_SPACE}]+|[{_SPACE}]")
 
 #: The tokenizer's pattern, and characters on which it is not applied here.
 _PATTERN = regex.compile(r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+""")
+_MARKS = ".,;:!?%&$#*"
 _BEYOND = re.compile(r"[^\x00-\x1b\x20-\u024f]")
 
 
@@ -242,9 +243,16 @@ class ByteBpe:
         return ids
 
     def _new(self, units: list[str]) -> list[list[int]]:
-        out = []
+        out, pieces = [], self.pieces
         for unit in units:
-            if _BEYOND.search(unit):
+            word = unit.rstrip(_MARKS)  # most units: letters, then perhaps marks
+            if (word[1:] if word[:1] == " " else word).isalpha() and max(word) < "\u0250":
+                ids = pieces.get(word) or self._piece(word)
+                if len(word) < len(unit):
+                    marks = unit[len(word):]
+                    ids = ids + (pieces.get(marks) or self._piece(marks))
+                out.append(ids)
+            elif _BEYOND.search(unit):
                 out.append(self._encode(unit))
             else:
                 parts = _PATTERN.findall(unit)
