@@ -1,7 +1,8 @@
 """Toxicity by gradient-boosted trees over dense features, calibrated.
 
 1. A lexicon is learned from a bounded sample of labelled texts: words and
-   word beginnings that are common in toxic texts and rare in others.
+   word beginnings that are in more toxic texts than chance explains, and rare
+   in others.
 2. Each text gives a dozen features: densities of lexicon words, how close
    they stand to second-person words, and rates of capitals, punctuation and
    obfuscated words. A token's share is worked out once per distinct token.
@@ -34,15 +35,16 @@ from .words import slices
 
 SAMPLE = 20_000      # labelled rows that are learned from, at most
 POSITIVE = 8_000     # of them toxic, at most
-SUPPORT = 0.02       # share of the toxic texts that a lexicon entry is in, at least
+SUPPORT = 3          # toxic texts that a lexicon entry is in, at least
 LIFT = 10.0          # how many times as common it is in toxic texts, at least
 CHANCE = 0.05        # entries of any kind that chance may bring into the lexicon
-ENTRIES = 3_000      # entries of the lexicon, at most: the strongest
+ENTRIES = 100_000    # entries of the lexicon, at most: the strongest
 BEGINNINGS = (4, 5, 6, 7)
 TREES, DEPTH = 20, 3
 FOLDS, HELD_OUT, CALIBRATION = 5, 0, 1  # crc32 remainders: never learned from; only calibrated with
 NEAR = 6             # words between a lexicon word and a second-person word that count as close
 MOST_TOKENS = 200_000
+MOST_KEYS = 400_000  # keys that a task counts before it hands them on
 
 # Second-person words of English, German, French, Spanish, Italian and Portuguese.
 SECOND_PERSON = frozenset("""
@@ -156,44 +158,42 @@ def _sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return written(texts.join(F.broadcast(chosen), "doc_id"), "labelled")  # at most SAMPLE ids
 
 
-def _counted(texts: DataFrame, wanted: frozenset | None) -> DataFrame:
-    """Texts that hold each lexicon key (of the wanted ones)."""
-    def run(batches):
-        counts: Counter = Counter()
-        for part in slices(batches, "text"):
-            for text in part.column("text").to_pylist():
-                found = set().union(*map(entries_of, set((text or "").lower().split())))
-                counts.update(found if wanted is None else found & wanted)
-        keys = list(counts)
+def _counted(sample: DataFrame) -> DataFrame:
+    """(key, n, c): toxic and other texts that hold each lexicon key."""
+    def emptied(counts: tuple[Counter, Counter]) -> Iterator[pa.RecordBatch]:
+        keys = list(counts[1].keys() | counts[0].keys())
         for a in range(0, len(keys), 50_000):
             some = keys[a:a + 50_000]
-            yield pa.RecordBatch.from_arrays([pa.array(some, pa.string()),
-                                              pa.array([counts[k] for k in some], pa.int64())], names=["key", "n"])
-    found = texts.select("text").mapInArrow(run, "key string, n long").groupBy("key").agg(F.sum("n").alias("n"))
-    return found
+            yield pa.RecordBatch.from_arrays([pa.array(some, pa.string())] + [
+                pa.array([counts[toxic][k] for k in some], pa.int64()) for toxic in (1, 0)], names=["key", "n", "c"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = Counter(), Counter()
+        for part in slices(batches, "text"):
+            for text, toxic in zip(part.column("text").to_pylist(), part.column("toxic").to_pylist()):
+                counts[toxic].update(set().union(*map(entries_of, set((text or "").lower().split()))))
+            if sum(map(len, counts)) > MOST_KEYS:
+                yield from emptied(counts)
+                counts = Counter(), Counter()
+        yield from emptied(counts)
+    found = sample.select("text", "toxic").mapInArrow(run, "key string, n long, c long")
+    return found.groupBy("key").agg(F.sum("n").alias("n"), F.sum("c").alias("c"))
 
 
 def learn_lexicon(sample: DataFrame, toxic: int, clean: int) -> dict[str, float]:
-    """Key -> log of its lift. Keys of toxic texts first, those with support;
-    then the same keys in the others. What reaches the driver is bounded: a
-    text has a bounded share of keys with support."""
-    least = max(3, math.ceil(SUPPORT * toxic))
-    hot = {r["key"]: r["n"] for r in _counted(sample.where("toxic = 1"), None).where(F.col("n") >= least)
-           .orderBy(F.desc("n"), "key").limit(100_000).toLocalIterator()}
-    cold = {r["key"]: r["n"] for r in _counted(sample.where("toxic = 0"), frozenset(hot)).toLocalIterator()}
-    base, doubt = toxic / (toxic + clean), math.log(max(1, len(hot)) / CHANCE)
-
-    def surprise(n: int, c: int) -> float:
-        """Log odds against so many toxic ones of n + c by chance (Chernoff's bound)."""
-        share = n / (n + c)
-        if share <= base:
-            return 0.0
-        rest = c * math.log((1 - share) / (1 - base)) if c else 0.0
-        return n * math.log(share / base) + rest
-    lift = {k: (n / toxic) / ((cold.get(k, 0) + 0.5) / (clean + 1)) for k, n in hot.items()
-            if surprise(n, cold.get(k, 0)) >= doubt}
-    best = sorted((k for k in lift if lift[k] >= LIFT), key=lambda k: (-lift[k], k))[:ENTRIES]
-    return {k: math.log(lift[k]) for k in best}
+    """Key -> log of its lift, of the keys that chance doesn't explain. No
+    share of the toxic texts is asked for, as a language may have few of them.
+    Counts stay in Spark; the entries alone reach the driver."""
+    hot = written(_counted(sample).where(F.col("n") >= SUPPORT), "keys")
+    base, doubt = toxic / (toxic + clean), math.log(max(1, hot.count()) / CHANCE)
+    n, c = F.col("n"), F.col("c")
+    share = n / (n + c)
+    # log odds against so many toxic ones of n + c by chance (Chernoff's bound)
+    surprise = n * F.log(share / base) + F.when(c > 0, c * F.log((1 - share) / (1 - base))).otherwise(0.0)
+    lift = (n / toxic) / ((c + 0.5) / (clean + 1))
+    best = (hot.where((share > base) & (surprise >= doubt)).select("key", lift.alias("lift"))
+            .where(F.col("lift") >= LIFT).orderBy(F.desc("lift"), "key").limit(ENTRIES))
+    return {r["key"]: math.log(r["lift"]) for r in best.toLocalIterator()}
 
 
 def _featured(docs: DataFrame, lexicon: dict[str, float], prefix: str) -> DataFrame:

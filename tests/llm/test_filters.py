@@ -98,6 +98,29 @@ def test_held_out_toxicity_is_found(spark, insulted):
     assert stay.columns[5] == "tox__score" and stay.count() == sum(not r["predicted"] for r in rows)
 
 
+def test_insults_of_a_small_language_are_found(spark):
+    """Eight toxic texts in a hundred are Spanish, and each of their insults is in fewer than two in a hundred."""
+    rng = random.Random(21)
+    vocabulary = {k: ["".join(rng.choices("abcdefghijklmnop", k=rng.randint(2, 7))) for _ in range(200)] for k in ("en", "es")}
+    insults = {"en": ["dumbo", "fooly", "jerkish"], "es": ["zorrut", "quezna", "xurrut", "zyvalt", "wuzzon", "yokelz", "vuzqui", "tzarrt", "ruzpol", "sixtun"]}
+    rows = []
+    for d in range(4000):
+        lang = "es" if d % 16 == 0 else "en"
+        text = rng.choices(vocabulary[lang], k=rng.randint(15, 30))
+        if d % 5 == 1 if lang == "en" else d % 64 == 0:
+            for k in (d // 64, d // 64 + 1):
+                text.insert(rng.randrange(len(text)), insults[lang][k % len(insults[lang])])
+        rows.append((d, " ".join(text), lang))
+    toxic = {d for d, t, lang in rows if any(w in t.split() for w in insults[lang])}
+    docs = spark.createDataFrame(extra(rows), DOCS)
+    labels = spark.createDataFrame([(d, int(d in toxic)) for d, *_ in rows], "doc_id long, toxic int")
+    by_id, recall, alarms = {d: lang for d, _, lang in rows}, {"en": [], "es": []}, []
+    for r in toxicity.toxicity(docs, labels).where("held_out").collect():
+        (recall[by_id[r["doc_id"]]] if r["doc_id"] in toxic else alarms).append(r["predicted"])
+    assert len(recall["es"]) >= 8
+    assert np.mean(recall["en"]) >= 0.95 and np.mean(recall["es"]) >= 0.9 and np.mean(alarms) <= 0.01
+
+
 def test_toxicity_without_both_classes(spark, insulted):
     docs, labels = insulted
     assert {r["score"] for r in toxicity.toxicity(docs, labels.where("toxic = 0")).collect()} == {0.0}
