@@ -30,8 +30,10 @@ from .words import PUNCTUATION, shingle_hashes, slices, word_hashes
 GRAM = 3             # words to an n-gram
 WINDOW = 3           # n-grams in a row of which the rarest is a seed
 BLOCK_WORDS = 2_000_000  # words of the benchmark that a pass holds
-GAP = 0.5            # price of a word that only one side has
-SWAP = 0.5           # price of a word that differs
+GAP = 0.5            # price of a word that only one side has, in mean weights of the item's words
+SWAP = 0.5           # price of a word that differs, likewise
+RARE = 0.001         # share of the items that have a word from which it weighs fully
+LIGHTEST = 0.1       # weight of a word that most items have
 THRESHOLD = 0.5      # least score of a leak
 
 
@@ -62,12 +64,16 @@ class Items:
                    np.unique(np.concatenate(grams)) if grams else np.empty(0, np.uint64))
 
 
-def _blocks(items: DataFrame) -> Iterator[Items]:
-    """The benchmark's items, a bounded number of words at a time."""
+def _listed(items: DataFrame) -> DataFrame:
+    """(item_id, text) of the benchmark's items, each once."""
     rows = items.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
-    rows = rows.where("text is not null").distinct()
+    return rows.where("text is not null").distinct()
+
+
+def _blocks(listed: DataFrame) -> Iterator[Items]:
+    """The benchmark's items, a bounded number of words at a time."""
     held, words = [], 0
-    for row in rows.orderBy("item_id", "text").toLocalIterator():
+    for row in listed.orderBy("item_id", "text").toLocalIterator():
         held.append(row)
         words += row["text"].count(" ") + 1
         if words >= BLOCK_WORDS:
@@ -77,6 +83,22 @@ def _blocks(items: DataFrame) -> Iterator[Items]:
         yield Items.of(held)
 
 
+def _spread(listed: DataFrame) -> DataFrame:
+    """(word, n): items of the whole benchmark that hold each word; n of the
+    null word is the number of items with words."""
+    def run(batches):
+        for part in slices(batches, "text"):
+            words, before = _words(part.column("text"))
+            own = [np.unique(words[a:b]) for a, b in zip(before[:-1], before[1:]) if b > a]
+            if own:
+                every, count = np.unique(np.concatenate(own), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array([None, *every.view(np.int64).tolist()], pa.int64()),
+                                                  pa.array([len(own), *count.tolist()], pa.int64())],
+                                                 names=["word", "n"])
+    found = listed.select("text").mapInArrow(run, "word long, n long")
+    return written(found.groupBy("word").agg(F.sum("n").alias("n")), "spread")
+
+
 class _Lookup:
     """Places of hashes in a sorted table, with a bit map before the search."""
 
@@ -138,10 +160,26 @@ def _seeds(items: Items, often: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.
             np.array([p for _, _, p in out], np.int64))
 
 
-def _weights(items: Items) -> list[np.ndarray]:
-    """Weight of an item's words, 0.1 to 1: the fewer items have it the heavier."""
-    every, count = np.unique(np.concatenate([np.unique(w) for w in items.words]), return_counts=True)
-    return [np.clip(1 / count[np.searchsorted(every, w)] ** 0.5, 0.1, 1.0) for w in items.words]
+def _weights(items: Items, spread: DataFrame) -> list[np.ndarray]:
+    """Weight of an item's words, relative to their mean: the smaller the share
+    of the benchmark's items that have a word, the heavier."""
+    every = np.unique(np.concatenate(items.words))
+
+    def run(batches):
+        lookup = _Lookup(every)
+        for part in batches:
+            words = part.column("word").fill_null(0).to_numpy().view(np.uint64)
+            at, to = lookup.find(words)
+            real = part.column("word").is_valid().to_numpy(zero_copy_only=False)[at]
+            yield pa.RecordBatch.from_arrays([pa.array(to[real]), part.column("n").take(pa.array(at[real]))],
+                                             names=["place", "n"])
+    count = np.ones(len(every))
+    for place, n in spread.mapInArrow(run, "place long, n long").toLocalIterator():  # a row for each word of the block
+        count[place] = n
+    total = spread.where("word is null").first()["n"]
+    rarity = np.clip(np.log(total / count) / -np.log(RARE), LIGHTEST, 1.0)
+    weights = [rarity[np.searchsorted(every, w)] for w in items.words]
+    return [w / w.mean() for w in weights]
 
 
 def align(item: np.ndarray, weight: np.ndarray, windows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -170,10 +208,10 @@ _FOUND = ["doc_id", "item_id", "score", "first_word", "n_words"]
 class _Search:
     """Leaks of a block of items in texts."""
 
-    def __init__(self, items: Items, often: np.ndarray, threshold: float):
+    def __init__(self, items: Items, often: np.ndarray, spread: DataFrame, threshold: float):
         self.items, self.threshold, self.sizes = items, threshold, _sizes(items)
         self.hashes, self.item, self.place = _seeds(items, often)
-        self.weights = _weights(items)
+        self.weights = _weights(items, spread)
 
     def ready(self) -> _Search:
         self.table, self.first = np.unique(self.hashes, return_index=True)
@@ -233,9 +271,11 @@ class _Search:
 
 def _searches(docs: DataFrame, items: DataFrame, threshold: float) -> Iterator[_Search]:
     small_batches(docs.sparkSession)
-    for block in _blocks(items):
+    listed = _listed(items)
+    spread = _spread(listed)
+    for block in _blocks(listed):
         if block.ids:
-            yield _Search(block, _frequencies(docs, block), threshold)
+            yield _Search(block, _frequencies(docs, block), spread, threshold)
 
 
 def contaminated(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> DataFrame:

@@ -187,6 +187,40 @@ def test_benchmark_in_blocks_gives_the_same(spark, leaky, monkeypatch):
     assert decontaminate.without_leaks(docs, bench).count() == len(rows) - len(leaks)
 
 
+def test_edited_leaks_are_found_in_a_benchmark_of_any_size(spark):
+    """The same items, and copies of them with changed words, inside 40 and inside 20,000 items."""
+    rng = np.random.default_rng(5)
+    share = 1 / np.arange(1, 30_001)
+    drawn = rng.choice(30_000, (20_000, 38), p=share / share.sum())
+    items = [" ".join(f"w{w}" for w in row) for row in drawn.tolist()]
+    noise = rng.choice(30_000, (160, 60), p=share / share.sum()).tolist()
+    rows, leaks = [], set()
+    for k in range(120):
+        words = items[k % 40].split()
+        for at in rng.permutation(38)[:4 if k < 40 else 6 if k < 80 else 9]:
+            words[at] = "changed"
+        rows.append((k, " ".join([f"w{w}" for w in noise[k][:30]] + words + [f"w{w}" for w in noise[k][30:]])))
+        leaks.add((k, k % 40))
+    rows += [(k, " ".join(f"w{w}" for w in noise[k])) for k in range(120, 160)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    for size in (40, 20_000):
+        bench = spark.createDataFrame(list(enumerate(items[:size])), "item_id long, text string")
+        found = {(r["doc_id"], r["item_id"]) for r in decontaminate.contaminated(docs, bench).collect()}
+        assert found <= leaks
+        for a, least in ((0, 1), (40, 1), (80, 0.9)):
+            assert sum((k, k % 40) in found for k in range(a, a + 40)) >= least * 40, (size, a)
+
+
+def test_scores_do_not_depend_on_the_blocks(spark, leaky, monkeypatch):
+    items, rows, _ = leaky
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame([(k, " ".join(w)) for k, w in items.items()], "item_id long, text string")
+    score = lambda: {(r["doc_id"], r["item_id"]): r["score"] for r in decontaminate.contaminated(docs, bench).collect()}
+    whole = score()
+    monkeypatch.setattr(decontaminate, "BLOCK_WORDS", 200)
+    assert score() == whole
+
+
 def test_leak_in_a_very_long_text_and_empty_tables(spark):
     item = "alpha beta gamma delta epsilon zeta eta theta iota kappa"
     docs = spark.createDataFrame([(1, "filler words go on " * 60_000 + item + " more" * 9), (2, "filler")], "doc_id long, text string")
