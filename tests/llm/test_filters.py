@@ -38,6 +38,17 @@ def test_held_out_documents_get_their_language(spark):
     assert all(0 <= r["score"] <= 1 for r in rows)
 
 
+def test_a_language_that_was_not_learned_is_rejected(spark):
+    docs = table(spark, MID, "documents")
+    for lang in ("en", "de", "fr", "es"):
+        known = langid.learn(docs.where(f"lang <> '{lang}'"))
+        assert len(known) == 3 and lang not in known
+        unknown = [r["accepted"] for r in langid.predict(docs.where(f"lang = '{lang}'"), known).collect()]
+        assert len(unknown) >= 100 and np.mean(unknown) <= 0.05
+        kept = langid.accepted(docs.where(f"lang <> '{lang}'"), known)
+        assert kept.count() >= 0.97 * docs.where(f"lang <> '{lang}'").count()
+
+
 def test_language_edges(spark):
     en, de = "the cat sat on the mat and looked at the dog " * 9, "der hund und die katze sitzen auf dem teppich " * 9
     rows = [(d, (en, de)[d % 2], ("en", "de")[d % 2]) for d in range(40)]
