@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from . import warc
+from .collocations import collocations
 from .decontaminate import contaminated
 from .fingerprint import edit_likeness
 from .frames import table
@@ -20,6 +21,39 @@ from .urls import Rule, filter_urls
 #: DuckDB SQL of the queries that SQL can express; the others learn, tokenize,
 #: sketch or align, and tests/llm holds them against brute force.
 SQL: dict[str, str] = {
+    "op13_collocations": r"""
+WITH p AS (
+  SELECT COALESCE(lang, 'und') AS lang, regexp_extract_all(unnest(regexp_split_to_array(
+         translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[.,;:!?\x0A-\x0D]')), '[^\x20\x09]+') AS ws FROM documents),
+u AS (SELECT lang, unnest(ws) AS w FROM p),
+f1 AS MATERIALIZED (SELECT lang, w, count(*) AS f FROM u GROUP BY lang, w),
+f2 AS MATERIALIZED (SELECT lang, g[1] AS x, g[2] AS y, count(*) AS f FROM
+  (SELECT lang, unnest(list_transform(range(1, len(ws)), lambda i: ws[i:i + 1])) AS g FROM p) GROUP BY ALL),
+f3 AS MATERIALIZED (SELECT lang, g[1] AS x, g[2] AS y, g[3] AS z, count(*) AS f FROM
+  (SELECT lang, unnest(list_transform(range(1, len(ws) - 1), lambda i: ws[i:i + 2])) AS g FROM p)
+  GROUP BY ALL HAVING count(*) >= 10),
+longer AS (SELECT lang, x, y, max(f) AS f FROM (
+  SELECT lang, x, y, f FROM f3 UNION ALL SELECT lang, y, z, f FROM f3) GROUP BY ALL),
+cuts AS (
+  SELECT f2.lang, f2.x || ' ' || f2.y AS phrase, 1 AS k, f2.f AS a, l.f AS l, r.f AS r
+  FROM f2 JOIN f1 l ON l.lang = f2.lang AND l.w = f2.x JOIN f1 r ON r.lang = f2.lang AND r.w = f2.y
+  LEFT JOIN longer g ON g.lang = f2.lang AND g.x = f2.x AND g.y = f2.y
+  WHERE f2.f >= 10 AND (g.f IS NULL OR 100 * g.f < 50 * f2.f)
+  UNION ALL
+  SELECT f3.lang, f3.x || ' ' || f3.y || ' ' || f3.z, 1, f3.f, l.f, r.f
+  FROM f3 JOIN f1 l ON l.lang = f3.lang AND l.w = f3.x
+  JOIN f2 r ON r.lang = f3.lang AND r.x = f3.y AND r.y = f3.z
+  UNION ALL
+  SELECT f3.lang, f3.x || ' ' || f3.y || ' ' || f3.z, 2, f3.f, l.f, r.f
+  FROM f3 JOIN f2 l ON l.lang = f3.lang AND l.x = f3.x AND l.y = f3.y
+  JOIN f1 r ON r.lang = f3.lang AND r.w = f3.z),
+scored AS (SELECT *, CAST((1000000::HUGEINT * a * a) // (l::HUGEINT * r) AS BIGINT) AS score FROM cuts),
+least AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM least)
+SELECT lang, rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r,
+       (SELECT CAST(sum(f) AS BIGINT) FROM f1 WHERE f1.lang = ranked.lang) AS n, score
+FROM ranked WHERE rank <= 2000""",
     "op5_warc": """
 WITH p AS (SELECT page_id, COALESCE(html, '') AS h FROM pages),
 f AS (SELECT h, min(page_id) AS first_id FROM p WHERE strlen(h) >= 100 GROUP BY h)
@@ -45,6 +79,10 @@ FROM s JOIN (SELECT doc_id, min(seen) AS component_id FROM r GROUP BY doc_id) m
 }
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
+
+
 def op8_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), NearDup(shingle=4))
 
