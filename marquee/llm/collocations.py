@@ -1,18 +1,19 @@
 """Phrase collocations by the stripes pattern.
 
 A prefix keys an associative counter of what follows it. The stripe of a word
-``w`` in a language holds ``{next: f(w next)}``, with an entry for the piece's
-end, and ``{(next, after): f(w next after)}``. Tasks count a few megabytes of
-text at a time and send one stripe for each word, so a phrase that fills a
-third of the corpus is one entry of a stripe; stripes of one word are then
-merged elementwise. The sum of the first kind of entry is the prefix total
-f(w); the second kind gives extensions and, by their maxima, which phrases a
-longer one subsumes.
-
-A stripe is dealt out over ``SHARDS`` parts by the hash of an entry's words,
-the same in every task, so a frequent word's counter (its entries number up to
-the pairs of words seen behind it) isn't one task's work; only sums and maxima
-of parts meet later. A task holds the distinct entries of one part at a time.
+``w`` in a language holds ``{(next, after): f}``, with empty words at the
+piece's end. Tasks count a few megabytes of text at a time and send one stripe
+for each word, so a phrase that fills a third of the corpus is one entry of a
+stripe; stripes of one word are then merged elementwise. Its sums are the
+prefix totals f(w) and f(w next), its entries the extensions; their maxima say
+which phrases a longer one subsumes.
+
+A frequent word's stripe is no single task's work. Words that make up a
+``SHARE``-th of the corpus or more (at most ``SHARE`` of them) are found by a
+first count; a stripe of such a word is dealt out over as many parts as it has
+shares, by the hash of ``next``, or of both words where ``next`` is frequent
+too (then the pair itself has an entry, as its extensions lie in several
+parts). So no part stands for more than about a share of the corpus.
 """
 
 from __future__ import annotations
@@ -32,7 +33,7 @@ from .frames import small_batches, written
 #: Bytes of text counted at once, and stripe entries merged at once.
 CHUNK_BYTES = 12 << 20
 CHUNK_ENTRIES = 1 << 20
-SHARDS = 32
+SHARE = 20_000
 
 _BREAK, _BLANK = 0x0A, 0x20
 _BYTES = bytearray(range(256))
@@ -80,43 +81,51 @@ def _pieces(texts: list[bytes], limit: int) -> Iterator[np.ndarray]:
         yield np.frombuffer(b"\n".join(held), np.uint8)
 
 
-def _stripes(raw: np.ndarray) -> tuple[pa.Array, np.ndarray, pa.Array, pa.Array] | None:
-    """(first word, shard, entries, counts) of each stripe of some pieces. An
-    entry is ``next after`` with a line feed; ``next`` is empty at a piece's
-    end, ``after`` is empty where the pair itself is counted."""
+def _words(raw: np.ndarray) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """(distinct words after an empty one, each word's number, its piece)."""
     breaks = raw == _BREAK
     gap = breaks | (raw == _BLANK)
     word = ~gap
     before, behind = np.ones(len(raw), bool), np.ones(len(raw), bool)
     before[1:], behind[:-1] = gap[:-1], gap[1:]
     starts = np.flatnonzero(word & before)
-    if not len(starts):
-        return None
     lengths = np.flatnonzero(word & behind) + 1 - starts
     coded = _binary(raw[word], lengths).dictionary_encode()
-    ids = coded.indices.to_numpy().astype(np.int64) + 1  # 0 is no word
     names = pa.concat_arrays([pa.array([b""], pa.large_binary()), coded.dictionary])
-    piece = np.cumsum(breaks)[starts]
+    return names, coded.indices.to_numpy().astype(np.int64) + 1, np.cumsum(breaks)[starts]
+
+
+def _stripes(raw: np.ndarray, parts_of: dict[bytes, int]) -> tuple[pa.Array, np.ndarray, pa.Array, pa.Array] | None:
+    """(first word, part, entries, counts) of each stripe of some pieces. An
+    entry is ``next after`` with a line feed; ``parts_of`` has the frequent words."""
+    names, ids, piece = _words(raw)
+    if not len(ids):
+        return None
     second, third = np.zeros_like(ids), np.zeros_like(ids)
     second[:-1] = np.where(piece[1:] == piece[:-1], ids[1:], 0)
     third[:-2] = np.where(piece[2:] == piece[:-2], ids[2:], 0)
-
-    pair, n_pair = np.unique(ids * len(names) + second, return_counts=True)
     if len(names) < 1 << 21:
-        triple, n_triple = np.unique((ids << 42 | second << 21 | third)[third > 0], return_counts=True)
+        triple, n = np.unique(ids << 42 | second << 21 | third, return_counts=True)
         one, two, three = triple >> 42, triple >> 21 & (1 << 21) - 1, triple & (1 << 21) - 1
     else:  # a pair's place stands for it
-        place = np.searchsorted(pair, ids * len(names) + second)
-        triple, n_triple = np.unique((place * len(names) + third)[third > 0], return_counts=True)
-        first_two = pair[triple // len(names)]
-        one, two, three = first_two // len(names), first_two % len(names), triple % len(names)
-    one = np.concatenate([pair // len(names), one])
-    two = np.concatenate([pair % len(names), two])
-    three = np.concatenate([np.zeros_like(pair), three])
-    n = np.concatenate([n_pair, n_triple])
-
-    code = np.fromiter(map(crc32, names.to_pylist()), np.int64, len(names))
-    stripe = one * SHARDS + (code[two] * 31 + code[three]) % SHARDS
+        pair, place = np.unique(ids * len(names) + second, return_inverse=True)
+        triple, n = np.unique(place * len(names) + third, return_counts=True)
+        one, three = np.divmod(pair[triple // len(names)], len(names))[0], triple % len(names)
+        two = pair[triple // len(names)] % len(names)
+
+    listed = names.to_pylist()
+    parts = np.fromiter((parts_of.get(w, 1) for w in listed), np.int64, len(listed))
+    both = (parts[one] > 1) & (parts[two] > 1)
+    edge = np.flatnonzero((np.diff(one, prepend=-1) != 0) | (np.diff(two, prepend=-1) != 0))
+    pairs, kept = edge[both[edge]], ~(both & (three == 0))
+    n = np.concatenate([np.add.reduceat(n, edge)[both[edge]], n[kept]])
+    code = np.fromiter(map(crc32, listed), np.int64, len(listed))
+    spread = code[two] + np.where(both, 31 * code[three], 0)
+    spread = np.concatenate([code[two[pairs]] + 31 * code[0], spread[kept]])
+    one, two = np.concatenate([one[pairs], one[kept]]), np.concatenate([two[pairs], two[kept]])
+    three = np.concatenate([np.zeros_like(pairs), three[kept]])
+
+    stripe = one * (SHARE + 1) + spread % parts[one]
     order = np.argsort(stripe, kind="stable")
     stripe = stripe[order]
     edges = np.concatenate([[0], np.flatnonzero(np.diff(stripe)) + 1, [len(stripe)]])
@@ -128,36 +137,57 @@ def _stripes(raw: np.ndarray) -> tuple[pa.Array, np.ndarray, pa.Array, pa.Array]
     blobs = pa.Array.from_buffers(pa.large_binary(), len(edges) - 1, [None, pa.py_buffer(ends.copy()), data])
     counts = _binary(n[order].astype("<u4").view(np.uint8), np.diff(edges) * 4)
     first = stripe[edges[:-1]]
-    return names.take(pa.array(first // SHARDS)), first % SHARDS, blobs, counts
-
-
-_STRIPE = pa.schema([("lang", pa.string()), ("first", pa.binary()), ("shard", pa.int32()),
-                     ("entries", pa.binary()), ("counts", pa.binary())])
+    return names.take(pa.array(first // (SHARE + 1))), first % (SHARE + 1), blobs, counts
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    def done(texts: dict):
-        for lang, held in texts.items():
-            for raw in _pieces(held, CHUNK_BYTES):
-                found = _stripes(raw)
-                if found is not None:
-                    first, shard, entries, counts = found
-                    for at in range(0, len(first), 20_000):
-                        cut = slice(at, at + 20_000)
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array([lang] * len(first[cut]), pa.string()), first[cut].cast(pa.binary()),
-                             pa.array(shard[cut], pa.int32()), entries[cut].cast(pa.binary()),
-                             counts[cut].cast(pa.binary())], schema=_STRIPE)
-
+def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, np.ndarray]]:
+    """(lang, mapped bytes) in parts of about ``CHUNK_BYTES``."""
     texts, size = {}, 0
     for batch in batches:
         for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").cast(pa.binary()).to_pylist()):
             texts.setdefault(lang, []).append(text)
             size += len(text)
             if size >= CHUNK_BYTES:
-                yield from done(texts)
+                for key, held in texts.items():
+                    yield from ((key, raw) for raw in _pieces(held, CHUNK_BYTES))
                 texts, size = {}, 0
-    yield from done(texts)
+    for key, held in texts.items():
+        yield from ((key, raw) for raw in _pieces(held, CHUNK_BYTES))
+
+
+def _frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(lang, word, n) of each chunk's words that make up a share of it, and
+    the chunk's number of words (null word). A share of the corpus is one of
+    some chunk, so none that is frequent is missed, only counted too low."""
+    for lang, raw in _chunks(batches):
+        names, ids, _ = _words(raw)
+        n = np.bincount(ids, minlength=len(names))
+        often = np.flatnonzero(n * SHARE >= max(1, len(ids)))
+        often = often[n[often] > 1]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([lang] * (len(often) + 1), pa.string()),
+             pa.array([None] + names.take(pa.array(often)).to_pylist(), pa.binary()),
+             pa.array(np.concatenate([[len(ids)], n[often]]), pa.int64())], names=["lang", "word", "n"])
+
+
+_STRIPE = pa.schema([("lang", pa.string()), ("first", pa.binary()), ("part", pa.int32()),
+                     ("entries", pa.binary()), ("counts", pa.binary())])
+
+
+def _count(hot: dict[str, dict[bytes, int]]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for lang, raw in _chunks(batches):
+            found = _stripes(raw, hot.get(lang, {}))
+            if found is None:
+                continue
+            first, part, entries, counts = found
+            for at in range(0, len(first), 20_000):
+                cut = slice(at, at + 20_000)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([lang] * len(first[cut]), pa.string()), first[cut].cast(pa.binary()),
+                     pa.array(part[cut], pa.int32()), entries[cut].cast(pa.binary()),
+                     counts[cut].cast(pa.binary())], schema=_STRIPE)
+    return run
 
 
 class _Merged:
@@ -189,30 +219,54 @@ class _Merged:
         coded = entries.dictionary_encode()
         width = max(1, len(coded.dictionary))
         key, at = np.unique(of * width + coded.indices.to_numpy().astype(np.int64), return_inverse=True)
-        total = np.zeros(len(key), np.int64)
-        np.add.at(total, at, n)
+        total = np.bincount(at.ravel(), n, len(key)).astype(np.int64)
         return key // width, coded.dictionary.take(pa.array(key % width)), total
 
 
-def _merge(least: int):
-    """(lang, first, next, after, n) of the entries that reach ``least``, and
-    for each stripe its part of the prefix total (``next`` is null there)."""
+def _merge(least: int, hot: dict[str, dict[bytes, int]]):
+    """(lang, first, next, after, n) of the pairs (``after`` is null) and
+    triples that reach ``least``, and each stripe's part of the prefix total
+    (``next`` is null there)."""
     schema = pa.schema([("lang", pa.string()), ("first", pa.binary()), ("next", pa.binary()),
                         ("after", pa.binary()), ("n", pa.int64())])
 
+    def halves(entries: pa.Array) -> tuple[pa.Array, np.ndarray]:
+        """(next word, whether there is none after it) of each entry."""
+        _, offsets, data = entries.buffers()
+        edges = np.frombuffer(offsets, np.int64)[entries.offset:entries.offset + len(entries) + 1]
+        raw = np.frombuffer(data, np.uint8)[edges[0]:edges[-1]] if len(entries) else np.empty(0, np.uint8)
+        edges = edges - edges[0]
+        blank = np.flatnonzero(raw == _BLANK)
+        step = np.zeros(len(raw) + 1, np.int8)
+        step[edges[:-1]] += 1
+        step[blank] -= 1
+        return _binary(raw[np.cumsum(step[:-1]) > 0], blank - edges[:-1]), blank + 1 == edges[1:]
+
     def rows(keys: list, of: np.ndarray, entries: pa.Array, n: np.ndarray) -> pa.RecordBatch:
-        pairs = pc.ends_with(entries, b" ").to_numpy(zero_copy_only=False)
-        totals = np.zeros(len(keys), np.int64)
-        np.add.at(totals, of[pairs], n[pairs])
+        following, bare = halves(entries)
+        coded = following.dictionary_encode()
+        names, two = coded.dictionary.to_pylist(), coded.indices.to_numpy().astype(np.int64)
+        langs = {lang: k for k, lang in enumerate(dict.fromkeys(k[0] for k in keys))}
+        lang = np.array([langs[k[0]] for k in keys])
+        often = np.array([k[1] in hot.get(k[0], ()) for k in keys])
+        table = np.array([[w in hot.get(name, ()) for w in names] if often[lang == k].any() else [False] * len(names)
+                          for name, k in langs.items()], bool).reshape(len(langs), len(names))
+        counted = bare | ~(often[of] & table[lang[of], two])  # frequent pairs have an entry of their own
+        key, at = np.unique(of[counted] * len(names) + two[counted], return_inverse=True)
+        pair = np.bincount(at.ravel(), n[counted], len(key)).astype(np.int64)
+        totals = np.bincount(key // len(names), pair, len(keys)).astype(np.int64)
         has = np.flatnonzero(totals)
-        kept = np.flatnonzero((n >= least) & ~pc.equal(entries, b" ").to_numpy(zero_copy_only=False))
-        split = [e.split(b" ") for e in entries.take(pa.array(kept)).to_pylist()]
-        who = [keys[k] for k in has.tolist()] + [keys[k] for k in of[kept].tolist()]
+        named = np.fromiter(map(len, names), np.int64, len(names)) > 0
+        pairs = np.flatnonzero((pair >= least) & named[key % len(names)])
+        triples = np.flatnonzero((n >= least) & ~bare)
+        split = [e.split(b" ") for e in entries.take(pa.array(triples)).to_pylist()]
+        who = [keys[k] for k in np.concatenate([has, key[pairs] // len(names), of[triples]]).tolist()]
         return pa.RecordBatch.from_arrays([
             pa.array([k[0] for k in who], pa.string()), pa.array([k[1] for k in who], pa.binary()),
-            pa.array([None] * len(has) + [s[0] for s in split], pa.binary()),
-            pa.array([None] * len(has) + [s[1] or None for s in split], pa.binary()),
-            pa.array(np.concatenate([totals[has], n[kept]]), pa.int64())], schema=schema)
+            pa.array([None] * len(has) + [names[k] for k in (key[pairs] % len(names)).tolist()] + [x for x, _ in split],
+                     pa.binary()),
+            pa.array([None] * (len(has) + len(pairs)) + [y for _, y in split], pa.binary()),
+            pa.array(np.concatenate([totals[has], pair[pairs], n[triples]]), pa.int64())], schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, held = _Merged(), None
@@ -224,7 +278,8 @@ def _merge(least: int):
                     held = now.fold(held)
                     if now.keys[-1] == key:  # the stripe goes on: keep what is merged of it
                         last = held[0] == len(now.keys) - 1
-                        yield rows(now.keys[:-1], held[0][~last], held[1].filter(pa.array(~last)), held[2][~last])
+                        if len(now.keys) > 1:
+                            yield rows(now.keys[:-1], held[0][~last], held[1].filter(pa.array(~last)), held[2][~last])
                         held = (np.zeros(int(last.sum()), np.int64), held[1].filter(pa.array(last)), held[2][last])
                     else:
                         yield rows(now.keys, *held)
@@ -245,10 +300,17 @@ def phrase_counts(docs: DataFrame, least: int = 10) -> DataFrame:
     small_batches(docs.sparkSession)
     rows = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"),
                        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    stripes = rows.mapInArrow(_count, "lang string, first binary, shard int, entries binary, counts binary")
-    dealt = (stripes.repartition("lang", "first", "shard")
-             .sortWithinPartitions("lang", "first", "shard"))
-    merged = dealt.mapInArrow(_merge(least), "lang string, first binary, next binary, after binary, n long")
+    counted = rows.mapInArrow(_frequent, "lang string, word binary, n long").groupBy("lang", "word").agg(
+        F.sum("n").alias("n"))
+    counted = written(counted, "frequent")
+    corpus = counted.where("word is null").agg(F.sum("n")).first()[0] or 0
+    hot: dict[str, dict[bytes, int]] = {}
+    for row in counted.where("word is not null").where(F.col("n") * SHARE >= 2 * corpus).collect():
+        hot.setdefault(row["lang"], {})[bytes(row["word"])] = row["n"] * SHARE // corpus
+    stripes = rows.mapInArrow(_count(hot), "lang string, first binary, part int, entries binary, counts binary")
+    dealt = (stripes.repartition("lang", "first", "part")
+             .sortWithinPartitions("lang", "first", "part"))
+    merged = dealt.mapInArrow(_merge(least, hot), "lang string, first binary, next binary, after binary, n long")
     return merged.select("lang", *[F.col(c).cast("string").alias(c) for c in ("first", "next", "after")], "n")
 
 

@@ -62,7 +62,7 @@ def test_equals_brute_force(spark, monkeypatch, small):
             for limit in (50, 1 << 20):
                 found = Counter()
                 for raw in c._pieces(texts, limit):
-                    stripes = c._stripes(raw)
+                    stripes = c._stripes(raw, {})
                     if stripes:
                         first, shard, entries, counts = stripes
                         for w, e, n in zip(first.to_pylist(), entries.to_pylist(), counts.to_pylist()):
@@ -77,20 +77,28 @@ def test_merging_in_small_steps_changes_nothing(monkeypatch):
     import pyarrow as pa
     rows = corpus(5, 60, 8)
     batch = pa.RecordBatch.from_pydict({"lang": ["x"] * len(rows), "text": [t for _, t in rows]})
-    stripes = pa.Table.from_batches(list(c._count([batch, batch, batch]))).combine_chunks()
-    order = stripes.sort_by([("first", "ascending"), ("shard", "ascending")])
-    thrice = pa.concat_tables([order] * 3).sort_by([("first", "ascending"), ("shard", "ascending")])
+    hot = {"x": {b"w1\xc3\xa9": 3, b"w2\xc3\xa9": 2, b"w0": 5}}
+    stripes = pa.Table.from_batches(list(c._count(hot)([batch, batch, batch]))).combine_chunks()
+    assert set(stripes.column("part").to_pylist()) == set(range(5))
+    order = stripes.sort_by([("first", "ascending"), ("part", "ascending")])
+    thrice = pa.concat_tables([order] * 3).sort_by([("first", "ascending"), ("part", "ascending")])
 
     def merged(step):
         monkeypatch.setattr(c, "CHUNK_ENTRIES", step)
         found = Counter()
-        for out in c._merge(1)(iter(thrice.to_batches(max_chunksize=7))):
+        for out in c._merge(1, hot)(iter(thrice.to_batches(max_chunksize=7))):
             for row in out.to_pylist():
                 key = (row["first"], row["next"], row["after"])
                 assert row["next"] is None or key not in found
                 found[key] += row["n"]
         return found
-    assert merged(3) == merged(1 << 20)
+    whole = merged(1 << 20)
+    assert merged(3) == whole
+    hot = {}
+    stripes = pa.Table.from_batches(list(c._count(hot)([batch, batch, batch]))).combine_chunks()
+    order = stripes.sort_by([("first", "ascending"), ("part", "ascending")])
+    thrice = pa.concat_tables([order] * 3).sort_by([("first", "ascending"), ("part", "ascending")])
+    assert merged(1 << 20) == whole  # parts of frequent words add up to the same
 
 
 def test_ties_limits_and_empty_tables(spark):
