@@ -16,11 +16,41 @@ from .neardup import NearDup, near_duplicates
 from .pieces import encode
 from .tokenfile import round_trip
 from .toxicity import toxicity
+from .trie import rebuilt_trie
 from .urls import Rule, filter_urls
 
 #: DuckDB SQL of the queries that SQL can express; the others learn, tokenize,
 #: sketch or align, and tests/llm holds them against brute force.
 SQL: dict[str, str] = {
+    "op11_trie": """
+WITH t AS (
+  SELECT conv_id AS c, COALESCE(role, '') AS role, COALESCE(text, '') AS text, row_number() OVER (
+    PARTITION BY conv_id ORDER BY turn NULLS FIRST, COALESCE(role, ''), COALESCE(text, '')) AS rn
+  FROM conversations WHERE conv_id IS NOT NULL),
+o AS MATERIALIZED (SELECT c, list({'r': role, 't': text} ORDER BY rn) AS ts FROM t GROUP BY c),
+k AS (SELECT c, ts, xor(list_reduce(list_transform(string_split(CAST(c AS VARCHAR), ''), lambda s: ascii(s)::BIGINT),
+        lambda crc, b: list_reduce([0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[],
+          lambda v, z: xor(v >> 1, 3988292384 * (v & 1)) + z, xor(crc, b)), 4294967295::BIGINT),
+        4294967295::BIGINT) % 6 AS h FROM o),
+r AS MATERIALIZED (SELECT k.c, CASE WHEN b.c IS NULL THEN k.ts[k.h + 1:]
+                   ELSE list_concat(b.ts[1:k.h], k.ts[k.h + 1:]) END AS ts
+                   FROM k LEFT JOIN o b ON b.c = k.c - k.c % 100),
+m AS (SELECT c, len(ts) AS size, depth, ts[1:depth] AS path
+      FROM (SELECT c, ts, unnest(range(0, len(ts) + 1)) AS depth FROM r)),
+n AS MATERIALIZED (
+  SELECT path, depth, min(c) AS conv_id, count(*) AS n_convs,
+         sha256(COALESCE(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (size = depth), '')) AS ends_sha256
+  FROM m GROUP BY path, depth),
+kids AS MATERIALIZED (SELECT path[1:depth - 1] AS path, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY ALL),
+u AS (SELECT n.path, n.depth, kids.path IS NULL AS leaf,
+             CASE WHEN n.depth = 0 THEN 0 ELSE (n.n_convs - 1) * length(n.path[n.depth].t) END AS saved
+      FROM n LEFT JOIN kids ON n.path = kids.path),
+s AS (SELECT path[1:up] AS path, CAST(sum(saved) AS BIGINT) AS saved_tokens, count(*) FILTER (leaf) AS n_leaves
+      FROM (SELECT *, unnest(range(0, depth + 1)) AS up FROM u) GROUP BY ALL)
+SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, COALESCE(kids.n_children, 0) AS n_children,
+       s.n_leaves, s.saved_tokens, n.ends_sha256
+FROM n JOIN s ON s.path = n.path LEFT JOIN kids ON kids.path = n.path
+LEFT JOIN n p ON n.depth > 0 AND p.path = n.path[1:n.depth - 1]""",
     "op13_collocations": r"""
 WITH p AS (
   SELECT COALESCE(lang, 'und') AS lang, regexp_extract_all(unnest(regexp_split_to_array(
@@ -79,6 +109,10 @@ FROM s JOIN (SELECT doc_id, min(seen) AS component_id FROM r GROUP BY doc_id) m
 }
 
 
+def op11_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rebuilt_trie(table(spark, sf_dir, "conversations"))
+
+
 def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations(table(spark, sf_dir, "documents"))
 
