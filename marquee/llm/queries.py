@@ -14,6 +14,7 @@ from .htmltext import extract
 from .langid import predict
 from .neardup import NearDup, near_duplicates
 from .pieces import encode
+from .suffixes import without_repeats
 from .tokenfile import round_trip
 from .toxicity import toxicity
 from .trie import rebuilt_trie
@@ -51,6 +52,24 @@ SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, COALESCE(kids
        s.n_leaves, s.saved_tokens, n.ends_sha256
 FROM n JOIN s ON s.path = n.path LEFT JOIN kids ON kids.path = n.path
 LEFT JOIN n p ON n.depth > 0 AND p.path = n.path[1:n.depth - 1]""",
+    "op12_suffixes": """
+WITH d AS MATERIALIZED (SELECT row_number() OVER () AS row, doc_id, encode(COALESCE(text, '')) AS b FROM documents),
+s AS (SELECT row, p, md5(b[p + 1:p + 400]) AS h
+      FROM (SELECT row, b, unnest(range(0, octet_length(b) - 399)) AS p FROM d)),
+r AS (SELECT row, p FROM s WHERE h IN (SELECT h FROM s GROUP BY h HAVING count(*) > 1)),
+g AS (SELECT row, p, sum(CASE WHEN p > before + 400 THEN 1 ELSE 0 END) OVER (PARTITION BY row ORDER BY p) AS island
+      FROM (SELECT row, p, lag(p) OVER (PARTITION BY row ORDER BY p) AS before FROM r)),
+i AS MATERIALIZED (SELECT row, min(p) AS lo, max(p) + 400 AS hi FROM g GROUP BY row, island),
+k AS (SELECT i.row, lo, substr(hex(b), CAST(2 * after + 1 AS BIGINT), CAST(2 * (lo - after) AS BIGINT)) AS piece,
+             last, hex(b) AS x, hi
+      FROM (SELECT *, COALESCE(lag(hi) OVER (PARTITION BY row ORDER BY lo), 0) AS after,
+                   lead(lo) OVER (PARTITION BY row ORDER BY lo) IS NULL AS last FROM i) i JOIN d ON d.row = i.row),
+t AS (SELECT row, CAST(sum(hi - lo) AS BIGINT) AS n_removed, count(*) AS n_spans FROM i GROUP BY row),
+z AS (SELECT row, sha256(unhex(string_agg(piece || CASE WHEN last THEN substr(x, CAST(2 * hi + 1 AS BIGINT)) ELSE '' END,
+                                          '' ORDER BY lo))) AS kept FROM k GROUP BY row)
+SELECT doc_id, CAST(octet_length(b) AS BIGINT) AS n_bytes, COALESCE(n_removed, 0) AS n_removed,
+       COALESCE(n_spans, 0) AS n_spans, COALESCE(kept, sha256(b)) AS kept_sha256
+FROM d LEFT JOIN t ON t.row = d.row LEFT JOIN z ON z.row = d.row""",
     "op13_collocations": r"""
 WITH p AS (
   SELECT COALESCE(lang, 'und') AS lang, regexp_extract_all(unnest(regexp_split_to_array(
@@ -113,6 +132,10 @@ def op11_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rebuilt_trie(table(spark, sf_dir, "conversations"))
 
 
+def op12_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return without_repeats(table(spark, sf_dir, "documents"))
+
+
 def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations(table(spark, sf_dir, "documents"))
 

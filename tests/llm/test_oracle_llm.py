@@ -11,7 +11,7 @@ from tests.conftest import SF_SMALL
 
 def test_every_operator_and_the_pipeline_is_registered():
     names = list(entry.queries())
-    assert [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)] == [1] * 10
+    assert [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 14)] == [1] * 13
     assert "pipeline" in names and set(SQL) <= set(entry.oracle_sql())
 
 
