@@ -28,18 +28,13 @@ def series_running_mean(basics: DataFrame, ratings: DataFrame, episode: DataFram
                            F.col("primaryTitle").alias("series_title"))
     order, out = ["seasonNumber", "episodeNumber"], "cumulative_avg_rating"
     cols = ["series_title", "seasonNumber", "episodeNumber", R, out]
-    if by == "title":
-        rows = running_mean_rating(eps.join(series, "parentTconst"), "series_title", order, R, out)
-        key = "series_title"
-    else:
-        # Positions first, titles last: the sums never sit behind a join on
-        # the series id, so one series with most episodes is split by position.
-        rows = running_mean_rating(eps, "parentTconst", order, R, out).join(series, "parentTconst")
+    key = "series_title"
+    if by != "title":
         key = "parentTconst"
         cols.insert(1, key)
-    return rows.select(*cols).orderBy(
-        key, F.col("seasonNumber").asc_nulls_first(), F.col("episodeNumber").asc_nulls_first(),
-        R)
+    rows = running_mean_rating(eps.join(series, "parentTconst"), key, order, R, out)
+    return rows.select(*cols).sortWithinPartitions(
+        key, F.col("seasonNumber").asc_nulls_first(), F.col("episodeNumber").asc_nulls_first(), R)
 
 
 def episodes_per_title(basics: DataFrame, episode: DataFrame, ratings: DataFrame) -> DataFrame:

@@ -16,7 +16,7 @@ from marquee.fixed import (COMEDY, CURRENT_YEAR, DOCUMENTARY, MOVIE, ROMANCE, TI
 from marquee.functions.exprs import (combo_key, has_all, int_mean, mean_rating,
                                      stringify)
 from marquee.operators.agg import materialize
-from marquee.operators.rank import (best_per_group, global_dense_rank, rank_within,
+from marquee.operators.rank import (best_per_group, global_dense_rank, ranked_in_order,
                                     top_k)
 
 R, V = "averageRating", "numVotes"
@@ -61,16 +61,14 @@ def runtime_by_frequent_type(basics: DataFrame, *, min_rows: int = 1000) -> Data
 def rank_in_genre(basics: DataFrame, ratings: DataFrame, *, min_votes: int = 100) -> DataFrame:
     """Rank (with gaps) of every rated title within each of its genres.
 
-    Ranks come from a (genre, rating) value table, so a genre holding most
-    titles is not funnelled through one task. The rated titles feed that table
-    and the join back: they are written once.
+    After the title join the rows move once, in ranges of (genre, rating), so
+    a genre holding most titles is not funnelled through one task; ranges
+    follow each other in the wanted order.
     """
-    rows = materialize(basics.select("tconst", "primaryTitle", "genres")
-                       .join(ratings.where(F.col(V) > min_votes).select("tconst", R), "tconst"))
-    rows = rows.select("tconst", "primaryTitle", R, F.explode("genres").alias("genre"))
-    ranked = rank_within(rows, ["genre"], R, "rank_within_genre")
-    return (ranked.select("tconst", "primaryTitle", "genre", R, "rank_within_genre")
-            .orderBy("genre", "rank_within_genre", "tconst"))
+    rows = (basics.select("tconst", "primaryTitle", "genres")
+            .join(ratings.where(F.col(V) > min_votes).select("tconst", R), "tconst")
+            .select("tconst", "primaryTitle", F.explode("genres").alias("genre"), R))
+    return ranked_in_order(rows, "genre", R, "tconst", "rank_within_genre")
 
 
 def titles_in_language(akas: DataFrame, *, language: str = UKRAINIAN) -> DataFrame:

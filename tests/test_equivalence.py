@@ -10,7 +10,8 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from marquee.functions.exprs import exact, mean_from_sum
-from marquee.operators.rank import global_dense_rank, rank_within, top_k_per_group
+from marquee.operators import ranges
+from marquee.operators.rank import global_dense_rank, rank_within, ranked_in_order, top_k_per_group
 from marquee.operators.series import previous_value, running_mean_rating
 
 ROWS = st.lists(
@@ -122,6 +123,63 @@ def test_operators_without_broadcast(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
 
+@SETTINGS
+@given(rows=ROWS)
+def test_ranked_in_order_equals_window(spark, rows):
+    df = frame(spark, rows)
+    w = Window.partitionBy("g").orderBy(F.col("v").desc())
+    plain = df.withColumn("r", F.rank().over(w))
+    fast = ranked_in_order(df, "g", "v", "id", "r")
+    assert as_set(fast, ["id", "g", "v", "r"]) == as_set(plain, ["id", "g", "v", "r"])
+
+
+def big(spark, n=4000):
+    """One hot key with ties, a NULL key, and keys that begin and end anywhere."""
+    return frame(spark, [("hot" if i % 3 == 0 else None if i % 50 == 1 else f"k{i % 37:02d}",
+                          None if i % 11 == 0 else (i * 7 % 40) / 10, None if i % 13 == 0 else 1990 + i * 31 % 17)
+                         for i in range(n)])
+
+
+def test_ranges_split_keys_and_ties_and_stay_right(spark):
+    df = big(spark)
+    w = Window.partitionBy("g").orderBy(F.col("v").desc())
+    ranked = ranked_in_order(df, "g", "v", "id", "r")
+    assert as_set(ranked, ["id", "r"]) == as_set(df.withColumn("r", F.rank().over(w)), ["id", "r"])
+    got = [(r["g"] is not None, r["g"], r["r"], r["id"]) for r in ranked.collect()]
+    assert got == sorted(got, key=lambda x: (x[0], x[1] or "", x[2], x[3]))  # in order without a sort of its own
+    wy = Window.partitionBy("g").orderBy(F.col("y").asc_nulls_first())
+    means = running_mean_rating(df, "g", ["y"], "v", "m")
+    plain = df.withColumn("m", mean_from_sum(F.sum(exact("v")).over(wy), F.count("v").over(wy)))
+    assert as_set(means, ["id", "m"]) == as_set(plain, ["id", "m"])
+    wl = Window.partitionBy("g").orderBy(F.col("y").asc_nulls_first(), "id")
+    assert as_set(previous_value(df, "g", ["y", "id"], "v", "p"), ["id", "p"]) == \
+        as_set(df.withColumn("p", F.lag("v").over(wl)), ["id", "p"])
+
+
+def test_ranges_are_balanced_and_fixed(spark):
+    rows = big(spark).withColumn("down", -F.col("v"))
+    cut = ranges.Ranges(rows, ["g", "down", "id"], keys=1)
+    sizes = [r["count"] for r in rows.groupBy(cut.number()).count().collect()]
+    assert len(sizes) == cut.n == 8 and max(sizes) < 3 * 4000 / 8
+    hot = rows.where("g = 'hot'").select(cut.number()).distinct().count()
+    assert hot >= 2
+    again = rows.repartition(5).select("id", cut.number().alias("n"))
+    assert as_set(again, ["id", "n"]) == as_set(rows.select("id", cut.number().alias("n")), ["id", "n"])
+    number = {r["id"]: r["n"] for r in again.collect()}
+    order = [r["id"] for r in rows.orderBy("g", "down", "id").collect()]
+    assert [number[i] for i in order] == sorted(number.values())
+
+
+def test_one_exchange_after_the_rows_are_stored(spark):
+    """The rows of a ranking, a running mean or a lag move once."""
+    df = big(spark)
+    for fast in (ranked_in_order(df, "g", "v", "id", "r"), running_mean_rating(df, "g", ["y"], "v", "m"),
+                 previous_value(df, "g", ["y", "id"], "v", "p")):
+        text = fast._jdf.queryExecution().executedPlan().toString()
+        assert text.count("Exchange") == 1 and "Join" not in text, text
+        assert text.count("Sort [") == 1 and "FileScan parquet" in text
+
+
 def test_hot_key_is_split_across_blocks(spark):
     """A key with a third of the rows lands in several range blocks."""
     from marquee.operators.prefix import range_blocks
