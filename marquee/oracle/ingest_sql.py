@@ -3,7 +3,7 @@ was written, since a faithful round trip returns exactly that."""
 
 from __future__ import annotations
 
-from marquee.oracle.catalogue_sql import with_catalogue
+from marquee.oracle.catalogue_sql import tables_used, with_catalogue
 from marquee.oracle.profile_sql import dataset_info
 from marquee.oracle.queries_sql import BODIES, STR
 from marquee.sources.schemas import FLAG_COLUMNS, LIST_COLUMNS, shaped_schema
@@ -39,6 +39,17 @@ SELECT tconst, "parentTconst", {season} AS "seasonNumber",
 FROM episode"""
 
 
+# Titles whose field is broken, by the number in their id.
+_BROKEN = {"startYear": (50, 1), "runtimeMinutes": (75, 2), "isAdult": (90, 3)}
+_MALFORMED = " UNION ALL ".join(
+    ["SELECT 'basics' AS table_name, CAST(NULL AS VARCHAR) AS column_name, COUNT(*) AS n_rows, "
+     "CAST(0 AS BIGINT) AS n_malformed FROM basics"]
+    + [f"SELECT 'basics', '{f.name}', COUNT(*), COUNT(*) FILTER ("
+       + (f"CAST(substr(tconst, 3) AS BIGINT) % {_BROKEN[f.name][0]} = {_BROKEN[f.name][1]}"
+          if f.name in _BROKEN else "FALSE") + ") FROM basics"
+       for f in shaped_schema("basics").fields])
+
+
 def oracle_ingest() -> dict[str, str]:
     out = {
         "scan_typed_tsv": _raw_basics(),
@@ -54,6 +65,15 @@ def oracle_ingest() -> dict[str, str]:
         "result_stats": with_catalogue(
             "SELECT 'rank_in_genre' AS title, COUNT(*) AS n_rows FROM ("
             + BODIES["rank_in_genre"] + ") q"),
+        "result_first_rows": with_catalogue(
+            "SELECT 'rank_in_genre' AS title, n_rows, CAST(place AS INTEGER) AS place, tconst, \"primaryTitle\", genre, "
+            "\"averageRating\", rank_within_genre FROM (SELECT *, COUNT(*) OVER () AS n_rows, row_number() OVER "
+            "(ORDER BY genre, rank_within_genre, tconst) AS place FROM (" + BODIES["rank_in_genre"] + ") q) "
+            "WHERE place <= 10", tables_used(BODIES["rank_in_genre"])),
+        "malformed_fields": with_catalogue(_MALFORMED, {"basics"}),
+        "load_well_formed": with_catalogue(
+            "SELECT * FROM ratings WHERE CAST(substr(tconst, 3) AS BIGINT) % 40 <> 5 "
+            "AND CAST(substr(tconst, 3) AS BIGINT) % 60 <> 6", {"ratings"}),
         "export_single_file": with_catalogue(BODIES["top3_series_per_region"]),
     }
     for t in ("basics", "akas", "crew", "episode", "ratings", "principals", "name"):

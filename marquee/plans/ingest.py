@@ -101,6 +101,43 @@ def result_stats(cat: Catalogue) -> DataFrame:
     return sinks.result_stats(titles.rank_in_genre(cat.basics, cat.ratings), "rank_in_genre")
 
 
+def result_first_rows(cat: Catalogue) -> DataFrame:
+    """K5: the first rows of the in-genre ranking and its row count, in one job."""
+    return sinks.first_rows(titles.rank_in_genre(cat.basics, cat.ratings), "rank_in_genre",
+                            [F.col("genre"), F.col("rank_within_genre"), F.col("tconst")])
+
+
+def malformed_fields(cat: Catalogue) -> DataFrame:
+    """S1: titles dumped with broken fields planted in some rows, loaded with
+    the channel for them; what became of each field, counted."""
+    spark = cat.basics.sparkSession
+    folder = scratch_path(spark, "broken")
+    number = F.substring("tconst", 3, 18).cast("bigint")
+    raw = tsv.to_dump_layout("basics", cat.basics)
+    broken = raw.select(*[
+        F.when((number % 50 == 1) & F.lit(c == "startYear"), F.concat(F.lit("c. "), F.coalesce(F.col(c).cast("string"), F.lit("?"))))
+        .when((number % 75 == 2) & F.lit(c == "runtimeMinutes"), F.lit("1h"))
+        .when((number % 90 == 3) & F.lit(c == "isAdult"), F.lit("maybe"))
+        .otherwise(F.col(c).cast("string")).alias(c) for c in raw.columns])
+    tsv.write_lines(broken, tsv.dump_path(folder, "basics"))
+    return tsv.malformed_report("basics", tsv.read_checked_tsv(spark, tsv.dump_path(folder, "basics"), "basics"))
+
+
+def load_well_formed(cat: Catalogue) -> DataFrame:
+    """S11: the ratings dumped with torn and broken lines among them, and the
+    rows that load whole."""
+    spark = cat.ratings.sparkSession
+    folder = scratch_path(spark, "torn")
+    number = F.substring("tconst", 3, 18).cast("bigint")
+    raw = tsv.to_dump_layout("ratings", cat.ratings)
+    torn = raw.withColumn("numVotes", F.when(number % 40 == 5, F.lit("many")).otherwise(F.col("numVotes").cast("string")))
+    torn = torn.withColumn("averageRating", F.when(
+        number % 60 == 6, F.concat(F.col("averageRating").cast("string"), F.lit("\t7\t7\t7"))).otherwise(
+        F.col("averageRating").cast("string")))
+    tsv.write_lines(torn, tsv.dump_path(folder, "ratings"))
+    return tsv.well_formed("ratings", tsv.read_checked_tsv(spark, tsv.dump_path(folder, "ratings"), "ratings"))
+
+
 def export_single_file(cat: Catalogue) -> DataFrame:
     """K6: top series per region written as one sorted file, read back."""
     return _read_back(regions.top_series_per_region(cat.basics, cat.ratings, cat.akas), "k6",

@@ -138,6 +138,9 @@ register("export_csv_n")(ingest.export_csv_n)
 register("export_csv_partitioned")(ingest.export_csv_partitioned)
 register("stringify_arrays")(ingest.stringify)
 register("result_stats")(ingest.result_stats)
+register("result_first_rows")(ingest.result_first_rows)
+register("malformed_fields")(ingest.malformed_fields)
+register("load_well_formed")(ingest.load_well_formed)
 register("export_single_file")(ingest.export_single_file)
 
 

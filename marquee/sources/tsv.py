@@ -101,6 +101,68 @@ def to_dump_layout(table: str, df: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
+# --- malformed rows ----------------------------------------------------------
+
+#: Columns that a checked read adds: names of the fields that don't parse, and
+#: the line as it came if it has too few or too many fields.
+BAD_FIELDS, BAD_LINE = "_bad_fields", "_bad_line"
+
+
+def read_checked_tsv(spark: SparkSession, path: str, table: str) -> DataFrame:
+    """S1: a dump read with a channel for what is malformed.
+
+    The raw columns of ``table`` are typed as :func:`read_typed_tsv` types
+    them; in addition every row names its fields that hold a value their type
+    can't (they read as NULL), and a line with too few or too many fields is
+    kept as it came. No row is dropped, and it is still one scan.
+    """
+    schema = RAW_SCHEMAS[table]
+    flags = set(FLAG_COLUMNS.get(table, ()))
+    text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields]
+                        + [T.StructField(BAD_LINE, T.StringType())])
+    rows = (spark.read.schema(text).options(**TSV_OPTIONS)
+            .option("columnNameOfCorruptRecord", BAD_LINE)
+            .option("columnPruning", "false").csv(path))  # a torn line shows only in whole lines
+    typed = {f.name: F.col(f.name).try_cast(f.dataType) for f in schema.fields}
+    checked = {c: F.col(c).try_cast("boolean") if c in flags else e for c, e in typed.items()}
+    bad = [F.when(F.col(c).isNotNull() & e.isNull(), F.lit(c)) for c, e in checked.items()]
+    return rows.select(*[e.alias(c) for c, e in typed.items()], F.col(BAD_LINE),
+                       F.filter(F.array(*bad), lambda x: x.isNotNull()).alias(BAD_FIELDS))
+
+
+def malformed_report(table: str, checked: DataFrame) -> DataFrame:
+    """(table_name, column_name, n_rows, n_malformed) of every column of a
+    checked read, and a row without a column name for torn lines: one
+    partial aggregate."""
+    names = [f.name for f in RAW_SCHEMAS[table].fields]
+    counts = checked.agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count(BAD_LINE).alias("torn"),
+        *[F.count_if(F.array_contains(BAD_FIELDS, c)).alias(f"bad {c}") for c in names])
+    cells = F.array(F.struct(F.lit(None).cast("string").alias("column_name"), F.col("torn").alias("n_malformed")),
+                    *[F.struct(F.lit(c).alias("column_name"), F.col(f"bad {c}").alias("n_malformed")) for c in names])
+    return (counts.select(F.lit(table).alias("table_name"), "n_rows", F.inline(cells))
+            .select("table_name", "column_name", "n_rows", "n_malformed"))
+
+
+def well_formed(table: str, checked: DataFrame) -> DataFrame:
+    """The rows of a checked read that parse whole, shaped."""
+    kept = checked.where(F.col(BAD_LINE).isNull() & (F.size(BAD_FIELDS) == 0))
+    return shape(table, kept.drop(BAD_LINE, BAD_FIELDS))
+
+
+def malformed(checked: DataFrame) -> DataFrame:
+    """The other rows, with their channel's columns, to be kept aside."""
+    return checked.where(F.col(BAD_LINE).isNotNull() | (F.size(BAD_FIELDS) > 0))
+
+
+def write_lines(df: DataFrame, path: str) -> None:
+    """Write text columns as a dump's lines, as they are: a tab inside a field
+    tears its line."""
+    line = F.concat_ws("\t", *[F.coalesce(F.col(c).cast("string"), F.lit(NULL_TOKEN)) for c in df.columns])
+    (df.select(line.alias("\t".join(df.columns))).write.mode("overwrite")
+     .options(**LAYOUT | {"sep": "\x01"}, emptyValue="", escapeQuotes="false").csv(path))
+
+
 def write_dump(df: DataFrame, table: str, folder: str, suffix: str = ".tsv") -> str:
     """Write a shaped table as a dump file folder (header, tabs, ``\\N``)."""
     path = dump_path(folder, table, suffix)

@@ -90,17 +90,80 @@ def test_single_file_sorted_and_no_overwrite(spark, tmp_path):
     cat = fixtures.catalogue(spark)
     df = titles.rank_in_genre(cat.basics, cat.ratings)
     path = str(tmp_path / "k6")
-    sinks.export_single_file(df, path, order=[F.col("genre"), F.col("rank_within_genre")])
-    files = [f for f in os.listdir(path) if f.startswith("part-")]
-    assert len(files) == 1
-    lines = open(os.path.join(path, files[0]), encoding="utf-8").read().splitlines()[1:]
+    rep = sinks.export_single_file(df, path, order=[F.col("genre"), F.col("rank_within_genre")])
+    assert os.path.isfile(path) and rep.rows == df.count()
+    head, *lines = open(path, encoding="utf-8").read().splitlines()
+    assert head == ",".join(df.columns)
     keys = [(ln.split(",")[2], int(ln.split(",")[4])) for ln in lines]
-    assert keys == sorted(keys)
-    with pytest.raises(Exception):
-        sinks.export_single_file(df, path)
+    assert keys == sorted(keys) and len(keys) == rep.rows
+    before = open(path, "rb").read()
     with pytest.raises(ValueError):
-        sinks.export_single_file(df, str(tmp_path / "large"), most=df.count() - 1)
-    assert not os.path.exists(tmp_path / "large")
+        sinks.export_single_file(df, path)
+    assert open(path, "rb").read() == before
+    assert [f for f in os.listdir(tmp_path) if "parts" in f] == []  # nothing is left beside it
+
+
+def test_single_file_of_any_size_runs_the_plan_once(spark, tmp_path):
+    runs = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            runs.add(batch.num_rows)
+            yield batch
+    df = spark.range(200_000).selectExpr("id", "(id * 7919) % 200000 AS r").mapInArrow(seen, "id long, r long")
+    rep = sinks.export_single_file(df, str(tmp_path / "one"), parts=7)
+    assert rep.rows == 200_000 == runs.value
+    ordered = spark.range(50_000).selectExpr("id", "(id * 7919) % 50000 AS r")
+    sinks.export_single_file(ordered, str(tmp_path / "sorted"), [F.col("r")], parts=7)
+    head, *lines = open(tmp_path / "sorted", encoding="utf-8").read().splitlines()
+    assert head == "id,r" and [int(x.split(",")[1]) for x in lines] == list(range(50_000))
+    empty = sinks.export_single_file(ordered.limit(0), str(tmp_path / "empty"))
+    assert empty.rows == 0 and open(tmp_path / "empty").read() == "id,r\n"
+
+
+def test_manifest_of_parts_and_first_rows_need_no_second_job(spark, tmp_path):
+    df = spark.range(1000).selectExpr("id", "array(id) AS list")
+    rep = sinks.export_csv_n(df, str(tmp_path / "n"), 4, [F.col("id")])
+    files = sorted(f for f in os.listdir(tmp_path / "n") if f.startswith("part-"))
+    counted = {int(f[5:10]): len(open(tmp_path / "n" / f).read().splitlines()) - 1 for f in files}
+    assert rep.parts == counted and sum(rep.parts.values()) == rep.rows == 1000
+    first = sinks.first_rows(df, "numbers", [F.desc("id")], 3)
+    assert [tuple(r) for r in first.orderBy("place").collect()] == [
+        ("numbers", 1000, 1, 999, "999"), ("numbers", 1000, 2, 998, "998"), ("numbers", 1000, 3, 997, "997")]
+    assert sinks.first_rows(df.limit(0), "none", [F.desc("id")]).collect() == []
+
+
+# --- malformed rows ------------------------------------------------------------
+
+
+def test_malformed_fields_and_lines_are_kept_aside(spark, tmp_path):
+    text = "\n".join(["tconst\taverageRating\tnumVotes", "tt1\t5.5\t10", "tt2\t\\N\t\\N", "tt3\thigh\t7",
+                      "tt4\t6.5\tmany", "tt5\t6.5", "tt6\t6.5\t3\t9", "tt7\tx\ty", "tt8\t1e1\t99999999999"]) + "\n"
+    (tmp_path / "title.ratings.tsv").write_text(text)
+    path = tsv.dump_path(str(tmp_path), "ratings")
+    checked = tsv.read_checked_tsv(spark, path, "ratings")
+    rows = {r["tconst"]: r for r in checked.collect()}
+    assert {k: r[tsv.BAD_FIELDS] for k, r in rows.items()} == {
+        "tt1": [], "tt2": [], "tt3": ["averageRating"], "tt4": ["numVotes"], "tt5": [], "tt6": [],
+        "tt7": ["averageRating", "numVotes"], "tt8": ["numVotes"]}
+    assert {k: r[tsv.BAD_LINE] for k, r in rows.items() if r[tsv.BAD_LINE]} == {
+        "tt5": "tt5\t6.5", "tt6": "tt6\t6.5\t3\t9"}
+    assert rows["tt3"]["numVotes"] == 7 and rows["tt3"]["averageRating"] is None
+    assert sorted(r["tconst"] for r in tsv.well_formed("ratings", checked).collect()) == ["tt1", "tt2"]
+    assert tsv.well_formed("ratings", checked).select("tconst").count() == 2  # a torn line shows without its columns
+    assert tsv.malformed(checked).count() == 6
+    report = {r["column_name"]: (r["n_rows"], r["n_malformed"]) for r in tsv.malformed_report("ratings", checked).collect()}
+    assert report == {None: (8, 2), "tconst": (8, 0), "averageRating": (8, 2), "numVotes": (8, 3)}
+
+
+def test_a_checked_read_of_whole_dumps_is_the_plain_one(spark, tmp_path):
+    cat = fixtures.catalogue(spark)
+    folder = str(tmp_path)
+    for t in ("basics", "episode", "name", "ratings"):
+        tsv.write_dump(cat[t], t, folder)
+        checked = tsv.read_checked_tsv(spark, tsv.dump_path(folder, t), t)
+        assert tsv.malformed(checked).count() == 0
+        assert sorted(map(str, tsv.well_formed(t, checked).collect())) == sorted(map(str, tsv.load_table(spark, folder, t).collect()))
 
 
 def test_arrays_become_strings(spark):
