@@ -33,13 +33,14 @@ from pyspark.sql import functions as F
 from marquee.session import scratch_path
 
 from .frames import partitions, small_batches, written
-from .units import MOST_UNITS, Units
-from .words import slices
+from .units import Units
+from .words import gathered, text_buffers
 
 MAGIC = b"IDPACK1\n"
 BLOCK = 65_536
 HEAD = len(MAGIC) + 5
 TAIL = 24 + len(MAGIC)
+MOST_UNITS, MOST_PIECES = 400_000, 450_000  # kept by a worker before a table starts anew
 NO_DOC = -(1 << 63)  # stands for a null doc_id in a file
 
 
@@ -167,6 +168,7 @@ class Reader:
 #: Characters of Unicode's White_Space, by which the tokenizer's pattern splits.
 _OTHER = r"\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _SPACE = r"\t-\r " + _OTHER
+_WHITE = np.array([0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000])
 #: A text in which single blanks and line breaks are all the white space, each
 #: between two other characters, splits at them alone.
 _UNEVEN = re.compile(rf"[{_SPACE}](?:[{_SPACE}]|\Z)|\A[{_SPACE}]|[\t\x0b-\r{_OTHER}]")
@@ -196,6 +198,37 @@ def units_of(text: str) -> list[str]:
     return out
 
 
+def even_rows(raw: np.ndarray, off: np.ndarray) -> np.ndarray:
+    """Which texts (as UTF-8) have no white space but single blanks and line
+    breaks, each between two other characters. Texts with other characters
+    that may be white space count as uneven."""
+    n = len(raw)
+    white = (raw == 0x20) | (raw == 0x0A)
+    odd = (raw >= 0x09) & (raw <= 0x0D) & (raw != 0x0A)
+    odd[1:] |= white[1:] & white[:-1]
+    lead = np.flatnonzero((raw == 0xC2) | (raw >= 0xE1) & (raw <= 0xE3))
+    if len(lead):
+        second = raw[np.minimum(lead + 1, n - 1)].astype(np.int64)
+        third = raw[np.minimum(lead + 2, n - 1)].astype(np.int64)
+        point = np.where(raw[lead] == 0xC2, second, (raw[lead].astype(np.int64) & 15) << 12 | (second & 63) << 6 | third & 63)
+        odd[lead[np.isin(point, _WHITE)]] = True
+    full = np.flatnonzero(off[1:] > off[:-1])
+    first, last = off[full], off[full + 1] - 1
+    out = np.ones(len(off) - 1, bool)
+    out[full] = ~(white[first] | white[last])
+    out[np.searchsorted(off, np.flatnonzero(odd), "right") - 1] = False
+    return out
+
+
+def _unit_starts(raw: np.ndarray, off: np.ndarray) -> np.ndarray:
+    """Where the units of even texts begin: at a text, a blank, a line break
+    and behind it."""
+    cut = (raw == 0x20) | (raw == 0x0A)
+    cut[1:] |= raw[:-1] == 0x0A
+    cut[off[:-1][off[1:] > off[:-1]]] = True
+    return np.flatnonzero(cut)
+
+
 def _byte_letters() -> dict[int, str]:
     """The letter that stands for each byte in a byte-level vocabulary: printable
     Latin-1 characters for themselves, the others from U+0100 on."""
@@ -228,38 +261,67 @@ class ByteBpe:
         self.model = self.tokenizer.model
         self.letters = _byte_letters()
         self.pieces: dict[str, list[int]] = {}
-        self.units = Units(self._new)
+        self.before: dict[str, list[int]] = {}
+        self.units = Units(self._new, MOST_UNITS)
 
     def _encode(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
     def _piece(self, piece: str) -> list[int]:
-        ids = self.pieces.get(piece)
+        ids = self.before.get(piece)
         if ids is None:
-            if len(self.pieces) >= MOST_UNITS:
-                self.pieces.clear()
             spelled = piece.encode().decode("latin-1").translate(self.letters)
-            ids = self.pieces[piece] = [t.id for t in self.model.tokenize(spelled)]
+            ids = [t.id for t in self.model.tokenize(spelled)]
+        if len(self.pieces) >= MOST_PIECES:  # pieces met since the last time are kept
+            self.before, self.pieces = self.pieces, {}
+        self.pieces[piece] = ids
         return ids
 
     def _new(self, units: list[str]) -> list[list[int]]:
-        out, pieces = [], self.pieces
+        out = []
         for unit in units:
             word = unit.rstrip(_MARKS)  # most units: letters, then perhaps marks
-            if (word[1:] if word[:1] == " " else word).isalpha() and max(word) < "\u0250":
-                ids = pieces.get(word) or self._piece(word)
+            if (word[1:] if word[:1] == " " else word).isalpha() and (word.isascii() or not _BEYOND.search(word)):
+                ids = self.pieces.get(word) or self._piece(word)
                 if len(word) < len(unit):
                     marks = unit[len(word):]
-                    ids = ids + (pieces.get(marks) or self._piece(marks))
+                    ids = ids + (self.pieces.get(marks) or self._piece(marks))
                 out.append(ids)
             elif _BEYOND.search(unit):
                 out.append(self._encode(unit))
             else:
-                parts = _PATTERN.findall(unit)
-                out.append(self._piece(parts[0]) if len(parts) == 1 else
-                           [i for p in parts for i in self._piece(p)])
+                out.append([i for p in _PATTERN.findall(unit) for i in self.pieces.get(p) or self._piece(p)])
         return out
 
+    def encode_column(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(all ids, bounds of each text's) of a string column. Texts whose
+        white space is even are cut into units as bytes, and only their
+        distinct units become Python strings."""
+        raw, off = text_buffers(texts)
+        even = even_rows(raw, off)
+        if self.added and any(a.encode() in raw.tobytes() for a in self.added):
+            even &= ~np.array([any(a in (t or "") for a in self.added) for t in texts.to_pylist()])
+        others = np.flatnonzero(~even)
+        if len(others):
+            loose, loose_bounds = self.encode([t or "" for t in texts.take(pa.array(others)).to_pylist()])
+            raw, off = text_buffers(texts.take(pa.array(np.flatnonzero(even))))
+        starts = _unit_starts(raw, off)
+        coded = pa.Array.from_buffers(
+            pa.large_string(), len(starts),
+            [None, pa.py_buffer(np.append(starts, len(raw)).astype(np.int64)), pa.py_buffer(np.ascontiguousarray(raw))]
+        ).dictionary_encode()
+        names = coded.dictionary.to_pylist()
+        ids, ends = self.units.gather(self.units.number(names, len(names))[coded.indices.to_numpy()])
+        bounds = np.concatenate([[0], ends])[np.searchsorted(starts, off)]
+        if not len(others):
+            return ids, bounds
+        lengths = np.empty(len(texts), np.int64)
+        lengths[even], lengths[others] = np.diff(bounds), np.diff(loose_bounds)
+        edges = np.concatenate([[0], np.cumsum(lengths)])
+        every, of = np.empty(int(edges[-1]), np.int32), np.repeat(even, lengths)
+        every[of], every[~of] = ids, loose
+        return every, edges
+
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(all ids, bounds of each text's)."""
         whole = [bool(self.added) and any(a in t for a in self.added) for t in texts]
@@ -298,10 +360,10 @@ def write(docs: DataFrame, tokenizer: str, folder: str, end_id: int = 0) -> Data
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, out, coder = TaskContext.get().partitionId(), None, _loaded(tokenizer)
         path = f"{folder}/ids-{shard:07d}.bin"
-        for part in slices(batches, "text", 1 << 20):
+        for part in gathered(batches, "text"):
             if out is None:
                 out = Writer(path, bits_for(max(coder.size, end_id + 1)))
-            ids, bounds = coder.encode(part.column("text").to_pylist())
+            ids, bounds = coder.encode_column(part.column("text"))
             ids = np.insert(ids, bounds[1:], end_id)
             out.add(part.column("doc_id").to_pylist(), np.diff(bounds) + 1, ids)
         if out is not None:

@@ -28,8 +28,9 @@ class _Numbers(dict):
 class Units:
     """``encode_new(units)`` gives the id lists of units not seen before."""
 
-    def __init__(self, encode_new: Callable[[list[str]], Iterable[list[int]]]):
+    def __init__(self, encode_new: Callable[[list[str]], Iterable[list[int]]], most: int = MOST_UNITS):
         self.encode_new = encode_new
+        self.most = most
         self.clear()
 
     def clear(self) -> None:
@@ -57,18 +58,25 @@ class Units:
         self.used += total
         self.known = len(self.numbers)
 
-    def encode(self, texts: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all texts in a row, where each text's ids begin and end) of
-        texts that are given as their units."""
-        if len(self.numbers) > MOST_UNITS:
+    def number(self, units: Iterable[str], n: int) -> np.ndarray:
+        """Numbers of ``n`` units, all of them learned; they hold until the next call."""
+        if len(self.numbers) > self.most:
             self.clear()
-        sizes = np.fromiter(map(len, texts), np.int64, len(texts))
-        which = np.fromiter(map(self.numbers.__getitem__, chain.from_iterable(texts)), np.int64, int(sizes.sum()))
+        which = np.fromiter(map(self.numbers.__getitem__, units), np.int64, n)
         self._learn()
+        return which
+
+    def gather(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of numbered units in a row, how many there are up to each unit's end)."""
         first = self.starts[which]
         lengths = self.starts[which + 1] - first
         ends = np.cumsum(lengths)
         total = int(ends[-1]) if len(ends) else 0
-        gather = np.repeat(first - (ends - lengths), lengths) + np.arange(total)
-        bounds = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(sizes)])]
-        return self.flat[gather], bounds
+        return self.flat[np.repeat(first - (ends - lengths), lengths) + np.arange(total)], ends
+
+    def encode(self, texts: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts in a row, where each text's ids begin and end) of
+        texts that are given as their units."""
+        sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+        ids, ends = self.gather(self.number(chain.from_iterable(texts), int(sizes.sum())))
+        return ids, np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(sizes)])]

@@ -51,7 +51,7 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h
 
 
-def _text_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+def text_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, offsets) of a string column; a null has length 0."""
     if pa.types.is_large_string(column.type) or column.null_count:
         column = column.cast(pa.large_string()).fill_null("")
@@ -73,7 +73,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str,
     for batch in batches:
         if not batch.num_rows:
             continue
-        _, off = _text_buffers(batch.column(column))
+        _, off = text_buffers(batch.column(column))
         start = 0
         while start < batch.num_rows:
             end = max(start + 1, int(np.searchsorted(off, off[start] + limit, "right")) - 1)
@@ -81,6 +81,21 @@ def slices(batches: Iterator[pa.RecordBatch], column: str,
             start = end
 
 
+def gathered(batches: Iterator[pa.RecordBatch], column: str,
+             limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batches cut and put together so that each holds about ``limit``
+    bytes of text (one row at least)."""
+    held, size = [], 0
+    for part in slices(batches, column, limit):
+        held.append(part)
+        size += part.column(column).nbytes
+        if size >= limit:
+            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            held, size = [], 0
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+
 def _hash_chunk(raw: np.ndarray, edges: np.ndarray,
                 gaps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     n = len(raw)
@@ -107,7 +122,7 @@ def _hash_chunk(raw: np.ndarray, edges: np.ndarray,
 def word_hashes(column: pa.Array, gaps: np.ndarray = BLANK) -> tuple[np.ndarray, np.ndarray]:
     """(hash of every word, words before each row): row ``i`` holds the words
     ``hashes[before[i]:before[i + 1]]``. ``gaps`` marks the bytes between words."""
-    raw, off = _text_buffers(column)
+    raw, off = text_buffers(column)
     hashes, places, at = [], [], 0
     while at < len(raw):
         end = min(len(raw), at + CHUNK_BYTES)

@@ -70,6 +70,33 @@ def test_byte_bpe_equals_the_library(texts):
     ids, bounds = tokenfile._loaded(BYTES).encode(texts) if texts else ([], [0])
     for t, a, b in zip(texts, bounds[:-1], bounds[1:]):
         assert list(ids[a:b]) == library.encode(t, add_special_tokens=False).ids
+    column = pa.array([*texts, None, "", "plain words and\nlines", *texts], pa.string())
+    ids, bounds = tokenfile._loaded(BYTES).encode_column(column)
+    for t, a, b in zip(column.to_pylist(), bounds[:-1], bounds[1:]):
+        assert list(ids[a:b]) == library.encode(t or "", add_special_tokens=False).ids
+    ids, bounds = tokenfile._loaded(BYTES).encode_column(column.slice(1))
+    assert len(bounds) == len(column) and bounds[-1] == len(ids)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.text(" \t\n\r\x0b\x1c\x85\xa0\u1680\u2003\u2028\u202f\u205f\u3000ab\u2019\u00e9", max_size=12), max_size=5))
+def test_even_texts_are_those_that_split_at_single_blanks(texts):
+    from marquee.llm.words import text_buffers
+    even = tokenfile.even_rows(*text_buffers(pa.array(texts, pa.string())))
+    for t, e in zip(texts, even.tolist()):
+        assert not e or not tokenfile._UNEVEN.search(t)
+        assert e or not t.isascii() or tokenfile._UNEVEN.search(t)
+
+
+def test_tables_that_start_anew_change_nothing(monkeypatch):
+    monkeypatch.setattr(tokenfile, "MOST_UNITS", 5)
+    monkeypatch.setattr(tokenfile, "MOST_PIECES", 3)
+    library, coder = Tokenizer.from_file(BYTES), tokenfile.ByteBpe(BYTES)
+    for k in range(40):
+        texts = [f"word{k % 7} again{k % 5}, number {k} and\nline {k % 3}!" for _ in range(3)]
+        ids, bounds = coder.encode_column(pa.array(texts))
+        assert [list(ids[a:b]) for a, b in zip(bounds[:-1], bounds[1:])] == [
+            library.encode(t, add_special_tokens=False).ids for t in texts]
 
 
 @pytest.mark.parametrize("bits", [1, 7, 8, 11, 16, 17, 32])
