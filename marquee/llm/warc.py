@@ -12,6 +12,8 @@ one may end outside. From a valid member on, the next start is known.
 
 from __future__ import annotations
 
+import base64
+import hashlib
 import re
 import zlib
 from collections.abc import Iterator
@@ -34,7 +36,7 @@ SPLIT_BYTES = 16 << 20
 READ_BYTES = 1 << 20
 MAGIC = b"\x1f\x8b\x08"
 VERSION = b"WARC/1.1\r\n"
-HEADER_BYTES = 64 << 10  # a header that is longer marks no record
+OPENING = re.compile(rb"WARC/\d+\.\d+\r?\n")  # of any version's record
 DATE = "2000-01-01T00:00:00Z"  # fixed, so that equal pages give equal records
 LEVEL = 4
 
@@ -75,8 +77,8 @@ def _revisits(pages: DataFrame) -> DataFrame:
     minimum, so a payload that a third of the pages share stays cheap."""
     marks = pages.where(F.octet_length("html") >= LEAST_BYTES).select(
         "page_id", F.unhex(F.sha2(F.col("html").cast("binary"), 256)).alias("digest"))
-    first = (marks.groupBy("digest").agg(F.min("page_id").alias("refers_to"), F.count(F.lit(1)).alias("n"))
-             .where("n > 1").drop("n"))
+    first = written(marks.groupBy("digest").agg(F.min("page_id").alias("refers_to"), F.count(F.lit(1)).alias("n"))
+                    .where("n > 1").drop("n"), "firsts")  # stored, so that a digest's rows may be split in the join
     return (marks.join(first, "digest").where(F.col("page_id") > F.col("refers_to"))
             .select("page_id", "digest", "refers_to").distinct())
 
@@ -138,9 +140,10 @@ class _Window:
 
 def _inflate(window: _Window, at: int, header_only: bool) -> tuple[bytes, int] | None:
     """(content, place after it) of the member at ``at``, or None if there is
-    none; with ``header_only`` up to the end of the record's header."""
+    none; with ``header_only`` up to the end of the record's header, however
+    long it is: bytes that open with a version line are a record's."""
     coder, out, fed = zlib.decompressobj(31), [], at - window.start
-    total = b""
+    total, seen = bytearray(), 0
     try:
         while not coder.eof:
             if fed >= len(window.held) and not window.more():
@@ -149,13 +152,12 @@ def _inflate(window: _Window, at: int, header_only: bool) -> tuple[bytes, int] |
             fed += len(chunk)
             out.append(coder.decompress(chunk))
             if header_only:
-                total += out[-1]
-                if not VERSION.startswith(total[:len(VERSION)]):
-                    return None
-                if b"\r\n\r\n" in total:
-                    return total, 0
-                if len(total) > HEADER_BYTES:
+                total.extend(out.pop())
+                if len(total) >= len(VERSION) and not OPENING.match(total):
                     return None
+                if total.find(b"\r\n\r\n", max(0, seen - 3)) >= 0:
+                    return bytes(total), 0
+                seen = len(total)
     except zlib.error:
         return None
     if header_only:
@@ -199,16 +201,34 @@ def members(file: fs.NativeFile, start: int, end: int) -> Iterator[bytes]:
 
 
 def parse(content: bytes) -> dict:
-    """Header fields (lower-case names) and ``block`` of a record."""
+    """Header fields (lower-case names; a folded line goes on with its field)
+    and ``block`` of a record; without a length the block is all that follows."""
     head, _, rest = content.partition(b"\r\n\r\n")
-    fields = {}
+    fields: dict = {}
+    last = None
     for line in head.decode("utf-8", "replace").split("\r\n")[1:]:
+        if line[:1] in (" ", "\t") and last is not None:
+            fields[last] += " " + line.strip()
+            continue
         key, _, value = line.partition(":")
-        fields[key.strip().lower()] = value.strip()
-    fields["block"] = rest[:int(fields["content-length"])]
+        last = key.strip().lower()
+        fields[last] = value.strip()
+    length = fields.get("content-length", "")
+    fields["block"] = rest[:int(length)] if length.isdigit() else rest.removesuffix(b"\r\n\r\n")
     return fields
 
 
+def _stated(digest: str | None, payload: bytes) -> bool | None:
+    """Whether the payload has the digest that a header states; None where it
+    states none, or by a function that isn't known here."""
+    kind, _, value = (digest or "").partition(":")
+    if kind.lower() not in ("sha1", "sha256", "md5", "sha512"):
+        return None
+    found = hashlib.new(kind.lower(), payload).digest()
+    return value.strip().lower() in (found.hex(), base64.b32encode(found).decode().rstrip("=").lower(),
+                                     base64.b32encode(found).decode().lower())
+
+
 def splits(archives: DataFrame, split_bytes: int = SPLIT_BYTES) -> DataFrame:
     """(path, start, end): each file in ranges of at most ``split_bytes``."""
     places = F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(F.col("bytes") - 1, F.lit(0)),
@@ -225,7 +245,12 @@ _READ = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("payload_byte
 def read(archives: DataFrame, split_bytes: int = SPLIT_BYTES) -> DataFrame:
     """A row for each record of the files in ``archives`` (path, bytes): page_id,
     url, payload_bytes, payload_digest, record_type, refers_to, and ``intact``,
-    whether a response's payload has the length and digest of its header."""
+    whether its payload has the length and digest that its header states.
+
+    Archives of other writers are read too, of any version: every record is a
+    row, with its own type (warcinfo, request, ...), the digest is worked out
+    from the payload, and what their headers don't say is null (page_id and
+    refers_to, which are this writer's names, and a revisit's length)."""
     ranges = splits(archives, split_bytes)
     n = max(1, min(ranges.count(), 4 * partitions(archives.sparkSession)))
 
@@ -235,17 +260,23 @@ def read(archives: DataFrame, split_bytes: int = SPLIT_BYTES) -> DataFrame:
 
     def row(content: bytes) -> dict:
         r = parse(content)
-        size, digest = int(r["warc-payload-length"]), r["warc-payload-digest"].removeprefix("sha256:")
-        intact = True
-        if r["warc-type"] == "response":
-            payload = r["block"].partition(b"\r\n\r\n")[2]
-            intact = len(payload) == size and sha256(payload).hexdigest() == digest
+        kind, stated, intact = r.get("warc-type", ""), r.get("warc-payload-digest"), True
+        own = number(r.get("warc-record-id")) is not None or r.get("warc-record-id") == _name(None)
+        length = r.get("warc-payload-length", "")
+        size = int(length) if length.isdigit() else None
+        if kind == "revisit":  # its payload is elsewhere: what the header says of it
+            digest = stated.partition(":")[2].strip().lower() if (stated or "").lower().startswith("sha256:") else None
+        else:
+            http = r.get("content-type", "").replace(" ", "").startswith("application/http")
+            payload = r["block"].partition(b"\r\n\r\n")[2] if http else r["block"]
+            intact = size in (None, len(payload)) and _stated(stated, payload) is not False
             size, digest = len(payload), sha256(payload).hexdigest()
         uri = r.get("warc-target-uri")
-        return {"page_id": number(r["warc-record-id"]),
-                "url": None if uri is None else re.sub(r"%([0-9A-F]{2})", lambda m: chr(int(m[1], 16)), uri),
-                "payload_bytes": size, "payload_digest": digest, "record_type": r["warc-type"],
-                "refers_to": number(r.get("warc-refers-to")), "intact": intact}
+        if own and uri is not None:
+            uri = re.sub(r"%([0-9A-F]{2})", lambda m: chr(int(m[1], 16)), uri)
+        return {"page_id": number(r.get("warc-record-id")), "url": uri, "payload_bytes": size,
+                "payload_digest": digest, "record_type": kind, "refers_to": number(r.get("warc-refers-to")),
+                "intact": intact}
 
     def run(batches):
         for batch in batches:
