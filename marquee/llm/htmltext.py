@@ -49,7 +49,20 @@ menubar breadcrumb breadcrumbs pagination pager footer masthead topbar toolbar h
 replies respond share sharing social related recommended recommendations newsletter subscribe signup login search
 searchbox skip hidden outbrain taboola byline-ads contentinfo complementary alert alertdialog paywall tags
 tagcloud copyright""".split())
+#: Those that mark a heading, a paragraph, a quote or words in a line, too.
+CERTAIN = frozenset("""ad ads advert advertisement adverts advertising sponsored cookie cookies gdpr hidden newsletter
+outbrain taboola""".split())
+#: Last parts of a class that say nothing of their own, as in sidebar-left.
+SHAPES = frozenset("""area bar block bottom box button buttons container content form group holder icon icons inner
+item items left link links list panel right row section top widget wrap wrapper zone""".split())
+#: First parts of a class that name the article, as in post-header.
+OWN = frozenset("article body content entry main post section story text".split())
 KEPT_WHOLE = frozenset("html body main article".split())
+CONTENT = frozenset("""blockquote caption code dd dl dt figcaption figure h1 h2 h3 h4 h5 h6 hgroup p pre table tbody td
+tfoot th thead tr""".split())
+#: A page's parts that never hold an article of their own: one that opens inside ends them.
+FRAMES = frozenset("nav header footer menu".split())
+STARTS = frozenset("article div h1 h2 h3 h4 h5 h6 main p section table".split())
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*>?|<\?[^>]*>?|</([a-zA-Z][^\s/>]*)[^>]*>?"
                     r"|<([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)>?", re.S)
@@ -60,13 +73,29 @@ _UNSHOWN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
 class Node:
-    __slots__ = ("tag", "up", "down", "skipped", "points", "chars", "linked")
+    __slots__ = ("tag", "up", "down", "skipped", "points", "chars", "linked", "inner", "unclosed")
 
     def __init__(self, tag: str, up: Node | None, skipped: bool):
         self.tag, self.up, self.skipped = tag, up, skipped
         self.down: list = []   # nodes, and (text, linked) pairs of the node's own text
         self.points = 0.0
         self.chars = self.linked = 0
+        self.inner = 0          # open inline elements of its name inside an inline element
+        self.unclosed = False   # left out, and never closed in the page
+
+
+def _named_boilerplate(word: str, tag: str) -> bool:
+    """Whether a word of a class, id or role marks the element: by itself, by
+    its last part, or by its first before one that only tells a shape."""
+    words = CERTAIN if tag in INLINE or tag in CONTENT else BOILERPLATE
+    if word.lower() in words:
+        return True
+    parts = _PARTS.findall(_CAMEL.sub(" ", word).lower())
+    if len(parts) < 2:
+        return bool(parts) and parts[0] in words
+    if parts[0] in OWN and parts[-1] == "header":
+        return False
+    return parts[-1] in words or parts[0] in words and all(x in SHAPES or x in words for x in parts[1:])
 
 
 def _marked(tag: str, attributes: str) -> bool:
@@ -79,17 +108,34 @@ def _marked(tag: str, attributes: str) -> bool:
             if _UNSHOWN.search(value):
                 return True
         elif name in ("class", "id", "role") and tag not in KEPT_WHOLE:
-            for word in value.split():
-                parts = _PARTS.findall(_CAMEL.sub(" ", word).lower())
-                if word.lower() in BOILERPLATE or parts and (parts[0] in BOILERPLATE or parts[-1] in BOILERPLATE):
-                    return True
+            if any(_named_boilerplate(word, tag) for word in value.split()):
+                return True
     return False
 
 
+def _inline(here: Node, tag: str) -> Node | None:
+    """The nearest open inline element of that name around ``here`` that has a
+    node of its own, looking through other inline ones only."""
+    while here.tag in INLINE:
+        if here.tag == tag:
+            return here
+        here = here.up
+    return None
+
+
 def tree(page: str) -> Node:
-    """The page's block elements; inline ones only mark whether text is a link."""
+    """The page's block elements; inline ones only mark whether text is a link,
+    unless their attributes leave them out. An element that is left out ends
+    with its closing tag, with its block's, or, if a menu, header or footer of
+    the page is never closed, where the next block or article begins."""
     root = here = Node("html", None, False)
     links, at, n = 0, 0, len(page)
+    closings: dict[str, int] = {}
+
+    def never_closed(tag: str) -> bool:
+        if tag not in closings:
+            closings[tag] = max((m.start() for m in re.finditer(rf"</{re.escape(tag)}", page, re.I)), default=-1)
+        return closings[tag] < at
     while at < n:
         lt = page.find("<", at)
         found = _TOKEN.match(page, lt) if lt >= 0 else None
@@ -107,9 +153,15 @@ def tree(page: str) -> Node:
             tag = closing.lower()
             if tag == "a":
                 links = max(0, links - 1)
+            if tag in INLINE:
+                node = _inline(here, tag)
+                if node is not None and node.inner:
+                    node.inner -= 1
+                elif node is not None:
+                    here = node.up
             elif tag == "br" or tag in ("p",) and not _inside(here, "p"):
                 here.down.append((" ", False))
-            elif tag not in INLINE and tag not in VOID:
+            elif tag not in VOID:
                 node = here
                 while node is not None and node.tag != tag:
                     node = node.up
@@ -119,13 +171,15 @@ def tree(page: str) -> Node:
             tag = opening.lower()
             if tag == "a":
                 links = 1
-            elif tag in ("br", "hr", "wbr", "img"):
+            if tag in ("br", "hr", "wbr", "img"):
                 if tag != "wbr":
                     here.down.append((" ", False))
                 if tag == "hr":
                     here = _closed(here, {"p"}, ())
             elif tag in INLINE and not (_marked(tag, attributes) if attributes else False):
-                pass
+                node = _inline(here, tag)
+                if node is not None and not attributes.rstrip().endswith("/"):
+                    node.inner += 1
             elif tag in RAW:
                 end = re.compile(rf"</{tag}(?=[\s/>]|\Z)", re.I).search(page, at)
                 at = page.find(">", end.start()) + 1 if end else n
@@ -135,16 +189,30 @@ def tree(page: str) -> Node:
                     here = _closed(here, {"p"}, ("td", "th", "table"))
                 if tag in ENDED_BY:
                     here = _closed(here, *ENDED_BY[tag])
+                if here.skipped and tag in STARTS:
+                    here = _recovered(here, tag)
                 skipped = here.skipped or tag in SKIPPED or bool(attributes) and _marked(tag, attributes) \
                     or tag == "header" and not _inside(here, "article", "main")
                 if tag in INLINE and attributes.rstrip().endswith("/"):
                     continue
                 node = Node(tag, here, skipped)
+                node.unclosed = skipped and not here.skipped and tag in FRAMES and never_closed(tag)
                 here.down.append(node)
                 here, links = node, 0
     return root
 
 
+def _recovered(here: Node, tag: str) -> Node:
+    """Where a block that opens inside something left out belongs: outside of
+    an unclosed part of the page, or of any if the block is an article."""
+    node = here
+    while node is not None and node.skipped:
+        if node.unclosed or node.tag in FRAMES and tag in ("article", "main"):
+            return node.up
+        node = node.up
+    return here
+
+
 def _inside(node: Node | None, *tags: str) -> bool:
     while node is not None:
         if node.tag in tags:
@@ -256,7 +324,8 @@ def main_text(page: str | None) -> str:
             if up.tag in ("ul", "ol", "dl"):
                 lists = up
             up = up.up
-        if up is not None and not (lists is not None and lists.chars and lists.linked / lists.chars > 0.5):
+        menu = lists is not None and lists.chars and lists.linked / lists.chars > 0.5
+        if up is not None and not (menu and not _inside(lists, "article", "main")):
             out.append(text)
     return " ".join(out)
 

@@ -1,5 +1,7 @@
 """WARC files, url filter and HTML text."""
 
+import base64
+import hashlib
 import io
 import random
 import re
@@ -8,6 +10,8 @@ from hashlib import sha256
 
 import pyarrow as pa
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 from marquee.llm import htmltext, urls, warc
 from marquee.llm.frames import table
@@ -79,6 +83,39 @@ def test_archives_round_trip(spark):
     assert warc.round_trip(spark.createDataFrame([], PAGES)).count() == 0
 
 
+def test_long_headers_and_foreign_records(spark, tmp_path):
+    url = "http://long/" + "x" * 120_000
+    pages = spark.createDataFrame([(1, "http://a", "one" * 50, "", 0), (2, url, "two" * 50, "", 0), (3, url + "y", None, "", 0)], PAGES)
+    archives = warc.write(pages, str(tmp_path / "long"))
+    for size in (500, 1 << 20):  # also where a range looks at such a header first
+        got = {r["page_id"]: r["url"] for r in warc.read(archives, size).collect()}
+        assert got == {1: "http://a", 2: url, 3: url + "y"}
+
+    def member(version, head, block):
+        coder = zlib.compressobj(6, zlib.DEFLATED, 31)
+        lines = "".join(f"{k}: {v}\r\n" for k, v in head.items())
+        return coder.compress(f"WARC/{version}\r\n{lines}Content-Length: {len(block)}\r\n\r\n".encode() + block
+                              + b"\r\n\r\n") + coder.flush()
+    body = b"<p>hello</p>"
+    http = b"HTTP/1.0 200 OK\r\nServer: x\r\n\r\n" + body
+    sha1 = base64.b32encode(hashlib.sha1(body).digest()).decode()
+    raw = member("1.0", {"WARC-Type": "warcinfo", "WARC-Record-ID": "<urn:uuid:1>"}, b"software: y\r\n")
+    raw += member("1.0", {"WARC-Type": "request", "WARC-Record-ID": "<urn:uuid:2>", "WARC-Target-URI": "http://f/%20",
+                          "Content-Type": "application/http; msgtype=request"}, b"GET / HTTP/1.0\r\n\r\n")
+    raw += member("1.0", {"WARC-Type": "response", "WARC-Record-ID": "<urn:uuid:3>", "WARC-Target-URI": "http://f/%20",
+                          "Content-Type": "application/http; msgtype=response", "WARC-Payload-Digest": f"sha1:{sha1}"}, http)
+    raw += member("1.1", {"WARC-Type": "response", "WARC-Record-ID": "<urn:uuid:4>",
+                          "Content-Type": "application/http;\r\n msgtype=response", "WARC-Payload-Digest": "sha1:WRONG"}, http)
+    raw += member("1.1", {"WARC-Type": "revisit", "WARC-Record-ID": "<urn:uuid:5>", "WARC-Payload-Digest": f"sha1:{sha1}"}, b"")
+    (tmp_path / "foreign.warc.gz").write_bytes(raw)
+    foreign = spark.createDataFrame([(str(tmp_path / "foreign.warc.gz"), len(raw))], "path string, bytes long")
+    rows = sorted(warc.read(foreign, 200).collect(), key=lambda r: (r["record_type"], r["intact"]))
+    assert [r["record_type"] for r in rows] == ["request", "response", "response", "revisit", "warcinfo"]
+    assert [r["intact"] for r in rows] == [True, False, True, True, True] and {r["page_id"] for r in rows} == {None}
+    assert rows[2]["url"] == "http://f/%20" and rows[2]["payload_digest"] == sha256(body).hexdigest()
+    assert rows[2]["payload_bytes"] == len(body) and rows[3]["payload_bytes"] is None
+
+
 def test_warc_query_has_the_contract_columns(spark):
     assert op5_warc(spark, SF).columns[:5] == ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
 
@@ -152,7 +189,19 @@ LONG = "This paragraph has commas, many words, and enough length to earn its poi
      f"<p>Next &amp; last</p><form><p>{LONG}</p></form></div><div class='comments'><p>{LONG}{LONG}</p></div></div>",
      f"{LONG.strip()} Next & last"),
     (f"<main><article><p>{LONG}</p><ul><li>kept item</li></ul><ul><li><a href=1>link one</a></li><li><a href=2>link two</a></li></ul>"
-     f"</article></main>", f"{LONG.strip()} kept item"),
+     f"</article></main>", f"{LONG.strip()} kept item link one link two"),
+    (f"<div class=c><p>{LONG}</p><p>{LONG}</p><ul><li><a href=1>menu one</a></li><li><a href=2>menu two</a></li></ul></div>",
+     f"{LONG.strip()} {LONG.strip()}"),
+    ("<p>Before <span class='hidden'>x</span> after it.</p>", "Before after it."),
+    ("<p>Before <span class='hidden'>x <span>y</span> z</span> after <i hidden>it</i>.</p><p>Next", "Before after . Next"),
+    ("<p>Before <b class='ad'>x<p>Next <i class='share'>shared</i> line", "Before Next shared line"),
+    (f"<article><h1 class='post-header'>Head</h1><p class='share'>{LONG}</p><blockquote class='alert'>Said</blockquote>"
+     f"<div class='post-header'>By me</div><p class='ad'>buy</p></article>", f"Head {LONG.strip()} Said By me"),
+    (f"<body><div class='search-results'><p>{LONG}</p></div><div class='search-box'>find</div>", LONG.strip()),
+    (f"<body><nav><a href=/>Home</a><article><p>{LONG}</p></article>", LONG.strip()),
+    (f"<body><nav><ul><li><a href=/>Home</a></ul><div><p>{LONG}</p></div>", LONG.strip()),
+    (f"<body><nav><a href=/>Home</a><div>Menu</div></nav><div><p>{LONG}</p></div>", LONG.strip()),
+    (f"<div class='header-image'><p>{LONG}</p></div><div class='sidebar-left'>x</div><div id='leftNav'>y</div>", LONG.strip()),
     (f"<article><header><h1>Headline</h1></header><p>{LONG}<!-- ad --></p><div class='ad'>buy</div>"
      f"<noscript>no</noscript><p style='display:none'>gone</p></article>", f"Headline {LONG.strip()}"),
 ])
@@ -160,6 +209,27 @@ def test_pages_give_their_main_text(page, text):
     assert htmltext.main_text(page) == text
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.recursive(st.text("ab ", min_size=1, max_size=6), lambda inner: st.tuples(
+    st.sampled_from(sorted(htmltext.INLINE - {"q"})), st.sampled_from(["", " class=x", " class='share tags'", " id=header"]),
+    st.lists(inner, max_size=4)), max_leaves=12))
+def test_inline_tags_never_lose_text(tree):
+    def page(t):
+        return t if isinstance(t, str) else f"<{t[0]}{t[1]}>{''.join(map(page, t[2]))}</{t[0]}>"
+
+    def text(t):
+        return t if isinstance(t, str) else "".join(map(text, t[2]))
+    assert htmltext.main_text(f"<p>first {page(tree)} last</p>") == " ".join(f"first {text(tree)} last".split())
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["<b hidden>", "<span class=hidden>", "<i>", "<span>", "</b>", "</i>", "</span>"]),
+                          st.text("ab", max_size=3)), max_size=10))
+def test_what_is_left_out_ends_with_its_block(parts):
+    page = "<p>" + "".join(tag + text for tag, text in parts) + "</p><p>kept, whatever came before</p>"
+    assert htmltext.main_text(page).endswith("kept, whatever came before")
+
+
 def test_html_query_over_the_given_table_keeps_whole_articles(spark):
     import html
     pages = {r["page_id"]: r["html"] for r in table(spark, SF, "pages").collect()}
