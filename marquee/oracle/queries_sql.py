@@ -369,4 +369,6 @@ SELECT * FROM (SELECT genre, director_name, avg_rating, movie_count,
 
 
 def oracle_queries() -> dict[str, str]:
-    return {k: with_catalogue(v) for k, v in BODIES.items()}
+    stored = {f"{k}_stored": BODIES[k] for k in ("acclaimed_popular", "genre_mean_rating", "series_running_mean",
+                                                 "actors_in_acclaimed")}
+    return {k: with_catalogue(v) for k, v in (BODIES | stored).items()}

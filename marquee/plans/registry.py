@@ -15,6 +15,7 @@ from marquee.fixed import VIDEO_GAME
 from marquee.plans import ingest, people, profiling, regions, series, titles
 from marquee.sources.catalogue import Catalogue
 from marquee.sources.star import star_catalogue
+from marquee.sources.store import stored
 
 CatalogueQuery = Callable[[Catalogue], DataFrame]
 QUERIES: dict[str, CatalogueQuery] = {}
@@ -115,6 +116,19 @@ register("genre_trend_min_votes")(
     lambda c: regions.genre_trend_by_year(c.basics, c.ratings, min_votes=1000))
 register("trend_top_genres")(lambda c: regions.trend_of_top_genres(c.basics, c.ratings))
 
+# --- title joins over the bucketed store ------------------------------------
+TITLES = ("basics", "ratings")
+register("acclaimed_popular_stored")(
+    lambda c: (lambda s: titles.acclaimed_popular(s.basics, s.ratings))(stored(c, TITLES)))
+register("genre_mean_rating_stored")(
+    lambda c: (lambda s: titles.genre_mean_rating(s.basics, s.ratings))(stored(c, TITLES)))
+register("series_running_mean_stored")(
+    lambda c: (lambda s: series.series_running_mean(s.basics, s.ratings, s.episode))(
+        stored(c, (*TITLES, "episode"))))
+register("actors_in_acclaimed_stored")(
+    lambda c: (lambda s: people.actors_in_acclaimed(s.basics, s.ratings, s.principals, s.name))(
+        stored(c, (*TITLES, "principals"))))
+
 # --- profiling --------------------------------------------------------------
 register("dataset_info")(profiling.dataset_info)
 register("column_info")(profiling.column_info)

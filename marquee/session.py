@@ -100,12 +100,21 @@ def scratch_path(spark: SparkSession, label: str) -> str:
         raise RuntimeError(f"{CHECKPOINT_CONF} is not set; scratch output needs shared storage")
     root = root.rstrip("/")
     path = f"{root}/marquee-{label}-{uuid.uuid4().hex}"
-    _ISSUED.setdefault(spark.sparkContext.applicationId, []).append(path)
+    _ISSUED.setdefault(_application(spark), []).append(path)
     return path
 
 
+def _application(spark: SparkSession) -> str:
+    """A name for the session's application, also of one without a context."""
+    sc = _context(spark)
+    return sc.applicationId if sc is not None else f"session {id(spark)}"
+
+
 def remove_path(spark: SparkSession, path: str) -> None:
-    """Remove a folder through the file system that holds it."""
+    """Remove a folder through the file system that holds it. A session without
+    a context can't reach it: there the cluster cleans its checkpoint folder."""
+    if _context(spark) is None:
+        return
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
     at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
@@ -113,7 +122,7 @@ def remove_path(spark: SparkSession, path: str) -> None:
 def remove_scratch(spark: SparkSession) -> None:
     """Remove every scratch folder this application was given. Frames that
     read them can't be evaluated afterwards; call it once results are stored."""
-    for path in _ISSUED.pop(spark.sparkContext.applicationId, []):
+    for path in _ISSUED.pop(_application(spark), []):
         remove_path(spark, path)
 
 

@@ -48,3 +48,28 @@ def test_same_answers_from_store(spark, stored, key):
     a = sorted(map(str, QUERIES[key](star).collect()))
     b = sorted(map(str, QUERIES[key](stored).collect()))
     assert a == b, key
+
+
+@pytest.mark.parametrize("key", ["acclaimed_popular_stored", "genre_mean_rating_stored", "actors_in_acclaimed_stored",
+                                 "series_running_mean_stored"])
+def test_registered_title_joins_need_no_shuffle(spark, key, monkeypatch):
+    """Nothing moves below the joins of titles with their ratings, credits and episodes."""
+    import re
+
+    from marquee.operators import series as operators
+    from marquee.plans.registry import QUERIES
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    kept = []
+    monkeypatch.setattr(operators, "materialize", lambda df: kept.append(df) or df)
+    try:
+        df = QUERIES[key](star_catalogue(spark, SF_SMALL))
+        text = (kept or [df])[0]._jdf.queryExecution().executedPlan().toString()
+        joins = [ln for ln in text.splitlines() if re.search(r"(SortMerge|ShuffledHash)Join \[tconst", ln)]
+        assert joins, text
+        depth = text.splitlines().index(joins[-1])
+        below = "\n".join(text.splitlines()[depth:])
+        assert "Exchange" not in below.split("FileScan parquet")[0] + below.split("FileScan parquet")[1], below
+        assert "Bucketed: true" in below
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
