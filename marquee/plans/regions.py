@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from marquee.fixed import MOVIE, TV_SERIES, UNDETERMINED, VIDEO_GAME
-from marquee.functions.exprs import exact, int_mean, mean_from_sum, mean_rating
+from marquee.functions.exprs import exact, mean_from_sum
 from marquee.operators.rank import top_k, top_k_per_group
 
 R, V = "averageRating", "numVotes"
@@ -78,18 +78,25 @@ def genres_by_region(basics: DataFrame, akas: DataFrame, ratings: DataFrame, *,
 
 def genre_trend_by_year(basics: DataFrame, ratings: DataFrame, *, title_type: str = MOVIE,
                         min_votes: int | None = None) -> DataFrame:
-    """Per (year, genre): count, mean rating, mean votes, dense rank in year."""
+    """Per (year, genre): count, mean rating, mean votes, dense rank in year.
+
+    Titles are summed per year and list of genres, a partial aggregate; the
+    few sums are exploded instead of the titles.
+    """
     rated = ratings.where(F.col(R).isNotNull())
     if min_votes is not None:
         rated = rated.where(F.col(V) >= min_votes)
     rows = (basics.where((F.col("titleType") == title_type) & F.col("startYear").isNotNull()
                          & (F.size("genres") > 0))
             .select("tconst", "startYear", "genres")
-            .join(rated.select("tconst", R, V), "tconst")
-            .select("startYear", R, V, F.explode("genres").alias("genre")))
-    stats = rows.groupBy("startYear", "genre").agg(
-        F.count(F.lit(1)).alias("movie_count"), mean_rating(R).alias("avg_rating"),
-        int_mean(V).alias("avg_votes"))
+            .join(rated.select("tconst", R, V), "tconst"))
+    lists = rows.groupBy("startYear", "genres").agg(
+        F.count(F.lit(1)).alias("_n"), F.sum(exact(R)).alias("_r"),
+        F.sum(F.col(V).cast("bigint")).alias("_v"), F.count(V).alias("_nv"))
+    stats = (lists.select("startYear", "_n", "_r", "_v", "_nv", F.explode("genres").alias("genre"))
+             .groupBy("startYear", "genre").agg(
+                 F.sum("_n").alias("movie_count"), mean_from_sum(F.sum("_r"), F.sum("_n")).alias("avg_rating"),
+                 mean_from_sum(F.sum("_v"), F.sum("_nv")).alias("avg_votes")))
     w = Window.partitionBy("startYear").orderBy(F.col("movie_count").desc())
     return (stats.withColumn("rank", F.dense_rank().over(w).cast("bigint"))
             .orderBy(F.col("startYear").desc(), "rank", "genre"))
