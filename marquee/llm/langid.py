@@ -22,12 +22,11 @@ from pyspark.sql import functions as F
 from .frames import fold, small_batches
 from .words import slices
 
-SAMPLE_TEXTS = 400       # sample texts of a language, at most
-SAMPLE_CHARS = 600       # characters a sample text gives to a dictionary, at most
-DICTIONARY_BYTES = 1 << 17  # size of a dictionary, at most
+SAMPLE_TEXTS = 220       # sample texts of a language, at most
+SAMPLE_CHARS = 600       # characters in a row that a sample text gives, at most
+DRAWN = 8                # texts drawn for each one that is taken, on average
 BLOCK_BYTES = 4_096
-LEVEL = 6
-SHORT_BYTES, SHORT_LEVEL = 256, 19  # short texts need matches of three bytes, which high levels find
+LEVEL = 11               # from here on a few words, too, find their matches
 MARGIN = 0.05            # least margin that is accepted: most texts of a language nobody learned stay below
 FOLDS, HELD_OUT = 4, 2   # rows whose crc32 has this remainder are never learned from
 UNDETERMINED = "und"
@@ -36,21 +35,38 @@ _LETTER = re.compile(r"[^\W\d_]")
 _OTHER = re.compile(r"[\W\d_]+")
 
 
-def learn(docs: DataFrame) -> dict[str, bytes]:
-    """Language -> dictionary, the commonest language first, from the text and
-    non-null lang of rows outside the held-out fold: those of the smallest id
-    hashes, a bounded number for a language, chosen before any shuffle by a
-    limit inside each task."""
+def sample(docs: DataFrame, texts: int = SAMPLE_TEXTS, chars: int = SAMPLE_CHARS) -> DataFrame:
+    """(lang, n, place, text): for each language the passages that its
+    dictionary is made of, and its number of rows.
+
+    Rows outside the held-out fold with text and lang count. A language's
+    ``texts`` rows with the smallest hashes each give ``chars`` characters
+    from a place that their hash chooses (a shorter text gives itself). The
+    rows are first drawn by their hashes, at a rate that leaves some times
+    ``texts`` of each language whatever the table's size, so no task gets
+    more than that of one language; equal rows are drawn once.
+    """
     rows = docs.where("lang is not null and text is not null and text <> ''").where(
-        F.coalesce(fold(F.col("doc_id"), FOLDS), F.lit(0)) != HELD_OUT)
-    first = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", "text")
-    sample = (rows.select("lang", "doc_id", F.substring("text", 1, SAMPLE_CHARS).alias("text"))
-              .withColumn("place", F.row_number().over(first)).where(F.col("place") <= SAMPLE_TEXTS))
-    texts: dict[str, list[str]] = {}
-    for row in sample.select("lang", "place", "text").orderBy("lang", "place").toLocalIterator():
-        texts.setdefault(row["lang"], []).append(row["text"])
-    often = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang")
-    return {row["lang"]: dictionary(texts[row["lang"]]) for row in often.toLocalIterator()}
+        F.coalesce(fold(F.col("doc_id"), FOLDS), F.lit(0)) != HELD_OUT).select(
+        "lang", F.xxhash64("doc_id", "text").alias("h"), "text")
+    often = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))  # a row for each language
+    rate = F.lit(DRAWN * texts).cast("double") / F.col("n")
+    share = (F.shiftrightunsigned("h", 11)).cast("double") / float(1 << 53)
+    drawn = (rows.join(F.broadcast(often), "lang").where(share < rate)
+             .select("lang", "n", "h", F.expr(
+                 f"substring(text, cast(1 + pmod(xxhash64(h), greatest(char_length(text) - {chars}, 0) + 1) as int), {chars})")
+                 .alias("text")).distinct())
+    first = Window.partitionBy("lang").orderBy("h", "text")
+    return drawn.withColumn("place", F.row_number().over(first)).where(F.col("place") <= texts)
+
+
+def learn(docs: DataFrame) -> dict[str, bytes]:
+    """Language -> dictionary, the commonest language first, of all passages of
+    the :func:`sample`."""
+    texts: dict[tuple[int, str], list[str]] = {}
+    for row in sample(docs).orderBy("lang", "place").toLocalIterator():
+        texts.setdefault((-row["n"], row["lang"]), []).append(row["text"])
+    return {lang: dictionary(found) for (_, lang), found in sorted(texts.items())}
 
 
 def plain(text: str) -> str:
@@ -60,20 +76,19 @@ def plain(text: str) -> str:
 
 
 def dictionary(texts: list[str]) -> bytes:
-    return plain(" ".join(dict.fromkeys(texts))).encode()[-DICTIONARY_BYTES:]
+    return plain(" ".join(dict.fromkeys(texts))).encode()
 
 
 class Classifier:
     def __init__(self, dictionaries: dict[str, bytes]):
         self.langs = list(dictionaries)
-        self.coders = {level: [self._coder(d, level) for d in dictionaries.values()]
-                       for level in (LEVEL, SHORT_LEVEL)}
+        self.coders = [self._coder(d) for d in dictionaries.values()]
 
     @staticmethod
-    def _coder(content: bytes, level: int) -> zstandard.ZstdCompressor:
+    def _coder(content: bytes) -> zstandard.ZstdCompressor:
         d = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-        d.precompute_compress(level=level)
-        return zstandard.ZstdCompressor(level=level, dict_data=d, write_checksum=False, write_content_size=False)
+        d.precompute_compress(level=LEVEL)
+        return zstandard.ZstdCompressor(level=LEVEL, dict_data=d, write_checksum=False, write_content_size=False)
 
     def predict(self, text: str | None) -> tuple[str, float, bool]:
         """(language, score from 0 to 1, accepted). The score is the margin's
@@ -85,12 +100,7 @@ class Classifier:
         blocks = [raw[a:a + BLOCK_BYTES] for a in range(0, len(raw), BLOCK_BYTES)]
         if len(self.langs) == 1:
             return self.langs[0], 1.0, True
-        coders = self.coders[LEVEL]
-        if len(raw) <= SHORT_BYTES:  # both levels' totals together leave fewer ties
-            coders = list(zip(coders, self.coders[SHORT_LEVEL]))
-        else:
-            coders = [(c,) for c in coders]
-        sizes = sorted((sum(len(c.compress(b)) for c in some for b in blocks), i) for i, some in enumerate(coders))
+        sizes = sorted((sum(len(c.compress(b)) for b in blocks), i) for i, c in enumerate(self.coders))
         (least, best), (second, _) = sizes[:2]
         margin = (second - least) / second
         return self.langs[best], 1 - least / (2 * second - least), margin >= MARGIN

@@ -1,8 +1,10 @@
 """Language, toxicity, decontamination and the pipeline."""
 
+import math
 import random
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -11,7 +13,7 @@ import pytest
 import corpus_pipeline
 from marquee.llm import decontaminate, langid, toxicity
 from marquee.llm.frames import table
-from marquee.llm.queries import op6_language
+from marquee.llm.queries import op6_language, op10_decontaminate
 
 SMALL, MID = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, score double, toxic int"
@@ -70,6 +72,25 @@ def test_language_edges(spark):
     assert langid.predict(spark.createDataFrame([], DOCS)).count() == 0
 
 
+def test_learning_texts_are_drawn_from_all_of_the_text(spark):
+    """A boilerplate opening is no language: passages come from anywhere."""
+    opening = "cookie policy accept all privacy settings manage preferences close " * 12
+    en, de = "the cat sat on the mat and looked at the dog ", "der hund und die katze sitzen auf dem teppich "
+    rows = [(d, opening + (en, de)[d % 2] * 60, ("en", "de")[d % 2]) for d in range(120)]
+    docs = spark.createDataFrame(extra(rows), DOCS)
+    known = langid.learn(docs)
+    assert "dog" in known["en"].decode() and "teppich" in known["de"].decode()
+    assert all(r["lang_pred"] == ("en", "de")[r["doc_id"] % 2] for r in langid.predict(docs).collect())
+    taken = langid.sample(docs, texts=5, chars=70).collect()
+    assert sorted((r["lang"], r["place"]) for r in taken) == [(c, k) for c in ("de", "en") for k in range(1, 6)]
+    assert all(len(r["text"]) == 70 for r in taken)
+    first = {r["lang"]: r["text"] for r in taken}
+    every = [r["text"] for r in langid.sample(docs).where("lang = 'en'").orderBy("place").collect()]
+    assert known["en"] == langid.dictionary(every) and len(known["en"]) > 20_000  # nothing is cut afterwards
+    copies = spark.createDataFrame(extra([(7, en * 40, "en")] * 3000 + rows), DOCS)  # equal rows are drawn once
+    assert langid.sample(copies, texts=40).where("lang = 'en'").count() <= 40 and first
+
+
 # -- toxicity -------------------------------------------------------------------
 
 
@@ -251,6 +272,40 @@ def plain_alignment(item, weight, words):
     return h.max()
 
 
+def test_query_equals_all_pairs_aligned(spark):
+    """Every document against every item of the given tables, without seeds or
+    windows: Smith-Waterman over the whole text, a document's word at a time
+    over all items' words at once."""
+    docs = {r["doc_id"]: r["text"] or "" for r in table(spark, SMALL, "documents").collect()}
+    items = {r["item_id"]: r["text"] or "" for r in table(spark, SMALL, "benchmark").collect()}
+    # words are what lies between ASCII marks, blanks and controls
+    words = lambda t: re.findall(r"[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+", t.lower())
+    listed = {k: words(t) for k, t in items.items() if words(t)}
+    holders = Counter(w for ws in listed.values() for w in set(ws))
+    rarity = {w: min(1.0, max(0.1, math.log(len(listed) / n) / math.log(1000))) for w, n in holders.items()}
+    weight = {k: np.array([rarity[w] for w in ws]) / np.mean([rarity[w] for w in ws]) for k, ws in listed.items()}
+    number = {w: i for i, w in enumerate(holders)}
+    width = max(map(len, listed.values()))
+    ids, heavy = np.full((len(listed), width), -2), np.zeros((len(listed), width))
+    for row, k in enumerate(listed):
+        ids[row, :len(listed[k])] = [number[w] for w in listed[k]]
+        heavy[row, :len(listed[k])] = weight[k]
+    slope = 0.5 * np.arange(1, width + 1)
+    expected = set()
+    for doc, text in docs.items():
+        above, best = np.zeros((len(listed), width + 1)), np.zeros(len(listed))
+        for w in words(text):
+            here = np.maximum(above[:, 1:] - 0.5, above[:, :-1] + np.where(ids == number.get(w, -1), heavy, -0.5))
+            here = np.maximum(here, 0)
+            here = np.maximum.accumulate(here + slope, axis=1) - slope
+            above[:, 1:] = here
+            best = np.maximum(best, here.max(axis=1))
+        score = best / heavy.sum(axis=1)
+        expected |= {(doc, k, round(float(s), 6)) for k, s in zip(listed, score) if s >= 0.5}
+    found = {(r["doc_id"], r["item_id"], round(r["score"], 6)) for r in op10_decontaminate(spark, SMALL).collect()}
+    assert expected and found == expected
+
+
 def test_alignment_equals_the_textbook_table():
     rng = np.random.default_rng(1)
     for _ in range(40):
@@ -292,7 +347,6 @@ def test_stages_take_effect_and_keep_the_columns(spark, tmp_path):
     assert ids["toxicity"] == drop(gone)
     gone |= {1001, 1002}
     left = drop(gone)
-    left.remove(1003)  # two texts of one doc_id are one document
     assert ids["near_duplicates"] == left
     assert set(ids["decontamination"]) | {1003} == set(left)
     assert ids["sentencepiece"] == ids["decontamination"]
