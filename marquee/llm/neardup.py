@@ -107,7 +107,8 @@ def reaches(level: float, plus: np.ndarray, minus: np.ndarray, registers: int,
 def _sketches(how: NearDup):
     from hashlib import blake2b
 
-    schema = pa.schema([("doc_id", pa.int64()), ("node", pa.binary()), ("n", pa.int64()),
+    schema = pa.schema([("doc_id", pa.int64()), ("k1", pa.int64()), ("k2", pa.int64()),
+                        ("node", pa.binary()), ("n", pa.int64()),
                         ("bands", pa.list_(pa.int64())), ("regs", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -135,7 +136,7 @@ def _sketches(how: NearDup):
                     keys.append(None)
                     values.append(None)
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), pa.array(nodes, pa.binary()),
+                [*(part.column(c) for c in ("doc_id", "k1", "k2")), pa.array(nodes, pa.binary()),
                  pa.array([len(s) for s in sets], pa.int64()),
                  pa.array(keys, pa.list_(pa.int64())), pa.array(values, pa.binary())], schema=schema)
     return run
@@ -272,46 +273,96 @@ def _deal(rows: DataFrame, key: str, blocks: str) -> DataFrame:
             .repartition("unit").sortWithinPartitions("unit"))
 
 
-def near_duplicates(docs: DataFrame, how: NearDup = NearDup()) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) of every row of ``docs``.
-
-    Null and empty texts have no shingles and stay alone. Repeated rows and
-    texts with equal sets share a class; rows with equal doc_id but different
-    texts are different texts. ``component_id`` is the smallest doc_id of the
-    component; a null doc_id gets it too and is kept only if it has none.
-    Other columns of ``docs`` are ignored.
-    """
+def _classified(docs: DataFrame, how: NearDup) -> DataFrame:
+    """(doc_id, k1, k2, n, group, component_id) of every row: k1 and k2 are its
+    text's key, ``group`` is one value for each component (null without
+    shingles), and component_id its smallest doc_id (null if it has none)."""
     small_batches(docs.sparkSession)
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string"))
-    marked = written(texts.mapInArrow(
-        _sketches(how), "doc_id long, node binary, n long, bands array<long>, regs binary"), "sketches")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    texts = texts.select("doc_id", "text", F.xxhash64("text").alias("k1"), F.xxhash64(F.lit(1), "text").alias("k2"))
+    marked = written(texts.mapInArrow(_sketches(how), (
+        "doc_id long, k1 long, k2 long, node binary, n long, bands array<long>, regs binary")), "sketches")
+    row = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "k1", "k2")  # that stands for a class
     classes = written(marked.where("n > 0").groupBy("node").agg(
-        F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("bands").alias("bands"),
-        F.first("regs").alias("regs")), "classes")
+        F.min(row).alias("row"), F.first("n").alias("n"), F.first("bands").alias("bands"),
+        F.first("regs").alias("regs")).select("node", "row.*", "n", "bands", "regs"), "classes")
 
     bands = classes.select("node", F.explode("bands").alias("band"))
-    shared = bands.groupBy("band").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    shared = written(bands.groupBy("band").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "shared")
     members = (bands.join(shared, "band")
                .select("node", "band", F.ceil(F.col("size") / BLOCK).alias("blocks")))
     meeting = _deal(members.join(classes.select("node", "n", "regs"), "node"), "band", "blocks")
     alike = meeting.mapInArrow(_meet(how), "a binary, b binary")
     families = written(components(alike, "families"), "families")
 
-    sized = families.join(classes.select(F.col("node"), "doc_id", "n"), "node")
-    blocks = sized.groupBy("root").agg(F.greatest(
+    sized = families.join(classes.select("node", "unnamed", "doc_id", "k1", "k2", "n"), "node")
+    blocks = written(sized.groupBy("root").agg(F.greatest(
         F.ceil(F.count(F.lit(1)) / FAMILY_BLOCK),
-        F.ceil(F.sum("n") / FAMILY_SHINGLES)).alias("blocks"))
-    whole = (texts.join(sized.select("doc_id", "node", "root"), "doc_id")
-             .join(blocks, "root").select("node", "root", "blocks", "text"))
-    links = _deal(whole, "root", "blocks").mapInArrow(_confirm(how), "a binary, b binary")
+        F.ceil(F.sum("n") / FAMILY_SHINGLES)).alias("blocks")), "blocks")
+    wanted = written(sized.join(blocks, "root").select("node", "root", "blocks", "doc_id", "k1", "k2"), "wanted")
+    links = _deal(_one_text_each(texts, wanted), "root", "blocks").mapInArrow(_confirm(how), "a binary, b binary")
     roots = components(links, "links")
 
     linked = roots.join(classes.select("node", "doc_id"), "node")
     lowest = linked.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     named = written(classes.select("node", F.col("doc_id").alias("first_id"))
                     .join(roots, "node", "left").join(lowest, "root", "left")
-                    .select("node", F.coalesce("component_id", "first_id").alias("component_id")), "named")
-    return (marked.select("doc_id", F.col("n").alias("n_shingles"), "node").join(named, "node", "left")
-            .select("doc_id", "n_shingles",
-                    F.coalesce("component_id", "doc_id").alias("component_id"))
+                    .select("node", F.coalesce("root", "node").alias("group"),
+                            F.coalesce("component_id", "first_id").alias("component_id")), "named")
+    return (marked.select("doc_id", "k1", "k2", "n", "node").join(named, "node", "left")
+            .select("doc_id", "k1", "k2", "n", "group", "component_id"))
+
+
+def _one_text_each(texts: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(node, root, blocks, text) of the rows that stand for the classes: by
+    doc_id and text, so that rows without doc_id and several texts of one are
+    told apart. Rows that repeat one of them are in its task and count once."""
+    found = _rows_of(texts, wanted.select("node", "root", "blocks", "doc_id", "k1", "k2"))
+    return found.select("node", "root", "blocks", "text")
+
+
+_ROW = ["_id", "_unnamed", "k1", "k2"]
+
+
+def _named(rows: DataFrame) -> DataFrame:
+    """Rows with a key of plain columns for doc_id, text key: joins, and what
+    follows by the same key, then share one exchange."""
+    return rows.withColumns({"_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(0)),
+                             "_unnamed": F.col("doc_id").isNull()})
+
+
+def _rows_of(rows: DataFrame, chosen: DataFrame) -> DataFrame:
+    """Rows (doc_id, k1, k2, ...) that are chosen (doc_id, k1, k2, ...), one of
+    those that repeat each other, with the columns of both."""
+    return _named(rows).join(_named(chosen).drop("doc_id"), _ROW).dropDuplicates(_ROW)
+
+
+def near_duplicates(docs: DataFrame, how: NearDup = NearDup()) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) of every row of ``docs``.
+
+    Null and empty texts have no shingles and stay alone. Repeated rows and
+    texts with equal sets share a class; rows with equal doc_id but different
+    texts are different texts, and rows without doc_id are linked by their
+    texts like others. ``component_id`` is the smallest doc_id of the
+    component; a null doc_id gets it too and is kept only if it has none.
+    Other columns of ``docs`` are ignored.
+    """
+    return (_classified(docs, how)
+            .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
             .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))))
+
+
+def one_of_each(docs: DataFrame, how: NearDup = NearDup()) -> DataFrame:
+    """The rows of ``docs``, all columns, that are left when one row of each
+    component stays: that of the smallest doc_id (null last), then text key; of
+    rows that repeat it one stays. Rows without shingles all stay."""
+    first = (_classified(docs, how).where(F.col("group").isNotNull()).groupBy("group").agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "k1", "k2")).alias("row"))
+        .select("row.doc_id", "row.k1", "row.k2"))
+    first = written(first, "firsts")
+    text = F.col("text").cast("string")
+    whole = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").cast("long").alias("doc_id"),
+                        F.xxhash64(text).alias("k1"), F.xxhash64(F.lit(1), text).alias("k2"),
+                        F.coalesce(text, F.lit("")).rlike(r"[^\x20\x09-\x0D]").alias("words"))
+    return (_rows_of(whole.where("words"), first).select("row.*")
+            .union(whole.where("not words").select("row.*")))

@@ -8,6 +8,8 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from pyspark.sql import functions as F
+
 from marquee.llm import neardup, words
 from marquee.llm.frames import release, table
 
@@ -142,3 +144,39 @@ def test_repeated_rows_and_ids(spark):
 
 def test_empty_table(spark):
     assert run(spark, spark.createDataFrame([], SCHEMA), 4) == []
+
+
+def test_texts_without_id_are_linked_by_their_texts(spark):
+    words = [f"w{k}" for k in range(100)]
+    a, b = " ".join(words), " ".join([*words[:99], "other"])
+    docs = spark.createDataFrame([(None, a, 0, ""), (None, a, 0, ""), (7, b, 0, ""), (7, "x y z u v w", 0, ""),
+                                  (3, "x y z u v w", 0, "")], SCHEMA)
+    rows = {(r["doc_id"], r["n_shingles"]): r["component_id"] for r in neardup.near_duplicates(docs).collect()}
+    assert rows == {(None, 96): 7, (7, 96): 7, (7, 2): 3, (3, 2): 3}
+
+
+def test_one_row_of_each_component_stays(spark):
+    words = [f"w{k}" for k in range(100)]
+    a, b, c = " ".join(words), " ".join([*words[:99], "other"]), "a text of its own and of nobody else"
+    rows = [(4, b), (4, c), (2, a), (2, a), (None, a), (None, c), (9, "p q r s t u"), (None, "p q r s t u v w x y z"),
+            (None, "one of a kind is this"), (5, None), (5, None), (None, " "), (6, "")]
+    docs = spark.createDataFrame([(i, t, k, "x") for k, (i, t) in enumerate(rows)],
+                                 "doc_id long, text string, k1 int, words string")
+    kept = neardup.one_of_each(docs)
+    assert kept.columns == docs.columns
+    got = sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=str)
+    assert got == sorted([(2, a), (4, c), (9, "p q r s t u"), (None, "p q r s t u v w x y z"),
+                          (None, "one of a kind is this"), (5, None), (5, None), (None, " "), (6, "")], key=str)
+    assert neardup.one_of_each(docs.limit(0)).count() == 0
+
+
+def test_no_text_meets_by_its_familys_key(spark):
+    """Texts are looked up by row and dealt out by block pair; nothing wide is
+    shuffled by a family's root or a band."""
+    docs = table(spark, SF, "documents")
+    plan = neardup._one_text_each(
+        docs.select("doc_id", "text", F.xxhash64("text").alias("k1"), F.lit(1).cast("long").alias("k2")),
+        docs.select(F.lit(b"n").alias("node"), F.lit(b"r").alias("root"), F.lit(1).alias("blocks"), "doc_id",
+                    F.lit(1).cast("long").alias("k1"), F.lit(1).cast("long").alias("k2")))
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(root" not in text and "hashpartitioning(node" not in text
