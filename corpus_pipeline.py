@@ -6,8 +6,7 @@ columns of documents."""
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from marquee.llm import decontaminate, langid, neardup, pieces, toxicity
 from marquee.llm.frames import table, written
@@ -24,14 +23,8 @@ def nontoxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies, that of the smallest doc_id.
-    Rows of one doc_id are one document, and the first by text stands for it;
-    a row without doc_id can't be named by its group and stays."""
-    kept = neardup.near_duplicates(docs).where("kept and doc_id is not null").select("doc_id").distinct()
-    first = Window.partitionBy("doc_id").orderBy(F.col("text").asc_nulls_last())
-    named = (docs.join(kept, "doc_id", "left_semi").withColumn("_place", F.row_number().over(first))
-             .where("_place = 1").select(*docs.columns))
-    return named.union(docs.where("doc_id is null").select(*docs.columns))
+    """One document of each group of near copies, that of the smallest doc_id."""
+    return neardup.one_of_each(docs)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
