@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import heapq
 from collections.abc import Iterator
+from os.path import commonprefix
 from zlib import crc32
 
 import numpy as np
@@ -26,9 +27,10 @@ from pyspark.sql import functions as F
 
 from .frames import small_batches
 from .units import Units
-from .words import slices
+from .words import gathered, text_buffers
 
 MARK = "▁"
+MOST_UNITS = 1_200_000  # distinct marked words that a worker keeps
 PAIRS = 400_000  # remembered verdicts on pairs of pieces
 _NONE = float("-inf")
 
@@ -59,6 +61,7 @@ class Pieces:
             raise ValueError(f"pieces cross word edges, for example {crossing[0]!r}")
         self.lines = all("\n" not in p for p in self.ids)
         self.pairs: dict[tuple[str, str], bool] = {}
+        self.flat = self.starts = None  # all pieces' bytes, made when first decoded
 
     @staticmethod
     def _is_bpe(model_file: str) -> bool:
@@ -105,11 +108,11 @@ class Pieces:
         return [p for p in parts if p is not None]
 
     def _endings(self) -> dict[str, list[int]]:
-        """Lengths of the pieces that end with each two characters, longest first."""
+        """Lengths of the pieces that end with each three characters, longest first."""
         out: dict[str, set[int]] = {}
         for piece in self.scores:
-            if len(piece) > 1:
-                out.setdefault(piece[-2:], set()).add(len(piece))
+            if len(piece) > 2:
+                out.setdefault(piece[-3:], set()).add(len(piece))
         return {k: sorted(v, reverse=True) for k, v in out.items()}
 
     def _merged_short(self, text: str) -> list[str]:
@@ -139,19 +142,23 @@ class Pieces:
             known = self.pairs[a, b] = self._merged_short(a + b) == ([a, b] if b else [a])
         return known
 
-    def _last_merged(self, word: str, i: int, last: list) -> str:
-        """Last piece of the merges' path through ``word[:i]``."""
-        scores, pairs = self.scores, self.pairs
-        for n in self.endings.get(word[i - 2:i], ()) if i > 1 else ():
-            if n > i:
-                continue
-            piece = word[i - n:i]
-            if piece in scores:
-                key = (last[i - n], piece) if n < i else (piece, "")
-                apart = pairs.get(key)
-                if apart if apart is not None else self._apart(*key):
-                    return piece
-        return word[i - 1:i]
+    def _extend_merged(self, word: str, last: list) -> None:
+        """Adds to ``last`` the last piece of the merges' path through each
+        further prefix of ``word``: the longest piece there that the merges
+        keep apart from the last one before it."""
+        scores, known, ending = self.scores, self.pairs.get, self.endings.get
+        for i in range(len(last), len(word) + 1):
+            found = word[i - 1:i]
+            if i > 1:
+                for n in (*ending(word[i - 3:i], ()), 2) if i > 2 else (2,):
+                    piece = word[i - n:i] if n <= i else ""
+                    if piece in scores:
+                        key = (last[i - n], piece) if n < i else (piece, "")
+                        apart = known(key)
+                        if apart if apart is not None else self._apart(*key):
+                            found = piece
+                            break
+            last.append(found)
 
     def _last_scored(self, word: str, i: int, best: list) -> tuple[float, str]:
         """(score, last piece) of the best path through ``word[:i]``."""
@@ -169,15 +176,13 @@ class Pieces:
         states: list = [None if self.bpe else (0.0, "")]
         before = ""
         for word in sorted(words):
-            shared = 0
-            for a, b in zip(word, before):
-                if a != b:
-                    break
-                shared += 1
+            shared = len(commonprefix((word, before)))
             del states[shared + 1:]
-            for i in range(shared + 1, len(word) + 1):
-                states.append(self._last_merged(word, i, states) if self.bpe
-                              else self._last_scored(word, i, states))
+            if self.bpe:
+                self._extend_merged(word, states)
+            else:
+                for i in range(shared + 1, len(word) + 1):
+                    states.append(self._last_scored(word, i, states))
             path, i = [], len(word)
             while i:
                 piece = states[i] if self.bpe else states[i][1]
@@ -260,6 +265,63 @@ class Pieces:
         split = rf"{MARK}+[^{MARK}\n]*|[^{MARK}\n]+|\n" if self.lines else rf"{MARK}*[^{MARK}]+|{MARK}+"
         return re.findall(split, text)
 
+    def encode_column(self, texts: pa.Array, units: Units) -> tuple[np.ndarray, np.ndarray]:
+        """(all ids, bounds of each text's) of a string column. Texts without
+        double blanks, blanks in front and marks are cut into units as bytes,
+        and only their distinct units become Python strings."""
+        raw, off = text_buffers(texts)
+        even = self._even(raw, off)
+        others = np.flatnonzero(~even)
+        if len(others):
+            loose, loose_bounds = units.encode([self.units(t or "") for t in texts.take(pa.array(others)).to_pylist()])
+            raw, off = text_buffers(texts.take(pa.array(np.flatnonzero(even))))
+        full = off[1:] > off[:-1]
+        marked = np.insert(raw, off[:-1][full], 0x20)  # every text begins with a mark
+        cut = (marked == 0x20) | (marked == 0x0A)
+        cut[1:] |= marked[:-1] == 0x0A
+        starts = np.flatnonzero(cut)
+        coded = pa.Array.from_buffers(
+            pa.large_string(), len(starts),
+            [None, pa.py_buffer(np.append(starts, len(marked)).astype(np.int64)), pa.py_buffer(marked)]).dictionary_encode()
+        names = [MARK + u[1:] if u[0] == " " else u for u in coded.dictionary.to_pylist()]
+        ids, ends = units.gather(units.number(names, len(names))[coded.indices.to_numpy()])
+        bounds = np.concatenate([[0], ends])[np.searchsorted(starts, off + np.concatenate([[0], np.cumsum(full)]))]
+        if not len(others):
+            return ids, bounds
+        lengths = np.empty(len(texts), np.int64)
+        lengths[even], lengths[others] = np.diff(bounds), np.diff(loose_bounds)
+        edges = np.concatenate([[0], np.cumsum(lengths)])
+        every, of = np.empty(int(edges[-1]), np.int32), np.repeat(even, lengths)
+        every[of], every[~of] = ids, loose
+        return every, edges
+
+    def _even(self, raw: np.ndarray, off: np.ndarray) -> np.ndarray:
+        """Which texts have no double blank, no blank in front and no mark."""
+        out = np.full(len(off) - 1, self.lines)
+        blank = raw == 0x20
+        first = off[:-1][off[1:] > off[:-1]]
+        odd = np.zeros(len(raw), bool)
+        odd[1:] = blank[1:] & blank[:-1]
+        odd[first] = blank[first]
+        lead = np.flatnonzero(raw[:-2] == 0xE2)
+        odd[lead[(raw[lead + 1] == 0x96) & (raw[lead + 2] == 0x81)]] = True
+        out[np.searchsorted(off, np.flatnonzero(odd), "right") - 1] = False
+        return out
+
+    def decode_all(self, ids: np.ndarray, bounds: np.ndarray) -> list[bytes]:
+        """The bytes of each text of a batch, without the mark in front."""
+        if self.flat is None:
+            values = [self.value[i] for i in range(len(self.names))]
+            self.starts = np.concatenate([[0], np.cumsum(list(map(len, values)))])
+            self.flat = np.frombuffer(b"".join(values), np.uint8)
+        first = self.starts[ids]
+        lengths = self.starts[ids + 1] - first
+        ends = np.cumsum(lengths)
+        total = int(ends[-1]) if len(ends) else 0
+        raw = self.flat[np.repeat(first - (ends - lengths), lengths) + np.arange(total)].tobytes()
+        edges = np.concatenate([[0], ends])[bounds].tolist()
+        return [raw[a + raw.startswith(b" ", a, b):b] for a, b in zip(edges[:-1], edges[1:])]
+
     def decode(self, ids: list[int]) -> str:
         """The text of ids; the mark that stands before every text goes."""
         text = b"".join(map(self.value.__getitem__, ids)).decode("utf-8", "replace")
@@ -273,7 +335,7 @@ def loaded(model_file: str) -> tuple[Pieces, Units]:
     """A worker's model and its table of words, kept between tasks."""
     if model_file not in _LOADED:
         pieces = Pieces(model_file)
-        _LOADED[model_file] = pieces, Units(pieces.encode_units)
+        _LOADED[model_file] = pieces, Units(pieces.encode_units, MOST_UNITS)
     return _LOADED[model_file]
 
 
@@ -290,16 +352,18 @@ def encode(docs: DataFrame, model_file: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces, units = loaded(model_file)
-        for part in slices(batches, "text", 1 << 20):
-            texts = [t or "" for t in part.column("text").to_pylist()]
-            ids, bounds = units.encode([pieces.units(t) for t in texts])
-            lists = [ids[a:b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
-            back = [pieces.decode(x.tolist()) == t for x, t in zip(lists, texts)]
+        for part in gathered(batches, "text", 2 << 20):
+            texts = part.column("text")
+            ids, bounds = pieces.encode_column(texts, units)
+            raw, off = text_buffers(texts)
+            raw, off = raw.tobytes(), off.tolist()
+            back = [b == raw[c:d] for b, c, d in zip(pieces.decode_all(ids, bounds), off[:-1], off[1:])]
+            packed, edges = memoryview(ids.astype("<u4").tobytes()), (4 * bounds).tolist()
             yield pa.RecordBatch.from_arrays(
                 [part.column("doc_id"), pa.array(np.diff(bounds)),
                  pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids)),
-                 pa.array([crc32(x.astype("<u4").tobytes()) for x in lists], pa.int64()),
-                 pa.array(back)], names=["doc_id", "n_tokens", "ids", "ids_crc32", "round_trip"])
+                 pa.array([crc32(packed[a:b]) for a, b in zip(edges[:-1], edges[1:])], pa.int64()),
+                 pa.array(back, pa.bool_())], names=["doc_id", "n_tokens", "ids", "ids_crc32", "round_trip"])
     return (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
             .mapInArrow(run, "doc_id long, n_tokens long, ids array<int>, ids_crc32 long, round_trip boolean"))
 
