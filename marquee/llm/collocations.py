@@ -31,9 +31,12 @@ from pyspark.sql import functions as F
 from .frames import small_batches, written
 
 #: Bytes of text counted at once, and stripe entries merged at once.
-CHUNK_BYTES = 12 << 20
-CHUNK_ENTRIES = 1 << 20
+CHUNK_BYTES = 8 << 20
+CHUNK_ENTRIES = 1 << 19
+#: Words of this share of the corpus are frequent: there are no more than so many.
 SHARE = 20_000
+#: Parts of a language whose first phrases are picked before they meet.
+PARTS = 16
 
 _BREAK, _BLANK = 0x0A, 0x20
 _BYTES = bytearray(range(256))
@@ -361,7 +364,10 @@ def collocations(docs: DataFrame, how: Collocations = Collocations()) -> DataFra
     long = cut.select("lang", F.concat_ws(" ", "first", "next", "after").alias("phrase"), "a",
                       *[F.when(early, F.col(x)).otherwise(F.col(y)).alias(z)
                         for x, y, z in (("l1", "l2", "l"), ("r1", "r2", "r"), ("s1", "s2", "score"))])
-    best = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    ranked = (short.union(long).withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= how.top))
+    order = [F.desc("score"), F.desc("a"), "phrase"]
+    part = Window.partitionBy("lang", F.pmod(F.xxhash64("phrase"), F.lit(PARTS))).orderBy(*order)
+    some = (short.union(long).withColumn("rank", F.row_number().over(part)).where(F.col("rank") <= how.top))
+    best = Window.partitionBy("lang").orderBy(*order)  # of a bounded number of rows for each language
+    ranked = some.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= how.top)
     return (ranked.join(sizes, "lang")
             .select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score"))
