@@ -409,9 +409,9 @@ def repeated_spans(docs: DataFrame, how: Repeats = Repeats()) -> DataFrame:
     texts = _keyed(docs, F.col("doc_id").cast("long").alias("doc_id"))
     runs = written(texts.select("k1", "k2", "text").where(F.octet_length("text") >= how.length)
                    .mapInArrow(_runs(how), _RUNS), "runs")
-    cores = (runs.groupBy("core").agg(F.count(F.lit(1)).alias("n"), F.min("digest").alias("d1"),
-                                      F.max("digest").alias("d2"))
-             .where("n > 1").select("core", (F.col("d1") != F.col("d2")).alias("mixed")))
+    cores = written(runs.groupBy("core").agg(F.count(F.lit(1)).alias("n"), F.min("digest").alias("d1"),
+                                             F.max("digest").alias("d2"))
+                    .where("n > 1").select("core", (F.col("d1") != F.col("d2")).alias("mixed")), "cores")
     again = written(runs.join(cores, "core"), "shared")
     mixed = again.where("mixed")
     ends = written(_verdicts(texts, mixed, how), "verdicts")
