@@ -25,7 +25,7 @@ from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import IsotonicRegression
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
@@ -34,6 +34,7 @@ from .units import _Numbers
 from .words import slices
 
 SAMPLE = 20_000      # labelled rows that are learned from, at most
+DRAWN = 4            # labels drawn for each one that is taken, on average
 POSITIVE = 8_000     # of them toxic, at most
 SUPPORT = 3          # toxic texts that a lexicon entry is in, at least
 LIFT = 10.0          # how many times as common it is in toxic texts, at least
@@ -146,14 +147,20 @@ class Model:
 
 def _sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """(doc_id, text, toxic) of a bounded number of labelled rows outside the
-    held-out fold, the smallest id hashes of each class."""
+    held-out fold, the smallest id hashes of each class. Labels are first
+    drawn by their hashes, at a rate that leaves a few times the number wanted
+    whatever the table's size, so a class is never one task's rows."""
     marked = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
               .where("doc_id is not null and toxic in (0, 1)").where(fold(F.col("doc_id"), FOLDS) != HELD_OUT)
               .groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
-    order = Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = (marked.withColumn("place", F.row_number().over(order))
-              .where(F.col("place") <= F.when(F.col("toxic") == 1, POSITIVE).otherwise(SAMPLE - POSITIVE))
-              .select("doc_id", "toxic"))
+    hashed = F.xxhash64("doc_id")
+    share = F.shiftrightunsigned(hashed, 11).cast("double") / float(1 << 53)
+    sizes = {r["toxic"]: r["count"] for r in marked.groupBy("toxic").count().collect()}  # two rows
+    parts = []
+    for toxic, most in ((1, POSITIVE), (0, SAMPLE - POSITIVE)):
+        drawn = marked.where((F.col("toxic") == toxic) & (share < DRAWN * most / max(1, sizes.get(toxic, 0))))
+        parts.append(drawn.orderBy(hashed, "doc_id").limit(most).select("doc_id", "toxic"))
+    chosen = parts[0].union(parts[1])
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return written(texts.join(F.broadcast(chosen), "doc_id"), "labelled")  # at most SAMPLE ids
 
