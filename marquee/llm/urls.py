@@ -10,12 +10,14 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import HashingTF
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from marquee.session import scratch_path
+
 GRAMS = (3, 4, 5)
 BUCKETS = 1 << 16
 PENALTY = 0.002
@@ -123,7 +125,11 @@ def learn(urls: DataFrame, prefix: str = "url__") -> PipelineModel:
                                     rawPredictionCol=prefix + "r", predictionCol=prefix + "p", regParam=PENALTY,
                                     maxIter=60)
     rows = urls.select("label", grams(*split_url(F.col("url"))).alias(prefix + "grams")).coalesce(1)
-    return PipelineModel([hashing, regression.fit(hashing.transform(rows))])
+    # Stored and read again, the model is its coefficients alone: a fitted one
+    # carries its training summary, and with it the session, into every task.
+    path = scratch_path(urls.sparkSession, "url-model")
+    regression.fit(hashing.transform(rows)).write().save(path)
+    return PipelineModel([hashing, LogisticRegressionModel.load(path)])
 
 
 def judge(pages: DataFrame, rules: list[Rule], model: PipelineModel, prefix: str = "url__") -> DataFrame:

@@ -12,6 +12,7 @@ import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from marquee.llm import htmltext, urls, warc
 from marquee.llm.frames import table
@@ -169,6 +170,15 @@ def test_model_tells_unseen_urls_apart(spark):
     assert got == {i: "block" if bad else "allow" for i, _, bad in fresh}
 
 
+def test_url_query_runs_in_a_session_that_has_observed_something(spark):
+    from pyspark.sql import Observation
+    seen = Observation()
+    spark.range(3).observe(seen, F.count(F.lit(1)).alias("n")).collect()
+    assert seen.get["n"] == 3
+    assert op7_url_filter(spark, SF).count() == table(spark, SF, "pages").count()
+    op7_url_filter(spark, SF).write.format("noop").mode("overwrite").save()
+
+
 def test_url_query_columns(spark):
     assert op7_url_filter(spark, SF).columns[:5] == ["page_id", "host", "path", "rule", "verdict"]
 
