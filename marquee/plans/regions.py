@@ -53,22 +53,32 @@ def genres_by_region(basics: DataFrame, akas: DataFrame, ratings: DataFrame, *,
 
     The mean counts a title once per localised row it has in the region. The
     akas rows are first reduced to (title, region, rows) and joined to titles
-    once; the mean is then a weighted exact sum.
+    once; the mean is then a weighted exact sum. A genre's first place in a
+    title's rows is marked before that join, so distinct titles are a plain
+    count and no task holds a table of (region, genre, title).
     """
     rated = ratings
     if min_votes is not None:
         rated = rated.where(F.col(V) >= min_votes)
     titles = (basics.where((F.col("titleType") == title_type) & F.col("genres").isNotNull())
               .select("tconst", "genres").join(rated.select("tconst", R), "tconst"))
+    # The join leaves a title's rows together; of them only the lists differ.
+    earlier = F.collect_set("genres").over(
+        Window.partitionBy("tconst").rowsBetween(Window.unboundedPreceding, -1))
+    titles = titles.withColumn("_earlier", F.flatten(earlier)).select("tconst", R, F.transform(
+        "genres", lambda g, i: F.struct(g.alias("genre"), (
+            ~F.exists("_earlier", lambda e: e.eqNullSafe(g))
+            & ~F.exists(F.slice("genres", 1, i), lambda e: e.eqNullSafe(g))).alias("first"))).alias("genres"))
     per_region = (akas.where(F.col("region").isNotNull())
                   .groupBy(F.col("titleId").alias("tconst"), "region")
                   .agg(F.count(F.lit(1)).alias("_w")))
     rows = (titles.join(per_region, "tconst")
-            .select("tconst", "region", "_w", R, F.explode("genres").alias("genre")))
+            .select("region", "_w", R, F.explode("genres").alias("_g"))
+            .select("region", "_w", R, "_g.genre", "_g.first"))
     if min_votes is not None:
         rows = rows.where(F.col("genre").isNotNull())
     stats = rows.groupBy("region", "genre").agg(
-        F.count_distinct("tconst").alias("title_count"),
+        F.count(F.when(F.col("first"), 1)).alias("title_count"),
         mean_from_sum(F.sum(exact(R) * F.col("_w")), F.sum("_w")).alias("avg_rating"))
     # One row per (region, genre): the per-region window is over a small table.
     w = Window.partitionBy("region").orderBy(F.col("title_count").desc())

@@ -191,3 +191,30 @@ def test_hot_key_is_split_across_blocks(spark):
                  .groupBy("_blk").count().withColumnRenamed("count", "c").collect()}
     assert len(per_block) >= 2
     assert max(per_block.values()) < n // 3
+
+
+def test_titles_of_a_region_count_once_however_rows_repeat(spark):
+    """Repeated titles, lists and genres, null genres and null ratings."""
+    from marquee.plans.regions import genres_by_region
+    lists = [["x"], ["x", "y"], ["y", "x", "x"], [None, "z", None], [], None, ["z", None]]
+    basics = [(f"t{i % 5}" if i % 11 else None, "movie", lists[i % 7]) for i in range(40)]
+    basics = spark.createDataFrame(basics, "tconst string, titleType string, genres array<string>")
+    akas = spark.createDataFrame([(f"t{i % 6}", ("r", "s", None)[i % 3]) for i in range(25)] + [(None, "r")],
+                                 "titleId string, region string")
+    ratings = spark.createDataFrame([("t0", 7.5, 2000), ("t1", 3.1, 10), ("t1", 4.0, 5000), ("t2", None, 3000),
+                                     ("t3", 9.9, None), (None, 1.0, 4000)],
+                                    "tconst string, averageRating double, numVotes int")
+    for least in (None, 1000):
+        rows = (basics.where("genres is not null").join(ratings, "tconst")
+                .join(akas.where("region is not null").withColumnRenamed("titleId", "tconst"), "tconst"))
+        if least is not None:
+            rows = rows.where(F.col("numVotes") >= least)
+        rows = rows.select("*", F.explode("genres").alias("genre"))
+        if least is not None:
+            rows = rows.where("genre is not null")
+        plain = rows.groupBy("region", "genre").agg(
+            F.count_distinct("tconst").alias("title_count"),
+            mean_from_sum(F.sum(exact("averageRating")), F.count(F.lit(1))).alias("avg_rating"))
+        fast = genres_by_region(basics, akas, ratings, min_votes=least)
+        cols = ["region", "genre", "title_count", "avg_rating"]
+        assert as_set(fast, cols) == as_set(plain, cols) and plain.count()

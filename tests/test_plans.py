@@ -142,3 +142,10 @@ def test_scans_read_only_needed_columns(cat, key):
         table, fields = m.group(1), m.group(2).split(",")
         if table in WIDE and key != "column_info":  # that one counts every column
             assert len(fields) < WIDE[table], (key, table, fields)
+
+
+@pytest.mark.parametrize("key", ["genres_by_region", "genres_by_region_min_votes"])
+def test_regions_hold_no_table_of_titles(cat, key):
+    """Distinct titles of a (region, genre) are counted without one row each."""
+    grouped = [n for n, _ in tree(plan(QUERIES[key](cat))) if "Aggregate(keys=[" in n and "genre#" in n]
+    assert grouped and not any("tconst" in n.split("functions=")[0] for n in grouped)
