@@ -333,8 +333,10 @@ def _named(rows: DataFrame) -> DataFrame:
 
 def _rows_of(rows: DataFrame, chosen: DataFrame) -> DataFrame:
     """Rows (doc_id, k1, k2, ...) that are chosen (doc_id, k1, k2, ...), one of
-    those that repeat each other, with the columns of both."""
-    return _named(rows).join(_named(chosen).drop("doc_id"), _ROW).dropDuplicates(_ROW)
+    those that repeat each other, with the columns of both. Always joined by a
+    shuffle, which the last step needs by the same key anyway: a broadcast of
+    few chosen rows would make small inputs no guide to large ones."""
+    return _named(rows).join(_named(chosen).drop("doc_id").hint("merge"), _ROW).dropDuplicates(_ROW)
 
 
 def near_duplicates(docs: DataFrame, how: NearDup = NearDup()) -> DataFrame:

@@ -180,3 +180,16 @@ def test_no_text_meets_by_its_familys_key(spark):
                     F.lit(1).cast("long").alias("k1"), F.lit(1).cast("long").alias("k2")))
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert "hashpartitioning(root" not in text and "hashpartitioning(node" not in text
+
+
+def test_texts_are_fetched_by_a_shuffle_at_any_size(spark):
+    """A few chosen rows are no reason to broadcast: what small inputs cost
+    then says nothing about large ones."""
+    key = [F.xxhash64("text").alias("k1"), F.xxhash64(F.lit(1), "text").alias("k2")]
+    rows = spark.createDataFrame([(i, f"text {i}") for i in range(50)] + [(None, "x"), (3, "text 3")],
+                                 "doc_id long, text string").select("doc_id", "text", *key)
+    chosen = rows.where("doc_id < 5 or doc_id is null").select("doc_id", "k1", "k2", F.lit(1).alias("n")).distinct()
+    found = neardup._rows_of(rows, chosen)
+    assert sorted((r["text"], r["n"]) for r in found.collect()) == sorted([*((f"text {i}", 1) for i in range(5)), ("x", 1)])
+    text = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in text and "Broadcast" not in text
