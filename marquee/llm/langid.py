@@ -26,7 +26,10 @@ SAMPLE_TEXTS = 220       # sample texts of a language, at most
 SAMPLE_CHARS = 600       # characters in a row that a sample text gives, at most
 DRAWN = 8                # texts drawn for each one that is taken, on average
 BLOCK_BYTES = 4_096
-LEVEL = 11               # from here on a few words, too, find their matches
+#: Lazy parsing over hash chains. A window of 16 kB or less has chains; larger ones have
+#: hashed rows, which miss most matches of a text of a few words. The dictionary counts whole.
+SEARCH = {"strategy": zstandard.STRATEGY_LAZY, "window_log": 14, "hash_log": 17, "chain_log": 17,
+          "search_log": 4, "min_match": 5, "target_length": 8}
 MARGIN = 0.05            # least margin that is accepted: most texts of a language nobody learned stay below
 FOLDS, HELD_OUT = 4, 2   # rows whose crc32 has this remainder are never learned from
 UNDETERMINED = "und"
@@ -86,31 +89,42 @@ class Classifier:
 
     @staticmethod
     def _coder(content: bytes) -> zstandard.ZstdCompressor:
+        how = zstandard.ZstdCompressionParameters(**SEARCH, write_checksum=False, write_content_size=False)
         d = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-        d.precompute_compress(level=LEVEL)
-        return zstandard.ZstdCompressor(level=LEVEL, dict_data=d, write_checksum=False, write_content_size=False)
+        d.precompute_compress(compression_params=how)
+        return zstandard.ZstdCompressor(dict_data=d, compression_params=how)
 
     def predict(self, text: str | None) -> tuple[str, float, bool]:
         """(language, score from 0 to 1, accepted). The score is the margin's
         place between none and twice as much; a text without letters, or
         with nothing learned, is ``und``."""
-        if not text or not self.langs or not _LETTER.search(text):
-            return UNDETERMINED, 0.0, False
-        raw = plain(text).encode()
-        blocks = [raw[a:a + BLOCK_BYTES] for a in range(0, len(raw), BLOCK_BYTES)]
+        return self.predict_all([text])[0]
+
+    def predict_all(self, texts: list[str | None]) -> list[tuple[str, float, bool]]:
+        """:meth:`predict` of every text. One dictionary after the other
+        compresses them all, so that its tables stay in the cache."""
+        out = [(UNDETERMINED, 0.0, False)] * len(texts)
+        told = [i for i, t in enumerate(texts) if t and self.langs and _LETTER.search(t)]
         if len(self.langs) == 1:
-            return self.langs[0], 1.0, True
-        sizes = sorted((sum(len(c.compress(b)) for b in blocks), i) for i, c in enumerate(self.coders))
-        (least, best), (second, _) = sizes[:2]
-        margin = (second - least) / second
-        return self.langs[best], 1 - least / (2 * second - least), margin >= MARGIN
+            for i in told:
+                out[i] = self.langs[0], 1.0, True
+            return out
+        blocks = []
+        for i in told:
+            raw = plain(texts[i]).encode()
+            blocks.append([raw[a:a + BLOCK_BYTES] for a in range(0, len(raw), BLOCK_BYTES)])
+        totals = [[sum(map(len, map(c.compress, b))) for b in blocks] for c in self.coders]
+        for i, sizes in zip(told, zip(*totals)):
+            (least, best), (second, _) = sorted((n, k) for k, n in enumerate(sizes))[:2]
+            out[i] = self.langs[best], 1 - least / (2 * second - least), (second - least) / second >= MARGIN
+        return out
 
 
 _COLUMNS = ["lang_pred", "score", "accepted"]
 
 
 def _predictions(dictionaries: dict[str, bytes], part: pa.RecordBatch, model: Classifier) -> list[pa.Array]:
-    found = [model.predict(t) for t in part.column("text").to_pylist()]
+    found = model.predict_all(part.column("text").to_pylist())
     return [pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64()),
             pa.array([f[2] for f in found], pa.bool_())]
 

@@ -367,3 +367,33 @@ def test_pipeline_over_the_given_tables_equals_its_stages_by_brute_force(spark):
     verbatim = {d for d, t in whole.items() for w in bench.values() if t.find(w.tobytes()) % 8 == 0 and w.tobytes() in t}
     stay = {r["doc_id"] for r in corpus_pipeline.decontaminated(spark, docs, SMALL).collect()}
     assert stay.isdisjoint(verbatim) and len(stay) >= 0.95 * (len(whole) - len(verbatim))
+
+
+def test_one_dictionary_after_the_other_compresses_all_texts():
+    en, de = b"the quick brown fox and the lazy dog " * 9, b"der schnelle braune fuchs und der faule hund " * 9
+    model = langid.Classifier({"en": en, "de": de})
+    texts = ["the brown dog and the fox " * 300, None, "der faule fuchs und der hund", "", "12 !", "the lazy fox"]
+    assert model.predict_all(texts) == [model.predict(t) for t in texts]
+    assert [p[0] for p in model.predict_all(texts)] == ["en", "und", "de", "und", "und", "en"]
+    order, coders = [], model.coders
+
+    class Noted:
+        def __init__(self, k):
+            self.k = k
+
+        def compress(self, raw):
+            order.append(self.k)
+            return coders[self.k].compress(raw)
+    model.coders = [Noted(0), Noted(1)]
+    model.predict_all(texts)
+    assert order == sorted(order) and set(order) == {0, 1}
+
+
+def test_a_few_words_tell_their_language(spark):
+    """Held-out texts give four words each."""
+    docs = table(spark, "/root/testdata/sf0.01", "documents")
+    model = langid.Classifier(langid.learn(docs))
+    held = docs.where("text is not null and lang is not null and crc32(cast(doc_id as string)) % 4 = 2").collect()
+    few = [" ".join(r["text"].split()[5:9]) for r in held]
+    right = [p[0] == r["lang"] for p, r in zip(model.predict_all(few), held)]
+    assert len(held) > 100 and sum(right) >= 0.9 * len(held)
