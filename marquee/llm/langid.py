@@ -26,16 +26,15 @@ SAMPLE_TEXTS = 220       # sample texts of a language, at most
 SAMPLE_CHARS = 600       # characters in a row that a sample text gives, at most
 DRAWN = 8                # texts drawn for each one that is taken, on average
 BLOCK_BYTES = 4_096
-#: Lazy parsing over hash chains. A window of 16 kB or less has chains; larger ones have
-#: hashed rows, which miss most matches of a text of a few words. The dictionary counts whole.
-SEARCH = {"strategy": zstandard.STRATEGY_LAZY, "window_log": 14, "hash_log": 17, "chain_log": 17,
-          "search_log": 4, "min_match": 5, "target_length": 8}
+LEVEL = 11               # from here on a few words, too, find their matches
 MARGIN = 0.05            # least margin that is accepted: most texts of a language nobody learned stay below
 FOLDS, HELD_OUT = 4, 2   # rows whose crc32 has this remainder are never learned from
 UNDETERMINED = "und"
 
 _LETTER = re.compile(r"[^\W\d_]")
 _OTHER = re.compile(r"[\W\d_]+")
+_BLANKS = re.compile(b"  +")
+_ASCII = bytes(b if chr(b).isalpha() else 0x20 for b in bytes(range(128)).lower()) + bytes(128)
 
 
 def sample(docs: DataFrame, texts: int = SAMPLE_TEXTS, chars: int = SAMPLE_CHARS) -> DataFrame:
@@ -78,6 +77,14 @@ def plain(text: str) -> str:
     return _OTHER.sub(" ", text.lower())
 
 
+def plain_bytes(text: str) -> bytes:
+    """:func:`plain` in UTF-8; ASCII, which most texts are, by a byte table."""
+    if not text.isascii():
+        return plain(text).encode()
+    raw = text.encode().translate(_ASCII)
+    return _BLANKS.sub(b" ", raw) if b"  " in raw else raw
+
+
 def dictionary(texts: list[str]) -> bytes:
     return plain(" ".join(dict.fromkeys(texts))).encode()
 
@@ -89,10 +96,9 @@ class Classifier:
 
     @staticmethod
     def _coder(content: bytes) -> zstandard.ZstdCompressor:
-        how = zstandard.ZstdCompressionParameters(**SEARCH, write_checksum=False, write_content_size=False)
         d = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-        d.precompute_compress(compression_params=how)
-        return zstandard.ZstdCompressor(dict_data=d, compression_params=how)
+        d.precompute_compress(level=LEVEL)
+        return zstandard.ZstdCompressor(level=LEVEL, dict_data=d, write_checksum=False, write_content_size=False)
 
     def predict(self, text: str | None) -> tuple[str, float, bool]:
         """(language, score from 0 to 1, accepted). The score is the margin's
@@ -111,7 +117,7 @@ class Classifier:
             return out
         blocks = []
         for i in told:
-            raw = plain(texts[i]).encode()
+            raw = plain_bytes(texts[i])
             blocks.append([raw[a:a + BLOCK_BYTES] for a in range(0, len(raw), BLOCK_BYTES)])
         totals = [[sum(map(len, map(c.compress, b))) for b in blocks] for c in self.coders]
         for i, sizes in zip(told, zip(*totals)):

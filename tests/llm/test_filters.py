@@ -9,6 +9,8 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 import corpus_pipeline
 from marquee.llm import decontaminate, langid, toxicity
@@ -389,6 +391,12 @@ def test_one_dictionary_after_the_other_compresses_all_texts():
     assert order == sorted(order) and set(order) == {0, 1}
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.text(st.one_of(st.characters(max_codepoint=127), st.sampled_from("é É ß\u0130٣_  ")), max_size=20))
+def test_plain_words_are_the_same_by_the_byte_table(text):
+    assert langid.plain_bytes(text) == langid.plain(text).encode()
+
+
 def test_a_few_words_tell_their_language(spark):
     """Held-out texts give four words each."""
     docs = table(spark, "/root/testdata/sf0.01", "documents")
