@@ -30,7 +30,7 @@ from .units import Units
 from .words import gathered, text_buffers
 
 MARK = "▁"
-MOST_UNITS = 1_200_000  # distinct marked words that a worker keeps
+MOST_UNITS = 500_000  # distinct marked words that a worker keeps
 PAIRS = 400_000  # remembered verdicts on pairs of pieces
 _NONE = float("-inf")
 
@@ -52,6 +52,7 @@ class Pieces:
         normal = [i for i in range(size) if not (model.is_byte(i) or model.is_control(i) or model.is_unknown(i))]
         self.ids = {names[i]: i for i in normal}
         self.scores = {names[i]: model.get_score(i) for i in normal}
+        self.own = {p: p for p in self.ids}  # one string for each piece that is remembered
         self.longest = max(map(len, self.ids), default=1)
         self.endings = self._endings()
         self.floor = min(self.scores.values(), default=0.0) - 10.0
@@ -139,7 +140,8 @@ class Pieces:
         if known is None:
             if len(self.pairs) >= PAIRS:
                 self.pairs.clear()
-            known = self.pairs[a, b] = self._merged_short(a + b) == ([a, b] if b else [a])
+            own = self.own.get
+            known = self.pairs[own(a, a), own(b, b)] = self._merged_short(a + b) == ([a, b] if b else [a])
         return known
 
     def _extend_merged(self, word: str, last: list) -> None:
@@ -214,8 +216,10 @@ class Pieces:
         """Ids of units: marked or bare words, or runs of marks before one.
 
         Marks merge among themselves after all else; so a run is the word with
-        one mark, and if that mark stands alone, it joins the others.
+        one mark, and if that mark stands alone, it joins the others. A blank
+        in front of a unit is a mark, too.
         """
+        units = [MARK + u[1:] if u[:1] == " " else u for u in units]
         plain, runs = [], {}
         for unit in units:
             word = unit.lstrip(MARK)
@@ -283,7 +287,7 @@ class Pieces:
         coded = pa.Array.from_buffers(
             pa.large_string(), len(starts),
             [None, pa.py_buffer(np.append(starts, len(marked)).astype(np.int64)), pa.py_buffer(marked)]).dictionary_encode()
-        names = [MARK + u[1:] if u[0] == " " else u for u in coded.dictionary.to_pylist()]
+        names = coded.dictionary.to_pylist()
         ids, ends = units.gather(units.number(names, len(names))[coded.indices.to_numpy()])
         bounds = np.concatenate([[0], ends])[np.searchsorted(starts, off + np.concatenate([[0], np.cumsum(full)]))]
         if not len(others):

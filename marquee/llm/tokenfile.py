@@ -360,7 +360,7 @@ def write(docs: DataFrame, tokenizer: str, folder: str, end_id: int = 0) -> Data
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, out, coder = TaskContext.get().partitionId(), None, _loaded(tokenizer)
         path = f"{folder}/ids-{shard:07d}.bin"
-        for part in gathered(batches, "text"):
+        for part in gathered(batches, "text", 4 << 20):
             if out is None:
                 out = Writer(path, bits_for(max(coder.size, end_id + 1)))
             ids, bounds = coder.encode_column(part.column("text"))

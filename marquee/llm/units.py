@@ -3,17 +3,18 @@
 A tokenizer that never merges across a unit's edge (a word with the blank
 before it) needs to encode each distinct unit once. ``Units`` keeps the units
 seen so far, their ids in one flat array, and turns a text into ids by looking
-its units up and gathering, without Python work per id.
+its units up and gathering, without Python work per id. A full table drops the
+units that only one batch asked for, most of all there are.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
-from itertools import chain, islice
+from itertools import chain, compress, islice
 
 import numpy as np
 
-#: Distinct units kept by a worker; the table starts anew beyond it.
+#: Distinct units kept by a worker; beyond it only common ones stay, half as many at most.
 MOST_UNITS = 500_000
 
 
@@ -38,8 +39,34 @@ class Units:
         self.known = 0
         self.flat = np.empty(1 << 16, np.int32)
         self.starts = np.zeros(1 << 14, np.int64)
+        self.asked = np.zeros(1 << 14, np.int32)  # batches that asked for a unit
         self.used = 0
 
+    def _thin(self) -> None:
+        """Keep the units that two batches or more asked for, the commonest ones."""
+        asked = self.asked[:self.known]
+        least = 2
+        while np.count_nonzero(asked >= least) > self.most // 2:
+            least *= 2
+        keep = asked >= least
+        kept = np.flatnonzero(keep)
+        names = list(compress(self.numbers, keep))
+        flat, ends = self.gather(kept)
+        self.clear()
+        self.numbers.update(zip(names, range(len(names))))
+        self._room(len(flat), len(names))
+        self.flat[:len(flat)] = flat
+        self.starts[1:len(names) + 1] = ends
+        self.asked[:len(names)] = asked[kept]
+        self.used, self.known = len(flat), len(names)
+
+    def _room(self, ids: int, units: int) -> None:
+        while ids > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.empty_like(self.flat)])
+        while units + 1 > len(self.starts):
+            self.starts = np.concatenate([self.starts, np.zeros_like(self.starts)])
+            self.asked = np.concatenate([self.asked, np.zeros_like(self.asked)])
+
     def _learn(self) -> None:
         """Encode the units that got a number since the last time."""
         if self.known == len(self.numbers):
@@ -48,10 +75,7 @@ class Units:
         lists = list(self.encode_new(names))
         lengths = np.fromiter(map(len, lists), np.int64, len(lists))
         total = int(lengths.sum())
-        while self.used + total > len(self.flat):
-            self.flat = np.concatenate([self.flat, np.empty_like(self.flat)])
-        while len(self.numbers) + 1 > len(self.starts):
-            self.starts = np.concatenate([self.starts, np.zeros_like(self.starts)])
+        self._room(self.used + total, len(self.numbers))
         if total:
             self.flat[self.used:self.used + total] = np.fromiter(chain.from_iterable(lists), np.int32, total)
         self.starts[self.known + 1:len(self.numbers) + 1] = self.used + np.cumsum(lengths)
@@ -61,9 +85,10 @@ class Units:
     def number(self, units: Iterable[str], n: int) -> np.ndarray:
         """Numbers of ``n`` units, all of them learned; they hold until the next call."""
         if len(self.numbers) > self.most:
-            self.clear()
+            self._thin()
         which = np.fromiter(map(self.numbers.__getitem__, units), np.int64, n)
         self._learn()
+        self.asked[which] += 1
         return which
 
     def gather(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -188,3 +188,33 @@ def test_parts_merge_to_the_whole(spark):
         s = fingerprint.sketches(pa.array([r["text"]]))[0]
         whole[r["source"]] = fingerprint.merge(whole.get(r["source"], s[:0]), s)
     assert got == {k: fingerprint.to_text(s) for k, s in whole.items()}
+
+
+def test_a_full_table_keeps_its_common_units():
+    from marquee.llm.units import Units
+    learned = []
+
+    def new(names):
+        learned.extend(names)
+        return [[ord(c) for c in n] for n in names]
+    units = Units(new, 20)
+    for k in range(60):
+        texts = [["the", f"rare{k}", "of"], [f"odd{k}", "the"], []]
+        ids, bounds = units.encode(texts)
+        assert [ids[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:])] == [
+            [ord(c) for u in t for c in u] for t in texts]
+        assert len(units.numbers) <= 24
+    assert learned.count("the") == learned.count("of") == 1 and len(learned) == 122
+
+
+def test_a_worker_keeps_few_strings_for_a_texts_words(tmp_path):
+    """Keys of the table of words are plain ASCII where the words are, and the
+    pieces in remembered pairs are the vocabulary's own strings."""
+    ours = pieces.Pieces(PIECES)
+    table = pieces.Units(ours.encode_units, pieces.MOST_UNITS)
+    library = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    texts = ["some plain words\nhere", "and  marked ▁ words", "", "plain again"]
+    ids, bounds = ours.encode_column(pa.array(texts), table)
+    assert [ids[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:])] == [library.encode(t) for t in texts]
+    assert " plain" in table.numbers and "▁plain" not in table.numbers
+    assert ours.pairs and all(ours.own.get(p, p) is p for pair in ours.pairs for p in pair)
