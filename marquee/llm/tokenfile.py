@@ -20,11 +20,11 @@ import re
 import struct
 import uuid
 from collections.abc import Iterator
+from itertools import chain
 from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -33,14 +33,15 @@ from pyspark.sql import functions as F
 from marquee.session import scratch_path
 
 from .frames import partitions, small_batches, written
-from .units import Units
+from .units import ColumnUnits
 from .words import gathered, text_buffers
 
 MAGIC = b"IDPACK1\n"
 BLOCK = 65_536
 HEAD = len(MAGIC) + 5
 TAIL = 24 + len(MAGIC)
-MOST_UNITS, MOST_PIECES = 400_000, 450_000  # kept by a worker before a table starts anew
+MOST_UNITS = 400_000  # kept by a worker before it drops the rare ones
+MOST_PIECES = 100     # units that the library encodes in one call
 NO_DOC = -(1 << 63)  # stands for a null doc_id in a file
 
 
@@ -175,12 +176,6 @@ _UNEVEN = re.compile(rf"[{_SPACE}](?:[{_SPACE}]|\Z)|\A[{_SPACE}]|[\t\x0b-\r{_OTH
 _UNITS = re.compile(rf"[{_SPACE}]+(?![^{_SPACE}])| ?[^{_SPACE}]+|[{_SPACE}]")
 
 
-#: The tokenizer's pattern, and characters on which it is not applied here.
-_PATTERN = regex.compile(r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+""")
-_MARKS = ".,;:!?%&$#*"
-_BEYOND = re.compile(r"[^\x00-\x1b\x20-\u024f]")
-
-
 def units_of(text: str) -> list[str]:
     """Runs of the text between which the tokenizer's pattern always splits:
     a word with the blank before it, or white space before such a run."""
@@ -220,30 +215,49 @@ def even_rows(raw: np.ndarray, off: np.ndarray) -> np.ndarray:
     return out
 
 
+_MARK = np.isin(np.arange(256), list(b".,;:!?%&$#*"))
+_ASCII_LETTER = np.isin(np.arange(256), [*range(0x41, 0x5B), *range(0x61, 0x7B)])
+
+
 def _unit_starts(raw: np.ndarray, off: np.ndarray) -> np.ndarray:
     """Where the units of even texts begin: at a text, a blank, a line break
-    and behind it."""
+    and behind it, and at a mark behind a letter, as the pattern ends any
+    piece with a letter there. Letters are those of ASCII and U+00C0 to U+023F."""
     cut = (raw == 0x20) | (raw == 0x0A)
     cut[1:] |= raw[:-1] == 0x0A
     cut[off[:-1][off[1:] > off[:-1]]] = True
+    marks = np.flatnonzero(_MARK[raw])
+    marks = marks[marks >= 2]
+    last, lead = raw[marks - 1], raw[marks - 2]
+    wide = (lead >= 0xC3) & (lead <= 0xC8) & (last >= 0x80) & ~((lead == 0xC3) & ((last == 0x97) | (last == 0xB7)))
+    cut[marks[_ASCII_LETTER[last] | wide]] = True
     return np.flatnonzero(cut)
 
 
-def _byte_letters() -> dict[int, str]:
-    """The letter that stands for each byte in a byte-level vocabulary: printable
-    Latin-1 characters for themselves, the others from U+0100 on."""
-    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    rest = [b for b in range(256) if b not in plain]
-    return {b: chr(b) for b in plain} | {b: chr(256 + k) for k, b in enumerate(rest)}
+def _plain(raw: np.ndarray, off: np.ndarray) -> np.ndarray:
+    """Which units (none empty) may be joined by line breaks: those without
+    white space but one blank before other characters, and without those
+    characters beyond Latin of whose classes two Unicode versions may differ."""
+    odd = (raw >= 0x09) & (raw <= 0x0D) | (raw >= 0x1C) & (raw <= 0x20) | (raw >= 0xC9)
+    odd[1:] |= (raw[:-1] == 0xC2) & ((raw[1:] == 0x85) | (raw[1:] == 0xA0))
+    odd[off[:-1][(raw[off[:-1]] == 0x20) & (np.diff(off) > 1)]] = False
+    return ~np.logical_or.reduceat(odd, off[:-1])
+
+
+def _woven(which: np.ndarray, lengths: np.ndarray, those: np.ndarray, others: np.ndarray) -> np.ndarray:
+    """Ids of rows in order, from those of the marked rows and of the others."""
+    of = np.repeat(which, lengths)
+    every = np.empty(len(of), np.int32)
+    every[of], every[~of] = those, others
+    return every
 
 
 class ByteBpe:
-    """Ids of texts as ``tokenizers`` gives them, each distinct piece encoded once.
+    """Ids of texts as ``tokenizers`` gives them, each distinct unit encoded once.
 
-    New units are split by the tokenizer's pattern here, and the library's
-    model encodes the pieces not seen before. Units with characters beyond
-    Latin, of whose classes two Unicode versions may differ, go through the
-    library whole.
+    The library gets new units many at a time, a line break behind each: its
+    pattern makes that a piece, and so a token, of its own, at which the ids are
+    cut again. Units that are not plain go through the library alone.
     """
 
     def __init__(self, path: str):
@@ -258,45 +272,43 @@ class ByteBpe:
         self.tokenizer = Tokenizer.from_file(path)
         self.size = self.tokenizer.get_vocab_size()
         self.added = [t["content"] for t in spec["added_tokens"]]
-        self.model = self.tokenizer.model
-        self.letters = _byte_letters()
-        self.pieces: dict[str, list[int]] = {}
-        self.before: dict[str, list[int]] = {}
-        self.units = Units(self._new, MOST_UNITS)
+        self.edge = self._encode("\n")
+        self.joins = len(self.edge) == 1 and not any("\n" in a for a in self.added)
+        self.units = ColumnUnits(self._new, MOST_UNITS)
 
     def _encode(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
-    def _piece(self, piece: str) -> list[int]:
-        ids = self.before.get(piece)
-        if ids is None:
-            spelled = piece.encode().decode("latin-1").translate(self.letters)
-            ids = [t.id for t in self.model.tokenize(spelled)]
-        if len(self.pieces) >= MOST_PIECES:  # pieces met since the last time are kept
-            self.before, self.pieces = self.pieces, {}
-        self.pieces[piece] = ids
-        return ids
-
-    def _new(self, units: list[str]) -> list[list[int]]:
-        out = []
-        for unit in units:
-            word = unit.rstrip(_MARKS)  # most units: letters, then perhaps marks
-            if (word[1:] if word[:1] == " " else word).isalpha() and (word.isascii() or not _BEYOND.search(word)):
-                ids = self.pieces.get(word) or self._piece(word)
-                if len(word) < len(unit):
-                    marks = unit[len(word):]
-                    ids = ids + (self.pieces.get(marks) or self._piece(marks))
-                out.append(ids)
-            elif _BEYOND.search(unit):
-                out.append(self._encode(unit))
-            else:
-                out.append([i for p in _PATTERN.findall(unit) for i in self.pieces.get(p) or self._piece(p)])
-        return out
+    def _joined(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(all ids, number of each unit's) of some plain units."""
+        ids = np.array(self._encode("\n".join(units) + "\n"), np.int32)
+        edge = ids == self.edge[0]
+        counts = np.diff(np.flatnonzero(edge), prepend=-1) - 1
+        if len(counts) == len(units):
+            return ids[~edge], counts
+        alone = [self._encode(u) for u in units]
+        return np.fromiter(chain.from_iterable(alone), np.int32), np.array([*map(len, alone)], np.int64)
+
+    def _new(self, units: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(all ids, number of each unit's)."""
+        plain = _plain(*text_buffers(units)) if self.joins else np.zeros(len(units), bool)
+        lengths = np.empty(len(units), np.int64)
+        names = units.filter(pa.array(plain)).to_pylist()
+        joined, counts = [], []
+        for k in range(0, len(names), MOST_PIECES):
+            ids, n = self._joined(names[k:k + MOST_PIECES])
+            joined.append(ids)
+            counts.append(n)
+        alone = [self._encode(u) for u in units.filter(pa.array(~plain)).to_pylist()]
+        lengths[plain] = np.concatenate(counts) if counts else 0
+        lengths[~plain] = np.fromiter(map(len, alone), np.int64, len(alone))
+        return _woven(plain, lengths, np.concatenate(joined) if joined else np.empty(0, np.int32),
+                      np.fromiter(chain.from_iterable(alone), np.int32)), lengths
 
     def encode_column(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(all ids, bounds of each text's) of a string column. Texts whose
-        white space is even are cut into units as bytes, and only their
-        distinct units become Python strings."""
+        white space is even are cut into units as bytes, and only new
+        units become Python strings."""
         raw, off = text_buffers(texts)
         even = even_rows(raw, off)
         if self.added and any(a.encode() in raw.tobytes() for a in self.added):
@@ -310,17 +322,13 @@ class ByteBpe:
             pa.large_string(), len(starts),
             [None, pa.py_buffer(np.append(starts, len(raw)).astype(np.int64)), pa.py_buffer(np.ascontiguousarray(raw))]
         ).dictionary_encode()
-        names = coded.dictionary.to_pylist()
-        ids, ends = self.units.gather(self.units.number(names, len(names))[coded.indices.to_numpy()])
+        ids, ends = self.units.gather(self.units.number(coded.dictionary)[coded.indices.to_numpy()])
         bounds = np.concatenate([[0], ends])[np.searchsorted(starts, off)]
         if not len(others):
             return ids, bounds
         lengths = np.empty(len(texts), np.int64)
         lengths[even], lengths[others] = np.diff(bounds), np.diff(loose_bounds)
-        edges = np.concatenate([[0], np.cumsum(lengths)])
-        every, of = np.empty(int(edges[-1]), np.int32), np.repeat(even, lengths)
-        every[of], every[~of] = ids, loose
-        return every, edges
+        return _woven(even, lengths, ids, loose), np.concatenate([[0], np.cumsum(lengths)])
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(all ids, bounds of each text's)."""

@@ -13,6 +13,8 @@ from collections.abc import Callable, Iterable
 from itertools import chain, compress, islice
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Distinct units kept by a worker; beyond it only common ones stay, half as many at most.
 MOST_UNITS = 500_000
@@ -105,3 +107,53 @@ class Units:
         sizes = np.fromiter(map(len, texts), np.int64, len(texts))
         ids, ends = self.gather(self.number(chain.from_iterable(texts), int(sizes.sum())))
         return ids, np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(sizes)])]
+
+
+class ColumnUnits(Units):
+    """:class:`Units` of Arrow columns. The known units are a column too, in the
+    order of their numbers, which takes a tenth of a dict's memory, and only new
+    units become Python objects: ``encode_new(column)`` gives (all ids, number
+    of each unit's)."""
+
+    def clear(self) -> None:
+        super().clear()
+        self.names = pa.array([], pa.large_string())
+
+    def _add(self, names: pa.Array, ids: np.ndarray, lengths: np.ndarray) -> None:
+        end = self.known + len(names)
+        self._room(self.used + len(ids), end)
+        self.flat[self.used:self.used + len(ids)] = ids
+        self.starts[self.known + 1:end + 1] = self.used + np.cumsum(lengths)
+        self.names = pa.concat_arrays([self.names, names])
+        self.used, self.known = self.used + len(ids), end
+
+    def _thin(self) -> None:
+        asked = self.asked[:self.known]
+        least = 2
+        while np.count_nonzero(asked >= least) > self.most // 2:
+            least *= 2
+        kept = np.flatnonzero(asked >= least)
+        names, asked = self.names.take(pa.array(kept)), asked[kept]
+        ids, ends = self.gather(kept)
+        self.clear()
+        self._add(names, ids, np.diff(ends, prepend=0))
+        self.asked[:len(kept)] = asked
+
+    def number(self, units: pa.Array) -> np.ndarray:
+        """Numbers of distinct units, all of them learned; they hold until the next call."""
+        if self.known > self.most:
+            self._thin()
+        which = pc.index_in(units, value_set=self.names).fill_null(-1).to_numpy().astype(np.int64)
+        new = np.flatnonzero(which < 0)
+        if len(new):
+            names = units.take(pa.array(new))
+            which[new] = self.known + np.arange(len(new))
+            self._add(names, *self.encode_new(names))
+        self.asked[which] += 1
+        return which
+
+    def encode(self, texts: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
+        sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+        coded = pa.array(list(chain.from_iterable(texts)), pa.large_string()).dictionary_encode()
+        ids, ends = self.gather(self.number(coded.dictionary)[coded.indices.to_numpy()])
+        return ids, np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(sizes)])]

@@ -99,6 +99,30 @@ def test_tables_that_start_anew_change_nothing(monkeypatch):
             library.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+def test_marks_make_no_new_units_and_the_library_gets_many_at_once(monkeypatch):
+    library, coder, calls = Tokenizer.from_file(BYTES), tokenfile.ByteBpe(BYTES), []
+    inner = coder._encode
+    monkeypatch.setattr(coder, "_encode", lambda text: calls.append(text) or inner(text))
+    words = [f"{a}{b}né" for a in "abcdefghijklmnopqrst" for b in "uvwxyz"]
+    texts = [f"say {w}{m} then" for w in words for m in ",.;:!?"]
+    ids, bounds = coder.encode_column(pa.array(texts))
+    assert [list(ids[a:b]) for a, b in zip(bounds[:-1], bounds[1:])] == [
+        library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert coder.units.known == len(words) + 8
+    assert 0 < len(calls) <= 1 + coder.units.known // 50
+
+
+def test_units_cut_at_marks_and_joined_equal_the_library():
+    library, coder = Tokenizer.from_file(BYTES), tokenfile.ByteBpe(BYTES)
+    odd = ["", "it's.", "'s,x", "'S", "é.", "×.", "÷,", "ß;!", "ŉ*", "ɏ.", "ɐ.", "ʼn.", "e\u0301.", "a.b.c", "1.5", "x1.", "..",
+           "…", "\x00.", "\x1ca", "a\x1c", "a\x1f", "a\x85", "\xa0", "a\xa0.", "\u2003a", "ا.", "字。", "😀.", "¿a", "º.", "ª,", "\u200b"]
+    texts = [*odd, *(f"{a} {b}" for a in odd for b in odd), *(f"{a}\n{b}" for a in odd for b in odd), " ".join(odd), "\n".join(odd)]
+    for column in (pa.array(texts), pa.array(texts, pa.large_string())):
+        ids, bounds = coder.encode_column(column)
+        assert [list(ids[a:b]) for a, b in zip(bounds[:-1], bounds[1:])] == [
+            library.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 @pytest.mark.parametrize("bits", [1, 7, 8, 11, 16, 17, 32])
 def test_packed_files_give_any_range(tmp_path, bits):
     ids = np.random.default_rng(bits).integers(0, 2**bits, 150_000).astype(np.uint32)
